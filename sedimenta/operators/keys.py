@@ -1,4 +1,4 @@
-"""Surrogate keys 1..n without a single-task window."""
+"""Surrogate keys 1..n without a single-task window over large data."""
 
 from __future__ import annotations
 
@@ -11,18 +11,38 @@ from pyspark.sql import functions as F
 from sedimenta.session import stage
 from sedimenta.sources.landing import column
 
+ONE_TASK_ROWS = 250_000  # up to here one task numbers the rows
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
 def surrogate_key(
-    df: DataFrame, name: str, natural: Sequence[str], partitions: int | None = None
+    df: DataFrame,
+    name: str,
+    natural: Sequence[str],
+    partitions: int | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Dense numbers from 1 in the order of `natural` (then of the whole row).
 
-    The rows are range-partitioned, sorted inside their partitions and written once with
-    their position. The number is that position plus the rows of the partitions before,
-    which is one small row per partition. A key with many rows is still split, as the hash
-    of the row is part of the order.
+    The rows are written once and counted; a few are numbered by one task, more by
+    `_numbered_in_parts`.
+    """
+    rows = stage(df, "rows")
+    if rows.count() <= one_task_rows:
+        rest = [column(c) for c in df.columns if c not in natural]
+        order = [column(c) for c in natural] + ([F.xxhash64(*rest)] if rest else [])
+        return rows.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("bigint"))
+    return _numbered_in_parts(rows, name, natural, partitions)
+
+
+def _numbered_in_parts(
+    df: DataFrame, name: str, natural: Sequence[str], partitions: int | None = None
+) -> DataFrame:
+    """Range-partition, sort inside the partitions, write once with the position.
+
+    The number is the position plus the rows of the partitions before, which is one small
+    row per partition. A key with many rows is still split, as the hash of the row is part
+    of the order.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [column(c) for c in natural]

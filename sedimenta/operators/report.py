@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions.dates import key_of
 from sedimenta.functions.text import escape_html
-from sedimenta.operators.joins import lookup_join
 from sedimenta.sources.landing import column
 
 
@@ -42,12 +41,12 @@ def top_of_window(
 ) -> DataFrame:
     """Fact rows of a window, joined to its dimensions by surrogate key, best k.
 
-    `dims` maps the key column to the dimension. The window is cut before the joins, and
-    each task keeps its k best rows. End `order` with a unique column, so ties are settled.
+    `dims` maps the key column to the dimension. The window is cut before the joins, so
+    these see few rows and Spark picks their kind; each task keeps its k best rows. End `order` with a unique column, so ties are settled.
     """
     out = fact.where(window.condition(column(date)))
     for key, dim in dims.items():
-        out = lookup_join(out, dim, [key], "inner")
+        out = out.join(dim, key)
     if where is not None:
         out = out.where(where)
     return out.orderBy(*order).limit(k)

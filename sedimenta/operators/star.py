@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from sedimenta.operators.keys import surrogate_key
 from sedimenta.sources.landing import column
 from sedimenta.spec import VOCABULARY, DimSpec, FactSpec, Vocabulary
 
+_KEY_ROW_BYTES = 64  # one (natural key, surrogate key) pair in a hash table
+
 
 def fill(df: DataFrame, vocabulary: Vocabulary = VOCABULARY, **kinds: str) -> DataFrame:
     """Replace nulls by the sentinel of a kind: text, code, unknown_id, not_applicable_id,
@@ -75,25 +78,38 @@ def stamp_load(
     return df.withColumn(name, F.lit(at).cast("timestamp_ntz"))
 
 
-def _look_up(fact: DataFrame, keys: DataFrame, key: str, optional: bool, max_bytes: int) -> DataFrame:
-    """Attach a surrogate key. One job both measures the key table and proves it unique."""
-    natural, size = keys.columns[0], 64
-    rows, most = (
-        keys.groupBy(column(natural))
+def _measure(keys: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Rows of each key table (natural key, surrogate key), all in one job.
+
+    Fails if a natural key has more than one row, as the fact would fan out.
+    """
+    parts = [
+        k.groupBy(column(k.columns[0]).alias("k"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0)))
-        .first()
-    )
-    if most > 1:
-        raise ValueError(f"{natural}: a natural key has {most} rows behind {key}; the fact would fan out")
-    how = "left" if optional else "inner"
-    if isinstance(keys.schema[natural].dataType, (T.IntegerType, T.LongType)) and rows * size <= max_bytes:
-        out = fact.join(F.broadcast(keys), natural, how)
-    elif isinstance(keys.schema[natural].dataType, (T.IntegerType, T.LongType)):
-        out = salted_join(fact, keys, [natural], how)
-    else:
-        out = lookup_join(fact, keys, [natural], how, max_bytes)
-    return out
+        .agg(
+            F.lit(name).alias("name"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.max("n"), F.lit(0)).alias("most"),
+        )
+        for name, k in keys.items()
+    ]
+    found = reduce(DataFrame.unionByName, parts).collect()  # one row per dimension
+    twice = [r["name"] for r in found if r["most"] > 1]
+    if twice:
+        raise ValueError(f"more than one row per natural key in {', '.join(sorted(twice))}")
+    return {r["name"]: r["rows"] for r in found}
+
+
+def _look_up(
+    fact: DataFrame, keys: DataFrame, rows: int, optional: bool, max_bytes: int
+) -> DataFrame:
+    """Attach a surrogate key by a broadcast of measured size, or by a salted shuffle."""
+    natural, how = keys.columns[0], "left" if optional else "inner"
+    if not isinstance(keys.schema[natural].dataType, (T.IntegerType, T.LongType)):
+        return lookup_join(fact, keys, [natural], how, max_bytes)
+    if rows * _KEY_ROW_BYTES <= max_bytes:
+        return fact.join(F.broadcast(keys), natural, how)
+    return salted_join(fact, keys, [natural], how)
 
 
 def build_fact(
@@ -106,7 +122,7 @@ def build_fact(
 ) -> DataFrame:
     """Star join: natural keys -> surrogate keys, dates -> date keys, measures.
 
-    Only (natural key, surrogate key) of a dimension take part: 64 bytes per row bound
+    Only (natural key, surrogate key) of a dimension take part: two numbers per row bound
     its hash table, and the row count decides between broadcast and a salted shuffle.
     Missing rows of an optional dimension get the unknown key; rows without a required
     dimension drop out. `max_rows` keeps the first rows by all output columns.
@@ -117,11 +133,15 @@ def build_fact(
         **{f"__c_{k}": column(src) for k, src in spec.columns.items()},
     }
     out = df.select(*[c.alias(n) for n, c in wanted.items()])
-    for i, r in enumerate(spec.dims):
-        keys = dims[r.dim].select(
+    keys = {
+        f"{i}:{r.dim}": dims[r.dim].select(
             column(r.natural).alias(f"__d{i}"), column(r.key).alias(f"__k{i}")
         )
-        out = _look_up(out, keys, r.key, r.optional, max_bytes).drop(f"__d{i}")
+        for i, r in enumerate(spec.dims)
+    }
+    rows = _measure(keys)
+    for (name, k), r in zip(keys.items(), spec.dims):
+        out = _look_up(out, k, rows[name], r.optional, max_bytes).drop(k.columns[0])
     names = []
     for i, r in enumerate(spec.dims):
         key = F.col(f"__k{i}")

@@ -1 +1,98 @@
-"""Placeholder."""
+"""Profiles, counts and checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sedimenta.operators import quality
+from sedimenta.operators.joins import lookup_join
+from sedimenta.plans.registry import SCHEMAS, query, table
+from sedimenta.plans.star_queries import FT_ORDERS, customer_dim, order_dim, order_rows
+from sedimenta.operators.star import build_fact
+
+_LINE_TYPES = {
+    "l_orderkey": "bigint",
+    "l_partkey": "bigint",
+    "l_suppkey": "bigint",
+    "l_linenumber": "int",
+    "l_quantity": "double",
+    "l_extendedprice": "double",
+    "l_discount": "double",
+    "l_tax": "double",
+    "l_returnflag": "string",
+    "l_linestatus": "string",
+    "l_shipdate": "timestamp_ntz",
+}
+
+
+def _profile_sql(table_name, types):
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS coluna, '{t}' AS tipo, round((count(*) - count({c})) * 100 / count(*), 2) AS nulos_pct, "
+        f"count(DISTINCT {c}) AS valores_unicos, min({c})::VARCHAR AS exemplo FROM {table_name}"
+        for c, t in types.items()
+    )
+
+
+@query(_profile_sql("lineitem", _LINE_TYPES))
+def profile(spark, sf):
+    return quality.profile(table(spark, sf, "lineitem"))
+
+
+@query(
+    _profile_sql(
+        "(SELECT documents.doc_id, lang, quality, toxic FROM documents LEFT JOIN labels "
+        "ON documents.doc_id = labels.doc_id)",
+        {"doc_id": "bigint", "lang": "string", "quality": "int", "toxic": "int"},
+    )
+)
+def profile_nulls(spark, sf):
+    """A profile of a joined table, most of whose rows have gaps."""
+    documents = table(spark, sf, "documents").select("doc_id", "lang")
+    return quality.profile(lookup_join(documents, table(spark, sf, "labels"), ["doc_id"], "left"))
+
+
+@query(
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{t}' AS tabela, count(*) AS linhas, count(*) = 0 AS vazia FROM {t}" for t in SCHEMAS
+    )
+    + ")"
+)
+def row_counts(spark, sf):
+    tables = {t: table(spark, sf, t) for t in SCHEMAS}
+    quality.require(tables, ["orders", "lineitem"])
+    return quality.row_counts(tables)
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, count(*) AS linhas FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def pk_violations(spark, sf):
+    return quality.pk_violations(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("""
+SELECT unnest(['doc_id', 'lang', 'quality', 'toxic']) AS coluna,
+       unnest([count(*) - count(documents.doc_id), count(*) - count(lang), count(*) - count(quality),
+               count(*) - count(toxic)]) AS nulos
+FROM documents LEFT JOIN labels ON documents.doc_id = labels.doc_id""")
+def null_violations(spark, sf):
+    documents = table(spark, sf, "documents").select("doc_id", "lang")
+    joined = lookup_join(documents, table(spark, sf, "labels"), ["doc_id"], "left")
+    return quality.null_violations(joined)
+
+
+@query("SELECT 0::BIGINT AS sem_cliente, 0::BIGINT AS sem_pedido, count(*) AS linhas FROM orders")
+def fact_keys_resolve(spark, sf):
+    """Every key of a loaded fact exists in its dimension."""
+    customer, orders = customer_dim(spark, sf), order_dim(spark, sf)
+    fact = build_fact(order_rows(spark, sf), FT_ORDERS, {"dim_customer": customer, "dim_order": orders})
+    checked = lookup_join(
+        fact, customer.select("sk_customer", F.lit(1).alias("c")), ["sk_customer"], "left"
+    )
+    checked = lookup_join(checked, orders.select("sk_order", F.lit(1).alias("o")), ["sk_order"], "left")
+    return checked.agg(
+        (F.count(F.lit(1)) - F.count("c")).alias("sem_cliente"),
+        (F.count(F.lit(1)) - F.count("o")).alias("sem_pedido"),
+        F.count(F.lit(1)).alias("linhas"),
+    )

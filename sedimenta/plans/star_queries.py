@@ -106,11 +106,11 @@ FT_VOTE = FactSpec(
 
 
 def customers(spark: SparkSession, sf: str) -> DataFrame:
-    """Customer, nation and region: an inner join chain with measured small sides."""
+    """Customer, nation and region: an inner join chain. The planner knows the sizes of
+    plain tables, so it picks the kind of join by itself."""
     nation = table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     region = table(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    out = lookup_join(table(spark, sf, "customer"), nation, ["c_nationkey"])
-    return lookup_join(out, region, ["n_regionkey"])
+    return table(spark, sf, "customer").join(nation, "c_nationkey").join(region, "n_regionkey")
 
 
 def customer_dim(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,7 +119,7 @@ def customer_dim(spark: SparkSession, sf: str) -> DataFrame:
 
 def supplier_dim(spark: SparkSession, sf: str) -> DataFrame:
     nation = table(spark, sf, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
-    return build_dim(lookup_join(table(spark, sf, "supplier"), nation, ["s_nationkey"]), DIM_SUPPLIER)
+    return build_dim(table(spark, sf, "supplier").join(nation, "s_nationkey"), DIM_SUPPLIER)
 
 
 def order_dim(spark: SparkSession, sf: str) -> DataFrame:
@@ -369,7 +369,10 @@ def dim_date(spark, sf):
 
 
 REFERENCE_DAY = dt.date(2001, 8, 1)
-_TOP_ORDER = [F.desc("vl_total"), F.desc("sk_data_order"), F.asc("id_order")]
+
+
+def top_order():
+    return [F.desc("vl_total"), F.desc("sk_data_order"), F.asc("id_order")]
 
 
 def top_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -382,7 +385,7 @@ def top_orders(spark: SparkSession, sf: str) -> DataFrame:
         {"sk_customer": customer, "sk_order": orders.drop("id_order")},
         "sk_data_order",
         Window(REFERENCE_DAY),
-        _TOP_ORDER,
+        top_order(),
         k=5,
         where=F.col("ds_priority").isin("1-URGENT", "2-HIGH") & (F.col("nm_nation") != "NÃO INFORMADO"),
     )
@@ -425,7 +428,7 @@ SELECT count(*) AS itens,
 FROM (SELECT *, row_number() OVER (ORDER BY vl_total DESC, dt_order DESC, id_order) AS posicao
       FROM ({_WEEKLY_SQL}))""")
 def digest(spark, sf):
-    top = ranked(top_orders(spark, sf), _TOP_ORDER).withColumn(
+    top = ranked(top_orders(spark, sf), top_order()).withColumn(
         "dt_order", text(key_date(F.col("sk_data_order")))
     )
     card = html_card(

@@ -1 +1,63 @@
-"""Placeholder."""
+"""Incremental jobs: the batch result, reached file by file."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sedimenta.plans.registry import SCHEMAS, query, table
+from sedimenta.session import new_path
+from sedimenta.streaming import incremental
+
+
+def _landed(spark, sf, overlap: bool):
+    """The events as files of a landing folder; with overlap, some are delivered twice."""
+    path = new_path(spark, "landed")
+    events = table(spark, sf, "events")
+    events.repartition(4, "user_id").write.parquet(path)
+    if overlap:
+        events.where("event_type = 'click'").write.mode("append").parquet(path)
+    return path, events.schema
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def stream_ingest(spark, sf):
+    """Two runs over a folder that grows in between; no file is read twice."""
+    path, sink, mark = (new_path(spark, n) for n in ("landed", "sink", "mark"))
+    events = table(spark, sf, "events")
+    events.where("event_type = 'click'").write.parquet(path)
+    stream = incremental.read_new_files(spark, path, events.schema, max_files=2)
+    incremental.stream_ingest(stream, sink, mark)
+    events.where("event_type <> 'click'").write.mode("append").parquet(path)
+    incremental.stream_ingest(stream, sink, mark)
+    done = spark.read.schema(SCHEMAS["events"]).parquet(sink)
+    return done.select("event_id", "user_id", "event_type", "value")
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def stream_dedupe(spark, sf):
+    path, schema = _landed(spark, sf, overlap=True)
+    stream = incremental.read_new_files(spark, path, schema, max_files=2)
+    sink = new_path(spark, "sink")
+    unique = incremental.stream_dedupe(stream, ["event_id"], "ts", "45 days")
+    incremental.stream_ingest(unique, sink, new_path(spark, "mark"))
+    return spark.read.schema(unique.schema).parquet(sink).select(
+        "event_id", "user_id", "event_type", "value"
+    )
+
+
+@query("""
+SELECT user_id, event_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""")
+def stream_upsert(spark, sf):
+    """The newest event per user, upserted from two deliveries; the second one is run again."""
+    path, target, mark = (new_path(spark, n) for n in ("landed", "target", "mark"))
+    events = table(spark, sf, "events").withColumn("idade", -F.col("event_id"))
+    half = F.lit(events.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0])
+    events.where(F.col("event_id") <= half).coalesce(1).write.parquet(path)
+    stream = incremental.read_new_files(spark, path, events.schema)
+    incremental.stream_upsert(stream, target, mark, "user_id", ["idade"], buckets=8)
+    events.where(F.col("event_id") > half).coalesce(1).write.mode("append").parquet(path)
+    incremental.stream_upsert(stream, target, mark, "user_id", ["idade"], buckets=8)
+    return spark.read.schema(events.schema).parquet(target).select(
+        "user_id", "event_id", "event_type", "value"
+    )
