@@ -17,7 +17,7 @@ def _typed(df: DataFrame, spec: TableSpec) -> list:
     out = []
     for f in df.schema.fields:
         source = column(f.name)
-        if f.name in spec.strip_hyphen and isinstance(f.dataType, T.StringType):
+        if spec.strips(f.name) and isinstance(f.dataType, T.StringType):
             source = strip_hyphen(source)
         out.append(convert(source, spec.kind(f.name), f.dataType, spec.formats).alias(f.name))
     return out

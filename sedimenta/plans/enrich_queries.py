@@ -66,10 +66,6 @@ def batch_counters(spark, sf):
     return enrich.batch_counters(scored, 50, "quality")
 
 
-_TOP1_SQL = """
-SELECT vec_id, arg_max('tema_' || l, s ORDER BY s DESC, l) AS tema, max(round(s, 4)) AS score FROM (
-  SELECT e.vec_id, t.vec_id AS l, list_dot_product(e.embedding::DOUBLE[], t.embedding::DOUBLE[]) AS s
-  FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id < 10) t) GROUP BY vec_id"""
 _TOP1_SQL = """
 SELECT vec_id, 'tema_' || l AS tema, round(s, 4) AS score FROM (
   SELECT e.vec_id, t.vec_id AS l, list_dot_product(e.embedding::DOUBLE[], t.embedding::DOUBLE[]) AS s

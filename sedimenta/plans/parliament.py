@@ -1,6 +1,33 @@
-"""Placeholder."""
+"""The parliamentary configuration: landed tables, six silver tables, eight gold tables.
+
+Names of columns and tables are those of the public records and of the data model.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import re
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sedimenta.functions.casts import amount, digits_id, uri_id
+from sedimenta.functions.dates import key_date, percent
+from sedimenta.functions.text import filled as filled_text
+from sedimenta.functions.text import first_item_label, three_way, two_way
+from sedimenta.operators.conform import conform
+from sedimenta.operators.joins import lookup_join
+from sedimenta.operators.merge import audit_copy, backfill
+from sedimenta.operators.quality import require
+from sedimenta.operators.report import Window, html_card, top_of_window
+from sedimenta.operators.star import build_dim, build_fact, filled, stamp_load
+from sedimenta.sources.landing import column, explode_children, flatten, jsonify_complex, stamp_capture
+from sedimenta.sources.tables import Layer
+from sedimenta.spec import DimRef, DimSpec, FactSpec, TableSpec
+
+# The ten themes and their descriptions, in the order that breaks ties.
 THEMES = {
-    # The ten themes and their descriptions, in the order that breaks ties.
     "Saúde": "saúde pública, sistema único de saúde, medicamentos, hospitais, vigilância sanitária, planos de saúde",
     "Tributário": "impostos, tributos, arrecadação fiscal, receita federal, ICMS, reforma tributária, isenção fiscal",
     "Trabalho": "emprego, trabalhadores, CLT, sindicatos, salário mínimo, reforma trabalhista, previdência social",
@@ -12,3 +39,502 @@ THEMES = {
     "Economia": "economia, mercado financeiro, crédito, bancos, investimentos, câmbio, política econômica",
     "Direitos Sociais": "direitos humanos, assistência social, igualdade, minorias, habitação, programas sociais",
 }
+
+# --- landed tables -------------------------------------------------------------------
+
+# The records name their columns regularly, so the kind follows from the last part of the name.
+_KINDS = (
+    (re.compile(r"id([A-Z].*)?|ano|mes|andar|parcela|sequencia|numero(Eleitoral)?|ordemAssinatura"), "long"),
+    (re.compile(r"total[A-Z].*|cod(Tipo|Lote|Situacao).*"), "long"),
+    (re.compile(r"valor[A-Z].*"), "double"),
+    (re.compile(r"data([A-Z_].*)?"), "timestamp"),
+    (re.compile(r"proponente|aprovacao"), "bool"),
+)
+# Ids of votes are composite (`1228863-64`) and stay text until their hyphens are gone.
+_VOTE_ID = ("id", "idVotacaoContexto")
+
+
+def kind_of(name: str) -> str:
+    last = name.rsplit(".", 1)[-1]
+    return next((kind for pattern, kind in _KINDS if pattern.fullmatch(last)), "string")
+
+
+def _vote_kind(name: str) -> str:
+    return "string" if name in _VOTE_ID else kind_of(name)
+
+
+def _landed(name: str, key: str | None, votes: bool = False) -> TableSpec:
+    return TableSpec(
+        f"stg_{name}_bruto",
+        kinds=_vote_kind if votes else kind_of,
+        key=(key,) if key else None,
+        valid_id="id" if key == "id" else None,
+        strip_hyphen=_VOTE_ID if votes else (),
+        strip_kinds=("long",),
+    )
+
+
+# Name of a table -> column that identifies a row (None: the whole row does).
+_KEYS = {
+    "deputados": "id",
+    "despesas": "codDocumento",
+    "eventos": "id",
+    "eventos_orgaos": "idEventoContexto",
+    "frentes": "id",
+    "legislaturas": "id",
+    "liderancas": None,
+    "orgaos": "id",
+    "partidos": "id",
+    "proposicoes_autores": None,
+    "proposicoes": "id",
+    "votacoes": "id",
+    "votos": None,
+}
+STAGING = {n: _landed(n, k, votes=n in ("votacoes", "votos")) for n, k in _KEYS.items()}
+
+
+def land(records: DataFrame, at: dt.datetime) -> DataFrame:
+    """Nested records -> flat landed table."""
+    return stamp_capture(jsonify_complex(flatten(records)), at)
+
+
+def land_event_bodies(events: DataFrame, at: dt.datetime) -> DataFrame:
+    """The bodies listed in the events, one row each."""
+    return land(explode_children(events, "orgaos", "id", "idEventoContexto"), at)
+
+
+def backfill_vote_subject(votes: DataFrame, details: DataFrame) -> DataFrame:
+    """Fill the missing subject of a vote from its detail record."""
+    found = details.select(
+        "id",
+        first_item_label(F.col("proposicoesAfetadas"), F.col("objetosPossiveis")).alias("proposicaoObjeto"),
+    )
+    return backfill(audit_copy(votes, "proposicaoObjeto"), found, "id", "proposicaoObjeto")
+
+
+# --- silver --------------------------------------------------------------------------
+
+
+def _text(name: str) -> Column:
+    return filled(column(name), "text")
+
+
+def _code(name: str) -> Column:
+    return filled(column(name), "code")
+
+
+def _day(name: str) -> Column:
+    return filled(column(name).cast("date"), "date")
+
+
+def silver_deputado(b: Mapping[str, DataFrame]) -> DataFrame:
+    """Deputies with their legislature and party; without either, a deputy is left out."""
+    terms = b["legislaturas"].select(
+        F.col("id").alias("__leg"),
+        _day("dataInicio").alias("dataInicioLegislatura"),
+        _day("dataFim").alias("dataFimLegislatura"),
+    )
+    parties = b["partidos"].select(
+        F.trim("sigla").alias("__sigla"), uri_id(column("status.lider.uri")).alias("__lider")
+    )
+    people = (
+        b["deputados"]
+        .withColumn("__leg", column("ultimoStatus.idLegislatura"))
+        .withColumn("__sigla", F.trim(column("ultimoStatus.siglaPartido")))
+    )
+    joined = lookup_join(lookup_join(people, terms, ["__leg"]), parties, ["__sigla"])
+    return joined.select(
+        F.col("id").alias("idDeputado"),
+        _text("ultimoStatus.nome").alias("nome"),
+        _code("sexo").alias("sexo"),
+        _day("dataNascimento").alias("dataNascimento"),
+        _code("ultimoStatus.siglaUf").alias("siglaUF"),
+        _text("escolaridade").alias("escolaridade"),
+        _code("ultimoStatus.siglaPartido").alias("siglaPartido"),
+        two_way(F.col("__lider") == F.col("id")).alias("LiderPartido"),
+        _text("ultimoStatus.situacao").alias("situacao"),
+        _text("ultimoStatus.condicaoEleitoral").alias("condicaoEleitoral"),
+        F.col("__leg").alias("legislatura"),
+        "dataInicioLegislatura",
+        "dataFimLegislatura",
+    )
+
+
+def silver_orgao(b: Mapping[str, DataFrame]) -> DataFrame:
+    return b["orgaos"].select(
+        F.col("id").alias("idOrgao"),
+        _code("sigla").alias("siglaorgao"),
+        _text("nome").alias("nome"),
+        _text("apelido").alias("apelido"),
+        _text("tipoOrgao").alias("tipoOrgao"),
+    )
+
+
+def silver_evento(b: Mapping[str, DataFrame]) -> DataFrame:
+    """Events that have a body. The bodies hold one row per event, so nothing fans out."""
+    bodies = b["eventos_orgaos"].select(F.col("idEventoContexto").alias("id"))
+    return lookup_join(b["eventos"], bodies, ["id"]).select(
+        F.col("id").alias("idEvento"),
+        _text("descricaoTipo").alias("descricaoTipo"),
+        _text("situacao").alias("situacao"),
+        _day("dataHoraInicio").alias("dataHoraInicio"),
+        _day("dataHoraFim").alias("dataHoraFim"),
+    )
+
+
+def silver_proposicao(b: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per bill and author."""
+    bills = b["proposicoes"].select(
+        F.col("id").alias("idProposicao"),
+        filled(uri_id(column("statusProposicao.uriOrgao")), "unknown_id").alias("idOrgao"),
+        _code("siglaTipo").alias("siglaTipoProposicao"),
+        _text("descricaoTipo").alias("descricaoTipoProposicao"),
+        filled(F.col("ano"), "year").alias("ano"),
+        _text("ementa").alias("ementa"),
+        _text("statusProposicao.descricaoSituacao").alias("statusProposicao"),
+        _day("dataApresentacao").alias("dataApresentacao"),
+    )
+    # distinct on the two ids, so the texts of the bills are not part of the comparison
+    authors = (
+        b["proposicoes_autores"]
+        .select(
+            F.col("idProposicaoContexto").alias("idProposicao"),
+            filled(uri_id(F.col("uri")), "unknown_id").alias("idDeputado"),
+        )
+        .distinct()
+    )
+    return lookup_join(authors, bills, ["idProposicao"]).select(
+        "idProposicao",
+        "idDeputado",
+        "idOrgao",
+        "siglaTipoProposicao",
+        "descricaoTipoProposicao",
+        "ano",
+        "ementa",
+        "statusProposicao",
+        "dataApresentacao",
+    )
+
+
+def silver_despesa(b: Mapping[str, DataFrame]) -> DataFrame:
+    return b["despesas"].select(
+        filled(F.col("idDeputado"), "unknown_id").alias("idDeputado"),
+        _text("codDocumento").alias("codDespesa"),
+        _text("tipoDespesa").alias("tipoDespesa"),
+        _day("dataDocumento").alias("dataDespesa"),
+        amount(F.col("valorDocumento")).alias("valorBruto"),
+        amount(F.col("valorLiquido")).alias("valorLiquido"),
+        amount(F.col("valorGlosa")).alias("valorGlosa"),
+        filled(F.col("parcela"), "amount").alias("parcela"),
+    )
+
+
+def silver_votacao(b: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per ballot, with what the vote was about. Damaged vote ids never meet."""
+    votes = b["votacoes"].select(
+        F.col("id").cast("bigint").alias("idVotacao"),
+        filled(uri_id(F.col("uriOrgao")), "unknown_id").alias("idOrgao"),
+        filled(uri_id(F.col("uriEvento")), "unknown_id").alias("idEvento"),
+        filled(uri_id(F.col("uriProposicaoObjeto")), "not_applicable_id").alias("idProposicao"),
+        _text("descricao").alias("descricaoVotacao"),
+        three_way(F.col("aprovacao")).alias("resultadoVotacao"),
+    )
+    ballots = (
+        b["votos"]
+        .select(
+            digits_id(F.col("idVotacaoContexto")).alias("idVotacao"),
+            filled(column("deputado_.id"), "unknown_id").alias("idDeputado"),
+            _text("tipoVoto").alias("tipoVoto"),
+            _day("dataRegistroVoto").alias("dataVoto"),
+        )
+        .where(F.col("idVotacao").isNotNull())
+        .distinct()
+    )
+    return lookup_join(ballots, votes, ["idVotacao"]).select(
+        "idVotacao",
+        "idOrgao",
+        "idEvento",
+        "idDeputado",
+        "idProposicao",
+        "tipoVoto",
+        "dataVoto",
+        "descricaoVotacao",
+        "resultadoVotacao",
+    )
+
+
+# Silver table -> its job and the conformed tables it reads.
+SILVER = {
+    "deputado": (silver_deputado, ("deputados", "legislaturas", "partidos")),
+    "orgao": (silver_orgao, ("orgaos",)),
+    "evento": (silver_evento, ("eventos", "eventos_orgaos")),
+    "proposicao": (silver_proposicao, ("proposicoes", "proposicoes_autores")),
+    "despesa": (silver_despesa, ("despesas",)),
+    "votacao": (silver_votacao, ("votos", "votacoes")),
+}
+
+# --- gold ----------------------------------------------------------------------------
+
+DIM_DEPUTADO = DimSpec(
+    "dim_deputado",
+    key="sk_deputado",
+    natural="id_deputado",
+    columns={
+        "id_deputado": "idDeputado",
+        "nm_deputado": "nome",
+        "sg_sexo": "sexo",
+        "dt_nascimento": "dataNascimento",
+        "sg_uf": "siglaUF",
+        "ds_escolaridade": "escolaridade",
+        "sg_partido": "siglaPartido",
+        "ds_lider_partido": "LiderPartido",
+        "ds_situacao": "situacao",
+        "ds_condicao_eleitoral": "condicaoEleitoral",
+        "cd_legislatura": "legislatura",
+        "dt_inicio_legislatura": "dataInicioLegislatura",
+        "dt_fim_legislatura": "dataFimLegislatura",
+    },
+    codes=frozenset({"sg_sexo", "sg_uf", "sg_partido"}),
+)
+DIM_ORGAO = DimSpec(
+    "dim_orgao",
+    key="sk_orgao",
+    natural="id_orgao",
+    columns={
+        "id_orgao": "idOrgao",
+        "sg_orgao": "siglaorgao",
+        "nm_orgao": "nome",
+        "ds_apelido_orgao": "apelido",
+        "ds_tipo_orgao": "tipoOrgao",
+    },
+    codes=frozenset({"sg_orgao"}),
+)
+DIM_EVENTO = DimSpec(
+    "dim_evento",
+    key="sk_evento",
+    natural="id_evento",
+    columns={"id_evento": "idEvento", "ds_tipo_evento": "descricaoTipo", "ds_situacao": "situacao"},
+)
+UNCLASSIFIED = "NÃO CLASSIFICADO"
+NO_SUMMARY = "SEM RESUMO EXECUTIVO GERADO"
+DIM_PROPOSICAO = DimSpec(
+    "dim_proposicao",
+    key="sk_proposicao",
+    natural="id_proposicao",
+    columns={
+        "id_proposicao": "idProposicao",
+        "sg_tipo_proposicao": "siglaTipoProposicao",
+        "ds_tipo_proposicao": "descricaoTipoProposicao",
+        "ds_situacao": "statusProposicao",
+        "ds_tema_classificado": "tema",
+        "nr_score_similaridade": "score",
+        "ds_resumo_executivo": "resumo",
+    },
+    members={
+        "ds_tema_classificado": (UNCLASSIFIED, UNCLASSIFIED),
+        "nr_score_similaridade": (0.0, 0.0),
+        "ds_resumo_executivo": ("NÃO INFORMADO", "NÃO INFORMADO"),
+    },
+)
+DIM_VOTACAO = DimSpec(
+    "dim_votacao",
+    key="sk_votacao",
+    natural="id_votacao",
+    columns={"id_votacao": "idVotacao", "ds_votacao": "descricaoVotacao", "ds_resultado": "resultadoVotacao"},
+)
+
+_DEPUTADO = DimRef("dim_deputado", "idDeputado", "id_deputado", "sk_deputado")
+_ORGAO = DimRef("dim_orgao", "idOrgao", "id_orgao", "sk_orgao")
+_PROPOSICAO = DimRef("dim_proposicao", "idProposicao", "id_proposicao", "sk_proposicao")
+
+FT_PROPOSICAO = FactSpec(
+    "ft_proposicao",
+    dims=(_DEPUTADO, _ORGAO, _PROPOSICAO),
+    dates={"sk_data_proposicao": "dataApresentacao"},
+    constants={"qtd_proposicao": 1},
+)
+FT_DESPESA = FactSpec(
+    "ft_despesa",
+    dims=(_DEPUTADO,),
+    dates={"sk_data_despesa": "dataDespesa"},
+    columns={
+        "sk_cod_despesa": "codDespesa",
+        "tp_despesa": "tipoDespesa",
+        "vl_bruto": "valorBruto",
+        "vl_liquido": "valorLiquido",
+        "vl_glosa": "valorGlosa",
+        "nr_parcela": "parcela",
+    },
+)
+FT_VOTO = FactSpec(
+    "ft_voto",
+    dims=(
+        DimRef("dim_votacao", "idVotacao", "id_votacao", "sk_votacao"),
+        _DEPUTADO,
+        _ORGAO,
+        DimRef("dim_evento", "idEvento", "id_evento", "sk_evento", optional=True),
+        _PROPOSICAO,
+    ),
+    dates={"sk_data_voto": "dataVoto"},
+    columns={"tp_voto": "tipoVoto"},
+    constants={"qtd_voto": 1},
+)
+
+# Primary keys, for the uniqueness check after a load.
+KEYS = {
+    "ft_proposicao": ("sk_deputado", "sk_orgao", "sk_proposicao", "sk_data_proposicao"),
+    "ft_voto": (
+        "sk_votacao",
+        "sk_deputado",
+        "sk_orgao",
+        "sk_evento",
+        "sk_data_voto",
+        "sk_proposicao",
+        "tp_voto",
+    ),
+    "ft_despesa": ("sk_deputado", "sk_data_despesa", "sk_cod_despesa", "tp_despesa"),
+}
+
+# Dimension or fact -> silver table it is built from.
+DIMS = {
+    "dim_deputado": (DIM_DEPUTADO, "deputado"),
+    "dim_orgao": (DIM_ORGAO, "orgao"),
+    "dim_evento": (DIM_EVENTO, "evento"),
+    "dim_proposicao": (DIM_PROPOSICAO, "proposicao"),
+    "dim_votacao": (DIM_VOTACAO, "votacao"),
+}
+FACTS = {
+    "ft_proposicao": (FT_PROPOSICAO, "proposicao"),
+    "ft_despesa": (FT_DESPESA, "despesa"),
+    "ft_voto": (FT_VOTO, "votacao"),
+}
+
+
+def enriched_bills(bills: DataFrame, ia: DataFrame | None) -> DataFrame:
+    """Bills with theme, score and summary; a bill without enrichment gets the defaults."""
+    ids = bills.select(
+        "idProposicao", "siglaTipoProposicao", "descricaoTipoProposicao", "statusProposicao"
+    ).distinct()
+    if ia is None:
+        tema, score, resumo = F.lit(None).cast("string"), F.lit(None), F.lit(None).cast("string")
+        joined = ids
+    else:
+        results = ia.select(
+            F.col("proposicao_id").cast("bigint").alias("idProposicao"),
+            "tema_classificado",
+            "score_similaridade",
+            "resumo_executivo",
+        )
+        joined = lookup_join(ids, results, ["idProposicao"], "left")
+        tema, score, resumo = (
+            F.col(c) for c in ("tema_classificado", "score_similaridade", "resumo_executivo")
+        )
+    return joined.select(
+        *ids.columns,
+        filled_text(tema, UNCLASSIFIED).alias("tema"),
+        F.coalesce(score.cast("double"), F.lit(0.0)).alias("score"),
+        filled_text(resumo, NO_SUMMARY).alias("resumo"),
+    )
+
+
+def gold_dim(name: str, silver: Mapping[str, DataFrame]) -> DataFrame:
+    spec, source = DIMS[name]
+    rows = silver[source]
+    if name == "dim_proposicao":
+        rows = enriched_bills(rows, silver.get("proposicoes_ia"))
+    return build_dim(rows, spec)
+
+
+def gold_fact(name: str, silver: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
+    spec, source = FACTS[name]
+    return build_fact(silver[source], spec, dims)
+
+
+# --- the jobs in order ---------------------------------------------------------------
+
+
+def full_refresh(
+    spark: SparkSession, staging: Mapping[str, DataFrame], root: str, at: dt.datetime
+) -> dict[str, Layer]:
+    """Conform, build and publish all layers. Every layer is written before the next reads it.
+
+    Staging tables that are missing count as empty only where no job needs them. The
+    enrichment tables (`*_ia`) of the silver layer survive the refresh.
+    """
+    layers = {n: Layer(spark, f"{root.rstrip('/')}/{n}") for n in ("bronze", "silver", "gold")}
+    for _, inputs in SILVER.values():
+        require(staging, inputs)
+    layers["bronze"].refresh({n: conform(df, STAGING[n]) for n, df in staging.items()})
+    bronze = {n: layers["bronze"].read(n) for n in staging}
+    day = F.lit(at.date())
+    layers["silver"].refresh(
+        {n: job(bronze).withColumn("dataIngestao", day) for n, (job, _) in SILVER.items()}
+    )
+    silver = {n: layers["silver"].read(n) for n in layers["silver"].names()}
+    dims = {n: gold_dim(n, silver) for n in DIMS}
+    facts = {n: stamp_load(gold_fact(n, silver, dims), at) for n in FACTS}
+    layers["gold"].refresh({**{n: stamp_load(d, at, validity=True) for n, d in dims.items()}, **facts})
+    return layers
+
+
+# --- the weekly report ---------------------------------------------------------------
+
+KINDS_OF_BILL = ("PL", "PEC", "PLP")
+
+
+def _bill_order() -> list[Column]:
+    return [
+        F.desc("nr_score_similaridade"),
+        F.desc("sk_data_proposicao"),
+        F.asc("id_proposicao"),
+        F.asc("sk_deputado"),
+    ]
+
+
+def weekly_bills(gold: Mapping[str, DataFrame], window: Window, k: int = 5) -> DataFrame:
+    """The k bills of the window with the clearest theme."""
+    bills = gold["dim_proposicao"].where(
+        F.col("sg_tipo_proposicao").isin(*KINDS_OF_BILL) & (F.col("ds_tema_classificado") != UNCLASSIFIED)
+    )
+    people = gold["dim_deputado"].select("sk_deputado", "nm_deputado", "sg_partido", "sg_uf")
+    top = top_of_window(
+        gold["ft_proposicao"],
+        {"sk_proposicao": bills, "sk_deputado": people},
+        "sk_data_proposicao",
+        window,
+        _bill_order(),
+        k,
+    )
+    return top.select(
+        "id_proposicao",
+        "sg_tipo_proposicao",
+        "ds_tipo_proposicao",
+        "ds_situacao",
+        "ds_tema_classificado",
+        percent(F.col("nr_score_similaridade")).alias("score_pct"),
+        "ds_resumo_executivo",
+        key_date(F.col("sk_data_proposicao")).alias("dt_apresentacao"),
+        "nm_deputado",
+        "sg_partido",
+        "sg_uf",
+        "qtd_proposicao",
+        "nr_score_similaridade",
+        "sk_data_proposicao",
+        "sk_deputado",
+    )
+
+
+def bill_card(rank: str) -> Column:
+    """One entry of the weekly digest."""
+    author = F.concat("nm_deputado", F.lit(" ("), "sg_partido", F.lit("/"), "sg_uf", F.lit(")"))
+    return html_card(
+        [column(rank), F.lit(". "), F.col("sg_tipo_proposicao"), F.lit(" "), F.col("id_proposicao")],
+        [
+            ("Tema:", F.col("ds_tema_classificado")),
+            ("Confiança:", F.concat(F.col("score_pct").cast("string"), F.lit("%"))),
+            ("Autor:", author),
+            ("Situação:", F.col("ds_situacao")),
+            ("Apresentada em:", F.date_format("dt_apresentacao", "dd/MM/yyyy")),
+            ("Resumo:", F.col("ds_resumo_executivo")),
+        ],
+    )

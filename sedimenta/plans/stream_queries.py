@@ -49,7 +49,7 @@ def stream_dedupe(spark, sf):
 SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""")
 def stream_upsert(spark, sf):
-    """The newest event per user, upserted from two deliveries; the second one is run again."""
+    """The newest event per user, upserted from two deliveries into a table of key buckets."""
     path, target, mark = (new_path(spark, n) for n in ("landed", "target", "mark"))
     events = table(spark, sf, "events").withColumn("idade", -F.col("event_id"))
     half = F.lit(events.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0])

@@ -51,6 +51,7 @@ class TableSpec:
                   remaining columns follow as tie-breakers, so the choice is repeatable
     valid_id      column that must hold a whole number above zero, if any
     strip_hyphen  columns whose hyphens are removed (composite ids such as 12-3)
+    strip_kinds   kinds of which all columns lose their hyphens
     keep_case     text columns that are left as they are
     formats       extra timestamp formats, tried in order after ISO 8601
     """
@@ -61,6 +62,7 @@ class TableSpec:
     order: tuple[str, ...] = ()
     valid_id: str | None = None
     strip_hyphen: tuple[str, ...] = ()
+    strip_kinds: tuple[str, ...] = ()
     keep_case: tuple[str, ...] = ()
     formats: tuple[str, ...] = ()
 
@@ -69,6 +71,9 @@ class TableSpec:
             return self.kinds(column)
         return self.kinds.get(column, "string")
 
+    def strips(self, column: str) -> bool:
+        return column in self.strip_hyphen or self.kind(column) in self.strip_kinds
+
 
 @dataclass(frozen=True)
 class DimSpec:
