@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sedimenta.session import stage
+from sedimenta.session import stage, stage_counted
 from sedimenta.sources.landing import column
 
 ONE_TASK_ROWS = 250_000  # up to here one task numbers the rows
@@ -24,11 +24,11 @@ def surrogate_key(
 ) -> DataFrame:
     """Dense numbers from 1 in the order of `natural` (then of the whole row).
 
-    The rows are written once and counted; a few are numbered by one task, more by
-    `_numbered_in_parts`.
+    The rows are written once, and counted as they are; a few are numbered by one task,
+    more by `_numbered_in_parts`.
     """
-    rows = stage(df, "rows")
-    if rows.count() <= one_task_rows:
+    rows, n = stage_counted(df, "rows")
+    if n <= one_task_rows:
         rest = [column(c) for c in df.columns if c not in natural]
         order = [column(c) for c in natural] + ([F.xxhash64(*rest)] if rest else [])
         return rows.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("bigint"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from sedimenta.operators.merge import audit_copy, backfill
 from sedimenta.operators.quality import require
 from sedimenta.operators.report import Window, html_card, top_of_window
 from sedimenta.operators.star import build_dim, build_fact, filled, stamp_load
+from sedimenta.session import together
 from sedimenta.sources.landing import column, explode_children, flatten, jsonify_complex, stamp_capture
 from sedimenta.sources.tables import Layer
 from sedimenta.spec import DimRef, DimSpec, FactSpec, TableSpec
@@ -471,7 +473,7 @@ def full_refresh(
         {n: job(bronze).withColumn("dataIngestao", day) for n, (job, _) in SILVER.items()}
     )
     silver = {n: layers["silver"].read(n) for n in layers["silver"].names()}
-    dims = {n: gold_dim(n, silver) for n in DIMS}
+    dims = together({n: partial(gold_dim, n, silver) for n in DIMS})
     facts = {n: stamp_load(gold_fact(n, silver, dims), at) for n in FACTS}
     layers["gold"].refresh({**{n: stamp_load(d, at, validity=True) for n, d in dims.items()}, **facts})
     return layers

@@ -9,6 +9,7 @@ each query starts from the same records.
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from sedimenta.operators.quality import pk_violations
 from sedimenta.operators.report import Window, digest, ranked
 from sedimenta.plans import parliament as pl
 from sedimenta.plans.registry import query, table, text
-from sedimenta.session import stage
+from sedimenta.session import stage, together
 from sedimenta.spec import TableSpec
 
 _URI = "https://example.org/api/"
@@ -197,11 +198,21 @@ RECORDS = {
 
 
 def enrichment(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "labels").select(
-        F.col("doc_id").alias("proposicao_id"),
-        F.when(F.col("quality") == 1, " saúde ").otherwise("  ").alias("tema_classificado"),
-        ((F.col("doc_id") % 1000) / 1000).alias("score_similaridade"),
-        F.when(F.col("toxic") == 1, F.concat(F.lit("resumo "), "doc_id")).alias("resumo_executivo"),
+    """Results for the bills that are not pending; some have no theme, some no summary."""
+    theme = F.when(F.col("o_orderpriority") == "1-URGENT", " saúde ").when(
+        F.col("o_orderpriority") == "2-HIGH", "Tributário"
+    )
+    return (
+        table(spark, sf, "orders")
+        .where("o_orderstatus <> 'P'")
+        .select(
+            F.col("o_orderkey").alias("proposicao_id"),
+            theme.otherwise("  ").alias("tema_classificado"),
+            ((F.col("o_orderkey") % 10000) / 10000).alias("score_similaridade"),
+            F.when(F.col("o_orderstatus") == "O", F.concat(F.lit("resumo "), "o_orderkey")).alias(
+                "resumo_executivo"
+            ),
+        )
     )
 
 
@@ -215,7 +226,7 @@ def silver(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
 
 def staged_silver(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
     """Silver tables that several gold jobs read, written once."""
-    return {n: stage(df, n) for n, df in silver(spark, sf, *names).items()}
+    return together({n: partial(lambda n: stage(silver(spark, sf, n)[n], n), n) for n in names})
 
 
 def _shown(df: DataFrame) -> DataFrame:
@@ -304,9 +315,11 @@ votacao AS (
 }
 _IA_SQL = """
 ia AS (
-  SELECT doc_id AS proposicao_id, CASE WHEN quality = 1 THEN ' saúde ' ELSE '  ' END AS tema_classificado,
-    (doc_id % 1000) / 1000 AS score_similaridade,
-    CASE WHEN toxic = 1 THEN 'resumo ' || doc_id END AS resumo_executivo FROM labels)"""
+  SELECT o_orderkey AS proposicao_id, CASE o_orderpriority WHEN '1-URGENT' THEN ' saúde '
+      WHEN '2-HIGH' THEN 'Tributário' ELSE '  ' END AS tema_classificado,
+    (o_orderkey % 10000) / 10000 AS score_similaridade,
+    CASE WHEN o_orderstatus = 'O' THEN 'resumo ' || o_orderkey END AS resumo_executivo
+  FROM orders WHERE o_orderstatus <> 'P')"""
 
 
 def _dim_sql(name, columns, unknown, not_applicable, rows):
@@ -432,7 +445,7 @@ def _loaded(spark, sf, fact: str):
     spec, source = pl.FACTS[fact]
     dims = {r.dim: pl.DIMS[r.dim][1] for r in spec.dims}
     tables = _with_ia(spark, sf, staged_silver(spark, sf, *{source: 0, **dict.fromkeys(dims.values())}))
-    built = {d: pl.gold_dim(d, tables) for d in dims}
+    built = together({d: partial(pl.gold_dim, d, tables) for d in dims})
     return pl.gold_fact(fact, tables, built), built
 
 

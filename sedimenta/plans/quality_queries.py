@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from sedimenta.operators import quality
 from sedimenta.operators.joins import lookup_join
-from sedimenta.plans.registry import SCHEMAS, query, table
-from sedimenta.plans.star_queries import FT_ORDERS, customer_dim, order_dim, order_rows
 from sedimenta.operators.star import build_fact
+from sedimenta.plans.registry import SCHEMAS, query, table
+from sedimenta.plans.star_queries import FT_ORDERS, dims_of, order_rows
 
 _LINE_TYPES = {
     "l_orderkey": "bigint",
@@ -85,8 +85,9 @@ def null_violations(spark, sf):
 @query("SELECT 0::BIGINT AS sem_cliente, 0::BIGINT AS sem_pedido, count(*) AS linhas FROM orders")
 def fact_keys_resolve(spark, sf):
     """Every key of a loaded fact exists in its dimension."""
-    customer, orders = customer_dim(spark, sf), order_dim(spark, sf)
-    fact = build_fact(order_rows(spark, sf), FT_ORDERS, {"dim_customer": customer, "dim_order": orders})
+    dims = dims_of(spark, sf, FT_ORDERS)
+    customer, orders = dims["dim_customer"], dims["dim_order"]
+    fact = build_fact(order_rows(spark, sf), FT_ORDERS, dims)
     checked = lookup_join(
         fact, customer.select("sk_customer", F.lit(1).alias("c")), ["sk_customer"], "left"
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from sedimenta.operators.joins import lookup_join
 from sedimenta.operators.report import Window, digest as make_digest, html_card, ranked, top_of_window
 from sedimenta.operators.star import build_dim, build_fact, dim_date as make_dim_date, roll_up
 from sedimenta.plans.registry import money, query, table, text
+from sedimenta.session import together
 from sedimenta.spec import DimRef, DimSpec, FactSpec
 
 DIM_CUSTOMER = DimSpec(
@@ -131,6 +133,20 @@ def part_dim(spark: SparkSession, sf: str, largest: int | None = None) -> DataFr
     return build_dim(part if largest is None else part.where(F.col("p_size") <= largest), DIM_PART)
 
 
+_DIMS = {
+    "dim_customer": customer_dim,
+    "dim_supplier": supplier_dim,
+    "dim_order": order_dim,
+    "dim_part": part_dim,
+}
+
+
+def dims_of(spark: SparkSession, sf: str, spec: FactSpec, **given) -> dict[str, DataFrame]:
+    """The dimensions of a fact, built side by side."""
+    builders = {r.dim: partial(_DIMS[r.dim], spark, sf) for r in spec.dims}
+    return together({**builders, **given})
+
+
 def order_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with amounts as decimals; every 50th customer is unknown (-1)."""
     return table(spark, sf, "orders").select(
@@ -257,8 +273,7 @@ def dim_document(spark, sf):
     "SELECT * REPLACE (vl_total::DOUBLE AS vl_total) FROM ft_orders"
 )
 def ft_orders(spark, sf):
-    dims = {"dim_customer": customer_dim(spark, sf), "dim_order": order_dim(spark, sf)}
-    fact = build_fact(order_rows(spark, sf), FT_ORDERS, dims)
+    fact = build_fact(order_rows(spark, sf), FT_ORDERS, dims_of(spark, sf, FT_ORDERS))
     return fact.withColumn("vl_total", F.col("vl_total").cast("double"))
 
 
@@ -272,12 +287,7 @@ JOIN dim_order ON l_orderkey = id_order"""
 
 
 def _line_fact(spark, sf, max_rows=None):
-    dims = {
-        "dim_supplier": supplier_dim(spark, sf),
-        "dim_part": part_dim(spark, sf),
-        "dim_order": order_dim(spark, sf),
-    }
-    fact = build_fact(line_rows(spark, sf), FT_LINEITEM, dims, max_rows)
+    fact = build_fact(line_rows(spark, sf), FT_LINEITEM, dims_of(spark, sf, FT_LINEITEM), max_rows)
     return fact.withColumns({c: F.col(c).cast("double") for c in ("vl_gross", "vl_net", "vl_tax")})
 
 
@@ -314,12 +324,7 @@ def ft_vote(spark, sf):
         "l_shipdate",
         F.coalesce(F.nullif("l_returnflag", F.lit("N")), F.lit("NÃO INFORMADO")).alias("tp_vote"),
     )
-    dims = {
-        "dim_order": order_dim(spark, sf),
-        "dim_supplier": supplier_dim(spark, sf),
-        "dim_customer": customer_dim(spark, sf),
-        "dim_part": part_dim(spark, sf, largest=25),
-    }
+    dims = dims_of(spark, sf, FT_VOTE, dim_part=partial(part_dim, spark, sf, largest=25))
     return build_fact(lookup_join(votes, owner, ["l_orderkey"]), FT_VOTE, dims)
 
 
@@ -328,13 +333,11 @@ WITH {_CUSTOMER_SQL}, {_ORDER_SQL}, {_FT_ORDERS_SQL}
 SELECT nm_nation, nm_region, sum(vl_total)::DOUBLE AS vl_total, sum(qtd_order)::BIGINT AS qtd_order
 FROM ft_orders JOIN dim_customer USING (sk_customer) GROUP BY ALL""")
 def mart_orders_by_nation(spark, sf):
-    customer = customer_dim(spark, sf)
-    fact = build_fact(
-        order_rows(spark, sf), FT_ORDERS, {"dim_customer": customer, "dim_order": order_dim(spark, sf)}
-    )
+    dims = dims_of(spark, sf, FT_ORDERS)
+    fact = build_fact(order_rows(spark, sf), FT_ORDERS, dims)
     mart = roll_up(
         fact,
-        {"sk_customer": customer},
+        {"sk_customer": dims["dim_customer"]},
         ["nm_nation", "nm_region"],
         {"vl_total": "vl_total", "qtd_order": "qtd_order"},
     )
@@ -348,12 +351,7 @@ SELECT l_returnflag AS sg_flag, l_linestatus AS sg_line_status, sum(vl_gross)::D
 FROM lines JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
 JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""")
 def mart_lineitem_by_flag(spark, sf):
-    dims = {
-        "dim_supplier": supplier_dim(spark, sf),
-        "dim_part": part_dim(spark, sf),
-        "dim_order": order_dim(spark, sf),
-    }
-    fact = build_fact(line_rows(spark, sf), FT_LINEITEM, dims)
+    fact = build_fact(line_rows(spark, sf), FT_LINEITEM, dims_of(spark, sf, FT_LINEITEM))
     measures = ("vl_gross", "vl_net", "vl_tax", "qtd_line")
     mart = roll_up(fact, {}, ["sg_flag", "sg_line_status"], {m: m for m in measures})
     return mart.withColumns({m: F.col(m).cast("double") for m in measures[:3]})
@@ -377,12 +375,11 @@ def top_order():
 
 def top_orders(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship: dimension build, star join, window, two kinds, top five."""
-    customer = customer_dim(spark, sf)
-    orders = order_dim(spark, sf)
-    fact = build_fact(order_rows(spark, sf), FT_ORDERS, {"dim_customer": customer, "dim_order": orders})
+    dims = dims_of(spark, sf, FT_ORDERS)
+    fact = build_fact(order_rows(spark, sf), FT_ORDERS, dims)
     return top_of_window(
         fact,
-        {"sk_customer": customer, "sk_order": orders.drop("id_order")},
+        {"sk_customer": dims["dim_customer"], "sk_order": dims["dim_order"].drop("id_order")},
         "sk_data_order",
         Window(REFERENCE_DAY),
         top_order(),

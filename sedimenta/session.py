@@ -4,8 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+T = TypeVar("T")
+JOB_THREADS = 8
 
 # The engine relies on UTC timestamps; the rest are Spark's own knobs, listed so that a
 # deployment can see them in one place. `spark.sql.shuffle.partitions` is left to the
@@ -55,12 +63,32 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/sedimenta/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def together(tasks: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent jobs from several driver threads, so that the executors are shared by
+    all of them instead of idling at the tail of each."""
+    with ThreadPoolExecutor(max_workers=max(1, min(len(tasks), JOB_THREADS))) as pool:
+        futures = {name: pool.submit(inheritable_thread_target(task)) for name, task in tasks.items()}
+        return {name: future.result() for name, future in futures.items()}
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write `df` once and read it back: cuts the lineage, survives lost executors.
 
     The schema is handed to the reader, so no job is spent on inferring it.
     """
+    return stage_counted(df, label)[0]
+
+
+def stage_counted(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:
+    """`stage`, with the number of rows, which the write itself counts."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    rows = write_counted(df, path)
+    return spark.read.schema(df.schema).parquet(path), rows
+
+
+def write_counted(df: DataFrame, path: str) -> int:
+    """Write Parquet; the rows are counted on the way instead of by a second job."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return seen.get["rows"]

@@ -10,12 +10,14 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from sedimenta.session import together, write_counted
 from sedimenta.sources.landing import column
 
 _CATALOGUE = T.StructType(
@@ -77,8 +79,7 @@ class Layer:
     def replace(self, name: str, df: DataFrame) -> bool:
         """Replace one table. An empty frame leaves the old one in place."""
         path = f"{self.root}/{uuid.uuid4().hex}/{name}"
-        df.write.parquet(path)
-        if self.spark.read.schema(df.schema).parquet(path).isEmpty():
+        if not write_counted(df, path):
             return False
         version, tables = self._entries()
         self._publish({name: path}, tables, version)
@@ -94,13 +95,13 @@ class Layer:
         over by their path, without a copy.
         """
         run = uuid.uuid4().hex
-        written = {}
-        for name, df in tables.items():
+
+        def write(name: str) -> tuple[str, int]:
             path = f"{self.root}/{run}/{name}"
-            df.write.parquet(path)
-            if skip_empty and self.spark.read.schema(df.schema).parquet(path).isEmpty():
-                continue
-            written[name] = path
+            return path, write_counted(tables[name], path)
+
+        done = together({name: partial(write, name) for name in tables})
+        written = {name: path for name, (path, rows) in done.items() if rows or not skip_empty}
         version, old = self._entries()
         kept = {n: p for n, p in old.items() if n.endswith(keep_suffix) and n not in written}
         self._publish(written, kept, version)
