@@ -34,18 +34,19 @@ def filled(col: Column, kind: str, vocabulary: Vocabulary = VOCABULARY) -> Colum
     return F.coalesce(col, F.lit(getattr(vocabulary, kind)))
 
 
-def members(spec: DimSpec, schema: T.StructType, vocabulary: Vocabulary = VOCABULARY) -> list[tuple]:
-    """The rows -1 (unknown) and -3 (not applicable) of a dimension."""
+def members(spec: DimSpec, dim: DataFrame, vocabulary: Vocabulary = VOCABULARY) -> DataFrame:
+    """The rows -1 (unknown) and -3 (not applicable) of a dimension, as literals."""
     rows = []
-    for unknown in (True, False):
+    for i, unknown in enumerate((True, False)):
         row = []
-        for f in schema.fields:
+        for f in dim.schema.fields:
             if f.name in spec.members:
-                row.append(spec.members[f.name][0 if unknown else 1])
+                value = spec.members[f.name][i]
             else:
-                row.append(vocabulary.member(f.dataType, unknown, f.name in spec.codes))
-        rows.append(tuple(row))
-    return rows
+                value = vocabulary.member(f.dataType, unknown, f.name in spec.codes)
+            row.append(F.lit(value).cast(f.dataType).alias(f.name))
+        rows.append(F.struct(*row))
+    return dim.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
 def build_dim(df: DataFrame, spec: DimSpec, vocabulary: Vocabulary = VOCABULARY) -> DataFrame:
@@ -56,11 +57,7 @@ def build_dim(df: DataFrame, spec: DimSpec, vocabulary: Vocabulary = VOCABULARY)
     renamed = df.select(*[column(src).alias(dst) for dst, src in spec.columns.items()]).distinct()
     numbered = surrogate_key(renamed, spec.key, [spec.natural])
     numbered = numbered.select(spec.key, *spec.columns)
-    fixed = df.sparkSession.createDataFrame(
-        members(spec, numbered.schema, vocabulary),
-        T.StructType([T.StructField(f.name, f.dataType) for f in numbered.schema.fields]),
-    )
-    return fixed.unionByName(numbered)
+    return members(spec, numbered, vocabulary).unionByName(numbered)
 
 
 def stamp_load(

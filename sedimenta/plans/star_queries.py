@@ -158,7 +158,9 @@ def order_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def line_rows(spark: SparkSession, sf: str) -> DataFrame:
-    gross = money("l_extendedprice")
+    """Amounts as decimals of at most 18 digits, which Spark computes as long integers."""
+    gross = F.col("l_extendedprice").cast("decimal(12,2)")
+    discount, tax = (F.col(c).cast("decimal(4,2)") for c in ("l_discount", "l_tax"))
     return table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_partkey",
@@ -167,9 +169,9 @@ def line_rows(spark: SparkSession, sf: str) -> DataFrame:
         "l_returnflag",
         "l_linestatus",
         "l_shipdate",
-        gross.alias("vl_gross"),
-        money(gross * (1 - money("l_discount"))).alias("vl_net"),
-        money(gross * money("l_tax")).alias("vl_tax"),
+        money(gross).alias("vl_gross"),
+        money(gross * (1 - discount)).alias("vl_net"),
+        money(gross * tax).alias("vl_tax"),
     )
 
 

@@ -66,8 +66,9 @@ def new_path(spark: SparkSession, label: str) -> str:
 def together(tasks: Mapping[str, Callable[[], T]]) -> dict[str, T]:
     """Run independent jobs from several driver threads, so that the executors are shared by
     all of them instead of idling at the tail of each."""
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=max(1, min(len(tasks), JOB_THREADS))) as pool:
-        futures = {name: pool.submit(inheritable_thread_target(task)) for name, task in tasks.items()}
+        futures = {name: pool.submit(inherit(task)) for name, task in tasks.items()}
         return {name: future.result() for name, future in futures.items()}
 
 

@@ -38,7 +38,7 @@ def read_table(
     schema it would have.
     """
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as e:
         if optional and schema is not None and "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], schema)

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from sedimenta.operators.dedupe import keep_first
 from sedimenta.operators.merge import upsert
@@ -65,7 +64,10 @@ def stream_upsert(
     the same rows into the same buckets, so it ends in the same table. Of several rows with
     one key in a batch, the first by `order` counts.
     """
-    schema = stream.schema
+    layout = T.StructType([*stream.schema.fields, T.StructField("bucket", T.IntegerType())])
+    # no rows: creates the folder on the first run, adds nothing later
+    empty = stream.sparkSession.createDataFrame([], layout)
+    empty.write.mode("append").partitionBy("bucket").parquet(target)
     bucket = F.pmod(F.xxhash64(column(key)), F.lit(buckets)).cast("int")
 
     def apply(batch: DataFrame, _: int) -> None:
@@ -73,14 +75,7 @@ def stream_upsert(
         touched = [r["bucket"] for r in updates.select("bucket").distinct().collect()]  # <= buckets
         if not touched:
             return
-        layout = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
-        spark = batch.sparkSession
-        try:
-            old = spark.read.schema(layout).parquet(target)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = spark.createDataFrame([], layout)
+        old = batch.sparkSession.read.schema(layout).parquet(target)
         merged = stage(upsert(old.where(F.col("bucket").isin(touched)), updates, [key]), "merged")
         (
             merged.hint("rebalance", "bucket")  # files of the advised size; a large bucket is split
