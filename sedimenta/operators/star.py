@@ -151,6 +151,8 @@ def build_fact(
         *[F.col(f"__c_{k}").alias(k) for k in spec.columns],
         *[F.lit(v).alias(k) for k, v in spec.constants.items()],
     )
+    if spec.layout:
+        fact = fact.select(*spec.layout)
     return fact if max_rows is None else first_rows(fact, max_rows)
 
 

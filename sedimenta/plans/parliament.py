@@ -380,6 +380,16 @@ FT_VOTO = FactSpec(
     dates={"sk_data_voto": "dataVoto"},
     columns={"tp_voto": "tipoVoto"},
     constants={"qtd_voto": 1},
+    layout=(
+        "sk_votacao",
+        "sk_deputado",
+        "sk_orgao",
+        "sk_evento",
+        "sk_data_voto",
+        "sk_proposicao",
+        "tp_voto",
+        "qtd_voto",
+    ),
 )
 
 # Primary keys, for the uniqueness check after a load.

@@ -100,10 +100,14 @@ class DimRef:
 
 @dataclass(frozen=True)
 class FactSpec:
-    """A fact: dimension look-ups, date keys, carried columns and constant measures."""
+    """A fact: dimension look-ups, date keys, carried columns and constant measures.
+
+    `layout` is the order of the columns where it differs from that.
+    """
 
     name: str
     dims: tuple[DimRef, ...]
     dates: Mapping[str, str] = field(default_factory=dict)
     columns: Mapping[str, str] = field(default_factory=dict)
     constants: Mapping[str, int] = field(default_factory=dict)
+    layout: tuple[str, ...] = ()
