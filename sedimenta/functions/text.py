@@ -6,33 +6,45 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A byte pair that can start a UTF-8 character, seen as two latin-1 characters. Text without
+# one is not UTF-8 that was read as latin-1.
+_PAIR = r"[\u00C2-\u00F4][\u0080-\u00BF]"
+# Characters that may change under normal form C; all below are in that form already.
+_MARKS = r"[^\x00-\u02FF]"
+
+
+def _beyond_ascii(col: Column) -> Column:
+    """True if some character takes more than one byte: a cheap test, no pattern needed."""
+    return F.octet_length(col) != F.char_length(col)
+
+
+def _read_again(col: Column) -> Column:
+    # the pattern guards `encode`, which raises on characters it cannot write
+    again = F.try_validate_utf8(F.encode(col, "ISO-8859-1").cast("string"))
+    return F.when(col.rlike(r"^[\x00-\xFF]*+\z"), F.coalesce(again, col)).otherwise(col)
+
+
+def _composed(col: Column) -> Column:
+    return F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), col, F.lit(False))
+
+
 def repair_mojibake(col: Column) -> Column:
     """UTF-8 text that was read as latin-1 is read again as UTF-8.
 
-    Text that holds characters outside latin-1, or whose bytes are not UTF-8, is
-    kept. The pattern guards `encode`, which raises on characters it cannot write;
-    plain ASCII text skips the round trip, as it would come back the same.
+    Text that holds characters outside latin-1, or whose bytes are not UTF-8, is kept.
     """
-    again = F.try_validate_utf8(F.encode(col, "ISO-8859-1").cast("string"))
-    return F.when(
-        col.rlike(r"[^\x00-\x7F]") & col.rlike(r"^[\x00-\xFF]*\z"), F.coalesce(again, col)
-    ).otherwise(col)
+    return F.when(_beyond_ascii(col) & col.rlike(_PAIR), _read_again(col)).otherwise(col)
 
 
 def nfc(col: Column) -> Column:
-    """Unicode normal form C, by the ICU library that ships with Spark.
-
-    Only rows with a character outside ASCII are normalised; the branch is lazy.
-    """
-    composed = F.java_method(
-        F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), col, F.lit(False)
-    )
-    return F.when(col.rlike(r"[^\x00-\x7F]"), composed).otherwise(col)
+    """Unicode normal form C, by the ICU library that ships with Spark."""
+    return F.when(_beyond_ascii(col) & col.rlike(_MARKS), _composed(col)).otherwise(col)
 
 
 def standardise(col: Column) -> Column:
-    """Repaired, composed, upper-case text."""
-    return F.upper(nfc(repair_mojibake(col)))
+    """Repaired, composed, upper-case text. Most text needs the last step only."""
+    suspect = _beyond_ascii(col) & col.rlike(f"{_PAIR}|{_MARKS}")
+    return F.upper(F.when(suspect, _composed(_read_again(col))).otherwise(col))
 
 
 def blank_to_null(col: Column) -> Column:

@@ -22,17 +22,34 @@ def surrogate_key(
     partitions: int | None = None,
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """Dense numbers from 1 in the order of `natural` (then of the whole row).
+    """Dense numbers from 1 in the order of `natural` (then of the whole row)."""
+    return number_rows(df, name, natural, partitions, one_task_rows)[0]
 
-    The rows are written once, and counted as they are; a few are numbered by one task,
-    more by `_numbered_in_parts`.
+
+def number_rows(
+    df: DataFrame,
+    name: str,
+    natural: Sequence[str],
+    partitions: int | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
+    reserved: Sequence[object] = (),
+) -> tuple[DataFrame, int | None]:
+    """`surrogate_key`, and the number of rows if `natural` turned out to be unique (and
+    none of its values reserved).
+
+    The rows are written once, and counted as they are. A few are checked and numbered by
+    one task; more are numbered by `_numbered_in_parts`, and uniqueness is left open (None).
     """
     rows, n = stage_counted(df, "rows")
-    if n <= one_task_rows:
-        rest = [column(c) for c in df.columns if c not in natural]
-        order = [column(c) for c in natural] + ([F.xxhash64(*rest)] if rest else [])
-        return rows.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("bigint"))
-    return _numbered_in_parts(rows, name, natural, partitions)
+    if n > one_task_rows:
+        return _numbered_in_parts(rows, name, natural, partitions), None
+    rest = [column(c) for c in df.columns if c not in natural]
+    order = [column(c) for c in natural] + ([F.xxhash64(*rest)] if rest else [])
+    numbered = rows.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("bigint"))
+    keys = rows.select(*[column(c) for c in natural]).coalesce(1)
+    clash = (F.count(F.lit(1)) > 1) | F.first(column(natural[0]).isin(*reserved))
+    clashes = keys.groupBy(*[column(c) for c in natural]).agg(clash.alias("clash")).where("clash").count()
+    return numbered, n if clashes == 0 else None
 
 
 def _numbered_in_parts(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +13,16 @@ from pyspark.sql import types as T
 
 from sedimenta.functions.dates import date_key
 from sedimenta.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join, salted_join
-from sedimenta.operators.keys import surrogate_key
+from sedimenta.operators.keys import number_rows, surrogate_key
 from sedimenta.sources.landing import column
 from sedimenta.spec import VOCABULARY, DimSpec, FactSpec, Vocabulary
 
 _KEY_ROW_BYTES = 64  # one (natural key, surrogate key) pair in a hash table
 
+# Rows of the frames that `build_dim` returned and found to have one row per natural key.
+# Kept per frame: whatever is made from such a frame is measured again.
+_unique_rows: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+
 
 def fill(df: DataFrame, vocabulary: Vocabulary = VOCABULARY, **kinds: str) -> DataFrame:
     """Replace nulls by the sentinel of a kind: text, code, unknown_id, not_applicable_id,
@@ -55,9 +60,13 @@ def build_dim(df: DataFrame, spec: DimSpec, vocabulary: Vocabulary = VOCABULARY)
     Load stamps are added afterwards (`stamp_load`), so they cannot make rows distinct.
     """
     renamed = df.select(*[column(src).alias(dst) for dst, src in spec.columns.items()]).distinct()
-    numbered = surrogate_key(renamed, spec.key, [spec.natural])
+    ids = (vocabulary.unknown_id, vocabulary.not_applicable_id)
+    numbered, rows = number_rows(renamed, spec.key, [spec.natural], reserved=ids)
     numbered = numbered.select(spec.key, *spec.columns)
-    return members(spec, numbered, vocabulary).unionByName(numbered)
+    dim = members(spec, numbered, vocabulary).unionByName(numbered)
+    if rows is not None:
+        _unique_rows[dim] = rows + 2
+    return dim
 
 
 def stamp_load(
@@ -80,6 +89,8 @@ def _measure(keys: Mapping[str, DataFrame]) -> dict[str, int]:
 
     Fails if a natural key has more than one row, as the fact would fan out.
     """
+    if not keys:
+        return {}
     parts = [
         k.groupBy(column(k.columns[0]).alias("k"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -136,7 +147,9 @@ def build_fact(
         )
         for i, r in enumerate(spec.dims)
     }
-    rows = _measure(keys)
+    known = {n: _unique_rows.get(dims[r.dim]) for n, r in zip(keys, spec.dims)}
+    open_ = {n: k for n, k in keys.items() if known[n] is None}
+    rows = {**known, **_measure(open_)}
     for (name, k), r in zip(keys.items(), spec.dims):
         out = _look_up(out, k, rows[name], r.optional, max_bytes).drop(k.columns[0])
     names = []

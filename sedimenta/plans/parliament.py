@@ -7,25 +7,28 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sedimenta.functions.casts import amount, digits_id, uri_id
 from sedimenta.functions.dates import key_date, percent
 from sedimenta.functions.text import filled as filled_text
-from sedimenta.functions.text import first_item_label, three_way, two_way
+from sedimenta.functions.text import first_item_label, prompt, query_text, three_way, two_way
 from sedimenta.operators.conform import conform
+from sedimenta.operators.enrich import enrich_batches, merge_partials, pending, unfinished
 from sedimenta.operators.joins import lookup_join
-from sedimenta.operators.merge import audit_copy, backfill
+from sedimenta.operators.merge import audit_copy, backfill, upsert
 from sedimenta.operators.quality import require
 from sedimenta.operators.report import Window, html_card, top_of_window
+from sedimenta.operators.similarity import classify_top1
 from sedimenta.operators.star import build_dim, build_fact, filled, stamp_load
-from sedimenta.session import together
+from sedimenta.session import stage, together
 from sedimenta.sources.landing import column, explode_children, flatten, jsonify_complex, stamp_capture
-from sedimenta.sources.tables import Layer
+from sedimenta.sources.tables import Layer, read_table
 from sedimenta.spec import DimRef, DimSpec, FactSpec, TableSpec
 
 # The ten themes and their descriptions, in the order that breaks ties.
@@ -489,6 +492,91 @@ def full_refresh(
     return layers
 
 
+# --- enrichment of the bills ---------------------------------------------------------
+
+IA_SCHEMA = T.StructType(
+    [
+        T.StructField("proposicao_id", T.LongType()),
+        T.StructField("tema_classificado", T.StringType()),
+        T.StructField("score_similaridade", T.DoubleType()),
+        T.StructField("embedding", T.ArrayType(T.FloatType())),
+        T.StructField("resumo_executivo", T.StringType()),
+        T.StructField("processado_em", T.TimestampNTZType()),
+    ]
+)
+
+
+def score_bills(
+    bills: DataFrame,
+    encode: Callable[[DataFrame, str], DataFrame] | None = None,
+    labels: Sequence[tuple[str, Sequence[float]]] = (),
+    summarise: Callable[[], Callable] | None = None,
+    chunk: int = 32,
+) -> DataFrame:
+    """Theme and vector, summary, or both: only what was computed is in the result.
+
+    `bills` has id, ementa and ementaDetalhada as they were landed. `encode` adds a vector
+    column `embedding` for a text column; `summarise` loads a function over frames with id
+    and prompt that returns proposicao_id, resumo_executivo.
+    """
+    ids = bills.select(F.col("id").cast("bigint").alias("proposicao_id"))
+    parts = []
+    if encode is not None:
+        texts = bills.select(
+            F.col("id").cast("bigint").alias("proposicao_id"), query_text(F.col("ementa")).alias("texto")
+        )
+        scored = classify_top1(encode(texts, "texto"), labels)
+        parts.append(
+            scored.select("proposicao_id", "tema_classificado", "score_similaridade", "embedding")
+        )
+    if summarise is not None:
+        prompts = bills.select(
+            F.col("id").cast("bigint").alias("id"),
+            prompt(F.col("ementa"), F.col("ementaDetalhada")).alias("prompt"),
+        )
+        parts.append(
+            enrich_batches(prompts, summarise, "proposicao_id long, resumo_executivo string", chunk)
+        )
+    if len(parts) == 1:
+        return parts[0]
+    return merge_partials(ids, [stage(p, "part") for p in parts], "proposicao_id")
+
+
+def enrichment_run(
+    silver: Layer,
+    landed: DataFrame,
+    work: str,
+    at: dt.datetime,
+    encode: Callable[[DataFrame, str], DataFrame] | None = None,
+    labels: Sequence[tuple[str, Sequence[float]]] = (),
+    summarise: Callable[[], Callable] | None = None,
+    limit: int | None = None,
+    reprocess: bool = False,
+) -> DataFrame:
+    """Score the bills that have no result yet and merge the results into `proposicoes_ia`.
+
+    The results are appended to the folder `work` first. A run that was interrupted is taken
+    up by item: what is in `work` already is not scored again, only merged. Take a new folder
+    for the next run. Columns that this run does not compute keep their values.
+    """
+    spark = landed.sparkSession
+    done = silver.read("proposicoes_ia") if "proposicoes_ia" in silver.names() else None
+    items = landed.select(F.col("id").cast("bigint").alias("id"), "ementa", "ementaDetalhada")
+    known = None if done is None else done.select(F.col("proposicao_id").alias("id"))
+    todo = pending(items, known, "id", "ementa", reprocess, limit, ordered=False)
+    computed = ["proposicao_id"]
+    computed += ["tema_classificado", "score_similaridade", "embedding"] if encode else []
+    computed += ["resumo_executivo"] if summarise else []
+    layout = T.StructType([IA_SCHEMA[c] for c in computed])
+    finished = read_table(spark, work, layout, optional=True).select(F.col("proposicao_id").alias("id"))
+    fresh = score_bills(unfinished(todo, finished, "id"), encode, labels, summarise)
+    fresh.select(*[F.col(f.name).cast(f.dataType) for f in layout]).write.mode("append").parquet(work)
+    results = read_table(spark, work, layout).withColumn("processado_em", F.lit(at).cast("timestamp_ntz"))
+    target = spark.createDataFrame([], IA_SCHEMA) if done is None else done
+    silver.replace("proposicoes_ia", upsert(target, results, ["proposicao_id"]))
+    return silver.read("proposicoes_ia")
+
+
 # --- the weekly report ---------------------------------------------------------------
 
 KINDS_OF_BILL = ("PL", "PEC", "PLP")

@@ -18,8 +18,9 @@ from sedimenta.operators.conform import conform
 from sedimenta.operators.quality import pk_violations
 from sedimenta.operators.report import Window, digest, ranked
 from sedimenta.plans import parliament as pl
-from sedimenta.plans.registry import query, table, text
-from sedimenta.session import stage, together
+from sedimenta.plans.registry import money, query, table, text
+from sedimenta.session import new_path, stage, together
+from sedimenta.sources.tables import Layer
 from sedimenta.spec import TableSpec
 
 _URI = "https://example.org/api/"
@@ -166,7 +167,7 @@ def _votos(spark, sf):
 
 def _despesas(spark, sf):
     def shown(c):
-        return F.format_string("%.2f", c)
+        return text(money(c))
 
     return table(spark, sf, "lineitem").select(
         text("l_partkey").alias("idDeputado"),
@@ -216,17 +217,23 @@ def enrichment(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def bronze(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
+    """Conformed tables, written before they are joined, as in the layered job."""
+
+    def conformed(name):
+        return stage(conform(RECORDS[name](spark, sf), pl.STAGING[name]), name)
+
+    return together({n: partial(conformed, n) for n in names})
+
+
 def silver(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
-    out = {}
-    for name in names:
-        job, inputs = pl.SILVER[name]
-        out[name] = job({n: conform(RECORDS[n](spark, sf), pl.STAGING[n]) for n in inputs})
-    return out
+    inputs = bronze(spark, sf, *{n: 0 for name in names for n in pl.SILVER[name][1]})
+    return {name: pl.SILVER[name][0](inputs) for name in names}
 
 
 def staged_silver(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
     """Silver tables that several gold jobs read, written once."""
-    return together({n: partial(lambda n: stage(silver(spark, sf, n)[n], n), n) for n in names})
+    return together({n: partial(stage, df, n) for n, df in silver(spark, sf, *names).items()})
 
 
 def _shown(df: DataFrame) -> DataFrame:
@@ -553,3 +560,42 @@ def conform_table(spark, sf):
     """A whole landed table conformed: cast, text, dedupe, blanks."""
     out = conform(_despesas(spark, sf), _LINE_SPEC)
     return out.withColumn("dataDocumento", text(F.to_date("dataDocumento")))
+
+
+@query(r"""
+SELECT coalesce(doc_id, id) AS proposicao_id, tema AS tema_classificado, resumo_executivo FROM
+  (SELECT doc_id, CASE quality WHEN 1 THEN 'Saúde' ELSE 'Trabalho' END AS tema FROM labels)
+  FULL JOIN (SELECT doc_id AS id, length('Ementa: ' || regexp_replace(text, '^\s+|\s+$', '', 'g')
+      || CASE WHEN lang = 'en' THEN chr(10) || chr(10) || 'Texto completo: ' || source ELSE '' END
+      || chr(10) || chr(10) || 'Resuma em até 3 frases para um executivo:')::VARCHAR AS resumo_executivo
+    FROM documents WHERE trim(text) <> '') ON doc_id = id""")
+def enrichment_texts(spark, sf):
+    """An enrichment run that computes summaries only, for items that have themes already."""
+    layer = Layer(spark, new_path(spark, "silver"))
+    themes = table(spark, sf, "labels").select(
+        F.col("doc_id").alias("proposicao_id"),
+        F.when(F.col("quality") == 1, "Saúde").otherwise("Trabalho").alias("tema_classificado"),
+        F.lit(None).cast("string").alias("resumo_executivo"),
+        F.lit(None).cast("timestamp_ntz").alias("processado_em"),
+    )
+    layer.replace("proposicoes_ia", themes)
+    landed = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.col("text").alias("ementa"),
+        F.when(F.col("lang") == "en", F.col("source")).alias("ementaDetalhada"),
+    )
+
+    def load():
+        import pandas as pd
+
+        def summarise(frame):
+            return pd.DataFrame(
+                {"proposicao_id": frame["id"], "resumo_executivo": frame["prompt"].str.len().astype(str)}
+            )
+
+        return summarise
+
+    out = pl.enrichment_run(
+        layer, landed, new_path(spark, "work"), dt.datetime(2024, 2, 1), summarise=load, reprocess=True
+    )
+    return out.select("proposicao_id", "tema_classificado", "resumo_executivo")

@@ -63,6 +63,15 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/sedimenta/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def clear_stages(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this application wrote; call it when nothing reads
+    them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark)}/sedimenta/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def together(tasks: Mapping[str, Callable[[], T]]) -> dict[str, T]:
     """Run independent jobs from several driver threads, so that the executors are shared by
     all of them instead of idling at the tail of each."""
@@ -82,14 +91,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
 def stage_counted(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:
     """`stage`, with the number of rows, which the write itself counts."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
+    path = new_path(df.sparkSession, label)
     rows = write_counted(df, path)
-    return spark.read.schema(df.schema).parquet(path), rows
+    return df.sparkSession.read.schema(df.schema).parquet(path), rows
 
 
 def write_counted(df: DataFrame, path: str) -> int:
-    """Write Parquet; the rows are counted on the way instead of by a second job."""
+    """Write Parquet; the rows are counted on the way instead of by a second job.
+
+    Only the tasks of the write itself count, each once, also if one is run again.
+    """
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return seen.get["rows"]

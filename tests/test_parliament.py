@@ -14,7 +14,7 @@ from sedimenta.operators.quality import null_violations, pk_violations
 from sedimenta.operators.report import Window
 from sedimenta.plans import parliament as pl
 from sedimenta.sources.landing import read_landed
-from sedimenta.sources.tables import import_csv
+from sedimenta.sources.tables import Layer, import_csv
 from tests.conftest import values
 
 AT = dt.datetime(2024, 2, 1, 6, 0, 0)
@@ -294,3 +294,70 @@ def test_exported_tables_before_and_after(spark, name):
     assert values(got.select(*shown)) == values(want.select(*shown))
     raw_after = {tuple(r) for r in after.select("id", "uri").collect()}
     assert {(str(r[0]), r[1]) for r in got.select("id", "uri").collect()} == raw_after
+
+
+def _encoder(frame, text):
+    """A vector per text: how often each of three letters occurs, scaled to length one."""
+    counts = F.array(*[F.regexp_count(F.lower(text), F.lit(c)).cast("float") for c in "abc"])
+    size = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    return frame.withColumn("embedding", F.transform(counts, lambda x: (x / size).cast("float")))
+
+
+def _summaries(fail=()):
+    def load():
+        import pandas as pd
+
+        def run(frame):
+            if set(frame["id"]) & set(fail):
+                raise RuntimeError("interrupted")
+            return pd.DataFrame(
+                {"proposicao_id": frame["id"], "resumo_executivo": frame["prompt"].str.len().astype(str)}
+            )
+
+        return run
+
+    return load
+
+
+def test_enrichment_runs(spark, folder):
+    landed = spark.createDataFrame(
+        [("1", "aaab", None), ("2", "bbb", "longo"), ("3", " ", None), ("4", "cca", None)],
+        "id string, ementa string, ementaDetalhada string",
+    )
+    silver = Layer(spark, folder + "/silver")
+    labels = [("A", [1.0, 0.0, 0.0]), ("B", [0.0, 1.0, 0.0]), ("C", [0.0, 0.0, 1.0])]
+    show = ("proposicao_id", "tema_classificado", "resumo_executivo")
+    out = pl.enrichment_run(silver, landed, folder + "/w1", AT, encode=_encoder, labels=labels, limit=2)
+    assert values(out, *show) == [(1, "A", None), (2, "B", None)]
+    out = pl.enrichment_run(silver, landed, folder + "/w2", AT, encode=_encoder, labels=labels)
+    assert values(out, *show) == [(1, "A", None), (2, "B", None), (4, "C", None)]
+    # only texts, for all items: the themes stay
+    out = pl.enrichment_run(silver, landed, folder + "/w3", AT, summarise=_summaries(), reprocess=True)
+    got = {r[0]: r for r in values(out, *show)}
+    assert [got[i][1] for i in (1, 2, 4)] == ["A", "B", "C"]
+    assert all(int(got[i][2]) > 20 for i in (1, 2, 4)) and int(got[2][2]) > int(got[1][2])
+    # nothing is pending: nothing changes
+    again = pl.enrichment_run(silver, landed, folder + "/w4", AT, encode=_encoder, labels=labels)
+    assert values(again, *show) == values(out, *show)
+
+
+def test_enrichment_resumes_by_item(spark, folder):
+    landed = spark.createDataFrame([(i, f"a{i}", None) for i in range(1, 9)], "id int, ementa string, ementaDetalhada string")
+    silver, work = Layer(spark, folder + "/silver"), folder + "/work"
+    with pytest.raises(Exception, match="interrupted"):
+        pl.enrichment_run(silver, landed, work, AT, summarise=_summaries(fail=[5]))
+    assert "proposicoes_ia" not in silver.names()
+    # what an earlier part of the run wrote is not scored again, but merged
+    done = spark.createDataFrame([(1, "old"), (5, "old")], "proposicao_id long, resumo_executivo string")
+    done.write.mode("append").parquet(work)
+    out = pl.enrichment_run(silver, landed, work, AT, summarise=_summaries(fail=[5]))
+    got = dict(values(out, "proposicao_id", "resumo_executivo"))
+    assert sorted(got) == list(range(1, 9)) and (got[1], got[5]) == ("old", "old") and got[2] != "old"
+
+
+def test_both_results_of_one_run(spark):
+    bills = spark.createDataFrame([(1, "aab", None), (2, "bb", None)], "id int, ementa string, ementaDetalhada string")
+    labels = [("A", [1.0, 0.0, 0.0]), ("B", [0.0, 1.0, 0.0])]
+    out = pl.score_bills(bills, _encoder, labels, _summaries())
+    assert out.columns == ["proposicao_id", "tema_classificado", "score_similaridade", "embedding", "resumo_executivo"]
+    assert values(out, "proposicao_id", "tema_classificado", "score_similaridade") == [(1, "A", 0.8944), (2, "B", 1.0)]
