@@ -15,7 +15,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 from sedimenta.session import together, write_counted
 from sedimenta.sources.landing import column
@@ -52,14 +52,11 @@ class Layer:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _entries(self) -> tuple[int, dict[str, str]]:
+    def _entries(self) -> tuple[int, Mapping[str, str]]:
+        """The newest version: its number, and the path of each table name."""
         listing = read_table(self.spark, f"{self.root}/_catalogue", _CATALOGUE, optional=True)
-        # a few rows per publication: names and paths, no data
-        newest = listing.groupBy("version").agg(F.collect_list(F.struct("name", "path")).alias("tables"))
-        row = newest.orderBy(F.desc("version")).first()
-        if row is None:
-            return 0, {}
-        return row["version"], {t["name"]: t["path"] for t in row["tables"]}
+        versions = listing.groupBy("version").agg(F.map_from_entries(F.collect_list(F.struct("name", "path"))))
+        return versions.orderBy(F.desc("version")).first() or (0, {})
 
     def names(self) -> list[str]:
         return sorted(self._entries()[1])
@@ -71,10 +68,12 @@ class Layer:
         return self.spark.read.parquet(tables[name])
 
     def _publish(self, written: Mapping[str, str], keep: Mapping[str, str], version: int) -> None:
-        rows = [(version + 1, n, p) for n, p in {**keep, **written}.items()]
-        self.spark.createDataFrame(rows, _CATALOGUE).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/_catalogue"
-        )
+        rows = [
+            F.struct(F.lit(version + 1).cast("bigint").alias("version"), F.lit(n).alias("name"), F.lit(p).alias("path"))
+            for n, p in {**keep, **written}.items()
+        ]
+        listing = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
+        listing.write.mode("append").parquet(f"{self.root}/_catalogue")  # one file: all rows or none
 
     def replace(self, name: str, df: DataFrame) -> bool:
         """Replace one table. An empty frame leaves the old one in place."""
