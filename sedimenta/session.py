@@ -63,13 +63,21 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/sedimenta/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
 def clear_stages(spark: SparkSession) -> None:
     """Delete the intermediate tables that this application wrote; call it when nothing reads
     them any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(
-        f"{shared_dir(spark)}/sedimenta/{spark.sparkContext.applicationId}"
-    )
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files, target = _file_system(spark, f"{shared_dir(spark)}/sedimenta/{spark.sparkContext.applicationId}")
+    files.delete(target, True)
 
 
 def together(tasks: Mapping[str, Callable[[], T]]) -> dict[str, T]:

@@ -15,9 +15,8 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
-from sedimenta.session import together, write_counted
+from sedimenta.session import path_exists, together, write_counted
 from sedimenta.sources.landing import column
 
 _CATALOGUE = T.StructType(
@@ -37,12 +36,9 @@ def read_table(
     A missing table is an error unless it is optional; then it is empty and needs the
     schema it would have.
     """
-    try:
-        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
-    except AnalysisException as e:
-        if optional and schema is not None and "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    if optional and schema is not None and not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 class Layer:

@@ -12,6 +12,7 @@ from sedimenta.operators.dedupe import keep_first
 from sedimenta.operators.merge import upsert
 from sedimenta.session import stage
 from sedimenta.sources.landing import column
+from sedimenta.sources.tables import read_table
 
 
 def read_new_files(
@@ -65,9 +66,6 @@ def stream_upsert(
     one key in a batch, the first by `order` counts.
     """
     layout = T.StructType([*stream.schema.fields, T.StructField("bucket", T.IntegerType())])
-    # no rows: creates the folder on the first run, adds nothing later
-    empty = stream.sparkSession.createDataFrame([], layout)
-    empty.write.mode("append").partitionBy("bucket").parquet(target)
     bucket = F.pmod(F.xxhash64(column(key)), F.lit(buckets)).cast("int")
 
     def apply(batch: DataFrame, _: int) -> None:
@@ -75,7 +73,7 @@ def stream_upsert(
         touched = [r["bucket"] for r in updates.select("bucket").distinct().collect()]  # <= buckets
         if not touched:
             return
-        old = batch.sparkSession.read.schema(layout).parquet(target)
+        old = read_table(batch.sparkSession, target, layout, optional=True)
         merged = stage(upsert(old.where(F.col("bucket").isin(touched)), updates, [key]), "merged")
         (
             merged.hint("rebalance", "bucket")  # files of the advised size; a large bucket is split

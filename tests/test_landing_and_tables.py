@@ -155,3 +155,15 @@ def test_stage_counts_and_uses_the_configured_folder(spark):
     assert (n, df.count()) == (6, 6)
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark)).rstrip("/")
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_clear_stages_takes_only_its_own_folder(spark, folder, monkeypatch):
+    from sedimenta import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: folder)
+    spark.range(3).write.parquet(folder + "/other")
+    staged = session.stage(spark.range(5))
+    assert staged.count() == 5
+    session.clear_stages(spark)
+    assert not session.path_exists(spark, f"{folder}/sedimenta/{spark.sparkContext.applicationId}")
+    assert spark.read.parquet(folder + "/other").count() == 3
