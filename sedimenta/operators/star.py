@@ -109,15 +109,18 @@ def _measure(keys: Mapping[str, DataFrame]) -> dict[str, int]:
 
 
 def _look_up(
-    fact: DataFrame, keys: DataFrame, rows: int, optional: bool, max_bytes: int
+    fact: DataFrame, keys: DataFrame, rows: int, optional: bool, max_bytes: int, source: DataFrame
 ) -> DataFrame:
-    """Attach a surrogate key by a broadcast of measured size, or by a salted shuffle."""
+    """Attach a surrogate key by a broadcast of measured size, or by a salted shuffle.
+
+    Hot keys are counted in `source`, the fact rows before any join.
+    """
     natural, how = keys.columns[0], "left" if optional else "inner"
     if not isinstance(keys.schema[natural].dataType, (T.IntegerType, T.LongType)):
         return lookup_join(fact, keys, [natural], how, max_bytes)
     if rows * _KEY_ROW_BYTES <= max_bytes:
         return fact.join(F.broadcast(keys), natural, how)
-    return salted_join(fact, keys, [natural], how)
+    return salted_join(fact, keys, [natural], how, counted=source)
 
 
 def build_fact(
@@ -150,8 +153,9 @@ def build_fact(
     known = {n: _unique_rows.get(dims[r.dim]) for n, r in zip(keys, spec.dims)}
     open_ = {n: k for n, k in keys.items() if known[n] is None}
     rows = {**known, **_measure(open_)}
+    source = out
     for (name, k), r in zip(keys.items(), spec.dims):
-        out = _look_up(out, k, rows[name], r.optional, max_bytes).drop(k.columns[0])
+        out = _look_up(out, k, rows[name], r.optional, max_bytes, source).drop(k.columns[0])
     names = []
     for i, r in enumerate(spec.dims):
         key = F.col(f"__k{i}")

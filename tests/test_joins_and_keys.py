@@ -27,7 +27,7 @@ def skewed(spark):
 def test_salted_join_equals_plain_join(skewed, how, share):
     left, right = skewed
     plain = left.join(right, ["k"], how)
-    salted = joins.salted_join(left, right, ["k"], how, share=share, min_rows=10, salts=7)
+    salted = joins.salted_join(left, right, ["k"], how, share=share, min_rows=10, task_rows=150)
     assert salted.columns == plain.columns
     assert values(salted) == values(plain)
 
@@ -45,7 +45,7 @@ def test_hot_rows_are_spread(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = joins.salted_join(left, right, ["k"], share=0.1, min_rows=10)
+        out = joins.salted_join(left, right, ["k"], share=0.1, min_rows=10, task_rows=1000)
         per_task = out.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
@@ -54,9 +54,17 @@ def test_hot_rows_are_spread(spark):
     assert len(per_task) > 2
 
 
+def test_hot_keys_may_be_counted_elsewhere(skewed):
+    left, right = skewed
+    source = left.select("k")
+    part = left.where("i % 2 = 0")
+    salted = joins.salted_join(part, right, ["k"], "left", counted=source, min_rows=10, task_rows=100)
+    assert values(salted) == values(part.join(right, ["k"], "left"))
+
+
 def test_hot_keys_are_few(skewed):
     left, _ = skewed
-    assert values(joins.hot_keys(left.na.drop(), ["k"], 0.2, 10)) == [(1,)]
+    assert values(joins.hot_keys(left.na.drop(), ["k"], 0.2, 10)) == [(1, 1000)]
 
 
 def test_lookup_join_picks_by_size(skewed):
