@@ -38,16 +38,33 @@ def stream_ingest(stream: DataFrame, sink: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def _thinned(stream: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Drop repeated keys inside each Arrow batch, before the rows are shuffled to their state."""
+    names = list(key)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            at = pa.array(range(rows.num_rows), pa.int64())
+            first = rows.select(names).append_column("__at", at).group_by(names).aggregate([("__at", "min")])
+            yield from rows.take(first["__at_min"].combine_chunks().sort()).to_batches()
+
+    return stream.mapInArrow(run, stream.schema)
+
+
 def stream_dedupe(stream: DataFrame, key: Sequence[str], time: str, delay: str) -> DataFrame:
     """First row per key among those that arrive within `delay` of each other.
 
     The delay bounds the state: a key is forgotten once the watermark has passed it. A
-    timestamp without zone is taken as UTC, since a watermark needs an instant.
+    timestamp without zone is taken as UTC, since a watermark needs an instant. Repetitions
+    are thinned out before the shuffle, so a hot key does not send all its rows to one task.
     """
     data_type = stream.schema[time].dataType
     if not isinstance(data_type, T.TimestampType):
         stream = stream.withColumn(time, column(time).cast("timestamp"))
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(key))
+    return _thinned(stream, key).withWatermark(time, delay).dropDuplicatesWithinWatermark(list(key))
 
 
 def stream_upsert(
