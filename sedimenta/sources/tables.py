@@ -122,7 +122,9 @@ def export_csv(df: DataFrame, root: str, name: str, at: dt.datetime) -> str:
     """CSV with a header under `<name>_ajustada_<time>.csv`, without the landing suffix."""
     base = name.replace("_bruto", "")
     path = f"{root.rstrip('/')}/{base}_ajustada_{at.strftime('%Y%m%d_%H%M%S')}.csv"
-    df.write.option("header", True).option("encoding", "UTF-8").option("escape", '"').csv(path)
+    writer = df.write.option("header", True).option("encoding", "UTF-8").option("escape", '"')
+    # Spark would trim values at both ends
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
