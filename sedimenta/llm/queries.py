@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sedimenta.llm.bpe import decode_ids, encode_texts
 from sedimenta.llm.content_sort import content_sort
+from sedimenta.llm.quality_rules import BASE, apply_policy, ledger
 from sedimenta.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +43,35 @@ def query(oracle: str | None = None):
 def op7_content_sort(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with the row that stays of its group of equal texts."""
     return content_sort(table(spark, sf, "documents"))
+
+
+@query()
+def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The ledger of every document with the verdict of the production policy."""
+    entries = apply_policy(ledger(table(spark, sf, "documents")), "prose-1", "kept")
+    base_failed = F.col("failed").bitwiseAND(F.lit(BASE)) != 0
+    return entries.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        base_failed.alias("base_failed"),
+        (~base_failed & F.col("kept")).alias("kept"),
+        "failed",
+    )
+
+
+@query()
+def op1_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document encoded and decoded again, as counts and digests."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    ids = encode_texts(docs, vocabulary, public_tokenizers.PATTERN)
+    return decode_ids(ids, vocabulary).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
