@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.bpe import decode_ids, encode_texts
 from sedimenta.llm.content_sort import content_sort
+from sedimenta.llm.packing import pack_documents
 from sedimenta.llm.quality_rules import BASE, apply_policy, ledger
+from sedimenta.llm.token_files import new_token_file, read_token_file, tokenise, write_token_file
 from sedimenta.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +77,18 @@ def op1_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents as pieces of packed sequences."""
+    return pack_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op6_token_file(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents written to a token file and read back."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    path = new_token_file(spark)
+    write_token_file(tokenise(table(spark, sf, "documents"), vocabulary, end_id=2, spaces=False), path)
+    return read_token_file(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
