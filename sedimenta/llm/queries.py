@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.bpe import decode_ids, encode_texts
 from sedimenta.llm.content_sort import content_sort
+from sedimenta.llm.html_blocks import extract_text
 from sedimenta.llm.packing import pack_documents
 from sedimenta.llm.quality_rules import BASE, apply_policy, ledger
 from sedimenta.llm.token_files import new_token_file, read_token_file, tokenise, write_token_file
@@ -92,3 +93,9 @@ def op6_token_file(spark: SparkSession, sf: str) -> DataFrame:
     path = new_token_file(spark)
     write_token_file(tokenise(table(spark, sf, "documents"), vocabulary, end_id=2, spaces=False), path)
     return read_token_file(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query()
+def op9_html_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_text(table(spark, sf, "pages"))
