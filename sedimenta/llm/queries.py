@@ -12,6 +12,7 @@ from sedimenta.llm.bpe import decode_ids, encode_texts
 from sedimenta.llm.content_sort import content_sort
 from sedimenta.llm.html_blocks import extract_text
 from sedimenta.llm.packing import pack_documents
+from sedimenta.llm.ppm import score_texts
 from sedimenta.llm.quality_rules import BASE, apply_policy, ledger
 from sedimenta.llm.token_files import new_token_file, read_token_file, tokenise, write_token_file
 from sedimenta.plans.registry import table
@@ -99,3 +100,10 @@ def op6_token_file(spark: SparkSession, sf: str) -> DataFrame:
 def op9_html_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """The main text of every page."""
     return extract_text(table(spark, sf, "pages"))
+
+
+@query()
+def op8_ppm(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document under a model of the documents whose id does not fall into fold 2 of 7."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    return score_texts(table(spark, sf, "documents"), held_out)
