@@ -14,6 +14,7 @@ from sedimenta.llm.html_blocks import extract_text
 from sedimenta.llm.packing import pack_documents
 from sedimenta.llm.ppm import score_texts
 from sedimenta.llm.quality_rules import BASE, apply_policy, ledger
+from sedimenta.llm.signature_trees import jaccard_components
 from sedimenta.llm.token_files import new_token_file, read_token_file, tokenise, write_token_file
 from sedimenta.plans.registry import table
 
@@ -107,3 +108,9 @@ def op8_ppm(spark: SparkSession, sf: str) -> DataFrame:
     """Every document under a model of the documents whose id does not fall into fold 2 of 7."""
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
     return score_texts(table(spark, sf, "documents"), held_out)
+
+
+@query()
+def op10_signature_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with the component of documents that links lead to."""
+    return jaccard_components(table(spark, sf, "documents"))
