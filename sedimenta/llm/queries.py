@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 from sedimenta.llm.bpe import decode_ids, encode_texts
 from sedimenta.llm.content_sort import content_sort
 from sedimenta.llm.html_blocks import extract_text
+from sedimenta.llm.language_id import identify
+from sedimenta.llm.line_templates import drop_recurring
 from sedimenta.llm.packing import pack_documents
 from sedimenta.llm.ppm import score_texts
 from sedimenta.llm.quality_rules import BASE, apply_policy, ledger
@@ -22,11 +26,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers of this session import the package from where the driver has it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def query(oracle: str | None = None):
     """Register a query under its function name."""
 
     def register(fn):
-        QUERIES[fn.__name__] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            share_code(spark)
+            return fn(spark, sf)
+
+        QUERIES[fn.__name__] = run
         if oracle:
             ORACLES[fn.__name__] = oracle
         return fn
@@ -93,7 +110,7 @@ def op6_token_file(spark: SparkSession, sf: str) -> DataFrame:
     """All documents written to a token file and read back."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     path = new_token_file(spark)
-    write_token_file(tokenise(table(spark, sf, "documents"), vocabulary, end_id=2, spaces=False), path)
+    write_token_file(tokenise(table(spark, sf, "documents"), vocabulary, end_id=2, byte_level=False), path)
     return read_token_file(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
@@ -114,3 +131,15 @@ def op8_ppm(spark: SparkSession, sf: str) -> DataFrame:
 def op10_signature_trees(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with the component of documents that links lead to."""
     return jaccard_components(table(spark, sf, "documents"))
+
+
+@query()
+def op2_line_templates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the lines whose template recurs across documents."""
+    return drop_recurring(table(spark, sf, "documents"))
+
+
+@query()
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with the language that text, declaration and source speak for."""
+    return identify(table(spark, sf, "documents"))
