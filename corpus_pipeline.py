@@ -2,13 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.content_sort import content_sort, normalised
+from sedimenta.llm.language_id import identify
+from sedimenta.llm.packing import pack_documents
+from sedimenta.llm.quality_rules import apply_policy, ledger
+from sedimenta.llm.queries import share_code
+from sedimenta.llm.signature_trees import jaccard_components
 from sedimenta.plans.registry import table
 from sedimenta.session import stage
 
+POLICY = "prose-1"
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def row_key() -> Column:
+    """What tells rows apart even where doc_id is null or repeated; rows that agree in it are the same document."""
+    return F.struct("doc_id", F.xxhash64("text").alias("text"))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail no rule of the policy. Null and empty texts go."""
+    rows = docs.withColumn("_row", F.struct(*docs.columns))
+    return apply_policy(ledger(rows, carry="_row"), POLICY).filter("kept").select("_row.*")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language, whatever they declare."""
+    key = F.struct(row_key().alias("row"), "lang", "source")  # all that a decision depends on
+    keyed = docs.withColumn("_key", key)
+    kept = identify(keyed, carry=("_key",)).filter("kept").select("_key").distinct()
+    return keyed.join(kept, "_key", "left_semi").select(*docs.columns)
+
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows that `content_sort` keeps. Of rows that repeat a kept one under its id, the longest stays."""
@@ -24,11 +52,32 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every component of linked documents the one with the smallest id; documents without words stay."""
+    keyed = docs.withColumn("_key", row_key())
+    kept = jaccard_components(keyed, id_col="_key").filter("doc_id <=> component_id").select(F.col("doc_id").alias("_key"))
+    return keyed.join(kept.distinct(), "_key", "left_semi").select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences."""
+    return pack_documents(docs, public_tokenizers.path(VOCABULARY))
+
+
+STAGES = [
+    ("quality", quality),
+    ("language", language),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("packing", packing),
+]
+# Components of links, subset sums and tokenizers are beyond SQL; tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder."""
+    share_code(spark)
     docs = table(spark, sf_dir, "documents")
     for name, apply in STAGES:
         docs = stage(apply(spark, docs, sf_dir), name)

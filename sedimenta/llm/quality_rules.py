@@ -76,8 +76,9 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [measure(t.as_py()) for t in batch.column(1)]
         columns = list(zip(*rows)) if rows else [()] * len(MEASURES)
-        yield pa.record_batch(
-            [batch.column(0), *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", *MEASURES]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *(pa.array(c, pa.int64()) for c in columns), *batch.columns[2:]],
+            names=["doc_id", *MEASURES, *batch.schema.names[2:]],
         )
 
 
@@ -123,20 +124,21 @@ POLICIES: Mapping[str, int] = {
 }
 
 
-def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: str | None = None) -> DataFrame:
     """One row per row of `docs`: doc_id, the measurements, and `failed`, the bits of failed rules.
 
     Null and empty texts have no words and fail `few_words`. Rows that repeat an id are measured
-    each. Other columns are ignored. Nothing is shuffled.
+    each. Other columns are ignored, but for the one named by `carry`, which is passed on. Nothing is shuffled.
     """
-    pairs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = pairs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, " + ", ".join(f"{m} long" for m in MEASURES)
+    more = [F.col(carry)] if carry else []
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *more)
+    measures = [F.lit(0).cast("long").alias(m) for m in MEASURES]
+    schema = rows.select("doc_id", *measures, *more).schema
     bits = [F.when(r.fails, F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(rules())]
     failed = bits[0]
     for b in bits[1:]:
         failed = failed.bitwiseOR(b)
-    return pairs.mapInArrow(_measured, schema).withColumn("failed", failed.cast("long"))
+    return rows.mapInArrow(_measured, schema).withColumn("failed", failed.cast("long"))
 
 
 def apply_policy(entries: DataFrame, policy: str = "prose-1", out: str = "kept") -> DataFrame:
