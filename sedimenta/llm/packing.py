@@ -32,8 +32,10 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = tokenizer(vocabulary, True).ids
         for batch in batches:
-            found = [x + end for x in ids(t.as_py() for t in batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "ids"])
+            for s in range(0, batch.num_rows, 1024):  # rows that a task holds at once
+                part = batch.slice(s, 1024)
+                found = [x + end for x in ids(t.as_py() for t in part.column(1))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["doc_id", "ids"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, ids binary")
 

@@ -27,8 +27,8 @@ from sedimenta.session import new_path, stage
 
 SCALE_BITS = 20
 LOW_BITS = 31  # a lane's state lies in [2^31, 2^63) between symbols
-LANES = 256
-BLOCK_IDS = 1 << 18
+LANES = 1024
+BLOCK_IDS = 1 << 19
 CHECKPOINT_STEPS = 256
 
 
@@ -124,48 +124,68 @@ class Coder:
         return out.reshape(-1)[: n - first * CHECKPOINT_STEPS * LANES]
 
 
+SLICE = 1024  # rows that a task holds at once
+
+
+def narrow(ids: bytes) -> bytes:
+    """The same ids (little-endian unsigned 32-bit) in 16 bits each, where they fit."""
+    wide = np.frombuffer(ids, "<u4")
+    return wide.astype("<u2").tobytes() if len(wide) and int(wide.max()) < 1 << 16 else ids
+
+
+def widen(ids: bytes, n: int) -> np.ndarray:
+    """`n` ids as they were before `narrow`."""
+    return np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4")
+
+
 def tokenise(
-    docs: DataFrame, vocabulary: str, end_id: int, spaces: bool, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, vocabulary: str, end_id: int, byte_level: bool, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id and ids of every row, ended by `end_id`; null text is empty."""
+    """doc_id, n and ids of every row, ended by `end_id`, in 16 bits each where they fit; null text is empty."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = tokenizer(vocabulary, spaces).ids
+        ids = tokenizer(vocabulary, byte_level).ids
         for batch in batches:
-            found = [x + end for x in ids(t.as_py() for t in batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "ids"])
+            for s in range(0, batch.num_rows, SLICE):
+                part = batch.slice(s, SLICE)
+                found = [x + end for x in ids(t.as_py() for t in part.column(1))]
+                n = pa.array([len(x) // 4 for x in found], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), n, pa.array(map(narrow, found), pa.binary())], names=["doc_id", "n", "ids"]
+                )
 
-    return rows.mapInArrow(run, f"doc_id {kind}, ids binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, n long, ids binary")
 
 
 def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
     for batch in batches:
-        for ids in batch.column(0):
-            more = np.bincount(np.frombuffer(ids.as_py() or b"", "<u4"))
+        for s in range(0, batch.num_rows, SLICE):
+            part = batch.slice(s, SLICE)
+            found = [widen(x.as_py(), n) for n, x in zip(part.column(0).to_pylist(), part.column(1))]
+            more = np.bincount(np.concatenate(found))
             if len(more) > len(counts):
-                counts, more = more.astype(np.int64), counts
+                counts, more = more, counts
             counts[: len(more)] += more
     seen = np.flatnonzero(counts)
     yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], names=["id", "n"])
 
 
-def write_token_file(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> None:
-    """Write the ids of all rows in ascending order of doc_id (null ids first, ties by their ids).
+def write_token_file(tokens: DataFrame, path: str) -> None:
+    """Write the ids of all rows (doc_id, n, ids) in ascending order of doc_id, null first, ties by their ids.
 
     The frequency table has at most as many rows as the vocabulary has ids. Parts are ranges of doc_id; within a
     part a task streams through its rows and keeps one block in memory (`BLOCK_IDS` ids, or one
-    document if that is longer). Null ids columns count as no ids.
+    document if that is longer).
     """
     spark = tokens.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = stage(
-        tokens.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids")), "token-ids"
-    )
-    rows = staged.select("ids").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    staged = stage(tokens.select("doc_id", "n", "ids"), "token-ids")
+    kind = staged.schema["doc_id"].dataType.simpleString()
+    rows = staged.select("n", "ids").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = {r.id: r.n for r in rows.collect()}
     counts = np.zeros(max(found, default=0) + 1, np.int64)
     counts[list(found)] = list(found.values())
@@ -173,19 +193,17 @@ def write_token_file(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_c
     table = spark.createDataFrame([(SCALE_BITS, bytearray(freq.astype("<u4").tobytes()))], "bits int, freq binary")
     table.coalesce(1).write.parquet(f"{path}/table")
 
-    kind = staged.schema["doc_id"].dataType.simpleString()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder.of(freq, decode=False)
         part = TaskContext.get().partitionId()
         names: list = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         size, block, before = 0, 0, 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
+            ids = np.concatenate(held).astype("<u4")
             words, marks = coder.encode(ids)
-            lengths = [len(x) // 4 for x in held]
+            lengths = list(map(len, held))
             return pa.record_batch(
                 {
                     "part": pa.array([part], pa.int32()),
@@ -204,10 +222,10 @@ def write_token_file(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_c
         doc_type = pa.int64()
         for batch in batches:
             doc_type = batch.schema.field(0).type
-            for name, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for name, n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 names.append(name)
-                held.append(ids.as_py())
-                size += len(held[-1]) // 4
+                held.append(widen(ids.as_py(), n))
+                size += n
                 if size >= BLOCK_IDS:
                     yield flush()
                     names, held, block, before, size = [], [], block + 1, before + size, 0
