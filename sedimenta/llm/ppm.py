@@ -17,9 +17,11 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -160,23 +162,59 @@ def merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def slices(texts: list[bytes], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about `size` bytes."""
+def slices(texts: list[bytes], size: int = 4 << 20, most: int = 1 << 15) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about `size` bytes and at most `most` texts."""
     begin, held = 0, 0
     for i, text in enumerate(texts):
         held += len(text)
-        if held >= size:
+        if held >= size or i + 1 - begin == most:
             yield begin, i + 1
             begin, held = i + 1, 0
     if begin < len(texts):
         yield begin, len(texts)
 
 
+def squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def restore(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted numbers as compressed differences."""
+    return squeeze(np.diff(keys, prepend=0).astype("<i8").tobytes())
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(restore(data), "<i8"))
+
+
 def gram_bucket(packed: np.ndarray, buckets: int) -> np.ndarray:
     mixed = packed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return (mixed >> np.uint64(33)).astype(np.int64) % buckets
 
 
+def word_order(words) -> np.ndarray:
+    """Distinct words in the order in which a chunk asks for them inside a bucket."""
+    distinct = sorted(set(words))
+    out = np.empty(len(distinct), object)
+    out[:] = distinct
+    return out
+
+
+def word_bucket(words: np.ndarray, buckets: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+
+
+def by_bucket(of: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """(order by bucket, buckets, span of each bucket in that order)."""
+    by = np.argsort(of, kind="stable")
+    found, begin = np.unique(of[by], return_index=True)
+    return by, found, list(zip(begin.tolist(), [*begin[1:].tolist(), len(of)]))
+
+
 def _chunk_rows(texts: list[bytes], ids: list, held: list[bool], chunk: int, buckets: int, order: int, id_type):
     """The record batches of one chunk: its documents, its grams and its words by bucket."""
 
@@ -195,7 +233,7 @@ def _chunk_rows(texts: list[bytes], ids: list, held: list[bool], chunk: int, buc
             names=["kind", "chunk", "bucket", "a", "b", "ids", "held"],
         )
 
-    yield rows(0, [0], [b"\n".join(texts)], [None], [ids], [held])
+    yield rows(0, [0], [squeeze(b"\n".join(texts))], [None], [ids], [held])
     parts = []
     for begin, end in slices(texts):
         for out in (False, True):
@@ -206,39 +244,54 @@ def _chunk_rows(texts: list[bytes], ids: list, held: list[bool], chunk: int, buc
                 n = np.diff(np.concatenate([first, [len(packed)]]))
                 parts.append((packed[first], n * (not out)))
     keys, counts = merge(parts)
-    of = gram_bucket(keys, buckets)
-    by = np.argsort(of, kind="stable")
+    by, found, spans = by_bucket(gram_bucket(keys, buckets))
     keys, counts = keys[by], counts[by].astype("<i4")
-    found, begin = np.unique(of[by], return_index=True)
-    ends = [*begin[1:].tolist(), len(keys)]
-    spans = list(zip(begin.tolist(), ends))
-    yield rows(1, found, [keys[s:e].tobytes() for s, e in spans], [counts[s:e].tobytes() for s, e in spans])
+    yield rows(1, found, [pack_keys(keys[s:e]) for s, e in spans], [squeeze(counts[s:e].tobytes()) for s, e in spans])
 
     words = Counter()
     for text, out in zip(texts, held):
         if not out:
             words.update(text.split())
-    for text, out in zip(texts, held):
-        if out:
-            for word in text.split():
-                words.setdefault(word, 0)
-    if words:
-        names = np.array(list(words), object)
-        n = np.fromiter(words.values(), "<i4", len(words))
-        of = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
-        by = np.argsort(of, kind="stable")
+    names = word_order(chain.from_iterable(t.split() for t in texts))
+    if len(names):
+        n = np.fromiter(map(words.__getitem__, names), "<i4", len(names))
+        by, found, spans = by_bucket(word_bucket(names, buckets))
         names, n = names[by], n[by]
-        found, begin = np.unique(of[by], return_index=True)
-        spans = list(zip(begin.tolist(), [*begin[1:].tolist(), len(names)]))
-        yield rows(2, found, [b" ".join(names[s:e]) for s, e in spans], [n[s:e].tobytes() for s, e in spans])
+        yield rows(
+            2, found, [squeeze(b" ".join(names[s:e])) for s, e in spans], [squeeze(n[s:e].tobytes()) for s, e in spans]
+        )
 
 
-def _longs(x) -> np.ndarray:
-    return np.frombuffer(x.as_py(), "<i8")
+def _ints(x) -> np.ndarray:
+    return np.frombuffer(restore(x.as_py()), "<i4").astype(np.int64)
 
 
-def _ints(x) -> np.ndarray:
-    return np.frombuffer(x.as_py(), "<i4").astype(np.int64)
+def _words(x) -> list[bytes]:
+    return restore(x.as_py()).split(b" ")
+
+
+def _answers(kind: int, asked: pa.Table, found: list[bytes]) -> pa.Table:
+    """For each row of a bucket what was found for its grams or words, in the order in which it named them."""
+    return pa.table(
+        {
+            "kind": pa.array([kind] * len(found), pa.int32()),
+            "chunk": asked["chunk"],
+            "bucket": asked["bucket"],
+            "found": pa.array(found, pa.binary()),
+        }
+    )
+
+
+def gram_scores(texts: list[bytes], keys: np.ndarray, logs: np.ndarray, order: int) -> np.ndarray:
+    """What the grams of each text sum up to. Grams are sorted with the number of their text behind
+    them, so that looking them up in the sorted `keys` runs through memory in order."""
+    packed, sizes = grams(texts, order)
+    bits = max(1, (len(texts) - 1).bit_length())
+    assert 8 * (order + 1) + bits <= 63
+    packed = packed << bits | np.repeat(np.arange(len(texts)), sizes)
+    packed.sort()
+    text = packed & ((1 << bits) - 1)
+    return np.bincount(text, weights=logs[np.searchsorted(keys, packed >> bits)], minlength=len(texts))
 
 
 def score_texts(
@@ -247,7 +300,7 @@ def score_texts(
     id_col: str = "doc_id",
     text_col: str = "text",
     order: int = ORDER,
-    chunk_bytes: int = 2 * CHUNK_BYTES,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -290,7 +343,7 @@ def score_texts(
     wanted = staged.filter("kind = 1").select("chunk", "bucket", "a", "b")
 
     def total(table: pa.Table) -> pa.Table:
-        keys, counts = merge([(_longs(a), _ints(b)) for a, b in zip(table["a"], table["b"])])
+        keys, counts = merge([(unpack_keys(a.as_py()), _ints(b)) for a, b in zip(table["a"], table["b"])])
         return pa.table({"gram": keys, "n": counts})
 
     trie = stage(wanted.groupBy("bucket").applyInArrow(total, "gram long, n long"), "ppm-trie")
@@ -313,40 +366,30 @@ def score_texts(
         keys, found = known["gram"].to_numpy(), known["value"].to_numpy()
         by = np.argsort(keys)
         keys, found = keys[by], found[by]
-        out = [found[np.searchsorted(keys, _longs(a))].tobytes() for a in asked["a"]]
-        return pa.table(
-            {"chunk": asked["chunk"], "grams": asked["a"], "words": pa.nulls(len(out), pa.binary()), "found": pa.array(out, pa.binary())}
-        )
+        return _answers(1, asked, [squeeze(found[np.searchsorted(keys, unpack_keys(a.as_py()))].astype("<f4").tobytes()) for a in asked["a"]])
 
-    answers = "chunk long, grams binary, words binary, found binary"
-    gram_answers = wanted.groupBy("bucket").cogroup(valued.groupBy("bucket")).applyInArrow(answer, answers)
+    answers = "kind int, chunk long, bucket int, found binary"
+    gram_answers = wanted.drop("b").groupBy("bucket").cogroup(valued.groupBy("bucket")).applyInArrow(answer, answers)
 
     def recount(table: pa.Table) -> pa.Table:
         words: dict[bytes, int] = {}
-        rows = [(a.as_py().split(b" "), b) for a, b in zip(table["a"], table["b"])]
+        rows = [(_words(a), b) for a, b in zip(table["a"], table["b"])]
         for names, b in rows:
             for word, n in zip(names, _ints(b).tolist()):
                 words[word] = words.get(word, 0) + n
-        out = [np.array([words[w] for w in names], "<i8").tobytes() for names, _ in rows]
+        out = [squeeze(np.fromiter(map(words.__getitem__, names), "<i8", len(names)).tobytes()) for names, _ in rows]
         known = [n for n in words.values() if n]
-        return pa.table(
-            {
-                "chunk": table["chunk"],
-                "words": table["a"],
-                "found": pa.array(out, pa.binary()),
-                "n": pa.array([sum(known)] + [0] * (len(out) - 1), pa.int64()),
-                "kinds": pa.array([len(known)] + [0] * (len(out) - 1), pa.int64()),
-            }
-        )
+        found = _answers(2, table, out)
+        found = found.append_column("n", pa.array([sum(known)] + [0] * (len(out) - 1), pa.int64()))
+        return found.append_column("kinds", pa.array([len(known)] + [0] * (len(out) - 1), pa.int64()))
 
     counted = stage(
         staged.filter("kind = 2")
         .select("chunk", "bucket", "a", "b")
         .groupBy("bucket")
-        .applyInArrow(recount, "chunk long, words binary, found binary, n long, kinds long"),
+        .applyInArrow(recount, f"{answers}, n long, kinds long"),
         "ppm-words",
     )
-    word_answers = counted.select("chunk", F.lit(None).cast("binary").alias("grams"), "words", "found")
     sums = counted.agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).head()
     texts = staged.filter("kind = 0").select("chunk", "a", "ids", "held")
     learned = texts.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).head()[0] or 0
@@ -354,22 +397,19 @@ def score_texts(
     spread = float(np.log10(train_tokens + (sums.kinds or 0) + (learned > 0) + 1))
 
     def score(chunk: pa.Table, found: pa.Table) -> pa.Table:
-        keys, logs, counts = [], [], {}
-        for g, w, f in zip(found["grams"], found["words"], found["found"]):
-            if g.is_valid:
-                keys.append(_longs(g))
-                logs.append(np.frombuffer(f.as_py(), "<f8"))
-            else:
-                counts.update(zip(w.as_py().split(b" "), _longs(f).tolist()))
-        keys, logs = np.concatenate(keys), np.concatenate(logs)
-        by = np.argsort(keys)
-        keys, logs = keys[by], logs[by]
+        bodies = restore(chunk["a"][0].as_py()).split(b"\n")
+        rows = sorted(zip(found["kind"].to_pylist(), found["bucket"].to_pylist(), found["found"]), key=lambda r: r[:2])
+        keys = np.unique(np.concatenate([np.unique(grams(bodies[s:e], order)[0]) for s, e in slices(bodies)]))
+        logs = np.empty(len(keys))
+        by, _, _ = by_bucket(gram_bucket(keys, buckets))
+        logs[by] = np.concatenate([np.frombuffer(restore(r[2].as_py()), "<f4") for r in rows if r[0] == 1])
+        names = word_order(chain.from_iterable(b.split() for b in bodies))
+        by, _, _ = by_bucket(word_bucket(names, buckets))
+        known = [np.frombuffer(restore(r[2].as_py()), "<i8") for r in rows if r[0] == 2]
+        counts = dict(zip(names[by], np.concatenate(known).tolist())) if known else {}
         out = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
-        bodies = chunk["a"][0].as_py().split(b"\n")
         for begin, end in slices(bodies):
-            packed, sizes = grams(bodies[begin:end], order)
-            cost = logs[np.searchsorted(keys, packed)]
-            out["score"].append(np.add.reduceat(cost, np.cumsum(sizes) - sizes))
+            out["score"].append(gram_scores(bodies[begin:end], keys, logs, order))
             seen, tokens = [], []
             for body in bodies[begin:end]:
                 words = body.split()
@@ -396,7 +436,7 @@ def score_texts(
 
     return (
         texts.groupBy("chunk")
-        .cogroup(gram_answers.unionByName(word_answers).groupBy("chunk"))
+        .cogroup(gram_answers.unionByName(counted.select("kind", "chunk", "bucket", "found")).groupBy("chunk"))
         .applyInArrow(
             score,
             f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
