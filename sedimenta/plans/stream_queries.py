@@ -9,13 +9,17 @@ from sedimenta.session import new_path
 from sedimenta.streaming import incremental
 
 
-def _landed(spark, sf, overlap: bool):
-    """The events as files of a landing folder; with overlap, some are delivered twice."""
+def _landed(spark, sf):
+    """The events as files of a landing folder. Some are delivered twice, and half of the clicks
+    come with a copy that is far too late, in the same file and before the row itself."""
     path = new_path(spark, "landed")
     events = table(spark, sf, "events")
-    events.repartition(4, "user_id").write.parquet(path)
-    if overlap:
-        events.where("event_type = 'click'").write.mode("append").parquet(path)
+    events.where("event_type <> 'click'").repartition(4, "user_id").write.parquet(path)
+    late = events.where("event_type = 'click' AND event_id % 2 = 0")
+    late = late.withColumn("ts", F.col("ts") - F.expr("INTERVAL 400 DAYS")).withColumn("value", F.lit(-1.0))
+    clicks = events.where("event_type = 'click'").unionByName(late)
+    clicks.repartition(2, "event_id").sortWithinPartitions("ts").write.mode("append").parquet(path)
+    events.where("event_type = 'view'").write.mode("append").parquet(path)
     return path, events.schema
 
 
@@ -35,7 +39,7 @@ def stream_ingest(spark, sf):
 
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def stream_dedupe(spark, sf):
-    path, schema = _landed(spark, sf, overlap=True)
+    path, schema = _landed(spark, sf)
     stream = incremental.read_new_files(spark, path, schema, max_files=2)
     sink = new_path(spark, "sink")
     unique = incremental.stream_dedupe(stream, ["event_id"], "ts", "45 days")
@@ -49,15 +53,16 @@ def stream_dedupe(spark, sf):
 SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""")
 def stream_upsert(spark, sf):
-    """The newest event per user, upserted from two deliveries into a table of key buckets."""
+    """The newest event per user, upserted from two deliveries, the newer one first and then the
+    older one, into a table of key buckets. The second run asks for other buckets and gets the stored ones."""
     path, target, mark = (new_path(spark, n) for n in ("landed", "target", "mark"))
     events = table(spark, sf, "events").withColumn("idade", -F.col("event_id"))
     half = F.lit(events.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0])
-    events.where(F.col("event_id") <= half).coalesce(1).write.parquet(path)
+    events.where(F.col("event_id") > half).write.parquet(path)
     stream = incremental.read_new_files(spark, path, events.schema)
     incremental.stream_upsert(stream, target, mark, "user_id", ["idade"], buckets=8)
-    events.where(F.col("event_id") > half).coalesce(1).write.mode("append").parquet(path)
-    incremental.stream_upsert(stream, target, mark, "user_id", ["idade"], buckets=8)
+    events.where(F.col("event_id") <= half).write.mode("append").parquet(path)
+    incremental.stream_upsert(stream, target, mark, "user_id", ["idade"], buckets=32)
     return spark.read.schema(events.schema).parquet(target).select(
         "user_id", "event_id", "event_type", "value"
     )

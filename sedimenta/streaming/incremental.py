@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.operators.dedupe import keep_first
-from sedimenta.operators.merge import upsert
-from sedimenta.session import stage
+from sedimenta.session import path_exists, stage
 from sedimenta.sources.landing import column
-from sedimenta.sources.tables import read_table
 
 
 def read_new_files(
@@ -38,33 +36,25 @@ def stream_ingest(stream: DataFrame, sink: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def _thinned(stream: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Drop repeated keys inside each Arrow batch, before the rows are shuffled to their state."""
-    names = list(key)
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            at = pa.array(range(rows.num_rows), pa.int64())
-            first = rows.select(names).append_column("__at", at).group_by(names).aggregate([("__at", "min")])
-            yield from rows.take(first["__at_min"].combine_chunks().sort()).to_batches()
-
-    return stream.mapInArrow(run, stream.schema)
-
-
 def stream_dedupe(stream: DataFrame, key: Sequence[str], time: str, delay: str) -> DataFrame:
     """First row per key among those that arrive within `delay` of each other.
 
     The delay bounds the state: a key is forgotten once the watermark has passed it. A
-    timestamp without zone is taken as UTC, since a watermark needs an instant. Repetitions
-    are thinned out before the shuffle, so a hot key does not send all its rows to one task.
+    timestamp without zone is taken as UTC, since a watermark needs an instant. Rows behind
+    the watermark are dropped first, so a late row never hides a timely one of its key.
     """
     data_type = stream.schema[time].dataType
     if not isinstance(data_type, T.TimestampType):
         stream = stream.withColumn(time, column(time).cast("timestamp"))
-    return _thinned(stream, key).withWatermark(time, delay).dropDuplicatesWithinWatermark(list(key))
+    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(key))
+
+
+def _bucket_count(spark: SparkSession, target: str, buckets: int) -> int:
+    """The number of buckets the table was laid out with; stored when it is first written."""
+    path = f"{target.rstrip('/')}/_layout"  # readers of the table pass over names with an underscore
+    if not path_exists(spark, path):
+        spark.range(1, numPartitions=1).select(F.lit(buckets).alias("buckets")).write.parquet(path)
+    return spark.read.schema("buckets int").parquet(path).first()["buckets"]
 
 
 def stream_upsert(
@@ -77,21 +67,25 @@ def stream_upsert(
 ) -> None:
     """Upsert every micro-batch into a table that is partitioned by the hash of its key.
 
-    Only the buckets that a batch touches are read and rewritten. The merged rows are
-    written to the shared folder first; a batch that is run again after a failure merges
-    the same rows into the same buckets, so it ends in the same table. Of several rows with
-    one key in a batch, the first by `order` counts.
+    Of several rows with one key the first by `order` counts, stored rows included, so the
+    result does not depend on how files fall into micro-batches; of rows that are equal in
+    `order`, a new one replaces a stored one. Only the buckets that a batch touches are read
+    and rewritten; their number is stored with the table when it is created, and `buckets`
+    holds for new tables only. The merged rows are written to the shared folder first; a
+    batch that is run again after a failure ends in the same table.
     """
+    spark = stream.sparkSession
     layout = T.StructType([*stream.schema.fields, T.StructField("bucket", T.IntegerType())])
-    bucket = F.pmod(F.xxhash64(column(key)), F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64(column(key)), F.lit(_bucket_count(spark, target, buckets))).cast("int")
 
     def apply(batch: DataFrame, _: int) -> None:
         updates = stage(keep_first(batch, [key], order).withColumn("bucket", bucket), "updates")
         touched = [r["bucket"] for r in updates.select("bucket").distinct().collect()]  # <= buckets
         if not touched:
             return
-        old = read_table(batch.sparkSession, target, layout, optional=True)
-        merged = stage(upsert(old.where(F.col("bucket").isin(touched)), updates, [key]), "merged")
+        old = batch.sparkSession.read.schema(layout).parquet(target).where(F.col("bucket").isin(touched))
+        both = updates.withColumn("__stored", F.lit(0)).unionByName(old.withColumn("__stored", F.lit(1)))
+        merged = stage(keep_first(both, [key], [*order, "__stored"]).drop("__stored"), "merged")
         (
             merged.hint("rebalance", "bucket")  # files of the advised size; a large bucket is split
             .write.mode("overwrite")

@@ -41,19 +41,32 @@ def test_dedupe_equals_the_batch(spark, folder):
 
 
 def test_upsert_equals_the_batch_and_touches_only_its_buckets(spark, folder):
-    deliver(spark, folder, [(i, at(1), 1) for i in range(40)])
+    deliver(spark, folder, [(i, at(1), 10) for i in range(40)])
     schema = spark.createDataFrame([], SCHEMA).schema
     stream = incremental.read_new_files(spark, folder + "/in", schema)
     out, mark = folder + "/out", folder + "/mark"
     incremental.stream_upsert(stream, out, mark, "id", ["v"], buckets=8)
     before = {r[0] for r in spark.read.parquet(out).select(F.input_file_name()).distinct().collect()}
-    deliver(spark, folder, [(3, at(2), 2), (3, at(2), 9), (100, at(2), 5)])
-    incremental.stream_upsert(stream, out, mark, "id", ["v"], buckets=8)
+    deliver(spark, folder, [(3, at(2), 2), (3, at(2), 9), (4, at(2), 11), (5, at(2), 10), (100, at(2), 5)])
+    incremental.stream_upsert(stream, out, mark, "id", ["v"], buckets=32)  # the stored number holds
     got = dict(values(spark.read.parquet(out), "id", "v"))
-    assert got == {**{i: 1 for i in range(40)}, 3: 2, 100: 5}
+    assert got == {**{i: 10 for i in range(40)}, 3: 2, 100: 5}
+    stored = {r.id: r.ts for r in spark.read.parquet(out).collect()}
+    assert stored[5] == at(2) and stored[4] == at(1)  # equal in order: the new row; behind: the stored one
     after = {r[0] for r in spark.read.parquet(out).select(F.input_file_name()).distinct().collect()}
     assert before & after, "untouched buckets keep their files"
     # the same delivery under a new checkpoint is applied again: nothing changes
     incremental.stream_upsert(stream, out, folder + "/mark2", "id", ["v"], buckets=8)
     assert dict(values(spark.read.parquet(out), "id", "v"))[100] == 5
     assert spark.read.parquet(out).count() == 41
+
+
+def test_a_late_row_does_not_hide_a_timely_one(spark, folder):
+    deliver(spark, folder, [(1, at(10), 1)])
+    schema = spark.createDataFrame([], SCHEMA).schema
+    stream = incremental.read_new_files(spark, folder + "/in", schema, max_files=1)
+    unique = incremental.stream_dedupe(stream, ["id"], "ts", "1 day")
+    incremental.stream_ingest(unique, folder + "/out", folder + "/mark")
+    deliver(spark, folder, [(2, at(1), 2), (2, at(11), 3), (3, at(11), 4)])
+    incremental.stream_ingest(unique, folder + "/out", folder + "/mark")
+    assert values(spark.read.parquet(folder + "/out"), "id", "v") == [(1, 1), (2, 3), (3, 4)]
