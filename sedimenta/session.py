@@ -63,20 +63,21 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/sedimenta/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path for it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, target = _file_system(spark, path)
+    files, target = file_system(spark, path)
     return files.exists(target)
 
 
 def clear_stages(spark: SparkSession) -> None:
     """Delete the intermediate tables that this application wrote; call it when nothing reads
     them any more."""
-    files, target = _file_system(spark, f"{shared_dir(spark)}/sedimenta/{spark.sparkContext.applicationId}")
+    files, target = file_system(spark, f"{shared_dir(spark)}/sedimenta/{spark.sparkContext.applicationId}")
     files.delete(target, True)
 
 

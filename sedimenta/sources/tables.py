@@ -1,31 +1,30 @@
 """Tables on shared storage: reading, replacing, publishing a layer, batches, CSV.
 
-A layer is a folder with one run folder per publication and a small catalogue table
-that lists which path each table name stands for. Readers follow the newest entry, so
-a publication becomes visible as a whole when its catalogue rows are appended.
+A layer is a folder with one run folder per publication and one small catalogue file per
+version that tells which path each table name stands for. Readers follow the newest file, so
+a publication becomes visible as a whole, and two at once end up one after the other.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import threading
+import time
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import partial
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimenta.session import path_exists, together, write_counted
+from sedimenta.session import file_system, path_exists, together, write_counted
 from sedimenta.sources.landing import column
 
-_CATALOGUE = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("path", T.StringType()),
-    ]
-)
+_PATIENCE = 5.0
+_one_publication = threading.Lock()  # file systems differ in how they race inside one process
 
 
 def read_table(
@@ -49,10 +48,23 @@ class Layer:
         self.root = root.rstrip("/")
 
     def _entries(self) -> tuple[int, Mapping[str, str]]:
-        """The newest version: its number, and the path of each table name."""
-        listing = read_table(self.spark, f"{self.root}/_catalogue", _CATALOGUE, optional=True)
-        versions = listing.groupBy("version").agg(F.map_from_entries(F.collect_list(F.struct("name", "path"))))
-        return versions.orderBy(F.desc("version")).first() or (0, {})
+        """The newest version: its number, and the path of each table name.
+
+        Every version is one file. One that is still being written does not parse yet, so the version before holds.
+        """
+        files, folder = file_system(self.spark, f"{self.root}/_catalogue")
+        if not files.exists(folder):
+            return 0, {}
+        found = {f.getPath().getName(): f.getPath() for f in files.listStatus(folder)}
+        for name in sorted((n for n in found if n.endswith(".json")), reverse=True):
+            stream = files.open(found[name])
+            try:
+                return int(name.removesuffix(".json")), json.loads(bytes(stream.readAllBytes()))
+            except ValueError:
+                continue
+            finally:
+                stream.close()
+        return 0, {}
 
     def names(self) -> list[str]:
         return sorted(self._entries()[1])
@@ -63,31 +75,55 @@ class Layer:
             raise KeyError(f"{name} is not in {self.root}")
         return self.spark.read.parquet(tables[name])
 
-    def _publish(self, written: Mapping[str, str], keep: Mapping[str, str], version: int) -> None:
-        rows = [
-            F.struct(F.lit(version + 1).cast("bigint").alias("version"), F.lit(n).alias("name"), F.lit(p).alias("path"))
-            for n, p in {**keep, **written}.items()
-        ]
-        listing = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
-        listing.write.mode("append").parquet(f"{self.root}/_catalogue")  # one file: all rows or none
+    def _publish(self, change: Callable[[Mapping[str, str]], Mapping[str, str]]) -> None:
+        """Write the next version, which `change` makes of the newest one.
+
+        The file of a version is never overwritten: a publication that finds it taken starts from that one. One
+        that stays unfinished for `_PATIENCE` seconds was left behind by a failure, and its number is passed over.
+        """
+        waited = 0.0
+        while True:
+            with _one_publication:
+                version, tables = self._entries()
+                files, path = file_system(self.spark, f"{self.root}/_catalogue/{version + 1:012d}.json")
+                while files.exists(path) and waited >= _PATIENCE:
+                    version += 1
+                    files, path = file_system(self.spark, f"{self.root}/_catalogue/{version + 1:012d}.json")
+                if files.exists(path):  # another process is writing it
+                    time.sleep(0.1)
+                    waited += 0.1
+                    continue
+                try:
+                    stream = files.create(path, False)
+                except Py4JJavaError as e:
+                    if "FileAlreadyExists" not in str(e):
+                        raise
+                    continue
+                stream.write(bytearray(json.dumps(dict(change(tables))).encode()))
+                stream.close()
+                return
 
     def replace(self, name: str, df: DataFrame) -> bool:
         """Replace one table. An empty frame leaves the old one in place."""
         path = f"{self.root}/{uuid.uuid4().hex}/{name}"
         if not write_counted(df, path):
             return False
-        version, tables = self._entries()
-        self._publish({name: path}, tables, version)
+        self._publish(lambda tables: {**tables, name: path})
         return True
 
     def refresh(
-        self, tables: Mapping[str, DataFrame], keep_suffix: str = "_ia", skip_empty: bool = False
+        self,
+        tables: Mapping[str, DataFrame],
+        keep_suffix: str = "_ia",
+        skip_empty: bool = False,
+        check: Callable[[Mapping[str, DataFrame]], None] | None = None,
     ) -> list[str]:
         """Full refresh: all tables of the layer or none.
 
         Tables of the old version drop out, except those whose name ends in
         `keep_suffix` (enrichment that the refresh does not compute); these are carried
-        over by their path, without a copy.
+        over by their path, without a copy. `check` sees the written tables before they are
+        published and raises to keep the old version.
         """
         run = uuid.uuid4().hex
 
@@ -97,9 +133,9 @@ class Layer:
 
         done = together({name: partial(write, name) for name in tables})
         written = {name: path for name, (path, rows) in done.items() if rows or not skip_empty}
-        version, old = self._entries()
-        kept = {n: p for n, p in old.items() if n.endswith(keep_suffix) and n not in written}
-        self._publish(written, kept, version)
+        if check is not None:
+            check({name: self.spark.read.parquet(path) for name, path in written.items()})
+        self._publish(lambda old: {**{n: p for n, p in old.items() if n.endswith(keep_suffix)}, **written})
         return sorted(written)
 
 

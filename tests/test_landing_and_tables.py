@@ -1,13 +1,15 @@
 import datetime as dt
 import json
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.functions.vectors import from_text, to_text
-from sedimenta.session import new_path, shared_dir, stage_counted
+from sedimenta.session import new_path, shared_dir, stage_counted, together
 from sedimenta.sources import landing, tables
+from sedimenta.sources.tables import Layer
 from tests.conftest import values
 
 NESTED = (
@@ -167,3 +169,20 @@ def test_clear_stages_takes_only_its_own_folder(spark, folder, monkeypatch):
     session.clear_stages(spark)
     assert not session.path_exists(spark, f"{folder}/sedimenta/{spark.sparkContext.applicationId}")
     assert spark.read.parquet(folder + "/other").count() == 3
+
+
+def test_publications_at_once_keep_all_tables(spark, folder):
+    layer = Layer(spark, folder + "/layer")
+    together({f"t{i}": partial(layer.replace, f"t{i}", spark.range(i + 1)) for i in range(6)})
+    assert [layer.read(n).count() for n in layer.names()] == [1, 2, 3, 4, 5, 6]
+
+
+def test_an_unfinished_version_is_passed_over(spark, folder, monkeypatch):
+    layer = Layer(spark, folder + "/layer")
+    layer.replace("t", spark.range(3))
+    with open(folder + "/layer/_catalogue/000000000002.json", "w") as half:
+        half.write('{"t": "/not')
+    assert layer.read("t").count() == 3
+    monkeypatch.setattr(tables, "_PATIENCE", 0.2)
+    layer.replace("u", spark.range(4))
+    assert layer.names() == ["t", "u"] and layer.read("u").count() == 4
