@@ -11,57 +11,42 @@ from pyspark.sql import functions as F
 from sedimenta.session import stage, stage_counted
 from sedimenta.sources.landing import column
 
-ONE_TASK_ROWS = 250_000  # up to here one task numbers the rows
+TASK_ROWS = 250_000  # rows that one task numbers
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
 def surrogate_key(
-    df: DataFrame,
-    name: str,
-    natural: Sequence[str],
-    partitions: int | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
+    df: DataFrame, name: str, natural: Sequence[str], partitions: int | None = None
 ) -> DataFrame:
-    """Dense numbers from 1 in the order of `natural` (then of the whole row)."""
-    return number_rows(df, name, natural, partitions, one_task_rows)[0]
+    """Dense numbers from 1 in the order of `natural` (then of the whole row), written once."""
+    return number_rows(df, name, natural, partitions)[0]
 
 
 def number_rows(
-    df: DataFrame,
-    name: str,
-    natural: Sequence[str],
-    partitions: int | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
-    reserved: Sequence[object] = (),
+    df: DataFrame, name: str, natural: Sequence[str], partitions: int | None = None, reserved: Sequence[object] = ()
 ) -> tuple[DataFrame, int | None]:
-    """`surrogate_key`, and the number of rows if `natural` turned out to be unique (and
-    none of its values reserved).
+    """`surrogate_key`, and the number of rows if `natural` is unique (and none of its values reserved).
 
-    The rows are written once, and counted as they are. A few are checked and numbered by
-    one task; more are numbered by `_numbered_in_parts`, and uniqueness is left open (None).
+    The rows are written as they come, counted on the way, numbered in ranges of about `TASK_ROWS`, and written
+    again with their numbers, so that readers find a table and no window.
     """
     rows, n = stage_counted(df, "rows")
-    if n > one_task_rows:
-        return _numbered_in_parts(rows, name, natural, partitions), None
-    rest = [column(c) for c in df.columns if c not in natural]
-    order = [column(c) for c in natural] + ([F.xxhash64(*rest)] if rest else [])
-    numbered = rows.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("bigint"))
-    keys = rows.select(*[column(c) for c in natural]).coalesce(1)
-    clash = (F.count(F.lit(1)) > 1) | F.first(column(natural[0]).isin(*reserved))
-    clashes = keys.groupBy(*[column(c) for c in natural]).agg(clash.alias("clash")).where("clash").count()
-    return numbered, n if clashes == 0 else None
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or max(1, min(most, -(-n // TASK_ROWS)))
+    numbered = stage(_numbered_in_parts(rows, name, natural, parts), "numbered")
+    twice = numbered.groupBy(*[column(c) for c in natural]).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    taken = numbered.where(column(natural[0]).isin(*reserved)) if reserved else None
+    clash = bool(twice.head(1)) or bool(taken is not None and taken.head(1))
+    return numbered, None if clash else n
 
 
-def _numbered_in_parts(
-    df: DataFrame, name: str, natural: Sequence[str], partitions: int | None = None
-) -> DataFrame:
+def _numbered_in_parts(df: DataFrame, name: str, natural: Sequence[str], n: int) -> DataFrame:
     """Range-partition, sort inside the partitions, write once with the position.
 
     The number is the position plus the rows of the partitions before, which is one small
     row per partition. A key with many rows is still split, as the hash of the row is part
     of the order.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [column(c) for c in natural]
     rest = [column(c) for c in df.columns if c not in natural]
     if rest:

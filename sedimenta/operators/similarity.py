@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.vectors import cosine
 from sedimenta.sources.landing import column
 
-# The labels are configuration and travel to every task; more than this is refused.
-LABEL_BYTES = 64 * 1024 * 1024
+LABEL_BLOCK = 8192  # labels that one scoring function holds
 
 
 def label_scorer(vectors: Sequence[Sequence[float]]):
@@ -24,8 +21,6 @@ def label_scorer(vectors: Sequence[Sequence[float]]):
     import numpy as np
 
     matrix = np.asarray(vectors, dtype="float64").T.copy()
-    if matrix.nbytes > LABEL_BYTES:
-        raise ValueError(f"label vectors take {matrix.nbytes} bytes; the limit is {LABEL_BYTES}")
 
     @F.arrow_udf("struct<best: int, score: double>")
     def score(items):
@@ -53,33 +48,33 @@ def classify_top1(
     vector: str = "embedding",
     label_as: str = "tema_classificado",
     score_as: str = "score_similaridade",
+    block: int = LABEL_BLOCK,
 ) -> DataFrame:
-    """Most similar label of each item and the score with four decimals.
+    """Most similar label of each item and the score with four decimals; the first label wins a tie.
 
-    The labels (name, unit vector) sit in the function; the items are not moved, so the
-    work is one pass over the vector column whatever the number of items.
+    The labels (name, unit vector) are configuration and sit in scoring functions of `block` labels
+    each; the items are not moved, so the work is one pass over the vector column whatever the
+    number of items.
     """
-    names = F.array(*[F.lit(n) for n, _ in labels])
-    scorer = label_scorer([v for _, v in labels])
-    scored = items.withColumn("__top", scorer(column(vector)))
+    best = None
+    for start in range(0, len(labels), block):
+        part = labels[start : start + block]
+        names = F.array(*[F.lit(n) for n, _ in part])
+        top = label_scorer([v for _, v in part])(column(vector))
+        found = F.struct(top["score"].alias("score"), F.get(names, top["best"]).alias("name"))
+        better = None if best is None else (best["score"].isNull() | (found["score"] > best["score"]))
+        best = found if best is None else F.when(better, found).otherwise(best)
+    scored = items.withColumn("__top", best)
     return (
-        scored.withColumn(label_as, F.get(names, F.col("__top.best")))
+        scored.withColumn(label_as, F.col("__top.name"))
         .withColumn(score_as, F.round(F.col("__top.score"), 4))
         .drop("__top")
     )
 
 
 def collect_labels(labels: DataFrame, name: str, vector: str, order: str) -> list[tuple]:
-    """Label vectors as configuration: (name, vector) in the order that breaks ties.
-
-    Their size is measured before they are fetched.
-    """
-    from sedimenta.operators.joins import measured_bytes
-
+    """Label vectors as configuration: (name, vector) in the order that breaks ties."""
     chosen = labels.select(column(name).alias("n"), column(vector).alias("v"), column(order).alias("o"))
-    size = measured_bytes(chosen)
-    if size > LABEL_BYTES:
-        raise ValueError(f"label vectors take {size} bytes; the limit is {LABEL_BYTES}")
     return [(r["n"], r["v"]) for r in chosen.orderBy("o").collect()]
 
 
@@ -104,21 +99,57 @@ def nearest(
     return scored.where(F.col(as_).isNotNull()).orderBy(F.desc(as_), key).limit(k)
 
 
-def lexical_vectors(
-    df: DataFrame, text: str, vector: str = "embedding", size: int = 1024, model=None
-):
-    """Unit vectors from hashed, weighted words: a stand-in for a neural encoder.
+def word_counts(df: DataFrame, key: str, text: str, size: int = 1024) -> DataFrame:
+    """(key, place, n): how often words of a text fall to each of `size` places.
 
-    Returns the frame and the fitted weights, so that labels are weighted like the items.
-    The weights hold `size` numbers, whatever the vocabulary.
+    Words are runs of letters and digits in lower case; the place is taken from the MD5 of the word.
     """
-    tokens = RegexTokenizer(inputCol="__text", outputCol="__words", pattern=r"[^\p{L}\p{N}]+")
-    counts = HashingTF(inputCol="__words", outputCol="__tf", numFeatures=size)
-    unit = Normalizer(inputCol="__idf", outputCol="__unit", p=2.0)
-    hashed = counts.transform(tokens.transform(df.withColumn("__text", F.coalesce(column(text), F.lit("")))))
-    if model is None:
-        model = IDF(inputCol="__tf", outputCol="__idf").fit(hashed)
-    out = unit.transform(model.transform(hashed)).withColumn(
-        vector, vector_to_array(F.col("__unit"), "float32")
+    words = F.explode(F.regexp_extract_all(F.lower(F.coalesce(column(text), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    place = F.pmod(F.conv(F.substring(F.md5("__word"), 1, 8), 16, 10).cast("bigint"), F.lit(size))
+    counted = df.select(column(key), words.alias("__word")).groupBy(column(key), "__word").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy(column(key), place.alias("place")).agg(F.sum("n").alias("n"))
+
+
+def lexical_weights(counts: DataFrame, texts: int) -> DataFrame:
+    """(place, weight): the fewer texts have a word there, the more it counts. At most one row per place."""
+    return counts.groupBy("place").agg(F.ln((F.lit(texts) + 1.0) / (F.count(F.lit(1)) + 1.0)).alias("weight"))
+
+
+def lexical_top1(
+    items: DataFrame, labels: DataFrame, key: str, text: str, name: str, order: str, size: int = 1024
+) -> DataFrame:
+    """key, tema_classificado, score_similaridade: the label whose words resemble the item's most.
+
+    A stand-in for a neural encoder: hashed, weighted word counts and their cosine. `labels` (name, text,
+    order) are configuration. Items and labels meet on the places that labels use, so the work follows the
+    words of the items; ties go to the first label, and an item without any common word to the first as well.
+    """
+    counts = word_counts(items, key, text, size)
+    weights = F.broadcast(lexical_weights(counts, items.count()))  # at most `size` rows
+
+    def unit(c: DataFrame, k: str) -> DataFrame:
+        weighed = c.join(weights, "place").select(column(k), "place", (F.col("n") * F.col("weight")).alias("w"))
+        return weighed
+
+    asked = unit(word_counts(labels, order, text, size), order)
+    asked = asked.join(asked.groupBy(column(order)).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")), order)
+    places = asked.groupBy("place").agg(
+        F.collect_list(F.struct(column(order).alias("o"), (F.col("w") / F.col("norm")).alias("w"))).alias("of")
+    )
+    own = unit(counts, key).join(F.broadcast(places), "place", "left")  # at most `size` rows
+    every = [r["o"] for r in labels.select(column(order).alias("o")).orderBy("o").collect()]
+
+    def share(o: int):
+        hit = F.filter(F.coalesce(F.col("of"), F.array()), lambda x: x["o"] == o)
+        return F.sum(F.col("w") * F.coalesce(F.get(hit, F.lit(0))["w"], F.lit(0.0)))
+
+    scored = own.groupBy(column(key)).agg(
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *[share(o).alias(f"s{i}") for i, o in enumerate(every)]
     )
-    return out.drop("__text", "__words", "__tf", "__idf", "__unit"), model
+    scored = items.select(column(key)).join(scored, key, "left")
+    scores = [F.round(F.coalesce(F.try_divide(F.col(f"s{i}"), F.col("norm")), F.lit(0.0)), 4) for i in range(len(every))]
+    best = F.greatest(*scores)
+    which = F.coalesce(*[F.when(s == best, F.lit(o)) for s, o in zip(scores, every)])
+    found = scored.select(column(key), which.alias(order), best.alias("score_similaridade"))
+    names = labels.select(column(order), column(name).alias("tema_classificado"))
+    return found.join(F.broadcast(names), order).select(column(key), "tema_classificado", "score_similaridade")

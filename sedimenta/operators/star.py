@@ -127,7 +127,6 @@ def build_fact(
     df: DataFrame,
     spec: FactSpec,
     dims: Mapping[str, DataFrame],
-    max_rows: int | None = None,
     vocabulary: Vocabulary = VOCABULARY,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -136,7 +135,7 @@ def build_fact(
     Only (natural key, surrogate key) of a dimension take part: two numbers per row bound
     its hash table, and the row count decides between broadcast and a salted shuffle.
     Missing rows of an optional dimension get the unknown key; rows without a required
-    dimension drop out. `max_rows` keeps the first rows by all output columns.
+    dimension drop out.
     """
     wanted = {
         **{f"__d{i}": column(r.source) for i, r in enumerate(spec.dims)},
@@ -168,20 +167,7 @@ def build_fact(
         *[F.col(f"__c_{k}").alias(k) for k in spec.columns],
         *[F.lit(v).alias(k) for k, v in spec.constants.items()],
     )
-    if spec.layout:
-        fact = fact.select(*spec.layout)
-    return fact if max_rows is None else first_rows(fact, max_rows)
-
-
-def first_rows(df: DataFrame, n: int, top_k: int = 10_000) -> DataFrame:
-    """The first n rows by all columns, in the order of the columns.
-
-    A small n is a top-k, of which every task keeps k rows; a large one is cut from the
-    numbered rows, so that no single task has to hold n rows of every other.
-    """
-    if n <= top_k:
-        return df.orderBy(*[column(c) for c in df.columns]).limit(n)
-    return surrogate_key(df, "__n", df.columns).where(F.col("__n") <= n).drop("__n")
+    return fact.select(*spec.layout) if spec.layout else fact
 
 
 def roll_up(

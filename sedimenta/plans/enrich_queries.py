@@ -74,11 +74,11 @@ QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, l) = 1"""
 
 
 def classified(spark, sf):
-    """All vectors, classified by the ten vectors that serve as themes."""
+    """All vectors, classified by the ten vectors that serve as themes, in three blocks."""
     items = table(spark, sf, "embeddings")
     themes = items.where("vec_id < 10").withColumn("nome", F.concat(F.lit("tema_"), "vec_id"))
     labels = sim.collect_labels(themes, "nome", "embedding", "vec_id")
-    return sim.classify_top1(items, labels, label_as="tema", score_as="score")
+    return sim.classify_top1(items, labels, label_as="tema", score_as="score", block=4)
 
 
 @query(_TOP1_SQL)
@@ -111,19 +111,15 @@ def semantic_search(spark, sf):
 
 
 @query("""
-SELECT vec_id, round(v[1] * label / n, 6) AS x0, round(v[64] * label / n, 6) AS x63, n > 0 AS ok FROM (
-  SELECT vec_id, label, embedding::DOUBLE[] AS v,
-         sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) * nullif(label, 0) AS n FROM embeddings)""")
+SELECT vec_id, unnest(generate_series(1, len(v)))::INTEGER AS at, unnest([round(x * label / n, 6) FOR x IN v]) AS x
+FROM (SELECT vec_id, label, embedding::DOUBLE[] AS v,
+        sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) * nullif(label, 0) AS n FROM embeddings)""")
 def vector_normalize(spark, sf):
-    """Vectors of different lengths (label 0 makes a zero vector) brought back to length 1."""
+    """Vectors of different lengths (label 0 makes a zero vector) brought back to length 1, element by element."""
     scaled = F.transform("embedding", lambda x: x.cast("double") * F.col("label"))
-    unit = table(spark, sf, "embeddings").withColumn("u", vec.normalize(scaled))
-    return unit.select(
-        "vec_id",
-        F.round(F.get("u", F.lit(0)), 6).alias("x0"),
-        F.round(F.get("u", F.lit(63)), 6).alias("x63"),
-        F.when(F.abs(vec.norm(F.col("u")) - 1) < 1e-9, F.lit(True)).alias("ok"),
-    )
+    unit = table(spark, sf, "embeddings").select("vec_id", F.size("embedding").alias("n"), vec.normalize(scaled).alias("u"))
+    places = F.explode(F.sequence(F.lit(1), F.col("n"))).alias("at")
+    return unit.select("vec_id", "u", places).select("vec_id", "at", F.round(F.get("u", F.col("at") - 1), 6).alias("x"))
 
 
 @query("""
@@ -210,16 +206,31 @@ def enrich_fallback(spark, sf):
     return enrich.enrich_batches(items, load, "doc_id long, result string, provider string, error string")
 
 
-@query()
+_THEME_ROWS = ", ".join(f"({i}, '{n}', '{d}')" for i, (n, d) in enumerate(THEMES.items()))
+_WORDS = r"unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'))"
+_PLACE = "('0x' || substr(md5(word), 1, 8))::BIGINT % 1024"
+
+
+@query(f"""
+WITH t(ordem, nome, text) AS (VALUES {_THEME_ROWS}),
+c AS (SELECT k, {_PLACE} AS place, count(*) AS n FROM (SELECT doc_id AS k, {_WORDS} AS word FROM documents) GROUP BY ALL),
+idf AS (SELECT place, ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1.0)) AS weight FROM c GROUP BY place),
+tc AS (SELECT ordem, {_PLACE} AS place, count(*) AS n FROM (SELECT ordem, {_WORDS} AS word FROM t) GROUP BY ALL),
+tn AS (SELECT ordem, place, n * weight / sqrt(sum((n * weight) ** 2) OVER (PARTITION BY ordem)) AS w
+       FROM tc JOIN idf USING (place)),
+du AS (SELECT k, place, n * weight AS w FROM c JOIN idf USING (place)),
+dn AS (SELECT k, sqrt(sum(w * w)) AS norm FROM du GROUP BY k),
+dots AS (SELECT k, ordem, sum(du.w * tn.w) AS dot FROM du JOIN tn USING (place) GROUP BY ALL),
+s AS (SELECT doc_id, t.ordem, nome, round(coalesce(dot / nullif(norm, 0), 0), 4) AS score FROM documents CROSS JOIN t
+      LEFT JOIN dots ON dots.k = doc_id AND dots.ordem = t.ordem LEFT JOIN dn ON dn.k = doc_id)
+SELECT doc_id, nome AS tema_classificado, score AS score_similaridade FROM s
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, ordem) = 1""")
 def lexical_top1(spark, sf):
     """Documents against the ten theme descriptions, by hashed and weighted words."""
-    items, model = sim.lexical_vectors(table(spark, sf, "documents").select("doc_id", "text"), "text")
     themes = spark.createDataFrame(
         [(i, n, d) for i, (n, d) in enumerate(THEMES.items())], "ordem int, nome string, text string"
     )
-    labels, _ = sim.lexical_vectors(themes, "text", model=model)
-    chosen = sim.collect_labels(labels, "nome", "embedding", "ordem")
-    return sim.classify_top1(items, chosen).select("doc_id", "tema_classificado", "score_similaridade")
+    return sim.lexical_top1(table(spark, sf, "documents"), themes, "doc_id", "text", "nome", "ordem")
 
 
 @query("""

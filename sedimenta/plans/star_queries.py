@@ -288,8 +288,8 @@ FROM lines JOIN dim_supplier ON l_suppkey = id_supplier JOIN dim_part ON l_partk
 JOIN dim_order ON l_orderkey = id_order"""
 
 
-def _line_fact(spark, sf, max_rows=None):
-    fact = build_fact(line_rows(spark, sf), FT_LINEITEM, dims_of(spark, sf, FT_LINEITEM), max_rows)
+def _line_fact(spark, sf):
+    fact = build_fact(line_rows(spark, sf), FT_LINEITEM, dims_of(spark, sf, FT_LINEITEM))
     return fact.withColumns({c: F.col(c).cast("double") for c in ("vl_gross", "vl_net", "vl_tax")})
 
 
@@ -298,15 +298,6 @@ def ft_lineitem(spark, sf):
     return _line_fact(spark, sf)
 
 
-@query(
-    f"SELECT * FROM ({_FT_LINE_SQL}) ORDER BY sk_supplier, sk_part, sk_order, sk_data_ship, nr_line, "
-    "sg_flag, sg_line_status, vl_gross, vl_net, vl_tax LIMIT 100000"
-)
-def capped_fact(spark, sf):
-    """The optional row cap of a fact load (here 100,000), made repeatable by an order."""
-    return _line_fact(spark, sf, max_rows=100_000)
-
-
 @query(f"""
 WITH {_SUPPLIER_SQL}, {_PART_SQL.format(where="WHERE p_size <= 25")}, {_ORDER_SQL}, {_CUSTOMER_SQL}
 SELECT sk_order, sk_supplier, sk_customer, coalesce(sk_part, -1) AS sk_part,

@@ -86,20 +86,20 @@ def test_measured_bytes_grows_with_text(spark):
     assert joins.measured_bytes(spark.createDataFrame([], "s string")) == 0
 
 
-@pytest.mark.parametrize("one_task_rows", [10_000, 0])
-def test_surrogate_key_is_dense_and_ordered(spark, one_task_rows):
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_surrogate_key_is_dense_and_ordered(spark, partitions):
     rows = [(i * 7 % 1009, f"n{i}") for i in range(1009)]
     df = spark.createDataFrame(rows, "k int, n string").repartition(5)
-    out = surrogate_key(df, "sk", ["k"], one_task_rows=one_task_rows)
+    out = surrogate_key(df, "sk", ["k"], partitions=partitions)
     assert values(out, "sk", "k") == sorted(((i + 1, i) for i in range(1009)), key=repr)
 
 
-@pytest.mark.parametrize("one_task_rows", [10_000, 0])
-def test_surrogate_key_splits_a_hot_natural_key(spark, one_task_rows):
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_surrogate_key_splits_a_hot_natural_key(spark, partitions):
     df = spark.range(0, 900, numPartitions=6).select(
         F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"), "id"
     )
-    out = surrogate_key(df, "sk", ["k"], one_task_rows=one_task_rows).collect()
+    out = surrogate_key(df, "sk", ["k"], partitions=partitions).collect()
     assert sorted(r["sk"] for r in out) == list(range(1, 901))
     by_sk = sorted((r["sk"], r["k"]) for r in out)
     assert [k for _, k in by_sk] == sorted(k for _, k in by_sk)
@@ -108,7 +108,7 @@ def test_surrogate_key_splits_a_hot_natural_key(spark, one_task_rows):
 def test_surrogate_key_of_nothing(spark):
     empty = spark.createDataFrame([], "k int, n string")
     assert surrogate_key(empty, "sk", ["k"]).collect() == []
-    assert surrogate_key(empty, "sk", ["k"], one_task_rows=-1).collect() == []
+    assert surrogate_key(empty, "sk", ["k"]).collect() == []
 
 
 def test_keep_first(spark):

@@ -87,14 +87,6 @@ def test_fact_refuses_a_dimension_that_fans_out(spark, bodies, events):
         star.build_fact(votes(spark), FACT, dims)
 
 
-def test_row_cap_is_optional_and_repeatable(spark):
-    df = spark.range(0, 500, numPartitions=7).select((F.col("id") % 100).alias("a"), "id")
-    small = values(star.first_rows(df, 20))
-    large = values(star.first_rows(df, 20, top_k=0))
-    assert small == large
-    assert len(small) == 20 and {r[0] for r in small} == {0, 1, 2, 3}
-
-
 def test_fill(spark):
     df = spark.createDataFrame([(None, None, 1)], "a string, b long, c int")
     assert star.fill(df, a="code", b="not_applicable_id").first() == ("N/I", -3, 1)
