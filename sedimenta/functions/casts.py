@@ -73,7 +73,7 @@ def convert(
         return to_bool(col, data_type)
     if kind == "timestamp":
         return to_timestamp(col, data_type, formats)
-    if isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):
+    if kind != "string" or isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):
         return col
     return col.cast("string")
 
@@ -93,10 +93,9 @@ def uri_id(col: Column) -> Column:
     return digits_id(uri_tail(col))
 
 
-def valid_id(col: Column) -> Column:
-    """True for a whole number above zero."""
-    d = col.try_cast("double")
-    return F.coalesce(d.isNotNull() & ~F.isnan(d) & (d % 1 == 0) & (d > 0), F.lit(False))
+def valid_id(col: Column, data_type: T.DataType | None = None) -> Column:
+    """True where `to_long` gives a number above zero."""
+    return F.coalesce(to_long(col, data_type) > 0, F.lit(False))
 
 
 def amount(col: Column, precision: int = 18, scale: int = 2) -> Column:

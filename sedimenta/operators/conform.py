@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.functions.casts import convert, strip_hyphen
 from sedimenta.functions.text import blank_to_null, standardise
-from sedimenta.operators.dedupe import keep_first, keep_valid_ids
+from sedimenta.operators.dedupe import keep_first, keep_valid_ids, reject_report
 from sedimenta.sources.landing import column
 from sedimenta.spec import TableSpec
 
@@ -63,6 +66,22 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     return blanks_to_null(keep_first(out, spec.key, spec.order))
 
 
+def load_report(landed: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
+    """One row per landed table: rows read, with an invalid id, repeated and kept, and values that no cast took.
+
+    An empty table shows as such; one that is missing has no row."""
+
+    def one(name: str) -> DataFrame:
+        df, spec = landed[name], specs[name]
+        key = [k for k in spec.key or () if k in df.columns]
+        valid = spec.valid_id if spec.valid_id in df.columns else None
+        counts = reject_report(df, valid, key).groupBy().pivot("reason", ["read", "invalid_id", "duplicate", "kept"])
+        rejected = cast_report(df, spec).agg(F.sum("n_rejected").alias("rejected_values"))
+        return counts.sum("rows").join(rejected).select(F.lit(name).alias("table_name"), "*")  # one row each
+
+    return reduce(DataFrame.unionByName, [one(n) for n in landed])
+
+
 def cast_report(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Per column: values read, values kept by the cast, values rejected. One pass."""
     typed = _typed(df, spec)

@@ -15,7 +15,7 @@ from sedimenta.sources.landing import column
 def keep_valid_ids(df: DataFrame, name: str = "id") -> DataFrame:
     """Rows whose id is a whole number above zero; the id becomes a bigint."""
     data_type = df.schema[name].dataType
-    return df.where(valid_id(column(name))).withColumn(name, to_long(column(name), data_type))
+    return df.where(valid_id(column(name), data_type)).withColumn(name, to_long(column(name), data_type))
 
 
 def keep_first(df: DataFrame, key: Sequence[str] | None, order: Sequence[str] = ()) -> DataFrame:
@@ -37,7 +37,7 @@ def reject_report(df: DataFrame, id_column: str | None, key: Sequence[str] | Non
 
     Works on counts per key, which are combined on the map side; only the key columns are read.
     """
-    ok = valid_id(column(id_column)) if id_column else F.lit(True)
+    ok = valid_id(column(id_column), df.schema[id_column].dataType) if id_column else F.lit(True)
     names = list(key) if key else list(df.columns)
     counts = (
         df.select(*[column(c) for c in names], ok.alias("__ok"))

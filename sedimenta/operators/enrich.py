@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.functions.text import not_blank
+from sedimenta.operators.dedupe import keep_first
 from sedimenta.operators.joins import lookup_join
 from sedimenta.operators.keys import surrogate_key
 from sedimenta.sources.landing import column
@@ -102,7 +103,8 @@ def fallback_chain(
 
     A provider that reports exhaustion is not asked again by this worker. Any other error
     fails the row, not the run: its result is null and the error is kept. Once all are
-    exhausted the rows that are left get no result either, and stay pending.
+    exhausted the rows that are left get no result either. A caller that stores results leaves
+    rows without one out, so that they stay pending.
     Output columns: key, result, provider, error.
     """
 
@@ -140,8 +142,8 @@ def fallback_chain(
 
 
 def merge_partials(ids: DataFrame, parts: Sequence[DataFrame], key: str) -> DataFrame:
-    """All ids with whatever partial results exist for them."""
-    out = ids
+    """One row per id with whatever partial results exist for it; of several results for an id, one counts."""
+    out = ids.distinct()
     for part in parts:
-        out = lookup_join(out, part, [key], "left")
+        out = lookup_join(out, keep_first(part, [key]), [key], "left")
     return out

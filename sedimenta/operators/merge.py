@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.operators.dedupe import keep_first
 from sedimenta.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
+from sedimenta.session import stage
 from sedimenta.sources.landing import column
 
 
@@ -17,17 +20,23 @@ def upsert(
 ) -> DataFrame:
     """Insert new keys, and overwrite the columns that the updates have.
 
-    Columns that the updates do not have keep their value. Keys are unique on both sides
-    (reduce the updates with `latest_update` first). A small set of updates is broadcast
-    and the target is not moved: one pass joins it, another over its key alone finds the
-    keys that are new. Otherwise one full outer join on the key.
+    Columns that the updates do not have keep their value. The updates are computed once, and a
+    key that they hold twice is an error (reduce them with `latest_update` first). A small set of
+    updates is broadcast and the target is not moved: one pass joins it, another over its key
+    alone finds the keys that are new. Otherwise one full outer join on the key. Rows without
+    a key match nothing: they stay, and are added, as they are, outside the join.
     """
     key = list(key)
     extra = [c for c in updates.columns if c not in target.columns]
     if extra:
         raise ValueError(f"columns {extra} are not in the target")
     changed = [c for c in updates.columns if c not in key]
-    marked = updates.select(
+    updates = stage(updates, "updates")
+    whole = reduce(and_, [column(k).isNotNull() for k in key])
+    keyed, loose = updates.where(whole), updates.where(~whole)
+    if keyed.groupBy(*[column(k) for k in key]).count().where("count > 1").head(1):
+        raise ValueError(f"the updates hold a value of {key} more than once")
+    marked = keyed.select(
         *[column(k) for k in key], *[column(c).alias(f"__u_{c}") for c in changed], F.lit(True).alias("__hit")
     )
 
@@ -41,16 +50,18 @@ def upsert(
             ]
         )
 
-    if not fits_broadcast(updates, max_bytes):
-        return chosen(target.join(marked, key, "full_outer"))
-    merged = chosen(target.join(F.broadcast(marked), key, "left"))
-    # the known keys are a subset of the update keys, so they fit as well
-    known = (
-        target.select(*[column(k) for k in key])
-        .join(F.broadcast(updates.select(*[column(k) for k in key])), key, "left_semi")
-        .distinct()
-    )
-    fresh = updates.join(F.broadcast(known), key, "left_anti")
+    if fits_broadcast(updates, max_bytes):
+        merged = chosen(target.join(F.broadcast(marked), key, "left"))
+        # the known keys are a subset of the update keys, so they fit as well
+        known = (
+            target.select(*[column(k) for k in key])
+            .join(F.broadcast(keyed.select(*[column(k) for k in key])), key, "left_semi")
+            .distinct()
+        )
+        fresh = updates.join(F.broadcast(known), key, "left_anti")
+    else:
+        merged = chosen(target.where(whole).join(marked, key, "full_outer")).unionByName(target.where(~whole))
+        fresh = loose
     return merged.unionByName(fresh, allowMissingColumns=True).select(*target.columns)
 
 

@@ -42,7 +42,7 @@ def _profile_row(f: T.StructField, rows, present, distinct, example):
     return F.struct(
         F.lit(f.name).alias("coluna"),
         F.lit(f.dataType.simpleString()).alias("tipo"),
-        F.round((rows - present) * 100 / rows, 2).alias("nulos_pct"),
+        F.round(F.try_divide((rows - present) * 100, rows), 2).alias("nulos_pct"),
         distinct.cast("bigint").alias("valores_unicos"),
         example.cast("string").alias("exemplo"),
     )

@@ -55,19 +55,30 @@ def uri_tail(spark, sf):
 
 # Line numbers stand for kinds of damage, so every row of the table takes part.
 _DAMAGED_ID = """CASE l_linenumber WHEN 1 THEN l_orderkey::VARCHAR WHEN 2 THEN '-' || l_orderkey
-  WHEN 3 THEN l_orderkey || '.5' WHEN 4 THEN l_orderkey || '.0' WHEN 5 THEN 'x' || l_orderkey
+  WHEN 3 THEN l_orderkey || '.5' WHEN 4 THEN l_orderkey || '.0'
+  WHEN 5 THEN CASE l_orderkey % 6 WHEN 0 THEN l_orderkey || 'd' WHEN 1 THEN l_orderkey || 'f' WHEN 2 THEN '1e300'
+    WHEN 3 THEN '99999999999999999999' WHEN 4 THEN 'NaN' ELSE 'x' || l_orderkey END
   WHEN 6 THEN NULL ELSE '0' || l_orderkey END"""
+_VALID = "coalesce(try_cast(id AS DOUBLE) % 1 = 0 AND try_cast(id AS DOUBLE) BETWEEN 1 AND 9e18, false)"
 
 
 def damaged_ids(spark, sf):
     key = text("l_orderkey")
-    n = F.col("l_linenumber")
+    n, rest = F.col("l_linenumber"), F.col("l_orderkey") % 6
+    odd = (
+        F.when(rest == 0, F.concat(key, F.lit("d")))
+        .when(rest == 1, F.concat(key, F.lit("f")))
+        .when(rest == 2, "1e300")
+        .when(rest == 3, "99999999999999999999")
+        .when(rest == 4, "NaN")
+        .otherwise(F.concat(F.lit("x"), key))
+    )
     damaged = (
         F.when(n == 1, key)
         .when(n == 2, F.concat(F.lit("-"), key))
         .when(n == 3, F.concat(key, F.lit(".5")))
         .when(n == 4, F.concat(key, F.lit(".0")))
-        .when(n == 5, F.concat(F.lit("x"), key))
+        .when(n == 5, odd)
         .when(n == 6, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("0"), key))
     )
@@ -77,17 +88,15 @@ def damaged_ids(spark, sf):
 
 
 @query(f"""
-SELECT try_cast(id AS DOUBLE)::BIGINT AS id, l_linenumber, l_partkey
-FROM (SELECT {_DAMAGED_ID} AS id, l_linenumber, l_partkey FROM lineitem)
-WHERE try_cast(id AS DOUBLE) IS NOT NULL AND try_cast(id AS DOUBLE) % 1 = 0 AND try_cast(id AS DOUBLE) > 0""")
+SELECT try_cast(try_cast(id AS DOUBLE) AS BIGINT) AS id, l_linenumber, l_partkey
+FROM (SELECT {_DAMAGED_ID} AS id, l_linenumber, l_partkey FROM lineitem) WHERE {_VALID}""")
 def valid_ids(spark, sf):
     return keep_valid_ids(damaged_ids(spark, sf)).select("id", "l_linenumber", "l_partkey")
 
 
 @query(f"""
 WITH t AS (SELECT {_DAMAGED_ID} AS id, l_orderkey, l_linenumber FROM lineitem),
-k AS (SELECT id, coalesce(try_cast(id AS DOUBLE) % 1 = 0 AND try_cast(id AS DOUBLE) > 0, false) AS ok,
-             count(*) AS n FROM t GROUP BY ALL)
+k AS (SELECT id, {_VALID} AS ok, count(*) AS n FROM t GROUP BY ALL)
 SELECT unnest(['read', 'invalid_id', 'duplicate', 'kept']) AS reason,
        unnest([sum(n), sum(n) FILTER (NOT ok), sum(n - 1) FILTER (ok), count(*) FILTER (ok)])::BIGINT AS rows
 FROM k""")
@@ -126,7 +135,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, o_orderpriority
 FROM (SELECT {_DAMAGED_ID} AS id, * FROM lineitem) v
 JOIN (SELECT CASE WHEN o_orderstatus = 'P' THEN 'x' || o_orderkey ELSE o_orderkey::VARCHAR END AS id, *
       FROM orders) o
-ON CASE WHEN regexp_matches(v.id, '^[0-9]+$') THEN v.id::BIGINT ELSE -1 END
+ON CASE WHEN regexp_matches(v.id, '^[0-9]+$') THEN try_cast(v.id AS BIGINT) ELSE -1 END
  = CASE WHEN regexp_matches(o.id, '^[0-9]+$') THEN o.id::BIGINT ELSE -2 END""")
 def guarded_join(spark, sf):
     """Join on cleaned ids: a damaged id becomes null, which matches nothing on either side."""

@@ -6,9 +6,9 @@ Names of columns and tables are those of the public records and of the data mode
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Callable, Mapping, Sequence
-from functools import partial
+from functools import partial, reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +18,12 @@ from sedimenta.functions.casts import amount, digits_id, uri_id
 from sedimenta.functions.dates import key_date, percent
 from sedimenta.functions.text import filled as filled_text
 from sedimenta.functions.text import first_item_label, prompt, query_text, three_way, two_way
-from sedimenta.operators.conform import conform
+from sedimenta.operators.conform import conform, load_report
+from sedimenta.operators.dedupe import keep_first
 from sedimenta.operators.enrich import enrich_batches, merge_partials, pending, unfinished
 from sedimenta.operators.joins import lookup_join
 from sedimenta.operators.merge import audit_copy, backfill, upsert
-from sedimenta.operators.quality import require
+from sedimenta.operators.quality import null_violations, pk_violations, require
 from sedimenta.operators.report import Window, html_card, top_of_window
 from sedimenta.operators.similarity import classify_top1
 from sedimenta.operators.star import build_dim, build_fact, filled, stamp_load
@@ -47,34 +48,101 @@ THEMES = {
 
 # --- landed tables -------------------------------------------------------------------
 
-# The records name their columns regularly, so the kind follows from the last part of the name.
-_KINDS = (
-    (re.compile(r"id([A-Z].*)?|ano|mes|andar|parcela|sequencia|numero(Eleitoral)?|ordemAssinatura"), "long"),
-    (re.compile(r"total[A-Z].*|cod(Tipo|Lote|Situacao).*"), "long"),
-    (re.compile(r"valor[A-Z].*"), "double"),
-    (re.compile(r"data([A-Z_].*)?"), "timestamp"),
-    (re.compile(r"proponente|aprovacao"), "bool"),
-)
+# The types of the public records' fields that are not free text, and of codes that must
+# stay text though they may arrive as numbers. A field that is not listed keeps the type it arrives with.
+TYPES = {
+    "deputados": {
+        "id": "long",
+        "cpf": "string",
+        "dataNascimento": "timestamp",
+        "dataFalecimento": "timestamp",
+        "ultimoStatus.id": "long",
+        "ultimoStatus.idLegislatura": "long",
+        "ultimoStatus.data": "timestamp",
+        "ultimoStatus.gabinete.sala": "string",
+        "ultimoStatus.gabinete.andar": "long",
+        "ultimoStatus.gabinete.telefone": "string",
+    },
+    "despesas": {
+        "ano": "long",
+        "mes": "long",
+        "codDocumento": "string",
+        "codTipoDocumento": "long",
+        "dataDocumento": "timestamp",
+        "numDocumento": "string",
+        "valorDocumento": "double",
+        "cnpjCpfFornecedor": "string",
+        "valorLiquido": "double",
+        "valorGlosa": "double",
+        "numRessarcimento": "string",
+        "codLote": "long",
+        "parcela": "long",
+        "idDeputado": "long",
+    },
+    "eventos": {
+        "id": "long",
+        "dataHoraInicio": "timestamp",
+        "dataHoraFim": "timestamp",
+        "localCamara.sala": "string",
+        "localCamara.andar": "long",
+    },
+    "eventos_orgaos": {"id": "long", "codTipoOrgao": "long", "idEventoContexto": "long"},
+    "frentes": {"id": "long", "idLegislatura": "long"},
+    "legislaturas": {"id": "long", "dataInicio": "timestamp", "dataFim": "timestamp"},
+    "liderancas": {
+        "dataInicio": "timestamp",
+        "dataFim": "timestamp",
+        "idLegislaturaContexto": "long",
+        "parlamentar.id": "long",
+        "parlamentar.idLegislatura": "long",
+    },
+    "orgaos": {"id": "long", "codTipoOrgao": "long"},
+    "partidos": {
+        "id": "long",
+        "numeroEleitoral": "long",
+        "status.data": "timestamp",
+        "status.idLegislatura": "long",
+        "status.totalPosse": "long",
+        "status.totalMembros": "long",
+        "status.lider.idLegislatura": "long",
+    },
+    "proposicoes_autores": {
+        "codTipo": "long",
+        "ordemAssinatura": "long",
+        "proponente": "bool",
+        "idProposicaoContexto": "long",
+    },
+    "proposicoes": {
+        "id": "long",
+        "codTipo": "long",
+        "numero": "long",
+        "ano": "long",
+        "dataApresentacao": "timestamp",
+        "statusProposicao.dataHora": "timestamp",
+        "statusProposicao.sequencia": "long",
+        "statusProposicao.codTipoTramitacao": "long",
+        "statusProposicao.codSituacao": "long",
+    },
+    "votacoes": {"id": "string", "data": "timestamp", "dataHoraRegistro": "timestamp", "aprovacao": "bool"},
+    "votos": {
+        "dataRegistroVoto": "timestamp",
+        "idVotacaoContexto": "string",
+        "deputado_.id": "long",
+        "deputado_.idLegislatura": "long",
+    },
+}
+CAPTURED = {"data_captura": "timestamp"}
 # Ids of votes are composite (`1228863-64`) and stay text until their hyphens are gone.
 _VOTE_ID = ("id", "idVotacaoContexto")
 
 
-def kind_of(name: str) -> str:
-    last = name.rsplit(".", 1)[-1]
-    return next((kind for pattern, kind in _KINDS if pattern.fullmatch(last)), "string")
-
-
-def _vote_kind(name: str) -> str:
-    return "string" if name in _VOTE_ID else kind_of(name)
-
-
-def _landed(name: str, key: str | None, votes: bool = False) -> TableSpec:
+def _landed(name: str, key: str | None) -> TableSpec:
     return TableSpec(
         f"stg_{name}_bruto",
-        kinds=_vote_kind if votes else kind_of,
+        kinds=TYPES[name] | CAPTURED,
         key=(key,) if key else None,
         valid_id="id" if key == "id" else None,
-        strip_hyphen=_VOTE_ID if votes else (),
+        strip_hyphen=_VOTE_ID if name in ("votacoes", "votos") else (),
         strip_kinds=("long",),
     )
 
@@ -95,7 +163,7 @@ _KEYS = {
     "votacoes": "id",
     "votos": None,
 }
-STAGING = {n: _landed(n, k, votes=n in ("votacoes", "votos")) for n, k in _KEYS.items()}
+STAGING = {n: _landed(n, k) for n, k in _KEYS.items()}
 
 
 def land(records: DataFrame, at: dt.datetime) -> DataFrame:
@@ -395,20 +463,6 @@ FT_VOTO = FactSpec(
     ),
 )
 
-# Primary keys, for the uniqueness check after a load.
-KEYS = {
-    "ft_proposicao": ("sk_deputado", "sk_orgao", "sk_proposicao", "sk_data_proposicao"),
-    "ft_voto": (
-        "sk_votacao",
-        "sk_deputado",
-        "sk_orgao",
-        "sk_evento",
-        "sk_data_voto",
-        "sk_proposicao",
-        "tp_voto",
-    ),
-    "ft_despesa": ("sk_deputado", "sk_data_despesa", "sk_cod_despesa", "tp_despesa"),
-}
 
 # Dimension or fact -> silver table it is built from.
 DIMS = {
@@ -468,18 +522,50 @@ def gold_fact(name: str, silver: Mapping[str, DataFrame], dims: Mapping[str, Dat
 # --- the jobs in order ---------------------------------------------------------------
 
 
+# Primary keys, for the uniqueness check after a load.
+KEYS = {
+    "ft_proposicao": ("sk_deputado", "sk_orgao", "sk_proposicao", "sk_data_proposicao"),
+    "ft_voto": (
+        "sk_votacao",
+        "sk_deputado",
+        "sk_orgao",
+        "sk_evento",
+        "sk_data_voto",
+        "sk_proposicao",
+        "tp_voto",
+    ),
+    "ft_despesa": ("sk_deputado", "sk_data_despesa", "sk_cod_despesa", "tp_despesa"),
+}
+
+
+REPORT = "relatorio_carga"
+
+
+def check_gold(tables: Mapping[str, DataFrame]) -> None:
+    """Stop a load that has a fact row twice, or a null in the key of a fact."""
+    wrong = []
+    for name, key in KEYS.items():
+        if name in tables:
+            wrong += [f"{name}: a key occurs more than once"] * bool(pk_violations(tables[name], key).head(1))
+            wrong += [f"{name}.{r.coluna} is null" for r in null_violations(tables[name], key).where("nulos > 0").collect()]
+    if wrong:
+        raise ValueError("; ".join(wrong))
+
+
 def full_refresh(
     spark: SparkSession, staging: Mapping[str, DataFrame], root: str, at: dt.datetime
 ) -> dict[str, Layer]:
     """Conform, build and publish all layers. Every layer is written before the next reads it.
 
-    Staging tables that are missing count as empty only where no job needs them. The
+    Staging tables that are missing count as empty only where no job needs them. The bronze layer gets
+    a load report, and a gold layer that fails `check_gold` is not published. The
     enrichment tables (`*_ia`) of the silver layer survive the refresh.
     """
     layers = {n: Layer(spark, f"{root.rstrip('/')}/{n}") for n in ("bronze", "silver", "gold")}
     for _, inputs in SILVER.values():
         require(staging, inputs)
-    layers["bronze"].refresh({n: conform(df, STAGING[n]) for n, df in staging.items()})
+    report = load_report(staging, STAGING)  # what the casts, the id filter and the dedupe take out
+    layers["bronze"].refresh({**{n: conform(df, STAGING[n]) for n, df in staging.items()}, REPORT: report})
     bronze = {n: layers["bronze"].read(n) for n in staging}
     day = F.lit(at.date())
     layers["silver"].refresh(
@@ -488,7 +574,8 @@ def full_refresh(
     silver = {n: layers["silver"].read(n) for n in layers["silver"].names()}
     dims = together({n: partial(gold_dim, n, silver) for n in DIMS})
     facts = {n: stamp_load(gold_fact(n, silver, dims), at) for n in FACTS}
-    layers["gold"].refresh({**{n: stamp_load(d, at, validity=True) for n, d in dims.items()}, **facts})
+    dated = {n: stamp_load(d, at, validity=True) for n, d in dims.items()}
+    layers["gold"].refresh({**dated, **facts}, check=check_gold)
     return layers
 
 
@@ -562,6 +649,7 @@ def enrichment_run(
     spark = landed.sparkSession
     done = silver.read("proposicoes_ia") if "proposicoes_ia" in silver.names() else None
     items = landed.select(F.col("id").cast("bigint").alias("id"), "ementa", "ementaDetalhada")
+    items = keep_first(items, ["id"])  # an item may be landed more than once
     known = None if done is None else done.select(F.col("proposicao_id").alias("id"))
     todo = pending(items, known, "id", "ementa", reprocess, limit, ordered=False)
     computed = ["proposicao_id"]
@@ -570,8 +658,10 @@ def enrichment_run(
     layout = T.StructType([IA_SCHEMA[c] for c in computed])
     finished = read_table(spark, work, layout, optional=True).select(F.col("proposicao_id").alias("id"))
     fresh = score_bills(unfinished(todo, finished, "id"), encode, labels, summarise)
-    fresh.select(*[F.col(f.name).cast(f.dataType) for f in layout]).write.mode("append").parquet(work)
-    results = read_table(spark, work, layout).withColumn("processado_em", F.lit(at).cast("timestamp_ntz"))
+    found = reduce(or_, [F.col(c).isNotNull() for c in computed[1:]])  # a failed item stays pending
+    fresh = fresh.select(*[F.col(f.name).cast(f.dataType) for f in layout]).where(found)
+    fresh.write.mode("append").parquet(work)
+    results = keep_first(read_table(spark, work, layout), ["proposicao_id"]).withColumn("processado_em", F.lit(at).cast("timestamp_ntz"))
     target = spark.createDataFrame([], IA_SCHEMA) if done is None else done
     silver.replace("proposicoes_ia", upsert(target, results, ["proposicao_id"]))
     return silver.read("proposicoes_ia")
@@ -579,6 +669,7 @@ def enrichment_run(
 
 # --- the weekly report ---------------------------------------------------------------
 
+# The kinds of bills in the weekly report.
 KINDS_OF_BILL = ("PL", "PEC", "PLP")
 
 

@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.operators.conform import conform
+from sedimenta.operators.conform import load_report as make_load_report
 from sedimenta.operators.quality import pk_violations
 from sedimenta.operators.report import Window, digest, ranked
 from sedimenta.plans import parliament as pl
 from sedimenta.plans.registry import money, query, table, text
 from sedimenta.session import new_path, stage, together
 from sedimenta.sources.tables import Layer
-from sedimenta.spec import TableSpec
 
 _URI = "https://example.org/api/"
 
@@ -480,17 +480,31 @@ def gold_ft_voto(spark, sf):
     return _shown(_loaded(spark, sf, "ft_voto")[0])
 
 
-@query(
-    _sql(
-        'SELECT sk_deputado, sk_data_despesa, sk_cod_despesa, tp_despesa, count(*) AS linhas FROM ft_despesa '
-        "GROUP BY ALL HAVING count(*) > 1",
-        "despesa deputado",
-        "dim_deputado ft_despesa",
-    )
-)
-def gold_pk_despesa(spark, sf):
-    """The primary key of a loaded fact: no row means no violation."""
-    return pk_violations(_loaded(spark, sf, "ft_despesa")[0], pl.KEYS["ft_despesa"])
+def _register_pk(fact: str, silver_names: str, gold_names: str) -> None:
+    """The primary key of a loaded fact in which half of the people's rows stand twice."""
+    key = ", ".join(pl.KEYS[fact])
+    again = f"SELECT * FROM {fact} UNION ALL SELECT * FROM {fact} WHERE sk_deputado % 2 = 0"
+
+    def run(spark, sf):
+        loaded = _loaded(spark, sf, fact)[0]
+        return pk_violations(loaded.unionAll(loaded.where("sk_deputado % 2 = 0")), pl.KEYS[fact])
+
+    sql = f"SELECT {key}, count(*) AS linhas FROM ({again}) GROUP BY ALL HAVING count(*) > 1"
+    query(_sql(sql, silver_names, gold_names), name=f"gold_pk_{fact.removeprefix('ft_')}")(run)
+
+
+_register_pk("ft_proposicao", *_PROPOSICAO)
+_register_pk("ft_despesa", "despesa deputado", "dim_deputado ft_despesa")
+_register_pk("ft_voto", *_VOTO)
+
+
+@query("""
+SELECT 'despesas' AS table_name, count(*) AS "read", 0::BIGINT AS invalid_id,
+  count(*) - count(DISTINCT l_orderkey || '/' || l_linenumber) AS duplicate,
+  count(DISTINCT l_orderkey || '/' || l_linenumber) AS kept, count(*) AS rejected_values FROM lineitem""")
+def load_report(spark, sf):
+    """What a load takes out of the expenses: repeated documents, and amounts that are no numbers."""
+    return make_load_report({"despesas": _despesas(spark, sf)}, pl.STAGING)
 
 
 _WINDOW = Window(dt.date(2001, 8, 1))
@@ -543,7 +557,7 @@ def bills_digest(spark, sf):
     return digest(top, "posicao", ["id_proposicao"], pl.bill_card("posicao")).select("itens", "html")
 
 
-_LINE_SPEC = TableSpec("despesas", kinds=pl.kind_of, key=("codDocumento",), strip_kinds=("long",))
+_LINE_SPEC = pl.STAGING["despesas"]
 
 
 @query("""
@@ -551,14 +565,20 @@ SELECT l_partkey AS "idDeputado", l_orderkey || '/' || l_linenumber AS "codDocum
   CASE WHEN l_returnflag <> 'N' THEN 'COMBUSTÍVEL ' || l_returnflag END AS "tipoDespesa",
   strftime(l_shipdate, '%Y-%m-%d') AS "dataDocumento", l_extendedprice AS "valorDocumento",
   CASE WHEN l_linestatus = 'O' THEN l_extendedprice END AS "valorLiquido", NULL::DOUBLE AS "valorGlosa",
-  l_linenumber::BIGINT AS parcela
+  l_linenumber::BIGINT AS parcela, 'AB-' || l_orderkey AS "idExterno", 'DEZ REAIS' AS "valorPorExtenso",
+  l_linenumber::BIGINT AS quantidade
 FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey,
   nullif(l_returnflag, 'N') NULLS FIRST, l_shipdate, l_extendedprice,
   CASE WHEN l_linestatus = 'O' THEN l_extendedprice END NULLS FIRST) = 1""")
 def conform_table(spark, sf):
     """A whole landed table conformed: cast, text, dedupe, blanks."""
-    out = conform(_despesas(spark, sf), _LINE_SPEC)
+    undeclared = {
+        "idExterno": F.concat(F.lit("ab-"), F.split_part("codDocumento", F.lit("/"), F.lit(1))),
+        "valorPorExtenso": F.lit("dez reais"),
+        "quantidade": F.col("parcela").cast("bigint"),
+    }
+    out = conform(_despesas(spark, sf).withColumns(undeclared), _LINE_SPEC)
     return out.withColumn("dataDocumento", text(F.to_date("dataDocumento")))
 
 

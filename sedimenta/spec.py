@@ -44,8 +44,8 @@ VOCABULARY = Vocabulary()
 class TableSpec:
     """How one landed table is conformed.
 
-    kinds         kind of a column by its name: 'long', 'double', 'timestamp', 'bool', or
-                  anything else for text; a mapping or a function
+    kinds         kind of a column by its name: 'long', 'double', 'timestamp', 'bool' or
+                  'string'; a mapping or a function. Others keep the type they arrive with
     key           columns that identify a row; None means the whole row
     order         columns that decide which of several rows with one key is kept; the
                   remaining columns follow as tie-breakers, so the choice is repeatable
@@ -69,7 +69,7 @@ class TableSpec:
     def kind(self, column: str) -> str:
         if callable(self.kinds):
             return self.kinds(column)
-        return self.kinds.get(column, "string")
+        return self.kinds.get(column, "as is")
 
     def strips(self, column: str) -> bool:
         return column in self.strip_hyphen or self.kind(column) in self.strip_kinds

@@ -101,13 +101,13 @@ def test_classify_matches_brute_force_and_first_label_wins_ties(spark):
     assert got[900]["tema_classificado"] is None and got[900]["score_similaridade"] is None
 
 
-def test_label_size_is_checked(spark, monkeypatch):
-    monkeypatch.setattr(sim, "LABEL_BYTES", 100)
-    with pytest.raises(ValueError):
-        sim.label_scorer([[0.0] * 64] * 10)
-    df = spark.createDataFrame([(i, "l", [0.0] * 64) for i in range(10)], "o int, n string, v array<float>")
-    with pytest.raises(ValueError):
-        sim.collect_labels(df, "n", "v", "o")
+def test_labels_in_blocks_give_the_same(spark):
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(50, 4)).round(0))], "id int, embedding array<float>")
+    labels = [(f"l{i}", v.tolist()) for i, v in enumerate(rng.normal(size=(9, 4)).round(0))]
+    want = values(sim.classify_top1(df, labels).drop("embedding"))
+    for block in (1, 2, 4):
+        assert values(sim.classify_top1(df, labels, block=block).drop("embedding")) == want
 
 
 def test_nearest_matches_brute_force(spark):
@@ -129,15 +129,13 @@ def test_distribution_and_label_top(spark):
     assert [r["id"] for r in sim.label_top(df, "t", "a", "s", "id").collect()] == [3, 1]
 
 
-def test_lexical_vectors_find_the_theme(spark):
+def test_words_find_the_theme(spark):
     texts = [(0, "hospitais e medicamentos do sistema de saúde"), (1, "rodovias, ferrovias e portos"), (2, None)]
-    items, model = sim.lexical_vectors(spark.createDataFrame(texts, "id int, t string"), "t")
     themes = spark.createDataFrame([(i, n, d) for i, (n, d) in enumerate(THEMES.items())], "o int, n string, t string")
-    labels, _ = sim.lexical_vectors(themes, "t", model=model)
-    chosen = sim.collect_labels(labels, "n", "embedding", "o")
-    assert len(chosen) == 10 and len(chosen[0][1]) == 1024
-    got = {r["id"]: r["tema_classificado"] for r in sim.classify_top1(items, chosen).collect()}
-    assert (got[0], got[1]) == ("Saúde", "Infraestrutura")
+    items = spark.createDataFrame(texts, "id int, t string")
+    got = {r["id"]: r for r in sim.lexical_top1(items, themes, "id", "t", "n", "o").collect()}
+    assert (got[0].tema_classificado, got[1].tema_classificado) == ("Saúde", "Infraestrutura")
+    assert got[2].score_similaridade == 0 and len(got) == 3
 
 
 @pytest.fixture(scope="module")
@@ -183,3 +181,25 @@ def test_quality(spark, target):
     assert quality.require({"a": target, "b": empty}, ["a", "b"]) == ["b"]
     with pytest.raises(LookupError, match="c"):
         quality.require({"a": target}, ["a", "c"])
+
+
+@pytest.mark.parametrize("max_bytes", [10**6, 0])
+def test_upsert_computes_its_updates_once_and_refuses_repeated_keys(spark, target, max_bytes):
+    runs = spark.sparkContext.accumulator(0)
+
+    def score(frames):
+        for frame in frames:
+            runs.add(len(frame))
+            yield frame
+
+    updates = spark.createDataFrame([(i, f"t{i}") for i in range(10)] + [(None, "loose")], "id int, t string")
+    out = merge.upsert(target, updates.mapInPandas(score, updates.schema), ["id"], max_bytes)
+    assert out.count() == 11 and runs.value == 11
+    with pytest.raises(ValueError, match="more than once"):
+        merge.upsert(target, updates.union(updates), ["id"], max_bytes)
+
+
+def test_merged_parts_do_not_fan_out(spark):
+    ids = spark.createDataFrame([(1,), (1,), (2,)], "id int")
+    part = spark.createDataFrame([(1, "a"), (1, "b")], "id int, v string")
+    assert values(enrich.merge_partials(ids, [part], "id")) == [(1, "a"), (2, None)]

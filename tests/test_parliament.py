@@ -120,21 +120,22 @@ def layers(spark, staging, tmp_path_factory):
     return pl.full_refresh(spark, staging, root, AT)
 
 
-def test_kinds_follow_the_names():
-    # A sample of the declared kinds of the landed columns.
-    want = {
-        "long": "id ultimoStatus.idLegislatura ultimoStatus.gabinete.andar codTipoDocumento codLote parcela numero "
-        "numeroEleitoral status.totalPosse ordemAssinatura statusProposicao.sequencia statusProposicao.codSituacao",
-        "double": "valorDocumento valorLiquido valorGlosa",
-        "timestamp": "dataNascimento ultimoStatus.data data_captura dataHoraInicio statusProposicao.dataHora",
-        "bool": "proponente aprovacao",
-        "string": "uri cpf codDocumento numDocumento numRessarcimento nomeCivil localCamara.sala ementa keywords",
-    }
-    for kind, names in want.items():
-        assert {n: pl.kind_of(n) for n in names.split()} == dict.fromkeys(names.split(), kind)
-    assert pl.STAGING["votacoes"].kind("id") == "string"
-    assert pl.STAGING["votos"].kind("idVotacaoContexto") == "string"
-    assert pl.STAGING["votos"].kind("deputado_.id") == "long"
+def test_declared_types_and_undeclared_columns(spark):
+    despesas = pl.STAGING["despesas"]
+    assert [despesas.kind(c) for c in ("parcela", "valorGlosa", "dataDocumento", "codDocumento", "data_captura")] == [
+        "long",
+        "double",
+        "timestamp",
+        "string",
+        "timestamp",
+    ]
+    assert pl.STAGING["votacoes"].kind("id") == "string" and pl.STAGING["votos"].kind("deputado_.id") == "long"
+    landed = spark.createDataFrame(
+        [("1", 7, "dez mil reais", "AB-12", 5)],
+        "codDocumento string, numDocumento int, valorPorExtenso string, idExterno string, total bigint",
+    )
+    row = conform(landed, despesas).first()
+    assert tuple(row) == ("1", "7", "DEZ MIL REAIS", "AB-12", 5)
 
 
 def test_conform_is_idempotent(staging):
