@@ -19,6 +19,13 @@ POLICY = "prose-1"
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """A column name that `docs` does not have."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def row_key() -> Column:
     """What tells rows apart even where doc_id is null or repeated; rows that agree in it are the same document."""
     return F.struct("doc_id", F.xxhash64("text").alias("text"))
@@ -26,37 +33,37 @@ def row_key() -> Column:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail no rule of the policy. Null and empty texts go."""
-    rows = docs.withColumn("_row", F.struct(*docs.columns))
-    return apply_policy(ledger(rows, carry="_row"), POLICY).filter("kept").select("_row.*")
+    row = free(docs, "row")
+    rows = docs.withColumn(row, F.struct(*docs.columns))
+    return apply_policy(ledger(rows, carry=row), POLICY).filter("kept").select(f"{row}.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language, whatever they declare."""
-    key = F.struct(row_key().alias("row"), "lang", "source")  # all that a decision depends on
-    keyed = docs.withColumn("_key", key)
-    kept = identify(keyed, carry=("_key",)).filter("kept").select("_key").distinct()
-    return keyed.join(kept, "_key", "left_semi").select(*docs.columns)
+    key = free(docs, "key")
+    keyed = docs.withColumn(key, F.struct(row_key().alias("row"), "lang", "source"))  # all that a decision depends on
+    kept = identify(keyed, carry=(key,)).filter("kept").select(key).distinct()
+    return keyed.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows that `content_sort` keeps. Of rows that repeat a kept one under its id, the longest stays."""
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text_sha256"))
-    kept = content_sort(docs).filter("kept").select(key.alias("_key"))
-    keyed = docs.withColumn("text_sha256", F.sha2(normalised(F.col("text")), 256)).withColumn("_key", key)
-    longest = Window.partitionBy("_key").orderBy(F.char_length("text").desc_nulls_last(), F.col("text").asc_nulls_last())
-    return (
-        keyed.join(kept, "_key", "left_semi")
-        .withColumn("_rank", F.row_number().over(longest))
-        .filter("_rank = 1")
-        .select(*docs.columns)
-    )
+    key, rank = free(docs, "key"), free(docs, "rank")
+    same = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text_sha256"))
+    kept = content_sort(docs).filter("kept").select(same.alias(key))
+    digest = F.sha2(normalised(F.col("text")), 256)
+    keyed = docs.withColumn(key, F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), digest))
+    longest = Window.partitionBy(key).orderBy(F.char_length("text").desc_nulls_last(), F.col("text").asc_nulls_last())
+    ranked = keyed.join(kept, key, "left_semi").withColumn(rank, F.row_number().over(longest))
+    return ranked.filter(F.col(rank) == 1).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every component of linked documents the one with the smallest id; documents without words stay."""
-    keyed = docs.withColumn("_key", row_key())
-    kept = jaccard_components(keyed, id_col="_key").filter("doc_id <=> component_id").select(F.col("doc_id").alias("_key"))
-    return keyed.join(kept.distinct(), "_key", "left_semi").select(*docs.columns)
+    key = free(docs, "key")
+    keyed = docs.withColumn(key, row_key())
+    kept = jaccard_components(keyed, id_col=key).filter("doc_id <=> component_id").select(F.col("doc_id").alias(key))
+    return keyed.join(kept.distinct(), key, "left_semi").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -89,34 +89,57 @@ def train(docs: DataFrame, text_col: str, declared: Column, languages: tuple[str
     return np.log(share).T.copy()
 
 
+def softmax(logs: np.ndarray) -> np.ndarray:
+    parts = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return parts / parts.sum(axis=1, keepdims=True)
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    return pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), values.shape[1]).cast(pa.list_(pa.float64()))
+
+
 def text_evidence(rows: DataFrame, model: np.ndarray, text_col: str = "text") -> DataFrame:
-    """`rows` without the text, plus n_grams and `evidence`, log P(text | candidate) with overlaps taken out."""
+    """`rows` without the text, plus n_grams, `evidence` (log P(text | candidate), overlaps taken out) and
+    `share` (how far the text alone speaks for each candidate; nothing without letters)."""
     keep = [c for c in rows.columns if c != text_col]
     source = rows.select(*keep, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, found = [], []
-            for text in batch.column(len(keep)):
+            n, found = np.zeros(batch.num_rows, np.int64), np.zeros((batch.num_rows, model.shape[1]))
+            for i, text in enumerate(batch.column(len(keep))):
                 grams = trigrams(text.as_py())
-                n.append(len(grams))
-                found.append(model[grams].sum(axis=0) / OVERLAP)
+                n[i] = len(grams)
+                found[i] = model[grams].sum(axis=0) / OVERLAP
+            share = softmax(found) * (n > 0)[:, None]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(found, pa.list_(pa.float64()))],
-                names=[*keep, "n_grams", "evidence"],
+                [*batch.columns[:-1], pa.array(n), _lists(found), _lists(share)],
+                names=[*keep, "n_grams", "evidence", "share"],
             )
 
-    schema = source.select(*keep, F.lit(0).cast("long").alias("n_grams"), F.array().cast("array<double>").alias("evidence"))
+    numbers = F.array().cast("array<double>")
+    schema = source.select(*keep, F.lit(0).cast("long").alias("n_grams"), numbers.alias("evidence"), numbers.alias("share"))
     return source.mapInArrow(run, schema.schema)
 
 
-def softmax(logs: list[Column]) -> list[Column]:
-    top = F.greatest(*logs)
-    parts = [F.exp(x - top) for x in logs]
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return [p / total for p in parts]
+GROUPS = ("_declared", "_suffix", "_domain", "_host")
+
+
+def fuse(evidence: np.ndarray, share: np.ndarray, whole: np.ndarray, sums: dict[str, np.ndarray], known: dict[str, np.ndarray]) -> np.ndarray:
+    """Posteriors of rows. `sums` holds for each row the shares that its group has in all, itself included;
+    `known` tells which rows have a value."""
+    n = whole.sum()
+    base = (whole + 1.0) / (n + len(whole))
+    rest = {k: np.maximum(0.0, sums[k] - share) for k in GROUPS}  # without the row itself
+    logs = evidence.copy()
+    for k in ("_declared", "_suffix"):
+        common = (rest[k].sum(axis=1, keepdims=True) + 1.0) / (n + 1.0)  # the value's share of the corpus
+        likelihood = (rest[k] + WEIGHT * common) / (np.maximum(0.0, whole - share) + WEIGHT)
+        logs += np.log(likelihood) * known[k][:, None]
+    prior = base
+    for k in ("_domain", "_host"):
+        prior = (rest[k] + WEIGHT * prior) / (rest[k].sum(axis=1, keepdims=True) + WEIGHT)
+    return softmax(logs + np.log(prior))
 
 
 def identify(
@@ -139,8 +162,7 @@ def identify(
     Only slim rows are joined with the grouped sums; these are as many as there are hosts, domains, suffixes
     and declared values, and Spark broadcasts them only where it has measured them to be small.
     """
-    names = [*languages, UNKNOWN]
-    each = range(len(names))
+    names = np.array([*languages, UNKNOWN], object)
     declared = F.lower(F.col("lang") if declared is None else declared)
     host = host_of(F.col("source") if address is None else address)
     rows = docs.select(
@@ -151,60 +173,51 @@ def identify(
         F.col(text_col).alias("_text"),
     )
     model = train(rows, "_text", F.col("_declared"), languages)
-    weighed = stage(
-        text_evidence(rows, model, "_text")
-        .withColumns({"_domain": domain_of(F.col("_host")), "_suffix": suffix_of(F.col("_host"))})
-        .withColumns({f"r{i}": p for i, p in enumerate(softmax([F.col("evidence")[i] for i in each]))}),
-        "language-evidence",
-    )
-    sums = weighed.filter("n_grams > 0").agg(*(F.sum(f"r{i}").alias(f"s{i}") for i in each)).head()
-    whole = [float(sums[i] or 0.0) for i in each]
-    n = sum(whole)
-    base = [(s + 1.0) / (n + len(names)) for s in whole]
-    own = [F.when(F.col("n_grams") > 0, F.col(f"r{i}")).otherwise(F.lit(0.0)) for i in each]
-
+    weighed = text_evidence(rows, model, "_text")
+    weighed = weighed.withColumns({"_domain": domain_of(F.col("_host")), "_suffix": suffix_of(F.col("_host"))})
+    weighed = stage(weighed, "language-evidence")
+    shares = [F.sum(F.col("share")[i]) for i in range(len(names))]
+    whole = np.array([x or 0.0 for x in weighed.agg(*shares).head()])
     joined = weighed
-    for key in ("_declared", "_suffix", "_domain", "_host"):
-        grouped = weighed.filter(F.col(key).isNotNull() & (F.col("n_grams") > 0)).groupBy(key)
-        joined = joined.join(grouped.agg(*(F.sum(f"r{i}").alias(f"{key}{i}") for i in each)), key, "left")
-
-    def others(key: str, i: int) -> Column:
-        """The sum of a group without the row itself."""
-        return F.greatest(F.lit(0.0), F.coalesce(F.col(f"{key}{i}"), F.lit(0.0)) - own[i])
-
-    def total(key: str) -> Column:
-        out = others(key, 0)
-        for i in each[1:]:
-            out = out + others(key, i)
-        return out
-
-    def likelihood(key: str, i: int) -> Column:
-        """P(value | language), smoothed towards the value's share of the corpus."""
-        share = (total(key) + 1.0) / (n + 1.0)
-        found = (others(key, i) + WEIGHT * share) / (F.lit(whole[i]) - own[i] + WEIGHT)
-        return F.when(F.col(key).isNull(), F.lit(0.0)).otherwise(F.ln(found))
-
-    logs = []
-    for i in each:
-        domain = (others("_domain", i) + WEIGHT * base[i]) / (total("_domain") + WEIGHT)
-        prior = (others("_host", i) + WEIGHT * domain) / (total("_host") + WEIGHT)
-        logs.append(
-            F.when(F.col("n_grams") > 0, F.col("evidence")[i]).otherwise(F.lit(0.0))
-            + likelihood("_declared", i)
-            + likelihood("_suffix", i)
-            + F.ln(prior)
-        )
-    scored = joined.withColumns({f"_log{i}": x for i, x in enumerate(logs)})
-    posterior = softmax([F.col(f"_log{i}") for i in each])
-    scored = scored.withColumns({f"_p{i}": p for i, p in enumerate(posterior)})
-    confidence = F.greatest(*(F.col(f"_p{i}") for i in each))
-    language = F.coalesce(*(F.when(F.col(f"_p{i}") == confidence, F.lit(name)) for i, name in enumerate(names)))
-    return scored.select(
+    for key in GROUPS:
+        grouped = weighed.filter(F.col(key).isNotNull()).groupBy(key).agg(F.array(*shares).alias(f"{key}_sum"))
+        joined = joined.join(grouped, key, "left")
+    passed = [f"_carry{i}" for i in range(len(carry))]
+    source = joined.select("n_grams", "evidence", "share", *(f"{k}_sum" for k in GROUPS), "doc_id", "_declared", *passed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(0).to_numpy()
+            evidence, share = (batch.column(i).flatten().to_numpy().reshape(-1, len(names)) for i in (1, 2))
+            sums, known = {}, {}
+            for i, key in enumerate(GROUPS):
+                column = batch.column(3 + i)
+                known[key] = column.is_valid().to_numpy(zero_copy_only=False)
+                sums[key] = np.zeros_like(share)
+                sums[key][known[key]] = column.flatten().to_numpy().reshape(-1, len(names))
+            posterior = fuse(evidence, share, whole, sums, known)
+            best, confidence = posterior.argmax(axis=1), posterior.max(axis=1)
+            kept = (n > 0) & (best < len(languages)) & (confidence >= least)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(7),
+                    batch.column(8),
+                    pa.array(names[best], pa.string()),
+                    pa.array(confidence),
+                    batch.column(0),
+                    pa.array(kept),
+                    *batch.columns[9:],
+                ],
+                names=["doc_id", "declared", "language", "confidence", "n_grams", "kept", *carry],
+            )
+
+    schema = joined.select(
         "doc_id",
         F.col("_declared").alias("declared"),
-        language.alias("language"),
-        confidence.alias("confidence"),
+        F.lit("").alias("language"),
+        F.lit(0.0).alias("confidence"),
         "n_grams",
-        ((F.col("n_grams") > 0) & (language != UNKNOWN) & (confidence >= least)).alias("kept"),
+        F.lit(True).alias("kept"),
         *(F.col(f"_carry{i}").alias(c) for i, c in enumerate(carry)),
-    )
+    ).schema
+    return source.mapInArrow(run, schema)

@@ -26,18 +26,21 @@ DEPTH = 3
 MIN_DOCS = 5
 CONSTANT_SHARE = 0.7
 FIELD = "<*>"
-_DIGITS = re.compile(r"\S*\d\S*")
+_DIGIT = re.compile(r"\d")
 
 
 def masked(line: str) -> str:
     """The tokens of a line, those with digits as fields."""
-    return " ".join(_DIGITS.sub(FIELD, line).split())
+    tokens = line.split()
+    if _DIGIT.search(line):
+        tokens = [FIELD if _DIGIT.search(t) else t for t in tokens]
+    return " ".join(tokens)
 
 
 def leaf_of(line: str, depth: int = DEPTH) -> int:
     """The leaf of a masked line as a signed 64-bit number: its number of tokens and its first ones."""
     head = line.split(" ", depth)[:depth]
-    key = f"{line.count(' ') + 1} " + " ".join(head)
+    key = f"{line.count(' ') + 1} {' '.join(head)}"
     return xxhash.xxh3_64_intdigest(key.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 

@@ -11,9 +11,9 @@ classes that hold the size range and the OR of the token bitmaps of what is unde
     nodes   Inside a part, pairs of nodes are followed downwards as long as the largest overlap that their
             bitmaps and sizes allow suffices for a link.
 
-Pairs that are left are verified on the texts. Only components are asked for, so every class is first
-tried with the class that most of its parts have in front; pairs inside a component found so are not looked
-at again, and all others are.
+Pairs that are left are verified on the texts. Only components are asked for, so at first every component, to begin
+with every class, is tried with the one that its bitmap resembles most, a few times over; pairs inside a component
+found so need no look, and all others get one.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +37,7 @@ BITMAP_WORDS = 16  # 1,024 bits per class
 FANOUT = 16
 BLOCK = 2048  # classes of one part that meet in one task
 CHUNK_DOCS = 4096
+ROUNDS = 3
 CACHED_WORDS = 300_000
 
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -157,10 +157,8 @@ class Tree:
 
     def __init__(self, sizes: np.ndarray, bitmaps: np.ndarray):
         self.order = np.argsort(sizes, kind="stable")
-        low = high = sizes[self.order]
-        bits = bitmaps[self.order]
-        least = np.bitwise_count(bits).sum(axis=1).astype(np.int64)
-        self.levels = [(low, high, least, bits)]
+        self.levels = [self.leaves(sizes[self.order], bitmaps[self.order])]
+        low, high, least, bits = self.levels[0]
         while len(low) > 1:
             cut = np.arange(0, len(low), FANOUT)
             low, high = np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut)
@@ -168,11 +166,16 @@ class Tree:
             bits = np.bitwise_or.reduceat(bits, cut, axis=0)
             self.levels.append((low, high, least, bits))
 
+    @staticmethod
+    def leaves(sizes: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Classes as nodes: (smallest size, largest size, least number of bits, bits)."""
+        return sizes, sizes, np.bitwise_count(bits).sum(axis=1).astype(np.int64), bits
+
     def pairs(self, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
         """Positions of pairs of classes that their sizes and bitmaps let be linked."""
         a = b = np.zeros(1, np.int64)
         for depth in range(len(self.levels) - 1, -1, -1):
-            a, b = self._possible(self.levels[depth], a, b, percent, depth == 0)
+            a, b = self.possible(self.levels[depth], a, b, percent, depth == 0)
             if depth:
                 a, b = self._children(a, b, len(self.levels[depth - 1][0]))
         return self.order[a], self.order[b]
@@ -187,7 +190,7 @@ class Tree:
         return left[keep], right[keep]
 
     @staticmethod
-    def _possible(level, a, b, percent, leaves) -> tuple[np.ndarray, np.ndarray]:
+    def possible(level, a, b, percent, leaves) -> tuple[np.ndarray, np.ndarray]:
         low, high, least, bits = level
         keep = (100 * high[a] >= percent * low[b]) & (100 * high[b] >= percent * low[a])
         if leaves:
@@ -205,7 +208,7 @@ class Tree:
 
 
 def _sets(source: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
-    """kind 0: (doc_id, set, size, bitmap) per row; kind 1: signatures of a chunk's distinct sets by bucket."""
+    """kind 0: (doc_id, set, size) per row; kind 1: signatures of a chunk's distinct sets by bucket."""
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,13 +217,12 @@ def _sets(source: DataFrame, width: int, percent: int, buckets: int) -> DataFram
                 yield from chunk(batch.slice(at, CHUNK_DOCS))
 
     def chunk(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        names, sizes, maps, seen, marks, owners = [], [], [], set(), [], []
+        names, sizes, seen, marks, owners = [], [], set(), [], []
         for text in batch.column(1):
             tokens = shingles(text.as_py(), width)
             name = class_of(tokens)
             names.append(name)
             sizes.append(len(tokens))
-            maps.append(bitmap_of(tokens).tobytes())
             if name not in seen and len(tokens):
                 seen.add(name)
                 own = signatures(tokens, percent)
@@ -228,14 +230,13 @@ def _sets(source: DataFrame, width: int, percent: int, buckets: int) -> DataFram
                 owners.append(np.full(len(own), name, np.int64))
         n = len(names)
         empty = pa.nulls(n, pa.binary())
-        columns = ["kind", "doc_id", "name", "size", "bitmap", "bucket", "marks", "owners"]
+        columns = ["kind", "doc_id", "name", "size", "bucket", "marks", "owners"]
         yield pa.record_batch(
             [
                 pa.array([0] * n, pa.int32()),
                 batch.column(0),
                 pa.array(names, pa.int64()),
                 pa.array(sizes, pa.int64()),
-                pa.array(maps, pa.binary()),
                 pa.nulls(n, pa.int32()),
                 empty,
                 empty,
@@ -258,7 +259,6 @@ def _sets(source: DataFrame, width: int, percent: int, buckets: int) -> DataFram
                 pa.nulls(n, batch.schema.field(0).type),
                 pa.nulls(n, pa.int64()),
                 pa.nulls(n, pa.int64()),
-                pa.nulls(n, pa.binary()),
                 pa.array(found, pa.int32()),
                 pa.array([marks[s:e].tobytes() for s, e in spans], pa.binary()),
                 pa.array([owners[s:e].tobytes() for s, e in spans], pa.binary()),
@@ -266,7 +266,7 @@ def _sets(source: DataFrame, width: int, percent: int, buckets: int) -> DataFram
             names=columns,
         )
 
-    schema = f"kind int, doc_id {kind}, name long, size long, bitmap binary, bucket int, marks binary, owners binary"
+    schema = f"kind int, doc_id {kind}, name long, size long, bucket int, marks binary, owners binary"
     return source.mapInArrow(run, schema)
 
 
@@ -286,23 +286,6 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table({"members": pa.array(lists, pa.list_(pa.int64()))})
 
 
-def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(name, front, n): how many parts of a set have another one, the smallest member, in front."""
-    for batch in batches:
-        names, fronts = [], []
-        for x in batch.column(0):
-            members = x.values.to_numpy()
-            names.append(members[1:])
-            fronts.append(np.full(len(members) - 1, members[0], np.int64))
-        if names:
-            pairs = np.stack([np.concatenate(names), np.concatenate(fronts)], axis=1)
-            found, n = np.unique(pairs, axis=0, return_counts=True)
-            yield pa.record_batch(
-                [pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy()), pa.array(n.astype(np.int64))],
-                names=["name", "front", "n"],
-            )
-
-
 def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose texts are linked."""
     both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
@@ -320,17 +303,67 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _tree_pairs(percent: int):
+def _bits(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table["bitmap"].to_pylist()), "<u8").reshape(table.num_rows, -1)
+
+
+def _open_pairs(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions a, b of pairs that may be linked, out of the same blocks of one part and not in one component.
+
+    Blocks of up to `FANOUT` classes are one node, whose pairs are formed for all blocks of a size at once."""
+    part, i, j, block, label, size = (table[c].to_numpy() for c in ("part", "i", "j", "block", "label", "size"))
+    bits = _bits(table)
+    by = np.lexsort((j, i, part))
+    edge = (np.diff(part[by]) != 0) | (np.diff(i[by]) != 0) | (np.diff(j[by]) != 0)
+    begin = np.concatenate([[0], np.flatnonzero(edge) + 1])
+    length = np.diff(np.concatenate([begin, [len(by)]]))
+    left, right = [], []
+    for n in np.unique(length[(length > 1) & (length <= FANOUT)]).tolist():
+        members = by[begin[length == n][:, None] + np.arange(n)]
+        x, y = np.triu_indices(n, 1)
+        left.append(members[:, x].ravel())
+        right.append(members[:, y].ravel())
+    a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (left, right))
+    a, b = Tree.possible(Tree.leaves(size, bits), a, b, percent, True)
+    left, right = [a], [b]
+    for s, n in zip(begin[length > FANOUT].tolist(), length[length > FANOUT].tolist()):
+        own = by[s : s + n]
+        a, b = Tree(size[own], bits[own]).pairs(percent)
+        left.append(own[a])
+        right.append(own[b])
+    a, b = np.concatenate(left), np.concatenate(right)
+    keep = (label[a] != label[b]) & ((i[a] == j[a]) | (block[a] != block[b]))
+    return a[keep], b[keep]
+
+
+def _all_pairs(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        a, b = _open_pairs(table, percent)
+        name = table["name"].to_numpy()
+        a, b = name[a], name[b]
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return pa.table({"a": pairs[0].copy(), "b": pairs[1].copy()})
+
+    return run
+
+
+def _best_pairs(percent: int):
+    """For each component in some blocks the pair that leads out of it with the most alike bitmaps."""
+
     def run(table: pa.Table) -> pa.Table:
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        name, label, block = (table[c].to_numpy() for c in ("name", "label", "block"))
-        bits = np.frombuffer(b"".join(table["bitmap"].to_pylist()), "<u8").reshape(len(name), -1)
-        a, b = Tree(table["size"].to_numpy(), bits).pairs(percent)
-        keep = label[a] != label[b]
-        if i != j:
-            keep &= block[a] != block[b]
-        a, b = name[a[keep]], name[b[keep]]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        a, b = _open_pairs(table, percent)
+        name, label, bits = table["name"].to_numpy(), table["label"].to_numpy(), _bits(table)
+        alike = np.empty(len(a))
+        for s in range(0, len(a), 1 << 16):
+            x, y = bits[a[s : s + (1 << 16)]], bits[b[s : s + (1 << 16)]]
+            alike[s : s + (1 << 16)] = np.bitwise_count(x & y).sum(axis=1) / np.bitwise_count(x | y).sum(axis=1)
+        low, high = np.minimum(name[a], name[b]), np.maximum(name[a], name[b])
+        own = np.concatenate([label[a], label[b]])
+        at = np.tile(np.arange(len(a)), 2)
+        by = np.lexsort((high[at], low[at], -alike[at], own))
+        first = by[np.flatnonzero(np.concatenate([[True], own[by][1:] != own[by][:-1]]))] if len(by) else by
+        at = at[first]
+        return pa.table({"label": own[first], "a": low[at], "b": high[at], "alike": alike[at]})
 
     return run
 
@@ -354,67 +387,79 @@ def jaccard_components(
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     staged = stage(_sets(source, width, percent, 4 * shuffle), "shingle-sets")
-    rows = staged.filter("kind = 0").select("doc_id", "name", "size", "bitmap")
+    rows = staged.filter("kind = 0").select("doc_id", "name", "size")
     parts = staged.filter("kind = 1").select("bucket", "marks", "owners").groupBy("bucket")
     members = stage(parts.applyInArrow(_shared, "members array<long>").distinct(), "shared-parts")
 
-    votes = members.mapInArrow(_votes, "name long, front long, n long")
-    votes = votes.groupBy("name", "front").agg(F.sum("n").alias("n"))
-    best = votes.groupBy("name").agg(F.max_by("front", F.struct("n", "front")).alias("front"))
-    first = stage(best.select(F.col("front").alias("a"), F.col("name").alias("b")), "front-pairs")
-
-    wanted = stage(first.select("a").union(first.select("b")).distinct().toDF("name"), "candidates")
-    near = bitmap(wanted, "name")
+    listed = members.select(F.xxhash64("members").alias("part"), F.explode("members").alias("name"))
+    wanted = stage(listed.select("name").distinct(), "candidates")
+    rows_of = rows.join(wanted, "name").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
+    near = bitmap(rows_of.select(F.xxhash64("doc_id").alias("id")), "id")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [class_of(shingles(t.as_py(), width)) for t in batch.column(1)]
-            names = np.array(found, np.int64)
-            out = pa.RecordBatch.from_arrays([pa.array(names), batch.column(0), batch.column(1)], names=["name", "doc_id", "text"])
-            yield out.filter(pa.array(maybe(near, names)))
-
-    kind = source.schema["doc_id"].dataType.simpleString()
-    named = source.mapInArrow(candidates, f"name long, doc_id {kind}, text string")
-    texts = stage(
-        named.join(wanted, "name", "left_semi").groupBy("name").agg(F.min("text").alias("text")), "candidate-texts"
-    )
-    linked_first = stage(_verify(first, texts, width, percent), "links")
-    labels = components(linked_first)
+            some = batch.filter(pa.array(maybe(near, batch.column(0).to_numpy())))
+            names, sizes, maps = [], [], []
+            for text in some.column(1):
+                tokens = shingles(text.as_py(), width)
+                names.append(class_of(tokens))
+                sizes.append(len(tokens))
+                maps.append(bitmap_of(tokens).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary()), some.column(1)],
+                names=["name", "size", "bitmap", "text"],
+            )
 
-    # Pairs that share a part and are not in one component yet.
-    listed = members.select(F.xxhash64("members").alias("part"), F.explode("members").alias("name"))
-    labelled = (
-        listed.join(labels.withColumnRenamed("node", "name"), "name", "left")
-        .select("part", "name", F.coalesce("label", "name").alias("label"))
-    )
-    mixed = labelled.groupBy("part").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")
-    )
-    mixed = mixed.filter("low <> high").select("part", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    maps = rows.groupBy("name").agg(F.first("size").alias("size"), F.first("bitmap").alias("bitmap"))
-    open_ = (
-        labelled.join(mixed, "part")
-        .join(maps, "name")
-        .withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "part",
-            F.least("block", "other").alias("i"),
-            F.greatest("block", "other").alias("j"),
-            "block",
-            "name",
-            "label",
-            "size",
-            "bitmap",
+    read = source.select(F.xxhash64("doc_id").alias("id"), "text")
+    read = read.mapInArrow(candidates, "name long, size long, bitmap binary, text string").join(wanted, "name", "left_semi")
+    found = read.groupBy("name").agg(F.min(F.struct("text", "size", "bitmap")).alias("it")).select("name", "it.*")
+    found = stage(found, "candidate-texts")
+    texts = found.select("name", "text")
+    listed = stage(listed.join(found.drop("text"), "name"), "part-members")
+
+    def open_parts(labels: DataFrame | None):
+        """The members of parts that hold more than one component, dealt into pairs of blocks."""
+        if labels is None:
+            labelled = listed.withColumn("label", F.col("name"))
+        else:
+            labelled = listed.join(labels.withColumnRenamed("node", "name"), "name", "left")
+            labelled = labelled.withColumn("label", F.coalesce("label", "name"))
+        mixed = labelled.groupBy("part").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")
         )
-    )
-    left = open_.groupBy("part", "i", "j").applyInArrow(_tree_pairs(percent), "a long, b long").distinct()
-    left = stage(left.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "left-pairs")
-    linked_left = _verify(left, texts, width, percent)
-    final = components(linked_first.union(linked_left))
+        mixed = mixed.filter("low <> high").select("part", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        dealt = labelled.join(mixed, "part").withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        columns = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+        dealt = dealt.select("part", *columns, "block", "name", "label", "size", "bitmap")
+        dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("part", "i", "j"), F.lit(4 * shuffle)))
+        return dealt.repartition(shuffle, "bucket").groupBy("bucket")  # little data, much work: not to be coalesced
+
+    links = tried = labels = None
+    for _ in range(ROUNDS):
+        best = open_parts(labels).applyInArrow(_best_pairs(percent), "label long, a long, b long, alike double")
+        best = best.groupBy("label").agg(F.max_by(F.struct("a", "b"), F.struct("alike", "a", "b")).alias("pair"))
+        pairs = best.select("pair.a", "pair.b").distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "best-pairs")
+        found = stage(_verify(pairs, texts, width, percent), "links")
+        tried = pairs if tried is None else tried.union(pairs)
+        if not found.head(1):
+            break
+        links = found if links is None else links.union(found)
+        labels = components(links)
+    # Whatever is still open is looked at in full, so nothing depends on the choices above.
+    left = open_parts(labels).applyInArrow(_all_pairs(percent), "a long, b long").distinct()
+    if tried is not None:
+        left = left.join(tried, ["a", "b"], "left_anti")
+    left = stage(left, "left-pairs")
+    found = stage(_verify(left, texts, width, percent), "links")
+    if labels is None or found.head(1):
+        labels = components(found if links is None else links.union(found))
 
     ids = rows.filter("size > 0").groupBy("name").agg(F.min("doc_id").alias("class_id"))
-    grouped = ids.join(final.toDF("name", "label"), "name", "left").select(
+    grouped = ids.join(labels.toDF("name", "label"), "name", "left").select(
         "name", "class_id", F.coalesce("label", "name").alias("label")
     )
     grouped = stage(grouped, "classes")
