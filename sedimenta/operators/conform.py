@@ -60,9 +60,10 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
 
     Everything up to the dedupe is one narrow stage; the dedupe is the only shuffle.
     """
-    out = standardise_text(cast_table(df, spec), spec.keep_case)
+    out = cast_table(df, spec)
     if spec.valid_id and spec.valid_id in out.columns:
-        out = keep_valid_ids(out, spec.valid_id)
+        out = keep_valid_ids(out, spec.valid_id)  # before the text step, so that it reaches the scan
+    out = standardise_text(out, spec.keep_case)
     return blanks_to_null(keep_first(out, spec.key, spec.order))
 
 

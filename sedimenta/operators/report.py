@@ -23,6 +23,12 @@ class Window:
     back: int = 23
     until: int = 16
 
+    def of_source(self, date: Column) -> Column:
+        """As a range over the source column that the key is made of, so that the scan sees it."""
+        first = self.reference - dt.timedelta(days=self.back)
+        after = self.reference - dt.timedelta(days=self.until)
+        return (date >= F.lit(first)) & (date < F.lit(after))
+
     def condition(self, key: Column) -> Column:
         """As a range over the stored integer key, which a scan can use to skip data."""
         first = key_of(self.reference - dt.timedelta(days=self.back))

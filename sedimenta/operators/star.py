@@ -170,6 +170,16 @@ def build_fact(
     return fact.select(*spec.layout) if spec.layout else fact
 
 
+def by_date(fact: DataFrame, spec: FactSpec) -> DataFrame:
+    """A fact in ranges of its first date key, for storing it: a window of days then skips most files and row groups.
+
+    The other keys take part in the ranges, so a day with many rows is spread as well.
+    """
+    dates = [column(c) for c in spec.dates]
+    rest = F.xxhash64(*[column(r.key) for r in spec.dims])
+    return fact.repartitionByRange(dates[0], rest).sortWithinPartitions(dates[0]) if dates else fact
+
+
 def roll_up(
     fact: DataFrame,
     dims: Mapping[str, DataFrame],

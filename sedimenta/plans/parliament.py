@@ -26,7 +26,7 @@ from sedimenta.operators.merge import audit_copy, backfill, upsert
 from sedimenta.operators.quality import null_violations, pk_violations, require
 from sedimenta.operators.report import Window, html_card, top_of_window
 from sedimenta.operators.similarity import classify_top1
-from sedimenta.operators.star import build_dim, build_fact, filled, stamp_load
+from sedimenta.operators.star import build_dim, build_fact, by_date, filled, stamp_load
 from sedimenta.session import stage, together
 from sedimenta.sources.landing import column, explode_children, flatten, jsonify_complex, stamp_capture
 from sedimenta.sources.tables import Layer, read_table
@@ -573,7 +573,7 @@ def full_refresh(
     )
     silver = {n: layers["silver"].read(n) for n in layers["silver"].names()}
     dims = together({n: partial(gold_dim, n, silver) for n in DIMS})
-    facts = {n: stamp_load(gold_fact(n, silver, dims), at) for n in FACTS}
+    facts = {n: by_date(stamp_load(gold_fact(n, silver, dims), at), FACTS[n][0]) for n in FACTS}
     dated = {n: stamp_load(d, at, validity=True) for n, d in dims.items()}
     layers["gold"].refresh({**dated, **facts}, check=check_gold)
     return layers

@@ -137,3 +137,18 @@ def test_window_top_and_digest(spark):
     assert [r["id"] for r in one[0]["proposicoes"]] == want
     assert one[0]["html"].startswith("<h><div") and one[0]["html"].endswith("</h>")
     assert "a<b" not in one[0]["html"]
+
+
+def test_a_window_skips_data_of_a_published_fact(spark):
+    from sedimenta.operators.report import Window
+    from sedimenta.plans import star_queries as sq
+
+    sf = "/root/testdata/sf0.001"
+    fact = sq.published_orders(spark, sf).read("ft_orders")
+    cut = fact.where(Window(sq.REFERENCE_DAY).condition(F.col("sk_data_order")))
+    assert "GreaterThanOrEqual(sk_data_order" in cut._jdf.queryExecution().toString()
+    files = [sorted(r.sk_data_order for r in fact.where(F.input_file_name() == f.f).collect()) for f in fact.select(F.input_file_name().alias("f")).distinct().collect()]
+    spans = sorted((f[0], f[-1]) for f in files)
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    plan = sq.top_orders(spark, sf)._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "SinglePartition" not in plan.split("== Physical Plan ==")[1].split("TakeOrdered")[0]
