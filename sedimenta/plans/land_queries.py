@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from sedimenta.operators.conform import blanks_to_null
 from sedimenta.operators.enrich import plan_batches
 from sedimenta.operators.joins import lookup_join
 from sedimenta.plans.registry import query, table, text
-from sedimenta.session import new_path
+from sedimenta.session import new_path, together
 from sedimenta.sources import landing
 from sedimenta.sources.tables import Layer, import_csv, read_batches, write_batches
 from sedimenta.sources.tables import export_csv as write_csv
@@ -228,3 +229,24 @@ def orders_lines(spark, sf):
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_quantity"
     )
     return lookup_join(lines, orders, ["o_orderkey"])
+
+
+@query('SELECT c_custkey, c_nationkey::VARCHAR AS "idPai" FROM customer')
+def parent_from_path(spark, sf):
+    """Children landed in one folder per parent; the parent's id is read off the path."""
+    path = new_path(spark, "landed")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    customers.write.partitionBy("c_nationkey").parquet(path)
+    landed = spark.read.schema("c_custkey long").parquet(path)
+    return landing.stamp_parent_from_path(landed, r"c_nationkey=(\d+)/", "idPai").select("c_custkey", "idPai")
+
+
+@query("SELECT 'a' AS tabela, n_nationkey AS chave FROM nation UNION ALL SELECT 'b', r_regionkey FROM region")
+def publish_concurrent(spark, sf):
+    """Two writers publish to one layer at once: both tables are there afterwards."""
+    layer = Layer(spark, new_path(spark, "layer"))
+    nation = table(spark, sf, "nation").select(F.col("n_nationkey").alias("chave"))
+    region = table(spark, sf, "region").select(F.col("r_regionkey").alias("chave"))
+    together({"a": partial(layer.replace, "a", nation), "b": partial(layer.replace, "b", region)})
+    read = [layer.read(n).select(F.lit(n).alias("tabela"), "chave") for n in layer.names()]
+    return read[0].unionAll(read[1])

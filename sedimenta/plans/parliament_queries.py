@@ -18,6 +18,7 @@ from sedimenta.operators.conform import conform
 from sedimenta.operators.conform import load_report as make_load_report
 from sedimenta.operators.quality import pk_violations
 from sedimenta.operators.report import Window, digest, ranked
+from sedimenta.operators.similarity import collect_labels
 from sedimenta.plans import parliament as pl
 from sedimenta.plans.registry import money, query, table, text
 from sedimenta.session import new_path, stage, together
@@ -619,3 +620,57 @@ def enrichment_texts(spark, sf):
         layer, landed, new_path(spark, "work"), dt.datetime(2024, 2, 1), summarise=load, reprocess=True
     )
     return out.select("proposicao_id", "tema_classificado", "resumo_executivo")
+
+
+_LABEL = (
+    "coalesce(json_extract_string(props, '$.sigla') || ' ' || json_extract_string(props, '$.k') || '/' || year(ts), "
+    "event_type || ' ' || json_extract_string(props, '$.k') || '/' || year(ts))"
+)
+
+
+@query(f"""
+SELECT event_id AS id, CASE WHEN event_id % 3 = 0 THEN event_type WHEN event_id % 2 = 0 THEN {_LABEL} END
+         AS "proposicaoObjeto",
+       CASE WHEN event_id % 3 = 0 THEN event_type END AS "proposicaoObjeto_original" FROM events""")
+def backfill_vote_subject(spark, sf):
+    """Votes without a subject, filled from the detail records that exist."""
+    events = table(spark, sf, "events")
+
+    def item(kind):
+        number = F.get_json_object("props", "$.k")
+        return F.struct(kind.alias("siglaTipo"), number.alias("numero"), F.year("ts").alias("ano"))
+
+    votes = events.select(
+        F.col("event_id").alias("id"), F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("proposicaoObjeto")
+    )
+    first = F.filter(F.array(item(F.get_json_object("props", "$.sigla"))), lambda x: x["siglaTipo"].isNotNull())
+    details = events.where("event_id % 2 = 0").select(
+        F.col("event_id").alias("id"),
+        first.alias("proposicoesAfetadas"),
+        F.array(item(F.col("event_type"))).alias("objetosPossiveis"),
+    )
+    return pl.backfill_vote_subject(votes, details)
+
+
+@query("""
+SELECT vec_id AS proposicao_id, 'tema_' || l AS tema_classificado, round(s, 4) AS score_similaridade FROM (
+  SELECT e.vec_id, t.vec_id AS l, list_dot_product(e.embedding::DOUBLE[], t.embedding::DOUBLE[]) AS s
+  FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id < 10) t)
+JOIN documents ON doc_id = vec_id WHERE trim(text) <> ''
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, l) = 1""")
+def enrichment_vectors(spark, sf):
+    """An enrichment run that computes vectors and themes; bills are landed twice, and those without a vector stay pending."""
+    landed = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), F.col("text").alias("ementa"), F.lit(None).cast("string").alias("ementaDetalhada")
+    )
+    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("proposicao_id"), "embedding")
+    themes = table(spark, sf, "embeddings").where("vec_id < 10").withColumn("nome", F.concat(F.lit("tema_"), "vec_id"))
+    out = pl.enrichment_run(
+        Layer(spark, new_path(spark, "silver")),
+        landed.union(landed),
+        new_path(spark, "work"),
+        dt.datetime(2024, 2, 1),
+        encode=lambda df, _: df.join(vectors, "proposicao_id", "left"),
+        labels=collect_labels(themes, "nome", "embedding", "vec_id"),
+    )
+    return out.select("proposicao_id", "tema_classificado", "score_similaridade")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sedimenta.functions.dates import key_date, percent
 from sedimenta.functions.text import filled as filled_text
 from sedimenta.operators.joins import lookup_join
+from sedimenta.operators.keys import surrogate_key
 from sedimenta.operators.report import Window, digest as make_digest, html_card, ranked, top_of_window
 from sedimenta.operators.star import build_dim, build_fact, by_date, dim_date as make_dim_date, roll_up
 from sedimenta.plans.registry import money, query, table, text
@@ -289,8 +290,8 @@ FROM lines JOIN dim_supplier ON l_suppkey = id_supplier JOIN dim_part ON l_partk
 JOIN dim_order ON l_orderkey = id_order"""
 
 
-def _line_fact(spark, sf):
-    fact = build_fact(line_rows(spark, sf), FT_LINEITEM, dims_of(spark, sf, FT_LINEITEM))
+def _line_fact(spark, sf, **options):
+    fact = build_fact(line_rows(spark, sf), FT_LINEITEM, dims_of(spark, sf, FT_LINEITEM), **options)
     return fact.withColumns({c: F.col(c).cast("double") for c in ("vl_gross", "vl_net", "vl_tax")})
 
 
@@ -299,6 +300,19 @@ def ft_lineitem(spark, sf):
     return _line_fact(spark, sf)
 
 
+@query(_FT_LINE_SQL)
+def ft_lineitem_large(spark, sf):
+    """The same with dimensions that are too large to broadcast."""
+    return _line_fact(spark, sf, max_bytes=0)
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS sk FROM (SELECT DISTINCT o_orderkey FROM orders)")
+def dim_order_large(spark, sf):
+    """Keys numbered in eight ranges."""
+    keys = table(spark, sf, "orders").select("o_orderkey").distinct()
+    return surrogate_key(keys, "sk", ["o_orderkey"], partitions=8)
+
+
 @query(f"""
 WITH {_SUPPLIER_SQL}, {_PART_SQL.format(where="WHERE p_size <= 25")}, {_ORDER_SQL}, {_CUSTOMER_SQL}
 SELECT sk_order, sk_supplier, sk_customer, coalesce(sk_part, -1) AS sk_part,
