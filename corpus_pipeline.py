@@ -17,6 +17,7 @@ from sedimenta.session import stage
 
 POLICY = "prose-1"
 VOCABULARY = "byte_bpe_50k.json"
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80  # near duplicates of the pipeline
 
 
 def free(docs: DataFrame, name: str) -> str:
@@ -59,10 +60,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component of linked documents the one with the smallest id; documents without words stay."""
+    """Of every component of linked documents (five-word shingles, similarity 0.8) the one with the smallest id;
+    documents without words stay."""
     key = free(docs, "key")
     keyed = docs.withColumn(key, row_key())
-    kept = jaccard_components(keyed, id_col=key).filter("doc_id <=> component_id").select(F.col("doc_id").alias(key))
+    groups = jaccard_components(keyed, id_col=key, width=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
+    kept = groups.filter("doc_id <=> component_id").select(F.col("doc_id").alias(key))
     return keyed.join(kept.distinct(), key, "left_semi").select(*docs.columns)
 
 

@@ -62,7 +62,7 @@ def test_stages(spark, documents, tmp_path):
     best = {min(g, key=lambda r: (-len(r.text), r.doc_id is None, r.doc_id or 0)) for g in groups.values()}
     assert sorted(repr(tuple(r)) for r in seen["exact_dedup"]) == sorted(repr(tuple(r)) for r in best)
 
-    links = components_of(seen["exact_dedup"])
+    links = components_of(seen["exact_dedup"], percent=80, width=5)
     assert sorted(r.doc_id for r in seen["near_dedup"]) == sorted({c for _, _, c in links})
     assert len([r for r in seen["near_dedup"] if r.doc_id in (205, 300, 301, 302, 303, 304)]) == 1
 

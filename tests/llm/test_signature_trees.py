@@ -16,8 +16,8 @@ def sets(rows, width=4):
     return out
 
 
-def expected(rows, percent=85):
-    own = sets(rows)
+def expected(rows, percent=85, width=4):
+    own = sets(rows, width)
     parent = list(range(len(rows)))
 
     def root(i):
@@ -37,9 +37,10 @@ def expected(rows, percent=85):
     return sorted(((r.doc_id, len(s), low[root(i)]) for i, (r, s) in enumerate(zip(rows, own))), key=repr)
 
 
-def check(df):
-    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in st.jaccard_components(df).collect()), key=repr)
-    assert got == expected(df.select("doc_id", "text").collect())
+def check(df, **options):
+    rows = st.jaccard_components(df, **options).collect()
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in rows), key=repr)
+    assert got == expected(df.select("doc_id", "text").collect(), **options)
 
 
 def families(seed, n):
@@ -65,6 +66,12 @@ def test_families_of_near_copies(spark, monkeypatch, block, rounds):
     check(spark.createDataFrame(list(enumerate(families(block + rounds, 25))), "doc_id long, text string"))
 
 
+def test_other_shingles_and_thresholds(spark):
+    df = spark.createDataFrame(list(enumerate(families(77, 20))), "doc_id long, text string")
+    check(df, percent=80, width=5)
+    check(df, percent=60, width=2)
+
+
 def test_odd_rows(odd, nothing):
     check(odd)
     assert st.jaccard_components(nothing).collect() == []
