@@ -148,7 +148,7 @@ def drop_recurring(
     kept = F.when(
         F.col("gone").isNull(), F.col("text")
     ).otherwise(F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone", i)), "\n"))
-    with_tokens = F.size(F.filter(lines, lambda x: F.length(F.trim(x)) > 0))
+    with_tokens = F.size(F.filter(lines, lambda x: x.rlike(r"\S")))
     return source.join(gone, "key", "left").select(
         "doc_id",
         kept.alias("text"),

@@ -67,7 +67,38 @@ def op7_content_sort(spark: SparkSession, sf: str) -> DataFrame:
     return content_sort(table(spark, sf, "documents"))
 
 
-@query()
+@query(
+    r"""
+    WITH w AS (
+      SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM w),
+    windows AS (
+      SELECT doc_id, i, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS g
+      FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    again AS (
+      SELECT doc_id, i FROM windows WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+    covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, range(3) AS x(k) GROUP BY doc_id),
+    sums AS (
+      SELECT doc_id, sum(length(word)) AS chars, count(*) FILTER (word = upper(word) AND word <> lower(word)) AS uppers,
+             count(*) FILTER (regexp_matches(word, '^\p{L}')) AS alphas, max(length(word)) AS longest FROM words GROUP BY doc_id),
+    tops AS (
+      SELECT doc_id, max(n) AS n FROM (SELECT doc_id, word, count(*) AS n FROM words GROUP BY ALL) GROUP BY doc_id),
+    lines AS (
+      SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dups
+      FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+    m AS (
+      SELECT w.doc_id, len(ws) AS n_words, coalesce(chars, 0)::BIGINT AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dups, 0) AS n_dup_lines,
+             coalesce(covered.n, 0) AS n_repeat_words, uppers, alphas, tops.n AS top, lines.n AS n_lines, longest
+      FROM w LEFT JOIN sums ON sums.doc_id = w.doc_id LEFT JOIN tops ON tops.doc_id = w.doc_id
+      LEFT JOIN lines ON lines.doc_id = w.doc_id LEFT JOIN covered ON covered.doc_id = w.doc_id)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR n_symbols / n_words > 0.1 OR uppers / n_words > 0.3
+             OR top / n_words > 0.2 OR n_dup_lines / n_lines > 0.4 OR alphas / n_words < 0.6) AS kept FROM m
+    """
+)
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """The ledger of every document with the verdict of the production policy."""
     entries = apply_policy(ledger(table(spark, sf, "documents")), "prose-1", "kept")
@@ -81,7 +112,6 @@ def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
         "n_repeat_words",
         base_failed.alias("base_failed"),
         (~base_failed & F.col("kept")).alias("kept"),
-        "failed",
     )
 
 
@@ -127,13 +157,55 @@ def op8_ppm(spark: SparkSession, sf: str) -> DataFrame:
     return score_texts(table(spark, sf, "documents"), held_out)
 
 
-@query()
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@query(
+    rf"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+        ELSE [array_to_string(ws[i:i + 3], ' ') FOR i IN range(1, len(ws) - 2)] END) AS g FROM w),
+    n AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, '|' ORDER BY g)) AS h FROM s GROUP BY doc_id),
+    shared AS (
+      SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (
+      SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+    reach(doc_id, other) AS (SELECT x, y FROM links UNION SELECT r.doc_id, y FROM reach r JOIN links ON r.other = x)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN h IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY h) END AS class_id,
+           least(doc_id, coalesce(low, doc_id)) AS component_id
+    FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) USING (doc_id)
+    """
+)
 def op10_signature_trees(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with the component of documents that links lead to."""
     return jaccard_components(table(spark, sf, "documents"))
 
 
-@query()
+@query(
+    r"""
+    WITH l AS (
+      SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+             unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents),
+    m AS (
+      SELECT doc_id, pos, line, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END
+                                FOR t IN regexp_extract_all(line, '\S+')] AS toks FROM l),
+    d AS (SELECT *, array_to_string([len(toks)::VARCHAR] || toks[1:3], ' ') AS leaf FROM m WHERE len(toks) > 0),
+    near AS (SELECT leaf FROM d GROUP BY leaf HAVING count(DISTINCT doc_id) >= 5),
+    own AS (SELECT leaf, toks, count(DISTINCT doc_id) AS n FROM d SEMI JOIN near USING (leaf) GROUP BY ALL),
+    tokens AS (SELECT leaf, toks, n, unnest(toks) AS token, unnest(range(len(toks))) AS i FROM own),
+    fixed AS (SELECT leaf, i, token FROM tokens WHERE token <> '<*>' GROUP BY ALL HAVING sum(n) >= 5),
+    template AS (
+      SELECT leaf, toks, string_agg(f.i || ' ' || f.token, chr(10) ORDER BY f.i) AS t
+      FROM tokens LEFT JOIN fixed f USING (leaf, i, token) GROUP BY ALL HAVING count(f.i) >= 0.7 * len(toks)),
+    found AS (SELECT doc_id, pos, leaf || chr(10) || t AS t FROM d JOIN template USING (leaf, toks)),
+    gone AS (SELECT doc_id, pos FROM found WHERE t IN (SELECT t FROM found GROUP BY t HAVING count(DISTINCT doc_id) >= 5))
+    SELECT m.doc_id, coalesce(string_agg(line, chr(10) ORDER BY m.pos) FILTER (gone.pos IS NULL), '') AS text,
+           count(*) FILTER (len(toks) > 0) AS n_lines, count(gone.pos) AS n_dropped
+    FROM m LEFT JOIN gone ON gone.doc_id = m.doc_id AND gone.pos = m.pos GROUP BY m.doc_id
+    """
+)
 def op2_line_templates(spark: SparkSession, sf: str) -> DataFrame:
     """Every document without the lines whose template recurs across documents."""
     return drop_recurring(table(spark, sf, "documents"))
