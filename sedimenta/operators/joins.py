@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,8 @@ HOT_SHARE = 0.00001
 HOT_ROWS = 1_000_000
 # Rows of one hot key that a task is to take.
 TASK_ROWS = 1_000_000
+PACKED = 10  # a row in memory against the same row in a file
+_NARROWING = {"Relation", "Project", "Filter", "Aggregate", "Deduplicate"}
 
 
 def _q(name: str) -> Column:
@@ -46,6 +49,16 @@ def measured_bytes(df: DataFrame) -> int:
     return int(total or 0)
 
 
+def planned_bytes(df: DataFrame) -> int | None:
+    """An upper bound for the size of a frame that the planner has without a job: that of the files it reads.
+
+    None where a step may add rows or widen them.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    steps = set(re.findall(r"^[\s:+\-]*(\w+)", plan.toString(), re.M))
+    return int(str(plan.stats().sizeInBytes())) if steps <= _NARROWING else None
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= max_bytes
 
@@ -117,11 +130,13 @@ def lookup_join(
 ) -> DataFrame:
     """Join a large table with a look-up side (inner, left, left_semi or left_anti).
 
-    The look-up side is measured: if it is small it is broadcast and the large side is not
-    moved at all, otherwise both are shuffled with the hot keys salted.
+    A look-up side that the planner knows to be small, or else one that a single job has measured, is broadcast and the
+    large side is not moved at all. Otherwise it is a plain join, whose skewed partitions Spark splits.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    if fits_broadcast(right, max_bytes):
+    known = planned_bytes(right)
+    small = known is not None and known * PACKED <= max_bytes
+    if small or fits_broadcast(right, max_bytes):
         return left.join(F.broadcast(right), list(on), how)
-    return salted_join(left, right, on, how)
+    return left.join(right, list(on), how)

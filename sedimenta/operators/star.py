@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.functions.dates import date_key
-from sedimenta.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join, salted_join
-from sedimenta.operators.keys import number_rows, surrogate_key
+from sedimenta.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
+from sedimenta.operators.keys import number_rows
 from sedimenta.sources.landing import column
 from sedimenta.spec import VOCABULARY, DimSpec, FactSpec, Vocabulary
 
@@ -109,18 +109,15 @@ def _measure(keys: Mapping[str, DataFrame]) -> dict[str, int]:
 
 
 def _look_up(
-    fact: DataFrame, keys: DataFrame, rows: int, optional: bool, max_bytes: int, source: DataFrame
+    fact: DataFrame, keys: DataFrame, rows: int, optional: bool, max_bytes: int
 ) -> DataFrame:
-    """Attach a surrogate key by a broadcast of measured size, or by a salted shuffle.
-
-    Hot keys are counted in `source`, the fact rows before any join.
-    """
+    """Attach a surrogate key by a broadcast of known size, or by a plain join, whose skew Spark splits."""
     natural, how = keys.columns[0], "left" if optional else "inner"
     if not isinstance(keys.schema[natural].dataType, (T.IntegerType, T.LongType)):
         return lookup_join(fact, keys, [natural], how, max_bytes)
     if rows * _KEY_ROW_BYTES <= max_bytes:
         return fact.join(F.broadcast(keys), natural, how)
-    return salted_join(fact, keys, [natural], how, counted=source)
+    return fact.join(keys, natural, how)
 
 
 def build_fact(
@@ -133,7 +130,7 @@ def build_fact(
     """Star join: natural keys -> surrogate keys, dates -> date keys, measures.
 
     Only (natural key, surrogate key) of a dimension take part: two numbers per row bound
-    its hash table, and the row count decides between broadcast and a salted shuffle.
+    its hash table, and the row count decides between broadcast and a shuffle.
     Missing rows of an optional dimension get the unknown key; rows without a required
     dimension drop out.
     """
@@ -152,9 +149,8 @@ def build_fact(
     known = {n: _unique_rows.get(dims[r.dim]) for n, r in zip(keys, spec.dims)}
     open_ = {n: k for n, k in keys.items() if known[n] is None}
     rows = {**known, **_measure(open_)}
-    source = out
     for (name, k), r in zip(keys.items(), spec.dims):
-        out = _look_up(out, k, rows[name], r.optional, max_bytes, source).drop(k.columns[0])
+        out = _look_up(out, k, rows[name], r.optional, max_bytes).drop(k.columns[0])
     names = []
     for i, r in enumerate(spec.dims):
         key = F.col(f"__k{i}")
