@@ -162,7 +162,7 @@ def merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def slices(texts: list[bytes], size: int = 4 << 20, most: int = 1 << 15) -> Iterator[tuple[int, int]]:
+def slices(texts: list[bytes], size: int = 1 << 20, most: int = 1 << 15) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `size` bytes and at most `most` texts."""
     begin, held = 0, 0
     for i, text in enumerate(texts):
@@ -271,12 +271,15 @@ def _words(x) -> list[bytes]:
 
 
 def _answers(kind: int, asked: pa.Table, found: list[bytes]) -> pa.Table:
-    """For each row of a bucket what was found for its grams or words, in the order in which it named them."""
+    """For each row of a bucket what was found for its grams or words, in the order in which it named them.
+
+    Grams go along; words are many more bytes, and a chunk lists its own again in the same order."""
     return pa.table(
         {
             "kind": pa.array([kind] * len(found), pa.int32()),
             "chunk": asked["chunk"],
             "bucket": asked["bucket"],
+            "grams": asked["a"] if kind == 1 else pa.nulls(len(found), pa.binary()),
             "found": pa.array(found, pa.binary()),
         }
     )
@@ -368,7 +371,7 @@ def score_texts(
         keys, found = keys[by], found[by]
         return _answers(1, asked, [squeeze(found[np.searchsorted(keys, unpack_keys(a.as_py()))].astype("<f4").tobytes()) for a in asked["a"]])
 
-    answers = "kind int, chunk long, bucket int, found binary"
+    answers = "kind int, chunk long, bucket int, grams binary, found binary"
     gram_answers = wanted.drop("b").groupBy("bucket").cogroup(valued.groupBy("bucket")).applyInArrow(answer, answers)
 
     def recount(table: pa.Table) -> pa.Table:
@@ -398,14 +401,15 @@ def score_texts(
 
     def score(chunk: pa.Table, found: pa.Table) -> pa.Table:
         bodies = restore(chunk["a"][0].as_py()).split(b"\n")
-        rows = sorted(zip(found["kind"].to_pylist(), found["bucket"].to_pylist(), found["found"]), key=lambda r: r[:2])
-        keys = np.unique(np.concatenate([np.unique(grams(bodies[s:e], order)[0]) for s, e in slices(bodies)]))
-        logs = np.empty(len(keys))
-        by, _, _ = by_bucket(gram_bucket(keys, buckets))
-        logs[by] = np.concatenate([np.frombuffer(restore(r[2].as_py()), "<f4") for r in rows if r[0] == 1])
+        order_of = zip(found["kind"].to_pylist(), found["bucket"].to_pylist(), found["grams"], found["found"])
+        rows = sorted(order_of, key=lambda r: r[:2])
+        keys = np.concatenate([unpack_keys(r[2].as_py()) for r in rows if r[0] == 1])
+        by = np.argsort(keys)
+        keys = keys[by]
+        logs = np.concatenate([np.frombuffer(restore(r[3].as_py()), "<f4") for r in rows if r[0] == 1])[by].astype(float)
         names = word_order(chain.from_iterable(b.split() for b in bodies))
         by, _, _ = by_bucket(word_bucket(names, buckets))
-        known = [np.frombuffer(restore(r[2].as_py()), "<i8") for r in rows if r[0] == 2]
+        known = [np.frombuffer(restore(r[3].as_py()), "<i8") for r in rows if r[0] == 2]
         counts = dict(zip(names[by], np.concatenate(known).tolist())) if known else {}
         out = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
         for begin, end in slices(bodies):
@@ -436,7 +440,7 @@ def score_texts(
 
     return (
         texts.groupBy("chunk")
-        .cogroup(gram_answers.unionByName(counted.select("kind", "chunk", "bucket", "found")).groupBy("chunk"))
+        .cogroup(gram_answers.unionByName(counted.select("kind", "chunk", "bucket", "grams", "found")).groupBy("chunk"))
         .applyInArrow(
             score,
             f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
