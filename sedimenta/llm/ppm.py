@@ -14,6 +14,7 @@ meet, and every chunk gets back the values of its own grams and words.
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -34,6 +35,15 @@ CHUNK_BYTES = 8 << 20
 SYMBOLS = 256
 
 
+def give_back() -> None:
+    """Return freed memory to the system, so that a worker that waits for its next task does not hold it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not this C library
+        pass
+
+
 def canonical(text: str | None) -> bytes:
     """Words in lower case (A-Z only) with one blank between them."""
     return b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
@@ -338,8 +348,11 @@ def score_texts(
                 if size >= chunk_bytes:
                     yield from _chunk_rows(texts, ids, held, chunk, buckets, order, id_type)
                     texts, ids, held, size, chunk = [], [], [], 0, chunk + 1
+                    give_back()
         if texts:
             yield from _chunk_rows(texts, ids, held, chunk, buckets, order, id_type)
+        del texts, ids, held
+        give_back()
 
     schema = f"kind int, chunk long, bucket int, a binary, b binary, ids array<{kind}>, held array<boolean>"
     staged = stage(source.mapInArrow(gather, schema), "ppm-chunks")
@@ -382,6 +395,8 @@ def score_texts(
                 words[word] = words.get(word, 0) + n
         out = [squeeze(np.fromiter(map(words.__getitem__, names), "<i8", len(names)).tobytes()) for names, _ in rows]
         known = [n for n in words.values() if n]
+        del words, rows
+        give_back()
         found = _answers(2, table, out)
         found = found.append_column("n", pa.array([sum(known)] + [0] * (len(out) - 1), pa.int64()))
         return found.append_column("kinds", pa.array([len(known)] + [0] * (len(out) - 1), pa.int64()))
@@ -426,13 +441,16 @@ def score_texts(
             out["n_known"].append(np.add.reduceat((seen > 0).astype(np.int64), at))
             out["base_score"].append(np.add.reduceat(np.log10(seen + 1.0), at) - tokens * spread)
         joined = {k: np.concatenate(v) for k, v in out.items()}
+        n = len(bodies)
+        del keys, logs, counts, names, rows, bodies
+        give_back()
         return pa.table(
             {
                 "doc_id": chunk["ids"].combine_chunks().flatten(),
                 "held_out": chunk["held"].combine_chunks().flatten(),
                 "n_tokens": joined["n_tokens"],
                 "n_known": joined["n_known"],
-                "train_tokens": np.full(len(bodies), train_tokens, np.int64),
+                "train_tokens": np.full(n, train_tokens, np.int64),
                 "base_score": joined["base_score"],
                 "score": joined["score"],
             }
