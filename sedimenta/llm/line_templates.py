@@ -4,6 +4,9 @@ Lines fall to a leaf by their number of tokens and their leading tokens, tokens
 a leaf, a token that stands at its place in enough documents is constant and every other one is a variable
 field; lines with the same constants share a template. Templates that recur across documents are dropped.
 
+How many documents are enough depends on the template: in many documents the values of a field are frequent as
+well. So constants are taken at growing numbers of documents, and a line has one template for each of them.
+
 Leaves, tokens and templates are grouped sums, so no leaf is gathered in one task.
 """
 
@@ -25,6 +28,8 @@ from sedimenta.session import stage
 DEPTH = 3
 MIN_DOCS = 5
 CONSTANT_SHARE = 0.7
+LEVEL_STEP = 4  # a field is told from constants if each of its values stands in a quarter of their documents at most
+MOST_DOCS = 1 << 40
 FIELD = "<*>"
 _DIGIT = re.compile(r"\d")
 
@@ -49,6 +54,14 @@ def name_of(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass"), seed=1) - (1 << 63)
 
 
+def levels(min_docs: int) -> list[int]:
+    """Numbers of documents from which on a token is constant: `min_docs`, and its growing multiples."""
+    out = [min_docs]
+    while 0 < out[-1] < MOST_DOCS:
+        out.append(out[-1] * LEVEL_STEP)
+    return out
+
+
 def _lines(text: str | None) -> Iterator[tuple[int, str]]:
     for i, line in enumerate((text or "").split("\n")):
         found = masked(line)
@@ -66,9 +79,10 @@ def drop_recurring(
 ) -> DataFrame:
     """Per row of `docs`: doc_id, text without its recurring lines, n_lines, n_dropped.
 
-    A line goes if lines of its template stand in `min_docs` rows or more and at least `constant_share` of the template's
-    tokens are constant; in every row, also the first. Lines without tokens stay and are not counted. Null and empty
-    texts come back empty. Rows that repeat id and text get the same result each. Other columns are ignored.
+    A line goes if lines of one of its templates stand in `min_docs` rows or more and at least `constant_share` of that
+    template's tokens are constant, at `min_docs` rows or at any of the higher `levels`; in every row, also the first.
+    Lines without tokens stay and are not counted. Null and empty texts come back empty. Rows that repeat id and text
+    get the same result each. Other columns are ignored.
     """
     source = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
@@ -114,16 +128,28 @@ def drop_recurring(
     counted = stage(counted, "lines")
     tokens = counted.select("leaf", "name", "n", F.posexplode(F.split("line", " ")).alias("at", "token"))
     constant = tokens.filter(F.col("token") != FIELD).groupBy("leaf", "at", "token").agg(F.sum("n").alias("docs"))
-    constant = constant.filter(F.col("docs") >= min_docs).select("leaf", "at", "token", F.lit(1).alias("constant"))
+    constant = constant.filter(F.col("docs") >= min_docs)
     marked = tokens.join(constant, ["leaf", "at", "token"], "left").groupBy("leaf", "name").agg(
-        (F.sum("constant") / F.count(F.lit(1))).alias("share"),
+        (F.count("docs") / F.count(F.lit(1))).alias("share"),
         F.array_sort(
-            F.collect_list(F.when(F.col("constant") == 1, F.struct("at", "token")))  # a line's own tokens
-        ).alias("template"),
+            F.collect_list(F.when(F.col("docs").isNotNull(), F.struct("at", "token", "docs")))  # a line's own tokens
+        ).alias("constants"),
         F.count(F.lit(1)).alias("n_tokens"),
     )
+
+    def at_level(least):
+        return F.filter("constants", lambda c: c["docs"] >= least)
+
+    def template_of(least):
+        return F.xxhash64("leaf", "n_tokens", F.transform(at_level(least), lambda c: F.struct(c["at"], c["token"])))
+
+    most = F.array_max(F.col("constants.docs"))
+    reached = F.filter(
+        F.array(*[F.lit(n).cast("long") for n in levels(min_docs)]),
+        lambda n: (n <= most) & (F.size(at_level(n)) / F.col("n_tokens") >= constant_share),
+    )
     templates = marked.filter(F.col("share") >= constant_share).select(
-        "name", F.xxhash64("leaf", "n_tokens", "template").alias("template")
+        "name", F.explode(F.array_distinct(F.transform(reached, template_of))).alias("template")
     )
     templates = stage(templates, "templates")
 
