@@ -1,8 +1,8 @@
 """Ids of texts as the `tokenizers` library gives them.
 
 Texts in Latin letters, which are nearly all, are cut into pieces here and go through the faster BPE of `tiktoken`
-over the vocabulary of the same file; every other text goes to the library itself. Both give the same ids, which the
-tests hold against each other.
+over the vocabulary of the same file; every other text goes to the library itself, and so does a text that holds the
+string of an added token. Both give the same ids, which the tests hold against each other.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def byte_characters() -> dict[str, int]:
 class TextTokenizer:
     """ids(texts): per text its ids as little-endian unsigned 32-bit integers; null counts as empty.
 
-    Strings of special tokens in a text are ordinary text, and no special tokens are added.
+    The string of a special token in a text has that token's id, as in the library; no special tokens are added.
     """
 
     # Letters, digits and marks whose class and case all Unicode versions agree on.
@@ -39,14 +39,14 @@ class TextTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        special = {t.content for t in self.library.get_added_tokens_decoder().values()}
-        self.vocabulary = {t: i for t, i in self.library.get_vocab().items() if t not in special}
+        self.added = {t.content for t in self.library.get_added_tokens_decoder().values()}
+        self.vocabulary = {t: i for t, i in self.library.get_vocab().items() if t not in self.added}
 
     def ids(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         for text in texts:
             text = text or ""
-            yield self._latin(text) if self.LATIN.fullmatch(text) else self.whole(text)
+            plain = self.LATIN.fullmatch(text) and not any(t in text for t in self.added)
+            yield self._latin(text) if plain else self.whole(text)
 
     def whole(self, text: str) -> bytes:
         """The ids of the library itself."""

@@ -41,6 +41,35 @@ def test_ids_equal_those_of_the_library(kind, path):
     assert list(own.ids([None, ""])) == [b"", b""]
 
 
+@pytest.mark.parametrize("kind, path", [(ByteLevelTokenizer, BYTES), (WordEndTokenizer, WORDS)])
+def test_strings_of_special_tokens_are_those_of_an_untouched_library(kind, path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    texts = [f"{a}{t}{b}" for t in ("<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext") for a, b in [("", ""), ("one ", " two"), ("É", "é\n"), ("語 ", " 語")]]
+    texts += ["<|endoftext|><|startoftext|><|endoftext|>"] + strings(300, 6)
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert list(kind(path).ids(texts)) == want
+    end = library.token_to_id("<|endoftext|>")
+    assert end in np.frombuffer(next(kind(path).ids(["one <|endoftext|> two"])), "<u4")
+
+
+def test_a_special_token_in_a_text_comes_back_from_a_token_file(spark):
+    from tokenizers import Tokenizer
+
+    texts = ["one", "two <|endoftext|> three", "four"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = new_token_file(spark)
+    write_token_file(token_files.tokenise(df, WORDS, 2, byte_level=False), path)
+    library, at, want = Tokenizer.from_file(WORDS), 0, []
+    for i, text in enumerate(texts):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 2]
+        want.append((i, at, ids))
+        at += len(ids)
+    rows = read_token_file(spark, path).collect()
+    assert sorted((r.doc_id, r.start, np.frombuffer(r.ids, "<u4").tolist()) for r in rows) == want
+
+
 def best_fill(counts, capacity):
     """The least padding of any multiset with the longest length in it."""
     longest = max(counts)
