@@ -47,6 +47,10 @@ BAD_NAMES = frozenset(
     "promo promotion related respond share sharing sidebar skip social sponsor sponsored subscribe subscription tags "
     "teaser toolbar widget".split()
 )
+# A bad word behind or before one of these tells a state or a layout: has-sidebar, layout-sidebar-right, comments-open.
+STATE_BEFORE = frozenset("no not has have with without hide is layout".split())
+STATE_AFTER = frozenset("open opened closed off on enabled disabled active inactive visible".split())
+NEVER_NAMED = frozenset("html body main article".split())  # not judged by their names
 BAD_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 
 TAG = re.compile(
@@ -54,6 +58,7 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+MAIN_TAG = re.compile(r"<(?:article|main)\b", re.I)
 SPACE = re.compile(r"\s+")
 
 
@@ -89,22 +94,30 @@ class Open:
     link: bool
 
 
-def _marked(attributes: str) -> bool:
-    """Do the attributes tell that the element is no part of the main text?"""
+def _bad_name(name: str) -> bool:
+    parts = [p.lower() for p in NAME_PARTS.findall(name)]
+    return any(
+        p in BAD_NAMES and STATE_BEFORE.isdisjoint(parts[:i]) and STATE_AFTER.isdisjoint(parts[i + 1 :])
+        for i, p in enumerate(parts)
+    )
+
+
+def _marked(attributes: str) -> tuple[bool, bool]:
+    """Do the attributes tell that the element is no part of the main text: by role or visibility, by its names?"""
+    named = False
     for m in ATTRIBUTE.finditer(attributes):
         name = m.group(1).lower()
         value = m.group(2) or m.group(3) or m.group(4) or ""
         if name in ("class", "id"):
-            if any(p.lower() in BAD_NAMES for p in NAME_PARTS.findall(value)):
-                return True
+            named = named or any(map(_bad_name, value.split()))
         elif name == "role":
             if value.lower() in BAD_ROLES:
-                return True
+                return True, named
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, named
         elif name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-    return False
+            return True, named
+    return False, named
 
 
 def _end_implied(stack: list[Open], name: str) -> None:
@@ -116,8 +129,12 @@ def _end_implied(stack: list[Open], name: str) -> None:
             return
 
 
-def blocks(page: str) -> list[Block]:
-    """The blocks of a page in page order, with the text, its linked share and its place."""
+def blocks(page: str, strict: bool = True) -> list[Block]:
+    """The blocks of a page in page order, with the text, its linked share and its place.
+
+    `strict`: an article inside an element with a bad name is none. If not, bad names outside of articles only hold
+    for what lies in no article.
+    """
     out: list[Block] = []
     stack = [Open("", 0, False, False, False)]
     current: Block | None = None
@@ -179,8 +196,10 @@ def blocks(page: str) -> list[Block]:
         if name in VOID or m.group(3).endswith("/"):
             continue
         top = stack[-1]
-        bad = top.bad or name in BOILERPLATE or bool(m.group(3).strip() and _marked(m.group(3)))
-        soft = top.soft or name in MAYBE_BOILERPLATE and not top.main
+        hard, named = _marked(m.group(3)) if m.group(3).strip() else (False, False)
+        named = named and name not in NEVER_NAMED
+        bad = top.bad or name in BOILERPLATE or hard or named and (strict or top.main > 0)
+        soft = top.soft or not top.main and (name in MAYBE_BOILERPLATE or named)
         main = top.main
         if name in MAIN and not bad:
             if not main:
@@ -236,6 +255,10 @@ def main_text(page: str | None, rules: Rules = Rules()) -> str:
     """The main text of a page: one line per block. Null, empty and text-free pages have none."""
     found = blocks(page or "")
     marked = any(b.main and not b.bad for b in found)
+    if not marked and page and MAIN_TAG.search(page):  # all articles may lie in wrappers with bad names
+        again = blocks(page, strict=False)
+        if any(b.main and not b.bad for b in again):
+            found, marked = again, True
     labels = second_pass(found, [first_pass(b, marked, rules) for b in found])
     return "\n".join(b.text for b, good in zip(found, labels) if good)
 

@@ -13,6 +13,28 @@ def test_article_without_the_rest():
     assert main_text(page) == "A heading\nFirst & bold text goes on\nShort.\nLast <p>"
 
 
+def test_names_of_wrappers_do_not_lose_the_article():
+    article = f"<article><p>{ARTICLE}</p></article>"
+    rest = f"<div class='sidebar'><p>{ARTICLE}</p></div>"
+    for body in ("single has-sidebar", "no-sidebar", "layout-sidebar-right", "nav-closed", "page noSidebar", "sidebar"):
+        assert main_text(f"<html class='{body}'><body id=top class='{body}'>{article}{rest}</body></html>") == ARTICLE
+        assert main_text(f"<body><div class='{body}'>{article}</div>{rest}</body>") == ARTICLE
+    for own in ("hentry comments-open", "post tag-social", "sponsored"):
+        assert main_text(f"<body><article class='{own}'><p>{ARTICLE}</p></article>{rest}</body>") == ARTICLE
+        assert main_text(f"<body><main class='{own}'><p>{ARTICLE}</p></main>{rest}</body>") == ARTICLE
+    plain = f"<body class='no-sidebar'><div><p>{ARTICLE}</p></div>{rest}</body>"
+    assert main_text(plain) == ARTICLE
+
+
+def test_articles_of_comments_and_sidebars_are_no_main_text():
+    for name in ("comments", "related", "sidebar sidebar-open", "cookie-notice active", "sidebar-with-ads"):
+        page = f"<article><p>{ARTICLE}</p></article><div class='{name}'><article><p>{ARTICLE} no</p></article></div>"
+        assert main_text(page) == ARTICLE
+        inside = f"<article><p>{ARTICLE}</p><div class='{name}'><article><p>{ARTICLE} no</p></article></div></article>"
+        assert main_text(inside) == ARTICLE
+    assert main_text(f"<div hidden><article><p>{ARTICLE}</p></article></div>") == ""
+
+
 def test_pages_that_do_not_mark_their_article():
     page = f"<div><a href=1>Home</a> <a href=2>News</a></div><p>{ARTICLE}<p>Short.<p>{ARTICLE}<p>© 2020 Somebody"
     assert main_text(page) == f"{ARTICLE}\nShort.\n{ARTICLE}"
