@@ -1,4 +1,4 @@
-"""Look-up joins that broadcast only what has been measured, and salt hot keys otherwise."""
+"""Look-up joins that broadcast only what is known to be small, and a join that salts hot keys for callers that ask for it."""
 
 from __future__ import annotations
 
