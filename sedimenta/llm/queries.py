@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.bpe import decode_ids, encode_texts
 from sedimenta.llm.content_sort import content_sort
+from sedimenta.llm.fingerprints import fingerprint_edits
 from sedimenta.llm.html_blocks import extract_text
 from sedimenta.llm.language_id import identify
 from sedimenta.llm.line_templates import drop_recurring
@@ -215,3 +216,39 @@ def op2_line_templates(spark: SparkSession, sf: str) -> DataFrame:
 def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with the language that text, declaration and source speak for."""
     return identify(table(spark, sf, "documents"))
+
+
+@query(
+    r"""
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    x AS (
+      SELECT doc_id, t, length(t) AS n, coalesce(lead(t) OVER o, first_value(t) OVER o) AS follows
+      FROM t WINDOW o AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+    e AS (SELECT doc_id, n, follows, t, left(t, n - n // 4) || left(follows, n // 4) AS edited FROM x),
+    every AS (
+      SELECT doc_id, 0 AS kind, t AS body FROM e UNION ALL SELECT doc_id, 1, edited FROM e UNION ALL SELECT doc_id, 2, follows FROM e),
+    w AS (SELECT doc_id, kind, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS ws FROM every),
+    h AS (
+      SELECT doc_id, kind, CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 5 THEN [left(md5(array_to_string(ws, ' ')), 16)]
+        ELSE list_sort(list_distinct([left(md5(array_to_string(ws[i:i + 4], ' ')), 16) FOR i IN range(1, len(ws) - 3)])) END AS hs FROM w),
+    s AS (
+      SELECT doc_id, kind, CASE WHEN len([x FOR x IN hs IF x < '2']) >= 32 THEN '2' WHEN len(hs) <= 32 THEN '~' ELSE hs[32] || '~' END AS below, hs
+      FROM h),
+    k AS (SELECT doc_id, kind, below, [x FOR x IN hs IF x < below] AS hs FROM s),
+    p AS (
+      SELECT a.doc_id, a.below || ':' || array_to_string(a.hs, '') AS fingerprint, b.below || ':' || array_to_string(b.hs, '') AS edited_fingerprint,
+             [x FOR x IN a.hs IF x < least(a.below, b.below)] AS ae, [x FOR x IN b.hs IF x < least(a.below, b.below)] AS be,
+             [x FOR x IN a.hs IF x < least(a.below, c.below)] AS an, [x FOR x IN c.hs IF x < least(a.below, c.below)] AS cn
+      FROM k a JOIN k b ON a.doc_id = b.doc_id AND a.kind = 0 AND b.kind = 1 JOIN k c ON a.doc_id = c.doc_id AND c.kind = 2),
+    q AS (SELECT *, len(list_intersect(ae, be)) AS e2, len(list_intersect(an, cn)) AS n2 FROM p)
+    SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
+           CASE WHEN len(ae) + len(be) = 0 THEN 1.0 ELSE e2::DOUBLE / (len(ae) + len(be) - e2) END AS near_edited,
+           CASE WHEN len(an) + len(cn) = 0 THEN 1.0 ELSE n2::DOUBLE / (len(an) + len(cn) - n2) END AS near_next,
+           CASE WHEN len(ae) = 0 THEN 1.0 ELSE e2::DOUBLE / len(ae) END AS contained_edited,
+           CASE WHEN len(an) = 0 THEN 1.0 ELSE n2::DOUBLE / len(an) END AS contained_next
+    FROM q JOIN e USING (doc_id)
+    """
+)
+def op11_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's sketch beside those of its edited text and of the next document."""
+    return fingerprint_edits(table(spark, sf, "documents"))
