@@ -107,9 +107,14 @@ def test_estimates_are_close_to_the_sets(spark):
     assert len(found) == len(rows) and sum(off) / len(off) < 0.05 and max(off) < 0.35
 
 
-def test_plan_runs_in_the_jvm_and_moves_texts_once(odd):
-    done = fp.fingerprint_edits(odd)
-    done.collect()
-    plan = done._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+def test_plan_runs_in_the_jvm_and_moves_texts_once(spark):
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = fp.fingerprint_edits(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+        done.collect()
+        plan = done._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
     assert "Python" not in plan and "Arrow" not in plan
-    assert "ReusedExchange" in plan
+    assert "ReusedExchange" in plan and plan.count("FileScan parquet [doc_id") == 1
