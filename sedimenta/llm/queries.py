@@ -21,6 +21,7 @@ from sedimenta.llm.ppm import score_texts
 from sedimenta.llm.quality_rules import BASE, apply_policy, ledger
 from sedimenta.llm.signature_trees import jaccard_components
 from sedimenta.llm.token_files import new_token_file, read_token_file, tokenise, write_token_file
+from sedimenta.llm.whitening import whiten
 from sedimenta.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -252,3 +253,9 @@ def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
 def op11_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's sketch beside those of its edited text and of the next document."""
     return fingerprint_edits(table(spark, sf, "documents"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Every usable embedding on the first four components of all distinct ones."""
+    return whiten(table(spark, sf, "embeddings"))
