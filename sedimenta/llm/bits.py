@@ -6,7 +6,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BITS = 23  # 2^23 bits, one MiB, at any number of rows
+BITS = 23  # 2^23 bits, one MiB
+MOST_BITS = 28  # 32 MiB
+
+
+def bits_for(keys: int) -> int:
+    """The size of a bitmap with 16 bits or more for each of so many keys, as a power of two, up to 32 MiB."""
+    return min(MOST_BITS, max(15, (16 * max(1, keys) - 1).bit_length()))
 
 
 def bitmap(rows: DataFrame, column: str, bits: int = BITS) -> np.ndarray:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm.bpe import decode_ids, encode_texts
+from sedimenta.llm.collocations import collocations
 from sedimenta.llm.content_sort import content_sort
 from sedimenta.llm.fingerprints import fingerprint_edits
 from sedimenta.llm.html_blocks import extract_text
@@ -259,3 +260,38 @@ def op11_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
     """Every usable embedding on the first four components of all distinct ones."""
     return whiten(table(spark, sf, "embeddings"))
+
+
+@query(
+    rf"""
+    WITH p AS (
+      SELECT coalesce(lang, 'und') AS lang,
+             unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LETTERS}), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+    g AS (
+      SELECT lang, 1 AS size, unnest(ws) AS phrase FROM w UNION ALL
+      SELECT lang, 2, unnest([array_to_string(ws[i:i + 1], ' ') FOR i IN range(1, len(ws))]) FROM w UNION ALL
+      SELECT lang, 3, unnest([array_to_string(ws[i:i + 2], ' ') FOR i IN range(1, len(ws) - 1)]) FROM w UNION ALL
+      SELECT lang, 4, unnest([array_to_string(ws[i:i + 3], ' ') FOR i IN range(1, len(ws) - 2)]) FROM w),
+    n AS (SELECT lang, count(*) AS n FROM g WHERE size = 1 GROUP BY lang),
+    f AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS ws, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+    c AS (SELECT lang, size, phrase, ws, f AS a, unnest(range(1, size)) AS k FROM f WHERE size > 1),
+    s AS (
+      SELECT c.lang, c.size, c.phrase, c.a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f::HUGEINT + y.f))::BIGINT AS score
+      FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:k], ' ')
+      JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[k + 1:], ' ')),
+    low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    longer AS (
+      SELECT lang, f AS a, unnest([array_to_string(ws[i:i + m - 1], ' ') FOR i IN range(1, size - m + 2)]) AS phrase
+      FROM (SELECT *, unnest(range(2, size)) AS m FROM f WHERE size > 2)),
+    around AS (SELECT lang, phrase, max(a) AS around FROM longer GROUP BY ALL),
+    kept AS (
+      SELECT low.* FROM low LEFT JOIN around ON around.lang = low.lang AND around.phrase = low.phrase
+      WHERE around IS NULL OR 100::HUGEINT * around < 80::HUGEINT * a)
+    SELECT kept.lang, row_number() OVER o AS rank, phrase, a, l, r, n, score FROM kept JOIN n ON n.lang = kept.lang
+    WINDOW o AS (PARTITION BY kept.lang ORDER BY score DESC, a DESC, encode(phrase)) QUALIFY rank <= 2000
+    """
+)
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """The first phrases of every language by their score."""
+    return collocations(table(spark, sf, "documents"))
