@@ -29,8 +29,8 @@ LEAST = 30  # occurrences of a candidate
 TOP = 2000
 COVERED_PERCENT = 80  # a candidate goes if a longer one around it has this share of its occurrences
 BURST = 16_384  # entries of a container
-LIMIT = 1_000_000  # entries of a trie
-CHUNK_WORDS = 500_000  # words that are added at once
+LIMIT = 1_000_000  # entries of a trie, and words with a number
+CHUNK_WORDS = 1_000_000  # words that are added at once
 RUN_ROWS = 1_000_000  # phrases of one prefix partition, about, that the merge stage is planned for
 SECOND_CLASSES = 16
 
@@ -41,6 +41,17 @@ _SECOND = 2 * _ID_BITS
 _EDGE = b"\xff"  # in no UTF-8 text
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_BETWEEN = np.zeros(1, np.int64)  # no phrase goes over the end of a document
+_RUN = pa.schema(
+    [
+        ("part", pa.int32()),
+        ("langs", pa.list_(pa.string())),
+        ("lang_of", pa.binary()),
+        ("words", pa.binary()),
+        ("grams", pa.binary()),
+        ("counts", pa.binary()),
+    ]
+)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -62,22 +73,23 @@ def pair_marks(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 class Words(dict):
-    """Word -> id from 1 in one language; 0 for edges and for words that the bitmap tells to be rare."""
+    """Word -> number in one language; 0 for words that the bitmap tells to be rare."""
 
-    def __init__(self, seed: int, frequent: np.ndarray | None):
+    def __init__(self, lang: int, seed: int, frequent: bytes | None, names: list, marks: list):
         super().__init__()
-        self.seed, self.frequent = seed, frequent
-        self.names: list[bytes] = [b""]
-        self.marks: list[int] = [0]
+        self.lang, self.seed, self.frequent, self.names, self.marks = lang, seed, frequent, names, marks
+        self.shift = 64 - (8 * len(frequent)).bit_length() + 1 if frequent is not None else 0
         self[_EDGE] = 0
 
     def __missing__(self, word: bytes) -> int:
         mark = mark_of(word, self.seed)
-        if self.frequent is not None and not maybe(self.frequent, np.array([mark], np.uint64).view(np.int64))[0]:
-            self[word] = 0
-            return 0
+        if self.frequent is not None:
+            place = mark >> self.shift
+            if not self.frequent[place >> 3] >> (place & 7) & 1:
+                self[word] = 0
+                return 0
         self[word] = number = len(self.names)
-        self.names.append(word)
+        self.names.append((self.lang, word))
         self.marks.append(mark)
         return number
 
@@ -147,62 +159,70 @@ class HatTrie:
 
 
 def _by(keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys.astype(np.int32))  # ids have 21 bits
     keys, values = keys[order], values[order]
-    cut = np.flatnonzero(np.diff(keys)) + 1
-    start = [0, *cut.tolist()]
-    for s, e in zip(start, [*start[1:], len(keys)]):
+    cut = (np.flatnonzero(np.diff(keys)) + 1).tolist()
+    for s, e in zip([0, *cut], [*cut, len(keys)]):
         if e > s:
             yield int(keys[s]), values[s:e]
 
 
 class Counting:
-    """One task's counting of phrases of `lengths` words in one language."""
+    """One task's counting of phrases of `lengths` words, in all languages that it meets."""
 
-    def __init__(self, lang: str, lengths: tuple[int, ...], parts: int, words_seen, pairs_seen):
-        self.lang, self.lengths, self.parts, self.pairs_seen = lang, lengths, parts, pairs_seen
-        self.words_seen = words_seen
-        self.words: list[bytes] = []
+    def __init__(self, lengths: tuple[int, ...], parts: int, words_seen: np.ndarray | None, pairs_seen: np.ndarray | None):
+        self.lengths, self.parts, self.pairs_seen = lengths, parts, pairs_seen
+        self.words_seen = None if words_seen is None else words_seen.tobytes()
+        self.pending: list[np.ndarray] = []
+        self.waiting = 0
         self._anew()
 
     def _anew(self) -> None:
-        self.ids = Words(seed_of(self.lang), self.words_seen)
+        self.langs: dict[str, Words] = {}
+        self.names: list[tuple[int, bytes]] = [(0, b"")]
+        self.marks: list[int] = [0]
         self.trie = HatTrie()
 
-    def add(self, text: str | None) -> Iterator[pa.RecordBatch]:
-        self.words.append(_EDGE)
-        self.words += words_of(text)
-        if len(self.words) >= CHUNK_WORDS:
+    def add(self, lang: str, text: str | None) -> Iterator[pa.RecordBatch]:
+        known = self.langs.get(lang)
+        if known is None:
+            known = self.langs[lang] = Words(len(self.langs), seed_of(lang), self.words_seen, self.names, self.marks)
+        words = words_of(text)
+        self.pending += [np.fromiter(map(known.__getitem__, words), np.int64, len(words)), _BETWEEN]
+        self.waiting += len(words) + 1
+        if self.waiting >= CHUNK_WORDS:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        words, self.words = self.words, []
-        for s in range(0, len(words), CHUNK_WORDS):  # a text may be longer than a chunk: what overlaps starts in one only
-            yield from self._count(words[s : s + CHUNK_WORDS + LONGEST - 1], CHUNK_WORDS)
-
-    def _count(self, words: list[bytes], starts: int) -> Iterator[pa.RecordBatch]:
-        ids = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
-        if 1 in self.lengths:
-            self.trie.add_words(ids[:starts], len(self.ids.names))
-        if max(self.lengths) > 1:
-            self._count_phrases(np.concatenate([ids, np.zeros(LONGEST - 1, np.int64)]), starts)
-        if self.trie.entries > LIMIT:
-            yield from self._runs(*self.trie.spill(LIMIT // 2))
-        if len(self.ids) > LIMIT:
+        if not self.pending:
+            return
+        ids = np.concatenate([*self.pending, np.zeros(LONGEST - 1, np.int64)])
+        self.pending, self.waiting = [], 0
+        for s in range(0, len(ids) - LONGEST + 1, CHUNK_WORDS):  # a text may be longer than a chunk
+            starts = min(CHUNK_WORDS, len(ids) - LONGEST + 1 - s)
+            self._count(ids[s : s + starts + LONGEST - 1], starts)
+            if self.trie.entries > LIMIT:
+                yield from self._runs(*self.trie.spill(LIMIT // 2))
+        if sum(map(len, self.langs.values())) > LIMIT:
             yield from self.rest()
 
-    def _count_phrases(self, ids: np.ndarray, starts: int) -> None:
-        good = ids[:-1] * ids[1:] > 0
+    def _count(self, ids: np.ndarray, starts: int) -> None:
+        """Count the phrases that begin at the first `starts` places."""
+        if 1 in self.lengths:
+            self.trie.add_words(ids[:starts], len(self.names))
+        if max(self.lengths) == 1:
+            return
+        good = (ids[:-1] > 0) & (ids[1:] > 0)
         if self.pairs_seen is not None:
-            marks = np.array(self.ids.marks, np.uint64)[ids]
             at = np.flatnonzero(good)
-            good[at] = maybe(self.pairs_seen, pair_marks(marks[at], marks[at + 1]).view(np.int64))
+            marks = np.array(self.marks, np.uint64)
+            good[at] = maybe(self.pairs_seen, pair_marks(marks[ids[at]], marks[ids[at + 1]]).view(np.int64))
         firsts, rests = [], []
-        on = np.ones(min(starts, len(ids) - LONGEST + 1), bool)
-        rest = np.zeros(len(on), np.int64)
+        on = np.ones(starts, bool)
+        rest = np.zeros(starts, np.int64)
         for n in range(2, max(self.lengths) + 1):
-            on &= good[n - 2 : n - 2 + len(on)]
-            rest |= ids[n - 1 : n - 1 + len(on)] << _ID_BITS * (LONGEST - n)
+            on &= good[n - 2 : n - 2 + starts]
+            rest |= ids[n - 1 : n - 1 + starts] << _ID_BITS * (LONGEST - n)
             if n in self.lengths:
                 at = np.flatnonzero(on)
                 firsts.append(ids[at])
@@ -212,100 +232,99 @@ class Counting:
     def rest(self) -> Iterator[pa.RecordBatch]:
         """All that the trie still holds."""
         first = np.flatnonzero(self.trie.own[1:]) + 1
-        if len(first):
-            yield from self._runs(first, np.zeros(len(first), np.int64), self.trie.own[first])
+        yield from self._runs(first, np.zeros(len(first), np.int64), self.trie.own[first])
         yield from self._runs(*self.trie.spill(0))
         self._anew()
 
     def _runs(self, first: np.ndarray, rest: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """A sorted run for each prefix partition: its words in order, and phrases as numbers of these."""
+        """A sorted run for each prefix partition: its words in order, and phrases as numbers of these from 1."""
         if not len(first):
             return
-        marks = np.array(self.ids.marks, np.uint64)
-        grams = [first, *(rest >> _ID_BITS * k & _IDS - 1 for k in range(LONGEST - 2, -1, -1))]
-        mark = pair_marks(marks[first], marks[grams[1]] % np.uint64(SECOND_CLASSES))
-        part = (mark % np.uint64(self.parts)).astype(np.int32)
-        order = np.argsort(part, kind="stable")
-        part, count, grams = part[order], count[order], [g[order] for g in grams]
-        cut = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        width = max(self.lengths)
+        marks = np.array(self.marks, np.uint64)
+        grams = np.stack([first, *(rest >> _ID_BITS * (LONGEST - n) & _IDS - 1 for n in range(2, width + 1))])
+        second = marks[grams[1]] % np.uint64(SECOND_CLASSES) if width > 1 else np.uint64(0)
+        part = (pair_marks(marks[first], second) % np.uint64(self.parts)).astype(np.int32)
+        used = np.unique(grams)
+        used = used[used > 0]
+        by = np.array(sorted(used.tolist(), key=self.names.__getitem__), np.int64)
+        rank = np.zeros(len(self.names), np.int64)
+        rank[by] = np.arange(1, len(by) + 1)
+        grams = rank[grams]
+        order = np.lexsort((*grams[::-1], part))
+        part, count, grams = part[order], count[order], grams[:, order]
+        cut = (np.flatnonzero(np.diff(part)) + 1).tolist()
+        langs = list(self.langs)
         rows = []
-        for s, e in zip(cut, cut[1:]):
-            used, place = np.unique(np.stack([g[s:e] for g in grams]), return_inverse=True)
-            names = [self.ids.names[i] for i in used.tolist()]  # id 0, no word, is the empty name
-            by = sorted(range(len(names)), key=names.__getitem__)
-            rank = np.empty(len(names), np.int64)
-            rank[by] = np.arange(len(names))
-            place = rank[place.reshape(LONGEST, e - s)] + (0 if used[0] == 0 else 1)
-            sort = np.lexsort(place[::-1])
-            names = [names[i] for i in by if names[i]]
-            rows.append((int(part[s]), names, place[:, sort].astype("<u4").tobytes(), count[s:e][sort].astype("<i8").tobytes()))
-        for at in range(0, len(rows), 64):
-            some = rows[at : at + 64]
-            yield pa.record_batch(
-                [
-                    pa.array([self.lang] * len(some), pa.string()),
-                    pa.array([r[0] for r in some], pa.int32()),
-                    pa.array([b"\n".join(r[1]) for r in some], pa.binary()),
-                    pa.array([r[2] for r in some], pa.binary()),
-                    pa.array([r[3] for r in some], pa.binary()),
-                ],
-                names=["lang", "part", "words", "grams", "counts"],
+        for s, e in zip([0, *cut], [*cut, len(part)]):
+            words, place = np.unique(grams[:, s:e], return_inverse=True)
+            place = place.reshape(width, e - s) + (0 if words[0] == 0 else 1)
+            names = [self.names[i] for i in by[words[words > 0] - 1].tolist()]
+            own = sorted({lang for lang, _ in names})
+            at = {lang: i for i, lang in enumerate(own)}
+            rows.append(
+                {
+                    "part": int(part[s]),
+                    "langs": [langs[lang] for lang in own],
+                    "lang_of": np.array([at[lang] for lang, _ in names], "<u4").tobytes(),
+                    "words": b"\n".join(word for _, word in names),
+                    "grams": place.astype("<u4").tobytes(),
+                    "counts": count[s:e].astype("<i8").tobytes(),
+                }
             )
+        for s in range(0, len(rows), 64):
+            yield pa.RecordBatch.from_pylist(rows[s : s + 64], schema=_RUN)
 
 
 def _count_in_tasks(lengths, parts, words_seen, pairs_seen):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by: dict[str, Counting] = {}
+        counting = Counting(lengths, parts, words_seen, pairs_seen)
         for batch in batches:
-            langs = batch.column(0).to_pylist()
-            for i, lang in enumerate(langs):
-                own = by.get(lang)
-                if own is None:
-                    own = by[lang] = Counting(lang, lengths, parts, words_seen, pairs_seen)
-                yield from own.add(batch.column(1)[i].as_py())
-            while sum(c.trie.entries + len(c.ids) for c in by.values()) > 2 * LIMIT:  # many languages in one task
-                yield from max(by.values(), key=lambda c: c.trie.entries + len(c.ids)).rest()
-        for own in by.values():
-            yield from own.flush()
-            yield from own.rest()
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                yield from counting.add(lang, text.as_py())
+        yield from counting.flush()
+        yield from counting.rest()
 
     return run
 
 
-def _merge_runs(least: int, pairs: bool):
-    """The runs of one language and prefix partition as phrases with their sums, frequent ones only; the row without
-    a phrase has the sum of all."""
+def _merge_runs(least: int, width: int):
+    """The runs of one prefix partition as phrases with their sums, frequent ones only; the rows without a phrase have
+    the sum of all of a language."""
 
     def run(table: pa.Table) -> pa.Table:
-        lang = table["lang"][0].as_py()
-        known: dict[bytes, int] = {b"": 0}
+        known: dict[tuple[str, bytes], int] = {("", b""): 0}
         grams, counts = [], []
-        for words, own, count in zip(table["words"], table["grams"], table["counts"]):
-            names = words.as_py().split(b"\n")
-            number = np.array([0, *(known.setdefault(w, len(known)) for w in names)], np.int64)
-            grams.append(number[np.frombuffer(own.as_py(), "<u4").reshape(LONGEST, -1)])
-            counts.append(np.frombuffer(count.as_py(), "<i8"))
+        for row in table.select(["langs", "lang_of", "words", "grams", "counts"]).to_pylist():
+            langs = row["langs"]
+            of = [langs[i] for i in np.frombuffer(row["lang_of"], "<u4").tolist()]
+            number = [0, *(known.setdefault(x, len(known)) for x in zip(of, row["words"].split(b"\n")))]
+            grams.append(np.array(number, np.int64)[np.frombuffer(row["grams"], "<u4").reshape(width, -1)])
+            counts.append(np.frombuffer(row["counts"], "<i8"))
         grams, counts = np.concatenate(grams, axis=1), np.concatenate(counts)
-        high, low = grams[0] << 32 | grams[1], grams[2] << 32 | grams[3]
-        order = np.lexsort((low, high))
-        high, low = high[order], low[order]
-        start = np.flatnonzero(np.concatenate([[True], (np.diff(high) != 0) | (np.diff(low) != 0)]))
+        names = list(known)
+        order = np.lexsort(grams[::-1])
+        fresh = (np.diff(grams[:, order]) != 0).any(axis=0)
+        start = np.concatenate([[0], np.flatnonzero(fresh) + 1])
         total = np.add.reduceat(counts[order], start)
         often = total >= least
         found = grams[:, order[start[often]]]
-        names = list(known)
-        seed = seed_of(lang)
-        marks = np.array([mark_of(w, seed) for w in names], np.uint64)
-        mark = pair_marks(marks[found[0]], marks[found[1]]) if pairs else marks[found[0]]
-        phrases = [b" ".join(names[i] for i in g if i).decode() for g in found.T.tolist()]
-        n = len(phrases) + 1
+        seeds = {lang: seed_of(lang) for lang, _ in known}
+        marks = np.array([mark_of(word, seeds[lang]) for lang, word in names], np.uint64)
+        mark = pair_marks(marks[found[0]], marks[found[1]]) if width == 2 else marks[found[0]]
+        sums: Counter[str] = Counter()
+        for i, n in zip(grams[0, order[start]].tolist(), total.tolist()):
+            sums[names[i][0]] += n
+        columns = found.T.tolist()
         return pa.table(
             {
-                "lang": pa.array([lang] * n, pa.string()),
-                "phrase": pa.array([*phrases, None], pa.string()),
-                "size": pa.array([*(found > 0).sum(0).tolist(), 0], pa.int32()),
-                "f": pa.array([*total[often].tolist(), int(counts.sum())], pa.int64()),
-                "mark": pa.array([*mark.view(np.int64).tolist(), 0], pa.int64()),
+                "lang": pa.array([*(names[g[0]][0] for g in columns), *sums], pa.string()),
+                "phrase": pa.array(
+                    [*(b" ".join(names[i][1] for i in g if i).decode() for g in columns), *[None] * len(sums)], pa.string()
+                ),
+                "size": pa.array([*(found > 0).sum(0).tolist(), *[0] * len(sums)], pa.int32()),
+                "f": pa.array([*total[often].tolist(), *sums.values()], pa.int64()),
+                "mark": pa.array([*mark.view(np.int64).tolist(), *[0] * len(sums)], pa.int64()),
             }
         )
 
@@ -314,9 +333,11 @@ def _merge_runs(least: int, pairs: bool):
 
 def _frequent(texts: DataFrame, lengths: tuple[int, ...], parts: int, least: int, words_seen, pairs_seen) -> DataFrame:
     run = _count_in_tasks(lengths, parts, words_seen, pairs_seen)
-    runs = texts.mapInArrow(run, "lang string, part int, words binary, grams binary, counts binary")
-    merge = _merge_runs(least, pairs=max(lengths) == 2)
-    merged = runs.groupBy("lang", "part").applyInArrow(merge, "lang string, phrase string, size int, f long, mark long")
+    runs = texts.mapInArrow(
+        run, "part int, langs array<string>, lang_of binary, words binary, grams binary, counts binary"
+    )
+    merge = _merge_runs(least, max(lengths))
+    merged = runs.groupBy("part").applyInArrow(merge, "lang string, phrase string, size int, f long, mark long")
     return stage(merged, f"phrases-{max(lengths)}")
 
 
@@ -342,10 +363,10 @@ def count_phrases(
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    words = _frequent(texts, (1,), 4 * shuffle, least, None, None)
+    words = _frequent(texts, (1,), shuffle, least, None, None)
     n = words.filter("phrase IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
     n = stage(n, "words-per-language")
-    parts = max(4 * shuffle, int((n.agg(F.sum("n")).first()[0] or 0) // RUN_ROWS))
+    parts = max(shuffle, int((n.agg(F.sum("n")).first()[0] or 0) // RUN_ROWS))
     words_seen = _seen(words)
     pairs = _frequent(texts, (2,), parts, least, words_seen, None)
     found = words.unionByName(pairs)

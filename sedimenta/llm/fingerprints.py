@@ -60,6 +60,20 @@ def as_text(sketch: Column) -> Column:
     return F.concat(sketch["below"], F.lit(":"), F.array_join(sketch["hashes"], ""))
 
 
+def packed(sketch: Column) -> Column:
+    """A sketch as struct(below, bytes), with eight bytes for a hash, to be moved and stored."""
+    return F.struct(sketch["below"].alias("below"), F.unhex(F.array_join(sketch["hashes"], "")).alias("bytes"))
+
+
+def unpacked(packed_sketch: Column) -> Column:
+    """struct(below, hashes) of a packed sketch."""
+    raw = packed_sketch["bytes"]
+    n = (F.octet_length(raw) / 8).cast("int")
+    at = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    hashes = F.transform(at, lambda i: F.lower(F.hex(F.substring(raw, i * 8 + 1, F.lit(8)))))
+    return F.struct(packed_sketch["below"].alias("below"), hashes.alias("hashes"))
+
+
 def _comparable(a: Column, b: Column) -> tuple[Column, Column, Column]:
     below = F.least(a["below"], b["below"])
     return below, *(F.filter(s["hashes"], lambda h: h < below) for s in (a, b))
@@ -134,7 +148,8 @@ def fingerprint_edits(
     keys = stage(_with_previous(keys), "fingerprint-neighbours")
 
     copy = F.row_number().over(Window.partitionBy("key").orderBy("key"))
-    texts = with_sketch(rows.select("key", "text"), "text", "sketch", width, least).withColumn("copy", copy)
+    texts = with_sketch(rows.select("key", "text"), "text", "sketch", width, least)
+    texts = texts.withColumn("sketch", packed(F.col("sketch"))).withColumn("copy", copy)
     placed = texts.join(keys, "key")
     sent = placed.filter("copy >= copies").select(  # one row per key; as the other side has it, so the shuffle is shared
         F.col("before_key").alias("key"),
@@ -151,6 +166,7 @@ def fingerprint_edits(
         F.when(last, F.col("next_sketch")).otherwise(F.col("sketch")).alias("next_sketch"),
     )
     done = with_sketch(joined, "edited", "edited_sketch", width, least)
+    done = done.withColumns({c: unpacked(F.col(c)) for c in ("sketch", "next_sketch")})
     sketch, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
     return done.select(
         "doc_id",

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -101,7 +102,7 @@ def test_bursts_and_spills_lose_nothing(monkeypatch, burst, limit, chunk):
     monkeypatch.setattr(co, "CHUNK_WORDS", chunk)
     monkeypatch.setattr(co.HatTrie.__init__, "__defaults__", (burst,))
     rows = [("und" if lang is None else lang, text) for _, lang, text in corpus(3, 120)]
-    found = Counter()
+    found, langs_seen = Counter(), {}
     for lengths in ((1,), (2,), (3, 4)):
         batches = [
             pa.record_batch([pa.array([r[0] for r in rows[s : s + 25]]), pa.array([r[1] for r in rows[s : s + 25]])], names=["lang", "text"])
@@ -110,20 +111,21 @@ def test_bursts_and_spills_lose_nothing(monkeypatch, burst, limit, chunk):
         parts = {}
         for batch in co._count_in_tasks(lengths, 7, None, None)(iter(batches)):
             for row in batch.to_pylist():
-                parts.setdefault((row["lang"], row["part"]), []).append(row)
-        for (lang, _), runs in parts.items():
+                parts.setdefault(row["part"], []).append(row)
+        for runs in parts.values():
             for run in runs:
-                words = run["words"].split(b"\n")
-                assert words == sorted(words)
-            for row in co._merge_runs(1, False)(pa.Table.from_pylist(runs)).to_pylist():
+                of = [run["langs"][i] for i in np.frombuffer(run["lang_of"], "<u4")]
+                words = list(zip((langs_seen.setdefault(x, len(langs_seen)) for x in of), run["words"].split(b"\n")))
+                assert len(set(words)) == len(words)
+                grams = np.frombuffer(run["grams"], "<u4").reshape(max(lengths), -1).T.tolist()
+                assert grams == sorted(grams)
+            for row in co._merge_runs(1, max(lengths))(pa.Table.from_pylist(runs, schema=co._RUN)).to_pylist():
                 if row["phrase"] is not None:
-                    found[lang, tuple(row["phrase"].split(" "))] += row["f"]
+                    found[row["lang"], tuple(row["phrase"].split(" "))] += row["f"]
     assert found == counted(rows)[0]
 
 
 def test_the_largest_subtrees_leave_first():
-    import numpy as np
-
     trie = co.HatTrie(burst=4)
     trie.add(np.array([1] * 20 + [2] * 3), np.concatenate([np.arange(1, 21) << co._SECOND, np.arange(1, 4) << co._SECOND]))
     assert trie.entries == 23 and not isinstance(trie.top[1], Counter) and isinstance(trie.top[2], Counter)
