@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,9 @@ from sedimenta.functions.text import not_blank
 from sedimenta.operators.dedupe import keep_first
 from sedimenta.operators.joins import lookup_join
 from sedimenta.operators.keys import surrogate_key
+from sedimenta.session import stage
 from sedimenta.sources.landing import column
+from sedimenta.sources.tables import read_table
 
 
 def pending(
@@ -93,52 +96,106 @@ def enrich_batches(
     return df.mapInPandas(score, schema)
 
 
-def fallback_chain(
+def in_lots(items: DataFrame, key: str, size: int) -> Iterator[DataFrame]:
+    """The items in the order of their key, `size` at a time, spread over the cluster.
+
+    They are computed and numbered once; a lot is a range of the numbered table, so it reads its own part only.
+    """
+    numbered = surrogate_key(items, "__n", [key])
+    tasks = max(1, min(items.sparkSession.sparkContext.defaultParallelism, size))
+    for first in range(1, numbered.count() + 1, size):
+        yield numbered.where(F.col("__n").between(first, first + size - 1)).drop("__n").repartition(tasks)
+
+
+def score_in_lots(
+    items: DataFrame, key: str, size: int, score: Callable[[DataFrame], DataFrame], path: str
+) -> None:
+    """Score the items and append the results to the table at `path`, one lot after the other.
+
+    Every lot is committed by its own write: when a later one fails, the results of those before are in the table, and
+    `unfinished` takes them out of the next run. A lot that fails leaves nothing.
+    """
+    for lot in in_lots(items, key, size):
+        score(lot).write.mode("append").parquet(path)
+
+
+ANSWERS = "result string, provider string, error string, asked array<string>"
+
+
+def ask_in_turn(
+    items: DataFrame,
     providers: Sequence[tuple[str, Callable[[str], str]]],
     exhausted: Callable[[Exception], bool],
     key: str,
     text: str,
-) -> Callable[[], Callable]:
-    """Loader for `enrich_batches`: ask the providers in turn, row by row.
-
-    A provider that reports exhaustion is not asked again by this worker. Any other error
-    fails the row, not the run: its result is null and the error is kept. Once all are
-    exhausted the rows that are left get no result either. A caller that stores results leaves
-    rows without one out, so that they stay pending.
-    Output columns: key, result, provider, error.
-    """
+    path: str,
+    size: int = 1000,
+) -> DataFrame:
+    """Answers of a chain of providers: key, result, provider, error, asked (the providers that were called), lot.
+
+    Items go out in lots, and a lot to one provider after the other, each getting what is still open. A provider
+    that reports exhaustion is not called again by the task that saw it, and once its refusals are stored, by no
+    task at all: it is written to `path`/spent, and later lots, and later runs over the same `path`, pass it
+    over. Any other error fails the row, not the run: its result is null and the error is kept. Rows that find all
+    providers exhausted get no result either, and are asked again by a later run; all other answers are stored in
+    `path`/answers lot by lot, and an item that has one is not sent out again.
 
-    def load():
-        spent: set[str] = set()
-
-        def one(value):
-            for label, ask in providers:
-                if label in spent:
-                    continue
-                try:
-                    return ask(value), label, None
-                except Exception as e:  # noqa: BLE001 - a user's function may raise anything
-                    if not exhausted(e):
-                        return None, label, str(e)
-                    spent.add(label)
-            return None, None, "all providers are exhausted"
-
-        def run(frame):
-            import pandas as pd
-
-            rows = [one(v) for v in frame[text]]
-            return pd.DataFrame(
-                {
-                    key: frame[key].to_numpy(),
-                    "result": [r[0] for r in rows],
-                    "provider": [r[1] for r in rows],
-                    "error": [r[2] for r in rows],
-                }
-            )
+    Keys are unique and not null. Take a new `path` once the providers answer again.
+    """
+    spark = items.sparkSession
+    kind = items.schema[key].dataType
+    layout = T.StructType([T.StructField(key, kind), *T.StructType.fromDDL(ANSWERS).fields, T.StructField("lot", T.LongType())])
+    answers, marks = f"{path}/answers", f"{path}/spent"
+    spent = {r.provider for r in read_table(spark, marks, T.StructType.fromDDL("provider string"), optional=True).collect()}
+    before = read_table(spark, answers, layout, optional=True)
+    todo = unfinished(items.select(column(key), column(text)), before.where("provider IS NOT NULL"), key)
+    earlier = before.agg(F.max("lot")).first()[0] or 0
+
+    def asking(label: str, ask: Callable[[str], str]) -> Callable[[Iterator], Iterator]:
+        def run(frames: Iterator) -> Iterator:
+            refused = False
+            for frame in frames:
+                rows = []
+                for value, asked in zip(frame[text], frame["asked"]):
+                    answer, called = (None, None, None, True), [*asked]
+                    if not refused:
+                        called.append(label)
+                        try:
+                            answer = (ask(value), label, None, False)
+                        except Exception as e:  # noqa: BLE001 - a user's function may raise anything
+                            refused = exhausted(e)
+                            if not refused:
+                                answer = (None, label, str(e), False)
+                    rows.append((*answer, called))
+                frame["result"], frame["provider"], frame["error"], frame["open"], frame["asked"] = (
+                    [list(c) for c in zip(*rows)] if rows else [[]] * 5
+                )
+                yield frame
 
         return run
 
-    return load
+    sent = f"{text} {items.schema[text].dataType.simpleString()}, {ANSWERS}, open boolean"
+    shape = T.StructType([T.StructField(key, kind), *T.StructType.fromDDL(sent).fields])
+    for n, lot in enumerate(in_lots(todo, key, size), start=earlier + 1):
+        left = lot.withColumn("asked", F.array().cast("array<string>"))
+        done = []
+        for label, ask in providers:
+            if label in spent:
+                continue
+            told = stage(left.mapInPandas(asking(label, ask), shape), "answers")
+            done.append(told.where("NOT open"))
+            left = told.where("open").select(column(key), column(text), "asked")
+            if not left.head(1):
+                break
+            spent.add(label)
+            spark.createDataFrame([(label,)], "provider string").coalesce(1).write.mode("append").parquet(marks)
+        nothing = [F.lit(None).cast("string").alias(c) for c in ("result", "provider")]
+        rest = left.select(column(key), *nothing, F.lit("all providers are exhausted").alias("error"), "asked")
+        parts = [d.select(column(key), "result", "provider", "error", "asked") for d in done]
+        whole = reduce(DataFrame.unionByName, parts, rest).withColumn("lot", F.lit(n).cast("bigint"))
+        whole.write.mode("append").parquet(answers)
+    stored = read_table(spark, answers, layout, optional=True)
+    return keep_first(stored.withColumn("__lacks", F.col("provider").isNull()), [key], ["__lacks", "lot"]).drop("__lacks")
 
 
 def merge_partials(ids: DataFrame, parts: Sequence[DataFrame], key: str) -> DataFrame:

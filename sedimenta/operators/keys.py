@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sedimenta.session import stage, stage_counted
@@ -27,46 +27,34 @@ def number_rows(
 ) -> tuple[DataFrame, int | None]:
     """`surrogate_key`, and the number of rows if `natural` is unique (and none of its values reserved).
 
-    The rows are written as they come, counted on the way, numbered in ranges of about `TASK_ROWS`, and written
-    again with their numbers, so that readers find a table and no window.
+    The rows are written as they come and counted on the way, then written once more in ranges of about `TASK_ROWS`,
+    sorted, with their position. The number is a projection over that table: readers find no window and no join.
     """
     rows, n = stage_counted(df, "rows")
     most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = partitions or max(1, min(most, -(-n // TASK_ROWS)))
-    numbered = stage(_numbered_in_parts(rows, name, natural, parts), "numbered")
-    twice = numbered.groupBy(*[column(c) for c in natural]).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    taken = numbered.where(column(natural[0]).isin(*reserved)) if reserved else None
-    clash = bool(twice.head(1)) or bool(taken is not None and taken.head(1))
-    return numbered, None if clash else n
+    numbered = _numbered_in_parts(rows, name, natural, parts)
+    keys = numbered.groupBy(*[column(c) for c in natural]).agg(F.count(F.lit(1)).alias("__rows"))
+    taken = F.lit(False) if not reserved else F.max(F.coalesce(column(natural[0]).isin(*reserved), F.lit(False)))
+    most_rows, clash = keys.agg(F.max("__rows"), taken).first()
+    return numbered, None if (most_rows or 0) > 1 or clash else n
 
 
 def _numbered_in_parts(df: DataFrame, name: str, natural: Sequence[str], n: int) -> DataFrame:
     """Range-partition, sort inside the partitions, write once with the position.
 
-    The number is the position plus the rows of the partitions before, which is one small
-    row per partition. A key with many rows is still split, as the hash of the row is part
-    of the order.
+    The number is the position plus the rows of the partitions before: one small number per partition, at
+    most `n`. A key with many rows is still split, as the hash of the row is part of the order.
     """
     order = [column(c) for c in natural]
     rest = [column(c) for c in df.columns if c not in natural]
     if rest:
         order.append(F.xxhash64(*rest))
-    placed = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("__at", F.monotonically_increasing_id())
-    )
-    placed = stage(placed, "keys")
+    ranges = df.coalesce(1) if n == 1 else df.repartitionByRange(n, *order)
+    placed = stage(ranges.sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()), "keys")
     part = F.shiftright(F.col("__at"), _ROW_BITS)
-    counts = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
-    before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(  # one row per partition: at most `n`
-        "__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
-    )
+    counts = {r["part"]: r["count"] for r in placed.groupBy(part.alias("part")).count().collect()}
+    before = [0, *accumulate(counts.get(i, 0) for i in range(max(counts, default=0)))]
     row = F.col("__at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (
-        placed.withColumn("__part", part)
-        .join(F.broadcast(offsets), "__part")
-        .withColumn(name, row + F.col("__before") + 1)
-        .drop("__part", "__at", "__before")
-    )
+    start = F.get(F.lit(before).cast("array<bigint>"), part.cast("int"))
+    return placed.withColumn(name, row + start + 1).drop("__at")

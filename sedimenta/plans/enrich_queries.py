@@ -11,6 +11,7 @@ from sedimenta.operators import similarity as sim
 from sedimenta.operators.joins import lookup_join
 from sedimenta.plans.parliament import THEMES
 from sedimenta.plans.registry import query, table
+from sedimenta.session import new_path
 
 _PENDING_SQL = """
 SELECT documents.* FROM documents ANTI JOIN labels ON documents.doc_id = labels.doc_id
@@ -181,9 +182,10 @@ def enrich_hook(spark, sf):
 
 @query("""
 SELECT doc_id, CASE WHEN lang <> 'es' THEN split_part(text, ' ', 1) END AS result, 'reserva' AS provider,
-       CASE WHEN lang = 'es' THEN 'idioma sem suporte' END AS error FROM documents""")
+       CASE WHEN lang = 'es' THEN 'idioma sem suporte' END AS error, false AS asked_in_vain FROM documents""")
 def enrich_fallback(spark, sf):
-    """The first provider is used up, the second fails for one language: those rows stay null."""
+    """The first provider is used up, the second fails for one language: those rows stay null. After the first lot no
+    task calls the first one again."""
 
     def main(_):
         raise RuntimeError("429: tokens")
@@ -194,16 +196,18 @@ def enrich_fallback(spark, sf):
             raise ValueError("idioma sem suporte")
         return text.split(" ", 1)[0]
 
-    load = enrich.fallback_chain(
+    items = table(spark, sf, "documents").select("doc_id", F.concat("lang", F.lit("|"), "text").alias("text"))
+    asked = enrich.ask_in_turn(
+        items,
         [("principal", main), ("reserva", reserve)],
         lambda e: "429" in str(e) and "tokens" in str(e),
         "doc_id",
         "text",
+        new_path(spark, "answers"),
+        size=max(1, -(-items.count() // 4)),
     )
-    items = table(spark, sf, "documents").select(
-        "doc_id", F.concat("lang", F.lit("|"), "text").alias("text")
-    )
-    return enrich.enrich_batches(items, load, "doc_id long, result string, provider string, error string")
+    in_vain = (F.col("lot") > 1) & F.array_contains("asked", "principal")
+    return asked.select("doc_id", "result", "provider", "error", in_vain.alias("asked_in_vain"))
 
 
 _THEME_ROWS = ", ".join(f"({i}, '{n}', '{d}')" for i, (n, d) in enumerate(THEMES.items()))

@@ -7,8 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from functools import partial, reduce
-from operator import or_
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from sedimenta.functions.text import filled as filled_text
 from sedimenta.functions.text import first_item_label, prompt, query_text, three_way, two_way
 from sedimenta.operators.conform import conform, load_report
 from sedimenta.operators.dedupe import keep_first
-from sedimenta.operators.enrich import enrich_batches, merge_partials, pending, unfinished
+from sedimenta.operators.enrich import enrich_batches, merge_partials, pending, score_in_lots, unfinished
 from sedimenta.operators.joins import lookup_join
 from sedimenta.operators.merge import audit_copy, backfill, upsert
 from sedimenta.operators.quality import null_violations, pk_violations, require
@@ -388,6 +387,7 @@ DIM_EVENTO = DimSpec(
     natural="id_evento",
     columns={"id_evento": "idEvento", "ds_tipo_evento": "descricaoTipo", "ds_situacao": "situacao"},
 )
+# Labels of bills without a theme and without a summary.
 UNCLASSIFIED = "NÃO CLASSIFICADO"
 NO_SUMMARY = "SEM RESUMO EXECUTIVO GERADO"
 DIM_PROPOSICAO = DimSpec(
@@ -629,6 +629,13 @@ def score_bills(
     return merge_partials(ids, [stage(p, "part") for p in parts], "proposicao_id")
 
 
+# What a run may compute: columns that one scorer fills together, the first of which tells whether it has.
+THEME_COLUMNS = ("tema_classificado", "score_similaridade", "embedding")
+SUMMARY_COLUMNS = ("resumo_executivo",)
+LOT = 10_000
+_RESULTS = T.StructType([f for f in IA_SCHEMA if f.name != "processado_em"])
+
+
 def enrichment_run(
     silver: Layer,
     landed: DataFrame,
@@ -639,31 +646,57 @@ def enrichment_run(
     summarise: Callable[[], Callable] | None = None,
     limit: int | None = None,
     reprocess: bool = False,
+    lot: int = LOT,
 ) -> DataFrame:
     """Score the bills that have no result yet and merge the results into `proposicoes_ia`.
 
-    The results are appended to the folder `work` first. A run that was interrupted is taken
-    up by item: what is in `work` already is not scored again, only merged. Take a new folder
-    for the next run. Columns that this run does not compute keep their values.
+    Themes with vectors, and summaries, are two scorers with pending items of their own: an item that one of them failed on
+    is asked for that one again. Results are appended to the folder `work` lot by lot, `lot` items at a time in
+    the order of their ids, each lot by its own commit. A run that was interrupted is taken up by item: what is in
+    `work` already is not scored again, only merged. Take a new folder for the next run. Columns that this run does
+    not compute keep their values.
     """
     spark = landed.sparkSession
     done = silver.read("proposicoes_ia") if "proposicoes_ia" in silver.names() else None
     items = landed.select(F.col("id").cast("bigint").alias("id"), "ementa", "ementaDetalhada")
     items = keep_first(items, ["id"])  # an item may be landed more than once
-    known = None if done is None else done.select(F.col("proposicao_id").alias("id"))
-    todo = pending(items, known, "id", "ementa", reprocess, limit, ordered=False)
-    computed = ["proposicao_id"]
-    computed += ["tema_classificado", "score_similaridade", "embedding"] if encode else []
-    computed += ["resumo_executivo"] if summarise else []
-    layout = T.StructType([IA_SCHEMA[c] for c in computed])
-    finished = read_table(spark, work, layout, optional=True).select(F.col("proposicao_id").alias("id"))
-    fresh = score_bills(unfinished(todo, finished, "id"), encode, labels, summarise)
-    found = reduce(or_, [F.col(c).isNotNull() for c in computed[1:]])  # a failed item stays pending
-    fresh = fresh.select(*[F.col(f.name).cast(f.dataType) for f in layout]).where(found)
-    fresh.write.mode("append").parquet(work)
-    results = keep_first(read_table(spark, work, layout), ["proposicao_id"]).withColumn("processado_em", F.lit(at).cast("timestamp_ntz"))
-    target = spark.createDataFrame([], IA_SCHEMA) if done is None else done
-    silver.replace("proposicoes_ia", upsert(target, results, ["proposicao_id"]))
+    scorers = []
+    if encode is not None:
+        scorers.append((THEME_COLUMNS, lambda bills: score_bills(bills, encode, labels)))
+    if summarise is not None:
+        scorers.append((SUMMARY_COLUMNS, lambda bills: score_bills(bills, summarise=summarise)))
+    for columns, score in scorers:
+        mark = columns[0]
+        has = done is not None and mark in done.columns
+        known = done.where(F.col(mark).isNotNull()).select(F.col("proposicao_id").alias("id")) if has else None
+        todo = pending(items, known, "id", "ementa", reprocess, limit, ordered=False)
+        stored = read_table(spark, work, _RESULTS, optional=True).where(F.col(mark).isNotNull())
+        todo = unfinished(todo, stored.select(F.col("proposicao_id").alias("id")), "id")
+
+        def scored(bills: DataFrame, columns=columns, score=score) -> DataFrame:
+            fresh = score(bills).select("proposicao_id", *[F.col(c).cast(_RESULTS[c].dataType) for c in columns])
+            return fresh.where(F.col(columns[0]).isNotNull())  # a failed item stays pending
+
+        score_in_lots(todo, "id", lot, scored, work)
+    return merge_results(silver, work, at)
+
+
+def merge_results(silver: Layer, work: str, at: dt.datetime) -> DataFrame:
+    """Merge what is in the folder `work` into `proposicoes_ia`, without scoring anything.
+
+    Each scorer's results go in by themselves, so an item that one of them failed on keeps what it had there.
+    """
+    spark = silver.spark
+    stored = read_table(spark, work, _RESULTS, optional=True)
+    merged = silver.read("proposicoes_ia") if "proposicoes_ia" in silver.names() else spark.createDataFrame([], IA_SCHEMA)
+    for columns in (THEME_COLUMNS, SUMMARY_COLUMNS):
+        columns = [c for c in columns if c in merged.columns]
+        found = stored.where(F.col(columns[0]).isNotNull()) if columns else stored.limit(0)
+        if found.head(1):
+            results = keep_first(found.select("proposicao_id", *columns), ["proposicao_id"])
+            results = results.withColumn("processado_em", F.lit(at).cast("timestamp_ntz"))
+            merged = upsert(merged, results, ["proposicao_id"])
+    silver.replace("proposicoes_ia", merged)
     return silver.read("proposicoes_ia")
 
 

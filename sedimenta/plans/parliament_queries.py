@@ -12,6 +12,7 @@ import datetime as dt
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from sedimenta.operators.conform import conform
@@ -622,6 +623,43 @@ def enrichment_texts(spark, sf):
     return out.select("proposicao_id", "tema_classificado", "resumo_executivo")
 
 
+@query("""
+WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n FROM documents WHERE trim(text) <> ''),
+     b AS (SELECT (n - 1) // 100 AS lote FROM p WHERE doc_id >= (SELECT max(doc_id) // 2 FROM documents) ORDER BY n LIMIT 1)
+SELECT doc_id AS proposicao_id, CASE WHEN (n - 1) // 100 < (SELECT lote FROM b) THEN 'primeira' ELSE 'segunda' END AS resumo_executivo
+FROM p""")
+def enrichment_resume(spark, sf):
+    """An enrichment run whose model breaks down half-way: the lots before are kept, and not scored again by the next run."""
+    layer, work = Layer(spark, new_path(spark, "silver")), new_path(spark, "work")
+    documents = table(spark, sf, "documents")
+    landed = documents.select(
+        F.col("doc_id").alias("id"), F.col("text").alias("ementa"), F.lit(None).cast("string").alias("ementaDetalhada")
+    )
+    half = documents.agg(F.max("doc_id")).first()[0] // 2
+
+    def model(answer, until=None):
+        def load():
+            import pandas as pd
+
+            def summarise(frame):
+                if until is not None and (frame["id"] >= until).any():
+                    raise RuntimeError("out of memory")
+                return pd.DataFrame({"proposicao_id": frame["id"], "resumo_executivo": answer})
+
+            return summarise
+
+        return load
+
+    when = dt.datetime(2024, 2, 1)
+    try:
+        pl.enrichment_run(layer, landed, work, when, summarise=model("primeira", half), lot=100)
+    except PythonException as e:
+        if "out of memory" not in str(e):
+            raise
+    out = pl.enrichment_run(layer, landed, work, when, summarise=model("segunda"), lot=100)
+    return out.select("proposicao_id", "resumo_executivo")
+
+
 _LABEL = (
     "coalesce(json_extract_string(props, '$.sigla') || ' ' || json_extract_string(props, '$.k') || '/' || year(ts), "
     "event_type || ' ' || json_extract_string(props, '$.k') || '/' || year(ts))"

@@ -54,15 +54,15 @@ SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""")
 def stream_upsert(spark, sf):
     """The newest event per user, upserted from two deliveries, the newer one first and then the
-    older one, into a table of key buckets. The second run asks for other buckets and gets the stored ones."""
+    older one, by appending; the table is compacted in between, and once more rows follow."""
     path, target, mark = (new_path(spark, n) for n in ("landed", "target", "mark"))
     events = table(spark, sf, "events").withColumn("idade", -F.col("event_id"))
     half = F.lit(events.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0])
     events.where(F.col("event_id") > half).write.parquet(path)
     stream = incremental.read_new_files(spark, path, events.schema)
-    incremental.stream_upsert(stream, target, mark, "user_id", ["idade"], buckets=8)
+    incremental.stream_upsert(stream, target, mark, "user_id", ["idade"])
+    incremental.compact(spark, target, events.schema, "user_id", ["idade"])
     events.where(F.col("event_id") <= half).write.mode("append").parquet(path)
-    incremental.stream_upsert(stream, target, mark, "user_id", ["idade"], buckets=32)
-    return spark.read.schema(events.schema).parquet(target).select(
-        "user_id", "event_id", "event_type", "value"
-    )
+    incremental.stream_upsert(stream, target, mark, "user_id", ["idade"])
+    now = incremental.read_upserted(spark, target, events.schema, "user_id", ["idade"])
+    return now.select("user_id", "event_id", "event_type", "value")

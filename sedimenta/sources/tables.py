@@ -47,25 +47,33 @@ class Layer:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _entries(self) -> tuple[int, Mapping[str, str]]:
-        """The newest version: its number, and the path of each table name.
+    def _entries(self, below: int | None = None) -> tuple[int, Mapping[str, str]]:
+        """The newest version (below a number): its number, and the path of each table name.
 
         Every version is one file. One that is still being written does not parse yet, so the version before holds.
         """
-        files, folder = file_system(self.spark, f"{self.root}/_catalogue")
-        if not files.exists(folder):
-            return 0, {}
-        found = {f.getPath().getName(): f.getPath() for f in files.listStatus(folder)}
-        for name in sorted((n for n in found if n.endswith(".json")), reverse=True):
-            stream = files.open(found[name])
+        files, _ = file_system(self.spark, self.root)
+        for number, path in self._versions():
+            if below is not None and number >= below:
+                continue
+            stream = files.open(path)
             try:
-                return int(name.removesuffix(".json")), json.loads(bytes(stream.readAllBytes()))
+                return number, json.loads(bytes(stream.readAllBytes()))
             except ValueError:
                 continue
             finally:
                 stream.close()
         return 0, {}
 
+    def _versions(self) -> list[tuple[int, object]]:
+        """Number and path of every version file, finished or not, the newest first."""
+        files, folder = file_system(self.spark, f"{self.root}/_catalogue")
+        if not files.exists(folder):
+            return []
+        paths = [f.getPath() for f in files.listStatus(folder)]
+        found = [(int(p.getName().removesuffix(".json")), p) for p in paths if p.getName().endswith(".json")]
+        return sorted(found, key=lambda x: x[0], reverse=True)
+
     def names(self) -> list[str]:
         return sorted(self._entries()[1])
 
@@ -79,17 +87,23 @@ class Layer:
         """Write the next version, which `change` makes of the newest one.
 
         The file of a version is never overwritten: a publication that finds it taken starts from that one. One
-        that stays unfinished for `_PATIENCE` seconds was left behind by a failure, and its number is passed over.
+        that stays unfinished for `_PATIENCE` seconds may have been left behind by a failure, and its number is passed
+        over. No change is lost if it was only slow: a publication takes its number first and then reads what it
+        starts from, and when its file is finished it looks for higher numbers. If there is one, it was passed over
+        and publishes again on top of that. `change` may so be applied twice.
+
+        This asks for a store on which a file, once created, is seen by all, and creating it a second time fails: a
+        local disk used by one host, or HDFS. On plain object stores publish from one process at a time.
         """
         waited = 0.0
         while True:
             with _one_publication:
-                version, tables = self._entries()
-                files, path = file_system(self.spark, f"{self.root}/_catalogue/{version + 1:012d}.json")
-                while files.exists(path) and waited >= _PATIENCE:
+                version = self._entries()[0] + 1
+                taken = {number for number, _ in self._versions()}
+                while version in taken and waited >= _PATIENCE:
                     version += 1
-                    files, path = file_system(self.spark, f"{self.root}/_catalogue/{version + 1:012d}.json")
-                if files.exists(path):  # another process is writing it
+                files, path = file_system(self.spark, f"{self.root}/_catalogue/{version:012d}.json")
+                if version in taken:  # another process is writing it
                     time.sleep(0.1)
                     waited += 0.1
                     continue
@@ -99,9 +113,11 @@ class Layer:
                     if "FileAlreadyExists" not in str(e):
                         raise
                     continue
+                tables = self._entries(below=version)[1]
                 stream.write(bytearray(json.dumps(dict(change(tables))).encode()))
                 stream.close()
-                return
+                if self._versions()[0][0] == version:
+                    return
 
     def replace(self, name: str, df: DataFrame) -> bool:
         """Replace one table. An empty frame leaves the old one in place."""
@@ -140,18 +156,30 @@ class Layer:
 
 
 def write_batches(df: DataFrame, path: str, batch: str = "batch_id") -> None:
-    """One folder per batch; the rows of a batch are brought together first."""
-    df.repartition(column(batch)).write.mode("append").partitionBy(batch).parquet(path)
+    """Append the rows in the order of their batch numbers, as an ordinary column.
+
+    Files follow the number of rows, not of batches: ranges of batches, of which Spark joins small ones. Their
+    statistics let a reader of some batches skip files and row groups.
+    """
+    ordered = df.repartitionByRange(column(batch)).sortWithinPartitions(column(batch))
+    ordered.write.mode("append").parquet(path)
 
 
 def read_batches(
-    spark: SparkSession, path: str, schema: T.StructType, batches: Iterable[int] | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    batches: Iterable[int] | None = None,
+    batch: str = "batch_id",
 ) -> DataFrame:
-    """All batches, or some; the choice prunes folders before any file is opened."""
+    """All batches, or some; the choice reaches the scan, also where it is long."""
     df = spark.read.schema(schema).parquet(path)
     if batches is None:
         return df
-    return df.where(F.col("batch_id").isin(*batches))
+    wanted = sorted(batches)
+    if not wanted:
+        return df.limit(0)
+    return df.where(column(batch).between(wanted[0], wanted[-1]) & column(batch).isin(*wanted))
 
 
 def export_csv(df: DataFrame, root: str, name: str, at: dt.datetime) -> str:

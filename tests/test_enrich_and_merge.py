@@ -52,8 +52,11 @@ def test_hook_loads_once_and_chunks(spark):
     assert max(r["call"] for r in out) == 4
 
 
-def test_fallback_chain(spark):
+def test_providers_are_asked_in_turn(spark, folder):
+    calls = spark.sparkContext.accumulator(0)
+
     def first(text):
+        calls.add(1)
         if len(text) > 1:
             raise RuntimeError("429 tokens")
         return "1:" + text
@@ -63,19 +66,52 @@ def test_fallback_chain(spark):
             raise ValueError("cannot")
         return "2:" + text
 
-    load = enrich.fallback_chain([("a", first), ("b", second)], lambda e: "429" in str(e), "id", "text")
+    def spent(e):
+        return "429" in str(e)
+
     rows = [(1, "x"), (2, "long"), (3, "y"), (4, "bad")]
-    df = spark.createDataFrame(rows, "id int, text string").coalesce(1).sortWithinPartitions("id")
-    out = enrich.enrich_batches(df, load, "id int, result string, provider string, error string")
-    assert values(out) == [
-        (1, "1:x", "a", None),
-        (2, "2:long", "b", None),
-        (3, "2:y", "b", None),
-        (4, None, "b", "cannot"),
+    df = spark.createDataFrame(rows, "id int, text string")
+    show = ("id", "result", "provider", "error", "asked", "lot")
+    out = enrich.ask_in_turn(df, [("a", first), ("b", second)], spent, "id", "text", folder + "/p", size=1)
+    assert values(out, *show) == [
+        (1, "1:x", "a", None, ["a"], 1),
+        (2, "2:long", "b", None, ["a", "b"], 2),
+        (3, "2:y", "b", None, ["b"], 3),  # `a` is known to be used up
+        (4, None, "b", "cannot", ["b"], 4),
     ]
-    spent = enrich.fallback_chain([("a", first)], lambda e: "429" in str(e), "id", "text")
-    left = enrich.enrich_batches(df.where("id >= 2"), spent, "id int, result string, provider string, error string")
-    assert {r["result"] for r in left.collect()} == {None}
+    assert calls.value == 2
+    # a later run over the same folder sends new items only, and knows who is used up
+    more = df.union(spark.createDataFrame([(5, "z")], df.schema))
+    out = enrich.ask_in_turn(more, [("a", first), ("b", second)], spent, "id", "text", folder + "/p", size=1)
+    assert values(out.where("id = 5"), *show) == [(5, "2:z", "b", None, ["b"], 5)] and out.count() == 5
+    assert calls.value == 2
+
+
+def test_an_exhausted_provider_is_left_alone_by_all_tasks(spark, folder):
+    """Four tasks a lot: each may call it once, before the first refusals are stored, and none afterwards."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def only(_):
+        calls.add(1)
+        raise RuntimeError("429")
+
+    df = spark.createDataFrame([(i, "t") for i in range(400)], "id int, text string")
+    out = enrich.ask_in_turn(df, [("a", only)], lambda e: True, "id", "text", folder + "/p", size=100)
+    assert 1 <= calls.value <= spark.sparkContext.defaultParallelism
+    assert values(out.select("result", "provider", "error").distinct()) == [(None, None, "all providers are exhausted")]
+    assert out.count() == 400 and out.where("lot > 1 AND size(asked) > 0").count() == 0
+    # they stay open: once a provider answers again, a run over them gets results
+    out = enrich.ask_in_turn(df, [("a", only), ("b", str.upper)], lambda e: True, "id", "text", folder + "/p", size=400)
+    assert values(out.select("result", "provider").distinct()) == [("T", "b")] and out.count() == 400
+    assert enrich.ask_in_turn(df.limit(0), [("a", only)], lambda e: True, "id", "text", folder + "/q").count() == 0
+
+
+def test_lots_are_ranges_that_use_the_cluster(spark):
+    df = spark.range(0, 103).select((F.col("id") * 3).alias("id"))
+    lots = [[r["id"] for r in lot.collect()] for lot in enrich.in_lots(df, "id", 50)]
+    assert [len(x) for x in lots] == [50, 50, 3] and max(lots[0]) < min(lots[1]) and max(lots[1]) < min(lots[2])
+    assert next(enrich.in_lots(df, "id", 50)).rdd.getNumPartitions() > 1
+    assert list(enrich.in_lots(df.limit(0), "id", 50)) == []
 
 
 def test_merge_partials(spark):

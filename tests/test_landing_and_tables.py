@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 from functools import partial
 
 import pytest
@@ -140,7 +141,10 @@ def test_batches_and_vectors_as_text(spark, folder):
         spark, folder + "/b", T.StructType.fromDDL("id int, v string, batch_id int"), [1, 3]
     )
     assert values(back, "id") == [(0,), (1,), (2,), (3,), (8,), (9,)]
-    assert "PartitionFilters: [batch_id" in back._jdf.queryExecution().executedPlan().toString()
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert all(x in plan.split("PushedFilters")[1] for x in ("LessThanOrEqual(batch_id,3)", "In(batch_id, [")), plan
+    assert tables.read_batches(spark, folder + "/b", back.schema, []).count() == 0
+    assert len(back.inputFiles()) <= 8, "files follow rows, not batches"
     vector = back.where("id = 1").select(from_text(F.col("v"))).first()[0]
     assert vector == pytest.approx([1 / 3, -1.0])
 
@@ -186,3 +190,51 @@ def test_an_unfinished_version_is_passed_over(spark, folder, monkeypatch):
     monkeypatch.setattr(tables, "_PATIENCE", 0.2)
     layer.replace("u", spark.range(4))
     assert layer.names() == ["t", "u"] and layer.read("u").count() == 4
+
+
+_SLOW_WRITER = """
+import os, sys, time
+sys.path.insert(0, {root!r})
+from sedimenta.session import build_session
+from sedimenta.sources.tables import Layer
+spark = build_session("slow", "local[1]")
+layer = Layer(spark, {layer!r})
+spark.range(7).write.parquet({layer!r} + "/slow")
+rounds = []
+def change(tables):
+    rounds.append(dict(tables))
+    if len(rounds) == 1:
+        open({flag!r}, "w").close()
+        while not os.path.exists({flag!r} + ".go"):
+            time.sleep(0.05)
+    return {{**tables, "slow": {layer!r} + "/slow"}}
+layer._publish(change)
+print("ROUNDS", len(rounds))
+"""
+
+
+def test_a_stalled_writer_loses_nothing(spark, folder, monkeypatch):
+    """Another process takes a version, stalls until it was passed over, and then finishes it."""
+    import subprocess
+    import sys
+    import time
+
+    from tests.conftest import ROOT
+
+    layer, flag = Layer(spark, folder + "/layer"), folder + "/flag"
+    layer.replace("first", spark.range(1))
+    code = _SLOW_WRITER.format(root=ROOT, layer=folder + "/layer", flag=flag)
+    slow = subprocess.Popen([sys.executable, "-c", code], stdout=subprocess.PIPE, stderr=subprocess.DEVNULL, text=True)
+    try:
+        until = time.time() + 90
+        while not os.path.exists(flag):
+            assert time.time() < until and slow.poll() is None
+            time.sleep(0.1)
+        monkeypatch.setattr(tables, "_PATIENCE", 0.2)
+        layer.replace("second", spark.range(2))  # passes the stalled version over
+        assert layer.names() == ["first", "second"]
+        open(flag + ".go", "w").close()
+        assert "ROUNDS 2" in slow.communicate(timeout=90)[0]
+    finally:
+        slow.kill()
+    assert {n: layer.read(n).count() for n in layer.names()} == {"first": 1, "second": 2, "slow": 7}

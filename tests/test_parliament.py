@@ -342,6 +342,63 @@ def test_enrichment_resumes_by_item(spark, folder):
     assert sorted(got) == list(range(1, 9)) and (got[1], got[5]) == ("old", "old") and got[2] != "old"
 
 
+def test_finished_lots_are_kept_and_not_scored_again(spark, folder):
+    landed = spark.createDataFrame([(i, f"a{i}", None) for i in range(1, 41)], "id int, ementa string, ementaDetalhada string")
+    silver, work = Layer(spark, folder + "/silver"), folder + "/work"
+    scored = spark.sparkContext.accumulator(0)
+
+    def counting(fail=()):
+        def load():
+            import pandas as pd
+
+            def run(frame):
+                if set(frame["id"]) & set(fail):
+                    raise RuntimeError("interrupted")
+                scored.add(len(frame))
+                return pd.DataFrame({"proposicao_id": frame["id"], "resumo_executivo": "s"})
+
+            return run
+
+        return load
+
+    with pytest.raises(Exception, match="interrupted"):
+        pl.enrichment_run(silver, landed, work, AT, summarise=counting([35]), lot=10)
+    assert sorted(r[0] for r in spark.read.parquet(work).select("proposicao_id").collect()) == list(range(1, 31))
+    before = scored.value
+    # an upload alone publishes what is there and scores nothing
+    assert pl.merge_results(silver, work, AT).count() == 30 and scored.value == before
+    out = pl.enrichment_run(silver, landed, work, AT, summarise=counting(), lot=10)
+    assert out.count() == 40 and scored.value == before + 10
+
+
+def test_a_failed_part_is_asked_again_by_itself(spark, folder):
+    """A bill with a theme and without a summary is pending for the summary only, and keeps its theme."""
+    landed = spark.createDataFrame([(1, "aab", None), (2, "bb", None)], "id int, ementa string, ementaDetalhada string")
+    silver, labels = Layer(spark, folder + "/silver"), [("A", [1.0, 0.0, 0.0]), ("B", [0.0, 1.0, 0.0])]
+
+    def some(which, text):
+        def load():
+            import pandas as pd
+
+            def run(frame):
+                made = [text if i in which else None for i in frame["id"]]
+                return pd.DataFrame({"proposicao_id": frame["id"], "resumo_executivo": pd.Series(made, dtype=object)})
+
+            return run
+
+        return load
+
+    show = ("proposicao_id", "tema_classificado", "resumo_executivo")
+    out = pl.enrichment_run(silver, landed, folder + "/w1", AT, encode=_encoder, labels=labels, summarise=some([1], "first"))
+    assert values(out, *show) == [(1, "A", "first"), (2, "B", None)]
+    out = pl.enrichment_run(silver, landed, folder + "/w2", AT, encode=_encoder, labels=labels, summarise=some([1, 2], "second"))
+    assert values(out, *show) == [(1, "A", "first"), (2, "B", "second")]
+    # all over again, with a model that fails on 1: what it had stays
+    again = some([2], "third")
+    out = pl.enrichment_run(silver, landed, folder + "/w3", AT, encode=_encoder, labels=labels, summarise=again, reprocess=True)
+    assert values(out, *show) == [(1, "A", "first"), (2, "B", "third")]
+
+
 def test_both_results_of_one_run(spark):
     bills = spark.createDataFrame([(1, "aab", None), (2, "bb", None)], "id int, ementa string, ementaDetalhada string")
     labels = [("A", [1.0, 0.0, 0.0]), ("B", [0.0, 1.0, 0.0])]
