@@ -1,25 +1,24 @@
 """N-gram Jaccard join by signature trees.
 
-Documents with equal sets of shingles form a class. Classes hang in a tree: below the root by their range of
-sizes, below that by the part of the token space on which they agree, below that in nodes of a few
-classes that hold the size range and the OR of the token bitmaps of what is under them.
-
-    sizes   Sizes of a linked pair differ by at most the threshold, so ranges that span it pair with
-            themselves and their neighbour only.
-    parts   Shingles are dealt into K parts by their hash. A linked pair has at most k different shingles, so it agrees
-            in at least K - k parts: node pairs of different part contents can be cut at once.
-    nodes   Inside a part, pairs of nodes are followed downwards as long as the largest overlap that their
-            bitmaps and sizes allow suffices for a link.
-
-Pairs that are left are verified on the texts. Only components are asked for, so at first every component, to begin
-with every class, is tried with the one that its bitmap resembles most, a few times over; pairs inside a component
-found so need no look, and all others get one.
+Documents with equal sets of shingles form a class. Classes hang in a tree: below the root by the rare shingles that
+they share, below that by their sizes, in nodes of a few classes that hold the size range and the OR of the token
+bitmaps of what is under them.
+
+    rare    Shingles are ordered by the number of classes that hold them. Two linked sets have a shingle in common among
+            the rarest of each, size - needed overlap + 1 of them, so only classes that meet there are looked at. A
+            passage that many documents share is not among them where the documents have enough of their own.
+    nodes   Under one shingle, pairs of nodes are followed downwards as long as the largest overlap that their
+            sizes and bitmaps allow suffices for a link.
+
+Pairs that are left are verified on the sets. Only components are asked for, so at first every component, to begin
+with every class, is tried with the one that its bitmap resembles most, a few times over. Under the shingles that still
+join several components all pairs are looked at, by tasks that hold the sets themselves, skip what links found
+before connect, and return only links that connect something.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.bits import bitmap, maybe
+from sedimenta.llm.bits import bitmap, bits_for, maybe
 from sedimenta.llm.components import components
 from sedimenta.session import stage
 
@@ -35,8 +34,8 @@ WIDTH = 4
 PERCENT = 85
 BITMAP_WORDS = 16  # 1,024 bits per class
 FANOUT = 16
-BLOCK = 2048  # classes of one part that meet in one task
-CHUNK_DOCS = 4096
+BLOCK = 512  # classes under one shingle that meet in one task
+CHUNK_TOKENS = 2_000_000
 ROUNDS = 3
 CACHED_WORDS = 300_000
 
@@ -90,56 +89,9 @@ def bitmap_of(tokens: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
     return np.packbits(out, bitorder="little").view("<u8")
 
 
-@lru_cache(maxsize=None)
-def size_range(i: int, percent: int = PERCENT) -> tuple[int, int]:
-    """Range i of sizes: its largest size is linked to its smallest, at the most."""
-    low = 1 if i == 0 else size_range(i - 1, percent)[1] + 1
-    return low, max(low, low * 100 // percent)
-
-
-@lru_cache(maxsize=None)
-def range_of(size: int, percent: int = PERCENT) -> int:
-    i = 0
-    while size_range(i, percent)[1] < size:
-        i += 1
-    return i
-
-
-@lru_cache(maxsize=None)
-def parts_of(i: int, percent: int = PERCENT) -> tuple[int, int]:
-    """(K, m): parts for pairs whose smaller size is in range i, and agreeing parts beyond the first."""
-    top = size_range(i, percent)[1]
-    different = (top + top * 100 // percent) * (100 - percent) // (100 + percent)
-    spare = different // 8
-    return different + 1 + spare, spare
-
-
-def signatures(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The signatures of the parts by which a linked pair is sure to meet.
-
-    A pair agrees in at least m + 1 parts. Parts with fewer than two shingles say little, so a set with at
-    most m of them leaves them out; one with more leaves out at most m empty ones. Either way two
-    linked sets share a signature. Sets that are linked with equal sets only have none.
-    """
-    n = len(tokens)
-    own = range_of(n, percent)
-    out = []
-    for i in (own, own - 1):
-        if i < 0:
-            continue
-        k, spare = parts_of(i, percent)
-        if k == 1:
-            continue
-        part = (tokens % np.uint64(k)).astype(np.int64)
-        mixed = mix(tokens + np.uint64(i))
-        low = np.bincount(part, (mixed & np.uint64(0xFFFFFFFF)).astype(np.float64), k).astype(np.uint64)
-        high = np.bincount(part, (mixed >> np.uint64(32)).astype(np.float64), k).astype(np.uint64)
-        count = np.bincount(part, minlength=k)
-        least = 2 if int((count < 2).sum()) <= spare else 1 if int((count < 1).sum()) <= spare else 0
-        use = count >= least
-        where = np.arange(k, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(i * 1_000_003)
-        out.append(mix(mix(low + (high << np.uint64(32))) + where + count.astype(np.uint64))[use])
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+def prefix_length(size, percent: int = PERCENT):
+    """How many of its rarest shingles a set must show: a linked set holds one of them, among its own rarest ones."""
+    return size - -(-size * percent // 100) + 1
 
 
 def overlap_needed(a, b, percent: int = PERCENT):
@@ -207,100 +159,162 @@ class Tree:
         return a[keep], b[keep]
 
 
+_CLASSES = pa.schema([("names", pa.binary()), ("spare", pa.binary()), ("counts", pa.binary()), ("marks", pa.binary())])
+_CLASS_COLUMNS = "names binary, spare binary, counts binary, marks binary"
+
+
+def _by_class(names: np.ndarray, spare: np.ndarray, marks: np.ndarray) -> dict[str, bytes]:
+    """Entries whose classes stand together, with every class once."""
+    start = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+    counts = np.diff(np.concatenate([start, [len(names)]]))
+    return {
+        "names": names[start].astype("<i8").tobytes(),
+        "spare": spare[start].astype("<i4").tobytes(),
+        "counts": counts.astype("<u4").tobytes(),
+        "marks": marks.astype("<u4").tobytes(),
+    }
+
+
+def _entries(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    counts = np.frombuffer(row["counts"], "<u4")
+    names, spare = (np.repeat(np.frombuffer(row[c], t), counts) for c, t in (("names", "<i8"), ("spare", "<i4")))
+    return names, spare, np.frombuffer(row["marks"], "<u4")
+
+
+def spare_of(tokens: np.ndarray, buckets: int, percent: int = PERCENT) -> int:
+    """Shingles that a set must show, less those that it has (as bucket and mark): the more of them others have, the
+    more it shows."""
+    known = (tokens >> np.uint64(32)) * np.uint64(buckets) + tokens % np.uint64(buckets)
+    return prefix_length(len(tokens), percent) - len(np.unique(known))
+
+
 def _sets(source: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
-    """kind 0: (doc_id, set, size) per row; kind 1: signatures of a chunk's distinct sets by bucket."""
+    """kind 0: (doc_id, class, size) per row; kind 1: the shingles of a chunk's distinct sets by bucket."""
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, np.ndarray] = {}
+        waiting = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, CHUNK_DOCS):
-                yield from chunk(batch.slice(at, CHUNK_DOCS))
-
-    def chunk(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        names, sizes, seen, marks, owners = [], [], set(), [], []
-        for text in batch.column(1):
-            tokens = shingles(text.as_py(), width)
-            name = class_of(tokens)
-            names.append(name)
-            sizes.append(len(tokens))
-            if name not in seen and len(tokens):
-                seen.add(name)
-                own = signatures(tokens, percent)
-                marks.append(own)
-                owners.append(np.full(len(own), name, np.int64))
-        n = len(names)
-        empty = pa.nulls(n, pa.binary())
-        columns = ["kind", "doc_id", "name", "size", "bucket", "marks", "owners"]
-        yield pa.record_batch(
-            [
-                pa.array([0] * n, pa.int32()),
-                batch.column(0),
-                pa.array(names, pa.int64()),
-                pa.array(sizes, pa.int64()),
-                pa.nulls(n, pa.int32()),
-                empty,
-                empty,
-            ],
-            names=columns,
-        )
-        marks = np.concatenate(marks) if marks else np.zeros(0, np.uint64)
-        if not len(marks):
-            return
-        owners = np.concatenate(owners)
-        of = (marks % np.uint64(buckets)).astype(np.int64)
+            names, sizes = [], []
+            for text in batch.column(1):
+                tokens = shingles(text.as_py(), width)
+                name = class_of(tokens)
+                names.append(name)
+                sizes.append(len(tokens))
+                if len(tokens) and name not in seen:
+                    seen[name] = tokens
+                    waiting += len(tokens)
+                    if waiting >= CHUNK_TOKENS:
+                        yield from dealt(seen, batch.schema.field(0).type)
+                        seen, waiting = {}, 0
+            n = len(names)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([0] * n, pa.int32()),
+                    batch.column(0),
+                    pa.array(names, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.nulls(n, pa.int32()),
+                    *[pa.nulls(n, pa.binary())] * 4,
+                ],
+                names=columns,
+            )
+            last = batch.schema.field(0).type
+        if seen:
+            yield from dealt(seen, last)
+
+    def dealt(seen: dict[int, np.ndarray], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+        lengths = np.array([len(t) for t in seen.values()])
+        tokens = np.concatenate(list(seen.values()))
+        names = np.repeat(np.array(list(seen), np.int64), lengths)
+        spare = np.repeat(np.array([spare_of(t, buckets, percent) for t in seen.values()]), lengths)
+        of = (tokens % np.uint64(buckets)).astype(np.int32)
         by = np.argsort(of, kind="stable")
-        marks, owners = (marks[by] >> np.uint64(32)).astype("<u4"), owners[by].astype("<i8")
-        found, begin = np.unique(of[by], return_index=True)
-        spans = list(zip(begin.tolist(), [*begin[1:].tolist(), len(marks)]))
-        n = len(spans)
-        yield pa.record_batch(
+        of, names, spare, marks = of[by], names[by], spare[by], (tokens[by] >> np.uint64(32)).astype("<u4")
+        cut = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+        rows = [(int(of[s]), _by_class(names[s:e], spare[s:e], marks[s:e])) for s, e in zip(cut, cut[1:])]
+        n = len(rows)
+        yield pa.RecordBatch.from_arrays(
             [
                 pa.array([1] * n, pa.int32()),
-                pa.nulls(n, batch.schema.field(0).type),
+                pa.nulls(n, id_type),
                 pa.nulls(n, pa.int64()),
                 pa.nulls(n, pa.int64()),
-                pa.array(found, pa.int32()),
-                pa.array([marks[s:e].tobytes() for s, e in spans], pa.binary()),
-                pa.array([owners[s:e].tobytes() for s, e in spans], pa.binary()),
+                pa.array([b for b, _ in rows], pa.int32()),
+                *(pa.array([r[c] for _, r in rows], pa.binary()) for c in _CLASSES.names),
             ],
             names=columns,
         )
 
-    schema = f"kind int, doc_id {kind}, name long, size long, bucket int, marks binary, owners binary"
-    return source.mapInArrow(run, schema)
+    columns = ["kind", "doc_id", "name", "size", "bucket", *_CLASSES.names]
+    return source.mapInArrow(run, f"kind int, doc_id {kind}, name long, size long, bucket int, {_CLASS_COLUMNS}")
+
+
+def _shared(buckets: int):
+    """Out of a bucket of shingles those that several classes hold, with the number of these, dealt by class."""
+
+    def run(table: pa.Table) -> pa.Table:
+        names, spare, marks = (np.concatenate(c) for c in zip(*map(_entries, table.to_pylist())))
+        by = np.lexsort((names, marks))
+        names, spare, marks = names[by], spare[by], marks[by]
+        other_mark = np.concatenate([[True], marks[1:] != marks[:-1]])
+        fresh = other_mark | np.concatenate([[True], names[1:] != names[:-1]])
+        group = np.cumsum(other_mark) - 1
+        held = np.bincount(group[fresh])[group]
+        common = held > 1
+        # The same shingle of copies in several chunks is there once; two shingles of one set may share a mark.
+        common &= fresh
+        names, spare, marks, held = names[common], spare[common], marks[common], held[common]
+        of = (names.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+        by = np.lexsort((names, of))
+        of, names, spare, marks, held = of[by], names[by], spare[by], marks[by], held[by]
+        cut = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)] if len(of) else [0]
+        rows = [
+            {"owner": int(of[s]), **_by_class(names[s:e], spare[s:e], marks[s:e]), "held": held[s:e].astype("<u4").tobytes()}
+            for s, e in zip(cut, cut[1:])
+        ]
+        bucket = table["bucket"][0].as_py()
+        return pa.Table.from_pylist(
+            [{"bucket": bucket, **r} for r in rows],
+            schema=pa.schema([("bucket", pa.int32()), ("owner", pa.int32()), *_CLASSES, ("held", pa.binary())]),
+        )
+
+    return run
+
+
+def _rarest(table: pa.Table) -> pa.Table:
+    """For some classes the shared shingles among the rarest that a linked set must meet: (key, name)."""
+    parts = []
+    for row in table.to_pylist():
+        names, spare, marks = _entries(row)
+        key = marks.astype(np.int64) | row["bucket"] << 32
+        parts.append((names, spare, key, np.frombuffer(row["held"], "<u4")))
+    names, spare, keys, held = (np.concatenate(c) for c in zip(*parts))
+    by = np.lexsort((keys, held, names))
+    names, spare, keys = names[by], spare[by], keys[by]
+    start = np.concatenate([[True], names[1:] != names[:-1]])
+    first = np.flatnonzero(start)
+    group = np.cumsum(start) - 1
+    quota = spare[first] + np.diff(np.concatenate([first, [len(names)]]))  # shingles of no other class come first
+    use = np.arange(len(names)) - first[group] < quota[group]
+    return pa.table({"key": keys[use], "name": names[use]})
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """The sets of members of the parts in a bucket that two sets or more agree on, each set of members once."""
-    marks = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table["marks"]])
-    owners = np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in table["owners"]])
-    by = np.lexsort((owners, marks))
-    marks, owners = marks[by], owners[by]
-    fresh = np.concatenate([[True], (marks[1:] != marks[:-1]) | (owners[1:] != owners[:-1])])
-    marks, owners = marks[fresh], owners[fresh]
-    begin = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]]))
-    end = np.concatenate([begin[1:], [len(marks)]])
-    several = end - begin > 1
-    members = {owners[s:e].tobytes(): (s, e) for s, e in zip(begin[several].tolist(), end[several].tolist())}
-    lists = [owners[s:e] for s, e in members.values()]
-    return pa.table({"members": pa.array(lists, pa.list_(pa.int64()))})
+def _tokens(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_py(), "<u8")
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose texts are linked."""
-    both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are linked."""
+    both = pairs.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, tokens = None, None
         for batch in batches:
-            keep = []
-            for a, x, y in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
-                if a != last or tokens is None:  # rows come in the order of a
-                    last, tokens = a, shingles(x.as_py(), width)
-                keep.append(linked(tokens, shingles(y.as_py(), width), percent))
+            keep = [linked(_tokens(x), _tokens(y), percent) for x, y in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
 def _bits(table: pa.Table) -> np.ndarray:
@@ -336,13 +350,31 @@ def _open_pairs(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return a[keep], b[keep]
 
 
-def _all_pairs(percent: int):
+def _forest(percent: int):
+    """Links among all open pairs of some blocks, verified in place: only those that connect what was not connected yet."""
+
     def run(table: pa.Table) -> pa.Table:
         a, b = _open_pairs(table, percent)
-        name = table["name"].to_numpy()
-        a, b = name[a], name[b]
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        return pa.table({"a": pairs[0].copy(), "b": pairs[1].copy()})
+        name, label = table["name"].to_numpy(), table["label"].to_numpy()
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        sets, found, refused = table["set"], [], set()
+        for x, y in zip(a.tolist(), b.tolist()):
+            one, two = root(int(label[x])), root(int(label[y]))
+            pair = (min(name[x], name[y]), max(name[x], name[y]))  # the same pair may stand under several shingles
+            if one == two or pair in refused:
+                continue
+            if linked(_tokens(sets[x]), _tokens(sets[y]), percent):
+                parent[one] = two
+                found.append(pair)
+            else:
+                refused.add(pair)
+        return pa.table({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
 
     return run
 
@@ -378,61 +410,73 @@ def jaccard_components(
     links lead to. A row without words has an empty set, links with nothing and is its own class. Null ids
     are passed over: a component of null ids only has the id null. Other columns are ignored.
 
-    Groups follow the contents of parts, never one source or one common passage: a set enters a
-    bucket once, and copies are merged before (by chunk) and inside buckets. Parts that more than `BLOCK`
-    sets share are compared in blocks, so no task holds a whole one. Candidate texts are found by a bitmap of
-    fixed size first, so that only few others are moved.
+    Groups are those of a rare shingle, never one source or one common passage: a set shows a shingle once, and
+    copies are merged before (by chunk) and inside buckets. Shingles that more than `BLOCK` open sets show are compared
+    in blocks, so no task holds a whole group. No table of pairs is kept but one pair per component, and
+    candidate texts are found by a bitmap first, so that only few others are moved.
     """
     spark = docs.sparkSession
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    staged = stage(_sets(source, width, percent, 4 * shuffle), "shingle-sets")
+    staged = stage(_sets(source, width, percent, shuffle), "shingle-sets")
     rows = staged.filter("kind = 0").select("doc_id", "name", "size")
-    parts = staged.filter("kind = 1").select("bucket", "marks", "owners").groupBy("bucket")
-    members = stage(parts.applyInArrow(_shared, "members array<long>").distinct(), "shared-parts")
-
-    listed = members.select(F.xxhash64("members").alias("part"), F.explode("members").alias("name"))
+    tokens = staged.filter("kind = 1").select("bucket", *_CLASSES.names).groupBy("bucket")
+    shared = tokens.applyInArrow(_shared(shuffle), f"bucket int, owner int, {_CLASS_COLUMNS}, held binary")
+    shown = stage(shared.groupBy("owner").applyInArrow(_rarest, "key long, name long"), "rare-shingles")
+    shown = shown.distinct()
+
+    # Shingles that the same classes show are one: counts and combined hashes tell, without a list of the classes.
+    groups = shown.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("name")).alias("x"),
+        F.bit_xor(F.xxhash64("name", F.lit(1))).alias("y"),
+    )
+    chosen = groups.filter("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key")
+    listed = stage(shown.join(chosen, "key").select(F.col("key").alias("part"), "name"), "shared-shingles")
     wanted = stage(listed.select("name").distinct(), "candidates")
     rows_of = rows.join(wanted, "name").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
-    near = bitmap(rows_of.select(F.xxhash64("doc_id").alias("id")), "id")
+    ids_of = stage(rows_of.select(F.xxhash64("doc_id").alias("id")), "candidate-ids")
+    near = bitmap(ids_of, "id", bits_for(ids_of.count()))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = batch.filter(pa.array(maybe(near, batch.column(0).to_numpy())))
-            names, sizes, maps = [], [], []
-            for text in some.column(1):
-                tokens = shingles(text.as_py(), width)
-                names.append(class_of(tokens))
-                sizes.append(len(tokens))
-                maps.append(bitmap_of(tokens).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary()), some.column(1)],
-                names=["name", "size", "bitmap", "text"],
-            )
+            for at in range(0, some.num_rows, 256):
+                own = [shingles(text.as_py(), width) for text in some.column(1).slice(at, 256)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([class_of(t) for t in own], pa.int64()),
+                        pa.array([len(t) for t in own], pa.int64()),
+                        pa.array([bitmap_of(t).tobytes() for t in own], pa.binary()),
+                        pa.array([t.astype("<u8").tobytes() for t in own], pa.binary()),
+                    ],
+                    names=["name", "size", "bitmap", "set"],
+                )
 
     read = source.select(F.xxhash64("doc_id").alias("id"), "text")
-    read = read.mapInArrow(candidates, "name long, size long, bitmap binary, text string").join(wanted, "name", "left_semi")
-    found = read.groupBy("name").agg(F.min(F.struct("text", "size", "bitmap")).alias("it")).select("name", "it.*")
-    found = stage(found, "candidate-texts")
-    texts = found.select("name", "text")
-    listed = stage(listed.join(found.drop("text"), "name"), "part-members")
-
-    def open_parts(labels: DataFrame | None):
-        """The members of parts that hold more than one component, dealt into pairs of blocks."""
+    read = read.mapInArrow(candidates, "name long, size long, bitmap binary, set binary").join(wanted, "name", "left_semi")
+    found = stage(read.dropDuplicates(["name"]), "candidate-sets")
+    sets = found.select("name", "set")
+    slim = stage(listed.join(found.drop("set"), "name"), "members")
+
+    def open_parts(labels: DataFrame | None, whole: bool = False):
+        """What shows shingles that more than one component shows, dealt into pairs of blocks; `whole` with the sets."""
         if labels is None:
-            labelled = listed.withColumn("label", F.col("name"))
+            labelled = slim.withColumn("label", F.col("name"))
         else:
-            labelled = listed.join(labels.withColumnRenamed("node", "name"), "name", "left")
+            labelled = slim.join(labels.withColumnRenamed("node", "name"), "name", "left")
             labelled = labelled.withColumn("label", F.coalesce("label", "name"))
         mixed = labelled.groupBy("part").agg(
             F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")
         )
         mixed = mixed.filter("low <> high").select("part", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
         dealt = labelled.join(mixed, "part").withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
-        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        columns = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
-        dealt = dealt.select("part", *columns, "block", "name", "label", "size", "bitmap")
-        dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("part", "i", "j"), F.lit(4 * shuffle)))
+        columns = ["part", "blocks", "block", "name", "label", "size", "bitmap"]
+        if whole:
+            dealt, columns = dealt.join(sets, "name"), [*columns, "set"]
+        dealt = dealt.select(*columns).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
+        dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("part", "i", "j"), F.lit(16 * shuffle)))
         return dealt.repartition(shuffle, "bucket").groupBy("bucket")  # little data, much work: not to be coalesced
 
     links = tried = labels = None
@@ -443,18 +487,14 @@ def jaccard_components(
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "best-pairs")
-        found = stage(_verify(pairs, texts, width, percent), "links")
+        found = stage(_verify(pairs, sets, percent), "links")
         tried = pairs if tried is None else tried.union(pairs)
         if not found.head(1):
             break
         links = found if links is None else links.union(found)
         labels = components(links)
     # Whatever is still open is looked at in full, so nothing depends on the choices above.
-    left = open_parts(labels).applyInArrow(_all_pairs(percent), "a long, b long").distinct()
-    if tried is not None:
-        left = left.join(tried, ["a", "b"], "left_anti")
-    left = stage(left, "left-pairs")
-    found = stage(_verify(left, texts, width, percent), "links")
+    found = stage(open_parts(labels, whole=True).applyInArrow(_forest(percent), "a long, b long"), "links")
     if labels is None or found.head(1):
         labels = components(found if links is None else links.union(found))
 

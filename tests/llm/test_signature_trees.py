@@ -59,7 +59,7 @@ def families(seed, n):
     return out
 
 
-@pytest.mark.parametrize("block, rounds", [(2048, 3), (4, 3), (2048, 0), (5, 1)])
+@pytest.mark.parametrize("block, rounds", [(512, 3), (4, 3), (512, 0), (5, 1)])
 def test_families_of_near_copies(spark, monkeypatch, block, rounds):
     monkeypatch.setattr(st, "BLOCK", block)
     monkeypatch.setattr(st, "ROUNDS", rounds)
@@ -77,21 +77,59 @@ def test_odd_rows(odd, nothing):
     assert st.jaccard_components(nothing).collect() == []
 
 
-def test_linked_sets_share_a_signature():
-    """At the edge of the threshold, for every size: the largest difference that still links."""
+def test_linked_sets_meet_among_their_rarest_shingles():
+    """At the edge of the threshold, for every size, whatever the order of the shingles: the largest difference that links."""
     rng = np.random.default_rng(3)
-    for n in [*range(6, 80), 150, 400, 1000]:
+    for n in [*range(1, 80), 150, 400, 1000]:
         for grow in (0, 1):
-            a = rng.integers(0, 1 << 62, n).astype(np.uint64)
+            a = rng.permutation(1 << 20)[:n]
             if grow:  # b holds a
-                more = n * 100 // 85 - n
-                b = np.concatenate([a, rng.integers(0, 1 << 62, more).astype(np.uint64)])
+                b = np.concatenate([a, (1 << 20) + np.arange(n * 100 // 85 - n)])
             else:  # both have the same size
                 common = -(-2 * n * 85 // 185)
-                b = np.concatenate([a[:common], rng.integers(0, 1 << 62, n - common).astype(np.uint64)])
-            a, b = np.unique(a), np.unique(b)
-            if st.linked(a, b) and len(a) + len(b) > 2 * len(np.intersect1d(a, b)):
-                assert len(np.intersect1d(st.signatures(a), st.signatures(b))), n
+                b = np.concatenate([a[:common], (1 << 20) + np.arange(n - common)])
+            order = rng.permutation(1 << 21)
+            rarest = [set(sorted(x.tolist(), key=order.__getitem__)[: st.prefix_length(len(x))]) for x in (a, b)]
+            assert rarest[0] & rarest[1], n
+
+
+def test_a_shared_passage_alone_makes_no_pairs(spark, monkeypatch):
+    """Documents of 4,000 words that share 3,200 of them (similarity about 0.67) do not meet at all; with 3,760 shared
+    (0.88) they are one component, with 3,640 (0.83) they meet, and none is linked."""
+    rng = random.Random(4)
+    met = []
+    forest = st._forest
+
+    def counted(percent):
+        met.append(percent)
+        return forest(percent)
+
+    monkeypatch.setattr(st, "_forest", counted)
+    for shared, linked in ((3200, False), (3760, True), (3640, False)):
+        passage = [f"p{i}" for i in range(shared)]
+        texts = [" ".join([*passage, *(f"w{rng.randrange(10**9)}" for _ in range(4000 - shared))]) for _ in range(60)]
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+        got = {r.component_id for r in st.jaccard_components(df).collect()}
+        assert len(got) == (1 if linked else 60)
+    assert len(met) == 3
+
+
+def test_passages_give_no_candidates():
+    """The rarest shingles of such documents are their own: nothing is shown to the others."""
+    import pyarrow as pa
+
+    passage = [f"p{i}" for i in range(3200)]
+    own = {i: st.shingles(" ".join([*passage, *(f"w{i} {j}" for j in range(400))])) for i in range(30)}
+    rows = []
+    for name, tokens in own.items():
+        names = np.full(len(tokens), name, np.int64)
+        rows.append({"bucket": 0, **st._by_class(names, np.full(len(tokens), st.spare_of(tokens, 1)), tokens >> np.uint64(32))})
+    table = pa.Table.from_pylist(rows, schema=pa.schema([("bucket", pa.int32()), *st._CLASSES]))
+    shared = st._shared(3)(table)
+    assert shared.num_rows
+    for owner in set(shared["owner"].to_pylist()):
+        some = pa.Table.from_pylist([r for r in shared.to_pylist() if r["owner"] == owner], schema=shared.schema)
+        assert st._rarest(some).num_rows == 0
 
 
 def test_the_tree_leaves_out_no_linked_pair():
