@@ -32,7 +32,7 @@ from sedimenta.session import stage
 
 WIDTH = 4
 PERCENT = 85
-BITMAP_WORDS = 16  # 1,024 bits per class
+BITMAP_WORDS = 32  # 2,048 bits per class
 FANOUT = 16
 BLOCK = 512  # classes under one shingle that meet in one task
 CHUNK_TOKENS = 2_000_000
@@ -188,43 +188,43 @@ def spare_of(tokens: np.ndarray, buckets: int, percent: int = PERCENT) -> int:
     return prefix_length(len(tokens), percent) - len(np.unique(known))
 
 
-def _sets(source: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
-    """kind 0: (doc_id, class, size) per row; kind 1: the shingles of a chunk's distinct sets by bucket."""
+def _classes(source: DataFrame, width: int) -> DataFrame:
+    """(doc_id, class, size) per row."""
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, np.ndarray] = {}
-        waiting = 0
         for batch in batches:
             names, sizes = [], []
             for text in batch.column(1):
                 tokens = shingles(text.as_py(), width)
-                name = class_of(tokens)
-                names.append(name)
+                names.append(class_of(tokens))
                 sizes.append(len(tokens))
+            columns = [batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "name", "size"])
+
+    return source.mapInArrow(run, f"doc_id {kind}, name long, size long")
+
+
+def _sets(source: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+    """The shingles of a chunk's distinct sets by bucket. They are shuffled as they come, not written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, np.ndarray] = {}
+        waiting = 0
+        for batch in batches:
+            for text in batch.column(0):
+                tokens = shingles(text.as_py(), width)
+                name = class_of(tokens)
                 if len(tokens) and name not in seen:
                     seen[name] = tokens
                     waiting += len(tokens)
                     if waiting >= CHUNK_TOKENS:
-                        yield from dealt(seen, batch.schema.field(0).type)
+                        yield dealt(seen)
                         seen, waiting = {}, 0
-            n = len(names)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([0] * n, pa.int32()),
-                    batch.column(0),
-                    pa.array(names, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.nulls(n, pa.int32()),
-                    *[pa.nulls(n, pa.binary())] * 4,
-                ],
-                names=columns,
-            )
-            last = batch.schema.field(0).type
         if seen:
-            yield from dealt(seen, last)
+            yield dealt(seen)
 
-    def dealt(seen: dict[int, np.ndarray], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    def dealt(seen: dict[int, np.ndarray]) -> pa.RecordBatch:
         lengths = np.array([len(t) for t in seen.values()])
         tokens = np.concatenate(list(seen.values()))
         names = np.repeat(np.array(list(seen), np.int64), lengths)
@@ -233,22 +233,10 @@ def _sets(source: DataFrame, width: int, percent: int, buckets: int) -> DataFram
         by = np.argsort(of, kind="stable")
         of, names, spare, marks = of[by], names[by], spare[by], (tokens[by] >> np.uint64(32)).astype("<u4")
         cut = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
-        rows = [(int(of[s]), _by_class(names[s:e], spare[s:e], marks[s:e])) for s, e in zip(cut, cut[1:])]
-        n = len(rows)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([1] * n, pa.int32()),
-                pa.nulls(n, id_type),
-                pa.nulls(n, pa.int64()),
-                pa.nulls(n, pa.int64()),
-                pa.array([b for b, _ in rows], pa.int32()),
-                *(pa.array([r[c] for _, r in rows], pa.binary()) for c in _CLASSES.names),
-            ],
-            names=columns,
-        )
+        rows = [{"bucket": int(of[s]), **_by_class(names[s:e], spare[s:e], marks[s:e])} for s, e in zip(cut, cut[1:])]
+        return pa.RecordBatch.from_pylist(rows, schema=pa.schema([("bucket", pa.int32()), *_CLASSES]))
 
-    columns = ["kind", "doc_id", "name", "size", "bucket", *_CLASSES.names]
-    return source.mapInArrow(run, f"kind int, doc_id {kind}, name long, size long, bucket int, {_CLASS_COLUMNS}")
+    return source.select("text").mapInArrow(run, f"bucket int, {_CLASS_COLUMNS}")
 
 
 def _shared(buckets: int):
@@ -379,6 +367,16 @@ def _forest(percent: int):
     return run
 
 
+def _open_rows(percent: int):
+    """The rows of some blocks that take part in an open pair."""
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b = _open_pairs(table, percent)
+        return table.take(pa.array(np.union1d(a, b)))
+
+    return run
+
+
 def _best_pairs(percent: int):
     """For each component in some blocks the pair that leads out of it with the most alike bitmaps."""
 
@@ -418,9 +416,8 @@ def jaccard_components(
     spark = docs.sparkSession
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    staged = stage(_sets(source, width, percent, shuffle), "shingle-sets")
-    rows = staged.filter("kind = 0").select("doc_id", "name", "size")
-    tokens = staged.filter("kind = 1").select("bucket", *_CLASSES.names).groupBy("bucket")
+    rows = stage(_classes(source, width), "classes-of-rows")
+    tokens = _sets(source, width, percent, shuffle).groupBy("bucket")
     shared = tokens.applyInArrow(_shared(shuffle), f"bucket int, owner int, {_CLASS_COLUMNS}, held binary")
     shown = stage(shared.groupBy("owner").applyInArrow(_rarest, "key long, name long"), "rare-shingles")
     shown = shown.distinct()
@@ -459,8 +456,8 @@ def jaccard_components(
     sets = found.select("name", "set")
     slim = stage(listed.join(found.drop("set"), "name"), "members")
 
-    def open_parts(labels: DataFrame | None, whole: bool = False):
-        """What shows shingles that more than one component shows, dealt into pairs of blocks; `whole` with the sets."""
+    def open_parts(labels: DataFrame | None):
+        """What shows shingles that more than one component shows, dealt into pairs of blocks."""
         if labels is None:
             labelled = slim.withColumn("label", F.col("name"))
         else:
@@ -471,17 +468,17 @@ def jaccard_components(
         )
         mixed = mixed.filter("low <> high").select("part", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
         dealt = labelled.join(mixed, "part").withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
-        columns = ["part", "blocks", "block", "name", "label", "size", "bitmap"]
-        if whole:
-            dealt, columns = dealt.join(sets, "name"), [*columns, "set"]
-        dealt = dealt.select(*columns).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        dealt = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
-        dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("part", "i", "j"), F.lit(16 * shuffle)))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        columns = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+        dealt = dealt.select("part", *columns, "block", "name", "label", "size", "bitmap")
+        return dealt.withColumn("bucket", F.pmod(F.xxhash64("part", "i", "j"), F.lit(16 * shuffle)))
+
+    def by_bucket(dealt: DataFrame):
         return dealt.repartition(shuffle, "bucket").groupBy("bucket")  # little data, much work: not to be coalesced
 
     links = tried = labels = None
     for _ in range(ROUNDS):
-        best = open_parts(labels).applyInArrow(_best_pairs(percent), "label long, a long, b long, alike double")
+        best = by_bucket(open_parts(labels)).applyInArrow(_best_pairs(percent), "label long, a long, b long, alike double")
         best = best.groupBy("label").agg(F.max_by(F.struct("a", "b"), F.struct("alike", "a", "b")).alias("pair"))
         pairs = best.select("pair.a", "pair.b").distinct()
         if tried is not None:
@@ -494,7 +491,9 @@ def jaccard_components(
         links = found if links is None else links.union(found)
         labels = components(links)
     # Whatever is still open is looked at in full, so nothing depends on the choices above.
-    found = stage(open_parts(labels, whole=True).applyInArrow(_forest(percent), "a long, b long"), "links")
+    left = open_parts(labels)
+    left = stage(by_bucket(left).applyInArrow(_open_rows(percent), left.schema), "open-rows")
+    found = stage(by_bucket(left.join(sets, "name")).applyInArrow(_forest(percent), "a long, b long"), "links")
     if labels is None or found.head(1):
         labels = components(found if links is None else links.union(found))
 
