@@ -71,12 +71,7 @@ def two_way(condition: Column, yes: str = "Sim", no: str = "Não") -> Column:
     return F.when(condition, F.lit(yes)).otherwise(F.lit(no))
 
 
-def three_way(
-    flag: Column,
-    true: str = "Aprovado",
-    false: str = "Rejeitado",
-    unknown: str = "NÃO INFORMADO",
-) -> Column:
+def three_way(flag: Column, true: str, false: str, unknown: str) -> Column:
     return F.when(flag, F.lit(true)).when(~flag, F.lit(false)).otherwise(F.lit(unknown))
 
 
@@ -97,13 +92,7 @@ def first_item_label(*lists: Column) -> Column:
     return F.coalesce(*[label(items) for items in lists])
 
 
-def prompt(
-    short: Column,
-    long: Column,
-    short_title: str = "Ementa: ",
-    long_title: str = "Texto completo: ",
-    instruction: str = "Resuma em até 3 frases para um executivo:",
-) -> Column:
+def prompt(short: Column, long: Column, short_title: str, long_title: str, instruction: str) -> Column:
     """Request text: the short text, the long one if there is any, the instruction."""
     head = F.concat(F.lit(short_title), strip(short))
     detail = strip(long)

@@ -13,12 +13,6 @@ from pyspark.sql import types as T
 # few times as much.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A key is hot if it holds more than HOT_ROWS rows and more than this share of all rows; so
-# there are at most 1 / HOT_SHARE of them, whatever the size of the data.
-HOT_SHARE = 0.00001
-HOT_ROWS = 1_000_000
-# Rows of one hot key that a task is to take.
-TASK_ROWS = 1_000_000
 PACKED = 10  # a row in memory against the same row in a file
 _NARROWING = {"Relation", "Project", "Filter", "Aggregate", "Deduplicate"}
 
@@ -63,64 +57,6 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= max_bytes
 
 
-def hot_keys(
-    df: DataFrame, on: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Keys with more than `share` of the rows (and `min_rows`), and their rows `__n`.
-
-    There are at most 1/share of them. Counts are combined on the map side, so the hot keys
-    themselves cost nothing here.
-    """
-    counts = df.groupBy(*[_q(c) for c in on]).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.where(F.col("__n") > max(df.count() * share, min_rows))
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    counted: DataFrame | None = None,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-    task_rows: int = TASK_ROWS,
-) -> DataFrame:
-    """Shuffled join in which the hot keys of `left` are spread over several tasks.
-
-    A hot key gets one salt per `task_rows` rows. A hot row takes its salt from the partition
-    it is read in, so even a run of identical rows is spread, and a task that is run again
-    sends its rows to the same place. Rows of `right` with a hot key are repeated once per
-    salt. Rows of `left` without a key match nothing, but would all meet in one task: they
-    are spread too. `counted` may be a cheaper frame with (at least) the keys of `left`.
-    """
-    spark = left.sparkSession
-    keyed = (left if counted is None else counted).select(*[_q(c) for c in on])
-    for c in on:
-        keyed = keyed.where(_q(c).isNotNull())
-    found = hot_keys(keyed, on, share, min_rows)
-    keys = found.collect()  # at most 1/share rows, see hot_keys
-    if not keys and how in ("inner", "left_semi"):
-        return left.join(right, list(on), how)
-    salts = F.ceil(F.col("__n") / task_rows).cast("int")
-    hot = F.broadcast(spark.createDataFrame(keys, found.schema).select(*[_q(c) for c in on], salts.alias("__salts")))
-    everywhere = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    no_key = F.lit(False)
-    for c in on:
-        no_key = no_key | _q(c).isNull()
-    ways = F.when(no_key, F.lit(everywhere)).otherwise(F.coalesce("__salts", F.lit(1)))
-    salted = (
-        left.join(hot, list(on), "left")
-        .withColumn("__salt", F.pmod(F.spark_partition_id(), ways))
-        .drop("__salts")
-    )
-    repeated = (
-        right.join(hot, list(on), "left")
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
-        .drop("__salts")
-    )
-    return salted.join(repeated, [*on, "__salt"], how).drop("__salt")
-
-
 def lookup_join(
     left: DataFrame,
     right: DataFrame,

@@ -11,6 +11,7 @@ from sedimenta.operators.dedupe import keep_first, keep_valid_ids
 from sedimenta.operators.dedupe import reject_report as make_reject_report
 from sedimenta.operators.joins import lookup_join
 from sedimenta.operators.star import fill
+from sedimenta.plans.parliament import RESULTS
 from sedimenta.plans.registry import money, query, table, text
 from sedimenta.spec import TableSpec
 
@@ -315,7 +316,7 @@ def tri_state(spark, sf):
     joined = lookup_join(
         table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels"), ["doc_id"], "left"
     )
-    return joined.select("doc_id", tx.three_way(casts.to_bool(text("toxic"))).alias("resultado"))
+    return joined.select("doc_id", tx.three_way(casts.to_bool(text("toxic")), **RESULTS).alias("resultado"))
 
 
 @query("""

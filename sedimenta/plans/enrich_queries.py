@@ -9,7 +9,7 @@ from sedimenta.functions.text import passage_text, prompt, query_text
 from sedimenta.operators import enrich, merge
 from sedimenta.operators import similarity as sim
 from sedimenta.operators.joins import lookup_join
-from sedimenta.plans.parliament import THEMES
+from sedimenta.plans.parliament import PROMPT, THEMES
 from sedimenta.plans.registry import query, table
 from sedimenta.session import new_path
 
@@ -149,7 +149,7 @@ def prompt_text(spark, sf):
     return table(spark, sf, "conversations").select(
         "conv_id",
         "turn",
-        F.md5(prompt(F.concat(F.lit("\n"), "text", F.lit(" ")), detail)).alias("hash"),
+        F.md5(prompt(F.concat(F.lit("\n"), "text", F.lit(" ")), detail, **PROMPT)).alias("hash"),
         F.md5(query_text(F.col("text"))).alias("hash_query"),
         passage_text(F.col("role")).alias("passage"),
     )

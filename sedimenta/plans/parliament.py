@@ -6,8 +6,9 @@ Names of columns and tables are those of the public records and of the data mode
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable, Mapping, Sequence
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +26,13 @@ from sedimenta.operators.merge import audit_copy, backfill, upsert
 from sedimenta.operators.quality import null_violations, pk_violations, require
 from sedimenta.operators.report import Window, html_card, top_of_window
 from sedimenta.operators.similarity import classify_top1
-from sedimenta.operators.star import build_dim, build_fact, by_date, filled, stamp_load
+from sedimenta.operators.star import build_dim, build_fact, by_date, dim_date, filled, stamp_load
 from sedimenta.session import stage, together
 from sedimenta.sources.landing import column, explode_children, flatten, jsonify_complex, stamp_capture
 from sedimenta.sources.tables import Layer, read_table
-from sedimenta.spec import DimRef, DimSpec, FactSpec, TableSpec
+from sedimenta.spec import VOCABULARY, DimRef, DimSpec, FactSpec, TableSpec
+
+_log = logging.getLogger(__name__)
 
 # The ten themes and their descriptions, in the order that breaks ties.
 THEMES = {
@@ -45,6 +48,14 @@ THEMES = {
     "Direitos Sociais": "direitos humanos, assistência social, igualdade, minorias, habitação, programas sociais",
 }
 
+# The parts of a request for a summary, and the labels of a vote's result.
+PROMPT = {
+    "short_title": "Ementa: ",
+    "long_title": "Texto completo: ",
+    "instruction": "Resuma em até 3 frases para um executivo:",
+}
+RESULTS = {"true": "Aprovado", "false": "Rejeitado", "unknown": "NÃO INFORMADO"}
+
 # --- landed tables -------------------------------------------------------------------
 
 # The types of the public records' fields that are not free text, and of codes that must
@@ -309,7 +320,7 @@ def silver_votacao(b: Mapping[str, DataFrame]) -> DataFrame:
         filled(uri_id(F.col("uriEvento")), "unknown_id").alias("idEvento"),
         filled(uri_id(F.col("uriProposicaoObjeto")), "not_applicable_id").alias("idProposicao"),
         _text("descricao").alias("descricaoVotacao"),
-        three_way(F.col("aprovacao")).alias("resultadoVotacao"),
+        three_way(F.col("aprovacao"), **RESULTS).alias("resultadoVotacao"),
     )
     ballots = (
         b["votos"]
@@ -552,6 +563,20 @@ def check_gold(tables: Mapping[str, DataFrame]) -> None:
         raise ValueError("; ".join(wrong))
 
 
+DIM_DATE = "dim_data"
+
+
+def dates_of(silver: Mapping[str, DataFrame]) -> DataFrame:
+    """The date dimension: every day from the first to the last date of a fact; the mark of an unknown date is none."""
+    ends = []
+    for spec, source in FACTS.values():
+        for c in spec.dates.values():
+            day = F.nullif(F.col(c).cast("date"), F.lit(VOCABULARY.date))
+            span = silver[source].agg(F.min(day).alias("a"), F.max(day).alias("b"))
+            ends += [span.select(F.col("a").alias("dia")), span.select(F.col("b").alias("dia"))]
+    return dim_date(reduce(DataFrame.unionByName, ends), "dia")
+
+
 def full_refresh(
     spark: SparkSession, staging: Mapping[str, DataFrame], root: str, at: dt.datetime
 ) -> dict[str, Layer]:
@@ -562,9 +587,11 @@ def full_refresh(
     enrichment tables (`*_ia`) of the silver layer survive the refresh.
     """
     layers = {n: Layer(spark, f"{root.rstrip('/')}/{n}") for n in ("bronze", "silver", "gold")}
-    for _, inputs in SILVER.values():
-        require(staging, inputs)
+    empty = {name for _, inputs in SILVER.values() for name in require(staging, inputs)}
+    if empty:
+        _log.warning("empty inputs: %s", ", ".join(sorted(empty)))
     report = load_report(staging, STAGING)  # what the casts, the id filter and the dedupe take out
+    report = report.withColumn("empty_input", F.col("table_name").isin(*empty) if empty else F.lit(False))
     layers["bronze"].refresh({**{n: conform(df, STAGING[n]) for n, df in staging.items()}, REPORT: report})
     bronze = {n: layers["bronze"].read(n) for n in staging}
     day = F.lit(at.date())
@@ -575,7 +602,7 @@ def full_refresh(
     dims = together({n: partial(gold_dim, n, silver) for n in DIMS})
     facts = {n: by_date(stamp_load(gold_fact(n, silver, dims), at), FACTS[n][0]) for n in FACTS}
     dated = {n: stamp_load(d, at, validity=True) for n, d in dims.items()}
-    layers["gold"].refresh({**dated, **facts}, check=check_gold)
+    layers["gold"].refresh({**dated, **facts, DIM_DATE: dates_of(silver)}, check=check_gold)
     return layers
 
 
@@ -619,7 +646,7 @@ def score_bills(
     if summarise is not None:
         prompts = bills.select(
             F.col("id").cast("bigint").alias("id"),
-            prompt(F.col("ementa"), F.col("ementaDetalhada")).alias("prompt"),
+            prompt(F.col("ementa"), F.col("ementaDetalhada"), **PROMPT).alias("prompt"),
         )
         parts.append(
             enrich_batches(prompts, summarise, "proposicao_id long, resumo_executivo string", chunk)

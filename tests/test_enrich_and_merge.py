@@ -239,3 +239,13 @@ def test_merged_parts_do_not_fan_out(spark):
     ids = spark.createDataFrame([(1,), (1,), (2,)], "id int")
     part = spark.createDataFrame([(1, "a"), (1, "b")], "id int, v string")
     assert values(enrich.merge_partials(ids, [part], "id")) == [(1, "a"), (2, None)]
+
+
+def test_profiles_of_loads_add_up(spark):
+    first = spark.createDataFrame([(1, "a", 1.5), (2, None, 2.5)], "id int, t string, s double")
+    second = spark.createDataFrame([(2, "a"), (3, "c"), (4, None)], "id int, t string")
+    loads = quality.profile_sketch(first).unionByName(quality.profile_sketch(second))
+    got = {r["coluna"]: tuple(r)[1:] for r in quality.merge_profiles(loads).collect()}
+    assert got == {"id": ("int", 5, 0.0, 4), "t": ("string", 5, 40.0, 2), "s": ("double", 5, 60.0, 2)}
+    empty = quality.merge_profiles(quality.profile_sketch(first.limit(0))).collect()
+    assert {tuple(r)[2:] for r in empty} == {(0, None, 0)}

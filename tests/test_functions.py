@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.functions import casts, dates, text, vectors
+from sedimenta.plans.parliament import PROMPT, RESULTS
 
 
 def apply(spark, fn, inputs, kind="string"):
@@ -178,7 +179,7 @@ def test_percent(spark):
 def test_labels_and_fills(spark):
     check(spark, lambda c: text.filled(c, "X"), [(None, "X"), ("", "X"), ("  ", "X"), (" saúde ", "SAÚDE")])
     check(spark, text.blank_to_null, [("", None), (" ", " "), ("a", "a")])
-    check(spark, text.three_way, [(True, "Aprovado"), (False, "Rejeitado"), (None, "NÃO INFORMADO")], "boolean")
+    check(spark, lambda c: text.three_way(c, **RESULTS), [(True, "Aprovado"), (False, "Rejeitado"), (None, "NÃO INFORMADO")], "boolean")
     check(spark, lambda c: text.two_way(c > 1), [(2, "Sim"), (1, "Não"), (None, "Não")], "int")
 
 
@@ -204,7 +205,7 @@ def test_first_item_label(spark):
 @pytest.mark.parametrize("long, has", [("detalhe", True), (None, False), (" \n ", False)])
 def test_prompt(spark, long, has):
     df = spark.createDataFrame([("  curta\n", long)], "s string, l string")
-    got = df.select(text.prompt(F.col("s"), F.col("l"))).first()[0]
+    got = df.select(text.prompt(F.col("s"), F.col("l"), **PROMPT)).first()[0]
     assert got.startswith("Ementa: curta\n\n")
     assert ("Texto completo: detalhe" in got) is has
 

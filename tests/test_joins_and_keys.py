@@ -22,51 +22,6 @@ def skewed(spark):
     return left, right
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("share", [0.001, 0.2])
-def test_salted_join_equals_plain_join(skewed, how, share):
-    left, right = skewed
-    plain = left.join(right, ["k"], how)
-    salted = joins.salted_join(left, right, ["k"], how, share=share, min_rows=10, task_rows=150)
-    assert salted.columns == plain.columns
-    assert values(salted) == values(plain)
-
-
-def test_salted_join_without_hot_keys(skewed):
-    left, right = skewed
-    for how in ("inner", "left"):
-        salted = joins.salted_join(left, right, ["k"], how)
-        assert values(salted) == values(left.join(right, ["k"], how))
-
-
-def test_hot_rows_are_spread(spark):
-    left = spark.range(0, 8000, numPartitions=8).select(F.lit(1).alias("k"), "id")
-    right = spark.createDataFrame([(1, "x")], "k int, v string")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = joins.salted_join(left, right, ["k"], share=0.1, min_rows=10, task_rows=1000)
-        per_task = out.groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(r["count"] for r in per_task) == 8000
-    assert len(per_task) > 2
-
-
-def test_hot_keys_may_be_counted_elsewhere(skewed):
-    left, right = skewed
-    source = left.select("k")
-    part = left.where("i % 2 = 0")
-    salted = joins.salted_join(part, right, ["k"], "left", counted=source, min_rows=10, task_rows=100)
-    assert values(salted) == values(part.join(right, ["k"], "left"))
-
-
-def test_hot_keys_are_few(skewed):
-    left, _ = skewed
-    assert values(joins.hot_keys(left.na.drop(), ["k"], 0.2, 10)) == [(1, 1000)]
-
-
 def test_lookup_join_picks_by_size(skewed):
     left, right = skewed
     small = joins.lookup_join(left, right, ["k"])

@@ -231,6 +231,20 @@ def test_gold_facts(layers):
     assert values(gold.read("dim_orgao"), "dt_fim_vigencia") == [(NONE,)] * 4
 
 
+def test_dates_of_the_facts_are_in_the_gold_layer(layers):
+    gold = layers["gold"]
+    days = {r.sk_data for r in gold.read("dim_data").select("sk_data").collect()}
+    assert days and max(days) < 99991231
+    for fact, column in (("ft_proposicao", "sk_data_proposicao"), ("ft_despesa", "sk_data_despesa"), ("ft_voto", "sk_data_voto")):
+        found = {r[0] for r in gold.read(fact).select(column).collect()}
+        assert found - {99991231} <= days
+
+
+def test_empty_inputs_stand_in_the_load_report(layers):
+    report = layers["bronze"].read(pl.REPORT).select("table_name", "read", "empty_input").collect()
+    assert all(r.empty_input == (r.read == 0) for r in report if r.empty_input) and len(report) > 3
+
+
 def test_weekly_report(layers):
     gold = {n: layers["gold"].read(n) for n in layers["gold"].names()}
     top = pl.weekly_bills(gold, Window(dt.date(2024, 2, 3))).collect()
