@@ -37,7 +37,9 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("iframe math noembed noframes noscript object script select style svg template textarea title".split())
+RAW_END = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
 SELF_ENDING = frozenset("dd dt li option td th tr".split())
+ITEMS = frozenset("dd dt li option".split())
 BOILERPLATE = frozenset("aside button dialog footer menu nav".split())  # whatever they hold
 MAYBE_BOILERPLATE = frozenset("form header".split())  # unless an article lies in or around them
 MAIN = frozenset("article main".split())
@@ -53,9 +55,11 @@ STATE_AFTER = frozenset("open opened closed off on enabled disabled active inact
 NEVER_NAMED = frozenset("html body main article".split())  # not judged by their names
 BAD_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 
+# A quote opens a value right after an equals sign only, so a stray one does not swallow the end of the tag.
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)>", re.S
 )
+UNQUOTED_END = re.compile(r"=\s*[^\s\"'=]+/\Z")  # the slash belongs to a value: <a href=/tag/1/>
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 MAIN_TAG = re.compile(r"<(?:article|main)\b", re.I)
@@ -65,6 +69,8 @@ SPACE = re.compile(r"\s+")
 @dataclass
 class Rules:
     link_density: float = 0.33
+    list_density: float = 0.9  # share of linked text from which a block is a list of links
+    list_links: int = 3
     short: int = 70
     stop_words_high: float = 0.30
     stop_words_low: float = 0.15
@@ -75,8 +81,10 @@ class Rules:
 class Block:
     main: int  # number of the article the block lies in, 0 for none
     bad: bool
+    item: bool = False  # in a list
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
+    links: set[int] = field(default_factory=set)
     text: str = ""
 
     def close(self) -> None:
@@ -91,7 +99,8 @@ class Open:
     main: int
     bad: bool
     soft: bool  # bad only as long as no article begins inside
-    link: bool
+    link: int  # number of the link around it, 0 for none
+    item: bool
 
 
 def _bad_name(name: str) -> bool:
@@ -136,9 +145,9 @@ def blocks(page: str, strict: bool = True) -> list[Block]:
     for what lies in no article.
     """
     out: list[Block] = []
-    stack = [Open("", 0, False, False, False)]
+    stack = [Open("", 0, False, False, 0, False)]
     current: Block | None = None
-    mains, at, breaks = 0, 0, 0
+    mains, at, breaks, links = 0, 0, 0, 0
 
     def close() -> None:
         nonlocal current
@@ -159,12 +168,12 @@ def blocks(page: str, strict: bool = True) -> list[Block]:
         if current is not None and current.bad != (top.bad or top.soft):
             close()
         if current is None:
-            current = Block(top.main, top.bad or top.soft)
+            current = Block(top.main, top.bad or top.soft, top.item)
         current.pieces.append(text)
         if top.link:
             current.linked += len(SPACE.sub("", text))
+            current.links.add(top.link)
 
-    lower = None
     while m := TAG.search(page, at):
         add(page[at : m.start()])
         at = m.end()
@@ -188,12 +197,10 @@ def blocks(page: str, strict: bool = True) -> list[Block]:
             breaks = 0
             _end_implied(stack, name)
         if name in RAW:
-            if lower is None:
-                lower = page.lower()
-            end = lower.find(f"</{name}", at)
-            at = len(page) if end < 0 else end
+            end = RAW_END[name].search(page, at)
+            at = end.start() if end else len(page)
             continue
-        if name in VOID or m.group(3).endswith("/"):
+        if name in VOID or m.group(3).endswith("/") and not UNQUOTED_END.search(m.group(3)):
             continue
         top = stack[-1]
         hard, named = _marked(m.group(3)) if m.group(3).strip() else (False, False)
@@ -206,7 +213,9 @@ def blocks(page: str, strict: bool = True) -> list[Block]:
                 mains += 1
                 main = mains
             soft = False
-        stack.append(Open(name, main, bad, soft, top.link or name == "a"))
+        links += name == "a"
+        link = top.link or (links if name == "a" else 0)
+        stack.append(Open(name, main, bad, soft, link, top.item or name in ITEMS))
     add(page[at:])
     close()
     return out
@@ -217,10 +226,13 @@ def first_pass(block: Block, marked: bool, rules: Rules) -> bool | None:
     if block.bad or marked and not block.main:
         return False
     size = len(block.text)
-    if block.linked > rules.link_density * len(block.text.replace(" ", "")):
-        return False
-    if block.main:
+    solid = len(block.text.replace(" ", ""))
+    if block.main:  # of an article only lists of links go, not a paragraph or a heading with links
+        if block.linked > rules.list_density * solid and (block.item or len(block.links) >= rules.list_links):
+            return False
         return True if size >= rules.short else None
+    if block.linked > rules.link_density * solid:
+        return False
     if "©" in block.text:
         return False
     if size < rules.short:
@@ -235,19 +247,25 @@ def first_pass(block: Block, marked: bool, rules: Rules) -> bool | None:
 def second_pass(found: list[Block], labels: list[bool | None]) -> list[bool]:
     """Open blocks take the label of the nearest block of the same article that its text decided; of two at one
     distance, main text wins. With none, they stay inside an article and go outside."""
+
+    def nearest(order: range) -> list[int | None]:
+        last: dict[int, int] = {}
+        out: list[int | None] = [None] * len(labels)
+        for i in order:
+            if labels[i] is None:
+                out[i] = last.get(found[i].main)
+            elif not found[i].bad:
+                last[found[i].main] = i
+        return out
+
+    before, after = nearest(range(len(labels))), nearest(range(len(labels) - 1, -1, -1))
     out = []
     for i, label in enumerate(labels):
-        d = 1
-        while label is None and d < len(labels):
-            near = [
-                labels[j]
-                for j in (i - d, i + d)
-                if 0 <= j < len(labels) and labels[j] is not None and not found[j].bad and found[j].main == found[i].main
-            ]
-            if near:
-                label = any(near)
-            d += 1
-        out.append(found[i].main > 0 if label is None else label)
+        if label is None:
+            near = [j for j in (before[i], after[i]) if j is not None]
+            least = min((abs(i - j) for j in near), default=0)
+            label = any(labels[j] for j in near if abs(i - j) == least) if near else found[i].main > 0
+        out.append(label)
     return out
 
 

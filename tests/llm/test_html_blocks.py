@@ -48,6 +48,62 @@ def test_short_blocks_follow_the_nearest_decided_one():
     assert main_text(page) == f"{ARTICLE}\nnear good"
 
 
+def test_letters_that_grow_in_lower_case_do_not_shift_raw_ends():
+    for n in (1, 20, 500):
+        page = f"<article><p>{'İ' * n} {ARTICLE}</p><SCRIPT>var a = '<p>no</p>';</Script ><p>{ARTICLE}</p></article>"
+        assert main_text(page) == f"{'İ' * n} {ARTICLE}\n{ARTICLE}"
+
+
+def test_unquoted_addresses_that_end_with_a_slash_are_links():
+    listed = "".join(f"<li><a href=/tag/{i}/>Things about number {i} and more of them</a></li>" for i in range(9))
+    assert main_text(f"<article><p>{ARTICLE}</p><ul>{listed}</ul></article>") == ARTICLE
+    assert main_text(f"<article><p>{ARTICLE}<br/>{ARTICLE}<img src=x/ />!</p></article>") == f"{ARTICLE} {ARTICLE}!"
+
+
+def test_stray_quotes_end_with_their_tag():
+    for tag in ('<p title="it"s">', "<p title='it's'>", '<p a"b>', '<p title="x" ">', "<p data-x=a'b>"):
+        assert main_text(f"<article>{tag}{ARTICLE}</p><p>{ARTICLE} \"</p></article>") == f'{ARTICLE}\n{ARTICLE} "'
+    assert main_text(f"<article><p title = 'a>b' alt=\"c>d\">{ARTICLE}</p></article>") == ARTICLE
+
+
+def test_paragraphs_and_headings_with_links_stay_in_their_article():
+    linked = f"<p>See <a href=1>{ARTICLE}</a> and <a href=2>{ARTICLE}</a></p>"
+    page = f"<article><h2><a href=0>A heading that is a link</a></h2>{linked}<h3>Next</h3><p>{ARTICLE}</p></article>"
+    assert main_text(page) == f"A heading that is a link\nSee {ARTICLE} and {ARTICLE}\nNext\n{ARTICLE}"
+
+
+def test_very_long_pages_take_time_in_proportion():
+    import time
+
+    start = time.perf_counter()
+    assert len(main_text("<p>short" * 100_000)) == 0
+    text = main_text("<article>" + f"<p>{ARTICLE}" + "<p>short" * 100_000)
+    assert text.count("\n") == 100_000 and time.perf_counter() - start < 20
+
+
+def test_second_pass_equals_a_search_by_distance():
+    import random
+
+    from sedimenta.llm.html_blocks import Block, second_pass
+
+    rng = random.Random(3)
+    for _ in range(300):
+        found = [Block(rng.randrange(3), rng.random() < 0.2) for _ in range(rng.randrange(12))]
+        labels = [rng.choice([True, False, None, None]) if not b.bad else False for b in found]
+        want = []
+        for i, label in enumerate(labels):
+            d = 1
+            while label is None and d < len(labels):
+                near = [
+                    labels[j]
+                    for j in (i - d, i + d)
+                    if 0 <= j < len(labels) and labels[j] is not None and not found[j].bad and found[j].main == found[i].main
+                ]
+                label, d = any(near) if near else None, d + 1
+            want.append(found[i].main > 0 if label is None else label)
+        assert second_pass(found, labels) == want
+
+
 def test_broken_markup():
     assert main_text("<article><p>a < b and c<p>d</i></div>e <b>f") == "a < b and c\nd\ne f"
     assert main_text("<article><p>cut off &am") == "cut off &am"
