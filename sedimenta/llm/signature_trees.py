@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.bits import bitmap, bits_for, maybe
 from sedimenta.llm.components import components
+from sedimenta.llm.ppm import give_back
 from sedimenta.session import stage
 
 WIDTH = 4
@@ -35,7 +36,7 @@ PERCENT = 85
 BITMAP_WORDS = 32  # 2,048 bits per class
 FANOUT = 16
 BLOCK = 512  # classes under one shingle that meet in one task
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 ROUNDS = 3
 CACHED_WORDS = 300_000
 
@@ -201,6 +202,7 @@ def _classes(source: DataFrame, width: int) -> DataFrame:
                 sizes.append(len(tokens))
             columns = [batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "name", "size"])
+        give_back()
 
     return source.mapInArrow(run, f"doc_id {kind}, name long, size long")
 
@@ -223,6 +225,8 @@ def _sets(source: DataFrame, width: int, percent: int, buckets: int) -> DataFram
                         seen, waiting = {}, 0
         if seen:
             yield dealt(seen)
+        seen = {}
+        give_back()
 
     def dealt(seen: dict[int, np.ndarray]) -> pa.RecordBatch:
         lengths = np.array([len(t) for t in seen.values()])
@@ -243,7 +247,9 @@ def _shared(buckets: int):
     """Out of a bucket of shingles those that several classes hold, with the number of these, dealt by class."""
 
     def run(table: pa.Table) -> pa.Table:
+        bucket = table["bucket"][0].as_py()
         names, spare, marks = (np.concatenate(c) for c in zip(*map(_entries, table.to_pylist())))
+        del table
         by = np.lexsort((names, marks))
         names, spare, marks = names[by], spare[by], marks[by]
         other_mark = np.concatenate([[True], marks[1:] != marks[:-1]])
@@ -262,7 +268,8 @@ def _shared(buckets: int):
             {"owner": int(of[s]), **_by_class(names[s:e], spare[s:e], marks[s:e]), "held": held[s:e].astype("<u4").tobytes()}
             for s, e in zip(cut, cut[1:])
         ]
-        bucket = table["bucket"][0].as_py()
+        del names, spare, marks, held, by, of, group, fresh, common, other_mark
+        give_back()
         return pa.Table.from_pylist(
             [{"bucket": bucket, **r} for r in rows],
             schema=pa.schema([("bucket", pa.int32()), ("owner", pa.int32()), *_CLASSES, ("held", pa.binary())]),
@@ -286,7 +293,10 @@ def _rarest(table: pa.Table) -> pa.Table:
     group = np.cumsum(start) - 1
     quota = spare[first] + np.diff(np.concatenate([first, [len(names)]]))  # shingles of no other class come first
     use = np.arange(len(names)) - first[group] < quota[group]
-    return pa.table({"key": keys[use], "name": names[use]})
+    out = pa.table({"key": keys[use], "name": names[use]})
+    del parts, names, spare, keys, held, by, start, group, use
+    give_back()
+    return out
 
 
 def _tokens(value: pa.Scalar) -> np.ndarray:
@@ -449,6 +459,7 @@ def jaccard_components(
                     ],
                     names=["name", "size", "bitmap", "set"],
                 )
+        give_back()
 
     read = source.select(F.xxhash64("doc_id").alias("id"), "text")
     read = read.mapInArrow(candidates, "name long, size long, bitmap binary, set binary").join(wanted, "name", "left_semi")
