@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.llm.ppm import give_back
 from sedimenta.llm.tokens import tokenizer
 from sedimenta.session import stage
 
@@ -36,6 +37,7 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_i
                 part = batch.slice(s, 1024)
                 found = [x + end for x in ids(t.as_py() for t in part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["doc_id", "ids"])
+        give_back()
 
     return rows.mapInArrow(run, f"doc_id {kind}, ids binary")
 
