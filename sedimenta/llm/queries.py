@@ -189,21 +189,33 @@ def op10_signature_trees(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     r"""
     WITH l AS (
-      SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+      SELECT doc_id, md5(coalesce(text, '')) AS body, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
              unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents),
     m AS (
-      SELECT doc_id, pos, line, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END
-                                FOR t IN regexp_extract_all(line, '\S+')] AS toks FROM l),
+      SELECT doc_id, body, pos, line, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END
+                                      FOR t IN regexp_extract_all(line, '\S+')] AS toks FROM l),
     d AS (SELECT *, array_to_string([len(toks)::VARCHAR] || toks[1:3], ' ') AS leaf FROM m WHERE len(toks) > 0),
-    near AS (SELECT leaf FROM d GROUP BY leaf HAVING count(DISTINCT doc_id) >= 5),
-    own AS (SELECT leaf, toks, count(DISTINCT doc_id) AS n FROM d SEMI JOIN near USING (leaf) GROUP BY ALL),
+    near AS (SELECT leaf FROM d GROUP BY leaf HAVING count(DISTINCT body) >= 5),
+    own AS (SELECT leaf, toks, count(DISTINCT body) AS n FROM d SEMI JOIN near USING (leaf) GROUP BY ALL),
+    total AS (SELECT leaf, sum(n)::BIGINT AS total FROM own GROUP BY leaf),
     tokens AS (SELECT leaf, toks, n, unnest(toks) AS token, unnest(range(len(toks))) AS i FROM own),
-    fixed AS (SELECT leaf, i, token FROM tokens WHERE token <> '<*>' GROUP BY ALL HAVING sum(n) >= 5),
+    fixed AS (SELECT leaf, i, token, sum(n)::BIGINT AS docs FROM tokens WHERE token <> '<*>' GROUP BY ALL HAVING sum(n) >= 5),
+    level AS (SELECT 5 * 4 ** unnest(range(20)) AS level),
+    held AS (
+      SELECT leaf, toks, level, string_agg(f.i || ' ' || f.token, chr(10) ORDER BY f.i) AS t, count(*) AS n_fixed,
+             list(f.docs ORDER BY f.i) AS docs
+      FROM tokens JOIN fixed f USING (leaf, i, token) JOIN level ON f.docs >= level GROUP BY ALL),
+    chance AS (
+      SELECT leaf, toks, leaf || chr(10) || t AS t, total,
+             list_reduce([x::DOUBLE / total FOR x IN docs], lambda a, b: a * b) * total AS expected
+      FROM held JOIN total USING (leaf) WHERE n_fixed >= 0.7 * len(toks)),
     template AS (
-      SELECT leaf, toks, string_agg(f.i || ' ' || f.token, chr(10) ORDER BY f.i) AS t
-      FROM tokens LEFT JOIN fixed f USING (leaf, i, token) GROUP BY ALL HAVING count(f.i) >= 0.7 * len(toks)),
-    found AS (SELECT doc_id, pos, leaf || chr(10) || t AS t FROM d JOIN template USING (leaf, toks)),
-    gone AS (SELECT doc_id, pos FROM found WHERE t IN (SELECT t FROM found GROUP BY t HAVING count(DISTINCT doc_id) >= 5))
+      SELECT DISTINCT leaf, toks, t, CASE WHEN expected >= total * 0.25 THEN 5 ELSE greatest(5, ceil(expected * 2 + sqrt(expected) * 8)) END AS least
+      FROM chance),
+    found AS (SELECT doc_id, body, pos, t, least FROM d JOIN template USING (leaf, toks)),
+    gone AS (
+      SELECT doc_id, pos FROM found SEMI JOIN (SELECT t FROM found GROUP BY t HAVING count(DISTINCT body) >= max(least)) USING (t) UNION
+      SELECT doc_id, pos FROM d SEMI JOIN (SELECT leaf, toks FROM own WHERE n >= 5 AND len([x FOR x IN toks IF x <> '<*>']) > 0) USING (leaf, toks))
     SELECT m.doc_id, coalesce(string_agg(line, chr(10) ORDER BY m.pos) FILTER (gone.pos IS NULL), '') AS text,
            count(*) FILTER (len(toks) > 0) AS n_lines, count(gone.pos) AS n_dropped
     FROM m LEFT JOIN gone ON gone.doc_id = m.doc_id AND gone.pos = m.pos GROUP BY m.doc_id
