@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -165,8 +166,13 @@ def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for s in range(0, batch.num_rows, SLICE):
             part = batch.slice(s, SLICE)
-            found = [widen(x.as_py(), n) for n, x in zip(part.column(0).to_pylist(), part.column(1))]
-            more = np.bincount(np.concatenate(found))
+            n, ids = int(pc.sum(part.column(0)).as_py() or 0), part.column(1)
+            if pc.sum(pc.binary_length(ids)).as_py() == 2 * n:  # all of them in 16 bits: one array
+                offsets = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+                found = np.frombuffer(ids.buffers()[2], "<u2", n, int(offsets[0]))
+            else:
+                found = np.concatenate([widen(x.as_py(), n) for n, x in zip(part.column(0).to_pylist(), ids)])
+            more = np.bincount(found)
             if len(more) > len(counts):
                 counts, more = more, counts
             counts[: len(more)] += more
