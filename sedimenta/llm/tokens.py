@@ -12,11 +12,9 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import regex
 import tiktoken
 
 
-
 def byte_characters() -> dict[str, int]:
     """The character that stands for each byte in byte-level vocabularies: visible Latin-1 characters
     stand for themselves, all others follow from U+0100 on."""
@@ -85,8 +83,10 @@ class WordEndTokenizer(TextTokenizer):
     """
 
     END, SUFFIX = "\0", "</w>"
-    # Fixed value: what such vocabularies take for a piece, besides runs of letters.
-    PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\s\p{L}\p{N}]+")
+    # Fixed value: what such vocabularies take for a piece, besides runs of letters: 's|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\s\p{L}\p{N}]+
+    # Written for lower-case `LATIN` texts, and so that one class finds where a piece starts.
+    DIGIT, LETTER = "0-9²³¹¼-¾", "a-zªµºß-öø-\U0010ffff"
+    PIECES = re.compile(rf"[^\s{LETTER}](?:(?<=[{DIGIT}])|(?<=')(?:s|t|re|ve|m|ll|d)|[^\s{LETTER}{DIGIT}]*)")
 
     def __init__(self, path: str):
         super().__init__(path)

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from sedimenta.llm import token_files
@@ -54,6 +55,17 @@ def test_strings_of_special_tokens_are_those_of_an_untouched_library(kind, path)
     assert end in np.frombuffer(next(kind(path).ids(["one <|endoftext|> two"])), "<u4")
 
 
+def test_pieces_start_where_the_plain_pattern_finds_them():
+    plain = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\s\p{L}\p{N}]+")
+    every = [c for c in map(chr, range(0x250)) if WordEndTokenizer.LATIN.fullmatch(c)]
+    assert all(WordEndTokenizer.PIECES.findall(c.lower()) == plain.findall(c.lower()) for c in every)
+    rng = random.Random(5)
+    for _ in range(20_000):
+        some = rng.choice(["'stremlvd ", "'s\"’ 2½x\n", every])
+        text = "".join(rng.choices(some, k=rng.randrange(12))).lower()
+        assert WordEndTokenizer.PIECES.findall(text) == plain.findall(text), text
+
+
 def test_a_special_token_in_a_text_comes_back_from_a_token_file(spark):
     from tokenizers import Tokenizer
 
