@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import tiktoken
@@ -75,6 +75,24 @@ class ByteLevelTokenizer(TextTokenizer):
         return encode_all(self.bpe, text)
 
 
+class PieceIds(dict):
+    """The ids of pieces, each found once while it is remembered: the pieces of late, and those used again of the time before."""
+
+    MOST = 150_000  # pieces of either kind
+
+    def __init__(self, encode: Callable[[str], list[int]]):
+        super().__init__()
+        self.encode, self.before = encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.before.get(piece) or np.array(self.encode(piece), "<u4").tobytes()
+        if len(self) >= self.MOST:
+            self.before = dict(self)
+            self.clear()
+        self[piece] = found
+        return found
+
+
 class WordEndTokenizer(TextTokenizer):
     """For lower-case vocabularies in which the last symbol of a piece carries a word end.
 
@@ -101,10 +119,11 @@ class WordEndTokenizer(TextTokenizer):
         ranks[end] = max(self.vocabulary.values()) + 3  # never left over
         del self.vocabulary
         self.bpe = tiktoken.Encoding("word-end", pat_str=r"[^ ]+", mergeable_ranks=ranks, special_tokens={})
+        self.known = PieceIds(lambda piece: self.bpe.encode_ordinary(piece + self.END))
 
     def _latin(self, text: str) -> bytes:
         pieces = self.PIECES.sub(r" \g<0> ", text.lower()).split()
-        return encode_all(self.bpe, (self.END + " ").join(pieces) + self.END) if pieces else b""
+        return b"".join(map(self.known.__getitem__, pieces))
 
 
 _tokenizers: dict[tuple[str, bool], TextTokenizer] = {}

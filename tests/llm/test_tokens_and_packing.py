@@ -66,6 +66,16 @@ def test_pieces_start_where_the_plain_pattern_finds_them():
         assert WordEndTokenizer.PIECES.findall(text) == plain.findall(text), text
 
 
+def test_forgotten_pieces_are_found_again():
+    small = WordEndTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    small.known.MOST = 3
+    rng = random.Random(6)
+    for _ in range(200):
+        text = " ".join(rng.choices(["one", "twoo", "thrée", "4", "fife's", "zzyzx", "", "sevenfold..."], k=rng.randrange(20)))
+        assert list(small.ids([text])) == [small.whole(text)]
+        assert len(small.known) <= 3 and len(small.known.before) <= 3
+
+
 def test_a_special_token_in_a_text_comes_back_from_a_token_file(spark):
     from tokenizers import Tokenizer
 
