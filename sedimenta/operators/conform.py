@@ -58,13 +58,16 @@ def blanks_to_null(df: DataFrame) -> DataFrame:
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Cast, standardise text, drop bad ids, keep one row per key, empty text to null.
 
-    Everything up to the dedupe is one narrow stage; the dedupe is the only shuffle.
+    The dedupe is the only shuffle. Under a key, only the text that the key and the order of the specification read is
+    standardised before it; the rest is for the rows that stay, so ties beyond that order go by the text as it was landed.
     """
     out = cast_table(df, spec)
     if spec.valid_id and spec.valid_id in out.columns:
         out = keep_valid_ids(out, spec.valid_id)  # before the text step, so that it reaches the scan
-    out = standardise_text(out, spec.keep_case)
-    return blanks_to_null(keep_first(out, spec.key, spec.order))
+    late = tuple(c for c in out.columns if spec.key and c not in (*spec.key, *spec.order))
+    out = keep_first(standardise_text(out, (*spec.keep_case, *late)), spec.key, spec.order)
+    early = tuple(c for c in out.columns if c not in late)
+    return blanks_to_null(standardise_text(out, (*spec.keep_case, *early)))
 
 
 def load_report(landed: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:

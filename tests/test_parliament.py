@@ -14,6 +14,7 @@ from sedimenta.operators.report import Window
 from sedimenta.plans import parliament as pl
 from sedimenta.sources.landing import read_landed
 from sedimenta.sources.tables import Layer, export_csv, import_csv
+from sedimenta.spec import TableSpec
 from tests.conftest import values
 
 AT = dt.datetime(2024, 2, 1, 6, 0, 0)
@@ -419,3 +420,13 @@ def test_both_results_of_one_run(spark):
     out = pl.score_bills(bills, _encoder, labels, _summaries())
     assert out.columns == ["proposicao_id", "tema_classificado", "score_similaridade", "embedding", "resumo_executivo"]
     assert values(out, "proposicao_id", "tema_classificado", "score_similaridade") == [(1, "A", 0.8944), (2, "B", 1.0)]
+
+
+def test_ties_go_by_the_text_as_landed_and_keys_by_the_repaired_one(spark):
+    spec = TableSpec("t", {"n": "long"}, key=("k",), order=("n",))
+    rows = [("é", "1", "b"), ("É", "1", "A"), ("É", "2", "0"), ("x", None, ""), ("x", None, None)]
+    got = conform(spark.createDataFrame(rows, "k string, n string, v string"), spec)
+    assert sorted(tuple(r) for r in got.collect()) == [("X", None, None), ("É", 1, "A")]
+    whole = TableSpec("t", {}, key=None)
+    both = conform(spark.createDataFrame([("a",), ("A",)], "v string"), whole)
+    assert [tuple(r) for r in both.collect()] == [("A",)]  # whole rows are compared after the repair
