@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
@@ -12,11 +13,13 @@ from pyspark.sql import types as T
 from sedimenta.functions.text import not_blank
 from sedimenta.operators.dedupe import keep_first
 from sedimenta.operators.joins import lookup_join
-from sedimenta.operators.keys import surrogate_key
+from sedimenta.operators.keys import row_ranges, surrogate_key
 from sedimenta.session import stage
 from sedimenta.sources.landing import column
 from sedimenta.sources.tables import read_table
 
+WAVE_SECONDS = 30.0  # work that an interruption may cost, about, where lots take less
+WAVE_TASK_ROWS = 10_000  # rows of a task, where a wave has more than a few for each core
 
 def pending(
     items: DataFrame,
@@ -96,27 +99,54 @@ def enrich_batches(
     return df.mapInPandas(score, schema)
 
 
+def _spread(rows: DataFrame, n: int) -> DataFrame:
+    parallel = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(1, min(parallel, n), -(-n // WAVE_TASK_ROWS)))
+
+
 def in_lots(items: DataFrame, key: str, size: int) -> Iterator[DataFrame]:
     """The items in the order of their key, `size` at a time, spread over the cluster.
 
-    They are computed and numbered once; a lot is a range of the numbered table, so it reads its own part only.
+    They are computed and put in order once; a lot is a range of the stored table, so it reads its own part only.
     """
-    numbered = surrogate_key(items, "__n", [key])
-    tasks = max(1, min(items.sparkSession.sparkContext.defaultParallelism, size))
-    for first in range(1, numbered.count() + 1, size):
-        yield numbered.where(F.col("__n").between(first, first + size - 1)).drop("__n").repartition(tasks)
+    between, n = row_ranges(items, [key])
+    for first in range(1, n + 1, size):
+        last = min(first + size - 1, n)
+        yield _spread(between(first, last), last - first + 1)
 
 
 def score_in_lots(
     items: DataFrame, key: str, size: int, score: Callable[[DataFrame], DataFrame], path: str
 ) -> None:
-    """Score the items and append the results to the table at `path`, one lot after the other.
-
-    Every lot is committed by its own write: when a later one fails, the results of those before are in the table, and
-    `unfinished` takes them out of the next run. A lot that fails leaves nothing.
+    """Score the items and append the results to the table at `path`, lot after lot in the order of their key.
+
+    When a lot fails, the results of the lots before are in the table, and `unfinished` takes them out of the next run; the
+    lot that fails leaves nothing, and those after it are not scored. Lots are scored and committed in waves,
+    whole lots by one write: one lot at first, twice as many after a wave of less than half of `WAVE_SECONDS`. So the
+    number of jobs does not follow the number of lots, and an interruption costs the wave that it hits. A wave that
+    fails leaves nothing and is halved, until the failure is that of one lot, which is raised: the items of the
+    good lots among it may be scored more than once.
     """
-    for lot in in_lots(items, key, size):
-        score(lot).write.mode("append").parquet(path)
+    between, n = row_ranges(items, [key])
+    lots = -(-n // size)
+    at, wave, bad = 0, 1, 0  # lots that are stored, lots of the next wave, end of a wave that failed
+    while at < lots:
+        now = min(wave, lots - at) if at >= bad else max(1, (bad - at) // 2)
+        first, last = at * size + 1, min((at + now) * size, n)
+        began = time.monotonic()
+        try:
+            score(_spread(between(first, last), last - first + 1)).write.mode("append").parquet(path)
+        except Exception:
+            if now == 1:
+                raise
+            bad = at + now
+            continue
+        at += now
+        took = time.monotonic() - began
+        if took < WAVE_SECONDS / 2 and now >= wave:
+            wave *= 2
+        elif took > WAVE_SECONDS:
+            wave = max(1, now // 2)
 
 
 ANSWERS = "result string, provider string, error string, asked array<string>"

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from sedimenta.operators import enrich, merge, quality
 from sedimenta.operators import similarity as sim
+from sedimenta.operators.keys import row_ranges
 from sedimenta.plans.parliament import THEMES
+from sedimenta.sources.tables import read_table
 from tests.conftest import values
 
 
@@ -114,6 +116,37 @@ def test_lots_are_ranges_that_use_the_cluster(spark):
     assert list(enrich.in_lots(df.limit(0), "id", 50)) == []
 
 
+def test_many_lots_take_few_jobs(spark, folder):
+    df = spark.range(0, 300).select((F.col("id") * 3).alias("id"))
+    calls = []
+    enrich.score_in_lots(df, "id", 3, lambda lot: calls.append(1) or lot, folder + "/few")
+    assert len(calls) <= 8  # 100 lots: one write for each before
+    assert sorted(r["id"] for r in spark.read.parquet(folder + "/few").collect()) == [3 * i for i in range(300)]
+
+
+@pytest.mark.parametrize("wrong", [0, 4, 62, 99])
+def test_the_lots_before_a_failure_are_kept_and_no_other(spark, folder, wrong):
+    df = spark.range(0, 100, numPartitions=3)
+
+    def score(lot):
+        return lot.select(F.when(F.col("id") == wrong, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long").alias("id"))
+
+    with pytest.raises(Exception, match="broken"):
+        enrich.score_in_lots(df, "id", 5, score, folder + "/kept")
+    kept = read_table(spark, folder + "/kept", df.schema, optional=True)
+    assert sorted(r["id"] for r in kept.collect()) == list(range(wrong // 5 * 5))
+
+
+def test_a_range_of_rows_reads_its_own_part(spark):
+    df = spark.range(0, 25_000).withColumn("t", F.repeat(F.lit("x"), 50))
+    between, n = row_ranges(df.unionAll(df.where("id = 7")), ["id"])
+    assert n == 25_001 and [r["id"] for r in between(1, 3).collect()] == [0, 1, 2]
+    assert [r["id"] for r in between(7, 10).collect()] == [6, 7, 7, 8]
+    assert sorted(r["id"] for r in between(9_000, 25_001).collect()) == list(range(8_998, 25_000))
+    plan = between(1, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(__at), GreaterThanOrEqual(__at" in plan
+
+
 def test_merge_partials(spark):
     ids = spark.createDataFrame([(1,), (2,)], "id int")
     a = spark.createDataFrame([(1, "t")], "id int, theme string")
