@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.vectors import cosine
+from sedimenta.operators.joins import lookup_join
+from sedimenta.session import stage
 from sedimenta.sources.landing import column
 
 LABEL_BLOCK = 8192  # labels that one scoring function holds
@@ -99,15 +101,47 @@ def nearest(
     return scored.where(F.col(as_).isNotNull()).orderBy(F.desc(as_), key).limit(k)
 
 
+def place_counter(size: int):
+    """Arrow UDF: the words of a text -> how often they fall to each of `size` places, by place.
+
+    The place is taken from the MD5 of the word, which is computed once for all its occurrences in an Arrow batch.
+    """
+
+    @F.arrow_udf("array<struct<place: bigint, n: bigint>>")
+    def count(items):
+        import hashlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        words = items.flatten().cast(pa.binary()).dictionary_encode()
+        marks = (hashlib.md5(w, usedforsecurity=False).digest()[:4] for w in words.dictionary.to_pylist())
+        place = np.array([int.from_bytes(m, "big") % size for m in marks], "int64")
+        row = np.repeat(np.arange(len(items)), items.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        found, n = np.unique(row * size + place[words.indices.to_numpy(zero_copy_only=False)], return_counts=True)
+        ends = np.searchsorted(found, np.arange(len(items) + 1) * size).astype("int32")
+        pairs = pa.StructArray.from_arrays([pa.array(found % size), pa.array(n.astype("int64"))], ["place", "n"])
+        return pa.ListArray.from_arrays(pa.array(ends), pairs)
+
+    return count
+
+
+def _places(text: str, size: int) -> Column:
+    words = F.regexp_extract_all(F.lower(F.coalesce(column(text), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    return place_counter(size)(words)
+
+
 def word_counts(df: DataFrame, key: str, text: str, size: int = 1024) -> DataFrame:
     """(key, place, n): how often words of a text fall to each of `size` places.
 
     Words are runs of letters and digits in lower case; the place is taken from the MD5 of the word.
     """
-    words = F.explode(F.regexp_extract_all(F.lower(F.coalesce(column(text), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    place = F.pmod(F.conv(F.substring(F.md5("__word"), 1, 8), 16, 10).cast("bigint"), F.lit(size))
-    counted = df.select(column(key), words.alias("__word")).groupBy(column(key), "__word").agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy(column(key), place.alias("place")).agg(F.sum("n").alias("n"))
+    return _sums(df.select(column(key), _places(text, size).alias("of")), key)
+
+
+def _sums(rows: DataFrame, key: str) -> DataFrame:
+    pairs = rows.select(column(key), F.explode("of").alias("p")).select(column(key), "p.place", "p.n")
+    return pairs.groupBy(column(key), "place").agg(F.sum("n").alias("n"))
 
 
 def lexical_weights(counts: DataFrame, texts: int) -> DataFrame:
@@ -115,41 +149,76 @@ def lexical_weights(counts: DataFrame, texts: int) -> DataFrame:
     return counts.groupBy("place").agg(F.ln((F.lit(texts) + 1.0) / (F.count(F.lit(1)) + 1.0)).alias("weight"))
 
 
+def lexical_scorer(weights: dict[int, float], labels: Sequence[dict[int, float]], size: int):
+    """Arrow UDF: places of a text with their counts -> (length of its weighted vector, its inner products with the labels)."""
+    import numpy as np
+
+    weight, matrix = np.zeros(size), np.zeros((size, len(labels)))
+    weight[list(weights)] = list(weights.values())
+    for i, label in enumerate(labels):
+        matrix[list(label), i] = list(label.values())
+
+    @F.arrow_udf("struct<norm: double, dots: array<double>>")
+    def score(items):
+        import numpy as np
+        import pyarrow as pa
+
+        pairs = items.flatten()
+        place, n = (pairs.field(f).to_numpy(zero_copy_only=False) for f in ("place", "n"))
+        row = np.repeat(np.arange(len(items)), items.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        w = n * weight[place]
+        norm = np.sqrt(np.bincount(row, w * w, len(items)))
+        dots = np.stack([np.bincount(row, w * m[place], len(items)) for m in matrix.T], axis=1)
+        ends = np.arange(len(items) + 1, dtype="int32") * dots.shape[1]
+        every = pa.ListArray.from_arrays(pa.array(ends), pa.array(dots.ravel()))
+        return pa.StructArray.from_arrays([pa.array(norm), every], ["norm", "dots"])
+
+    return score
+
+
 def lexical_top1(
     items: DataFrame, labels: DataFrame, key: str, text: str, name: str, order: str, size: int = 1024
 ) -> DataFrame:
     """key, tema_classificado, score_similaridade: the label whose words resemble the item's most.
 
     A stand-in for a neural encoder: hashed, weighted word counts and their cosine. `labels` (name, text,
-    order) are configuration. Items and labels meet on the places that labels use, so the work follows the
-    words of the items; ties go to the first label, and an item without any common word to the first as well.
+    order) are configuration. The words of an item are counted inside its row and written once, as places with counts; rows
+    move only where a key is repeated, and their counts are added up. Ties go to the first label, and an item without
+    any common word, or without a key, to the first as well.
     """
-    counts = word_counts(items, key, text, size)
-    weights = F.broadcast(lexical_weights(counts, items.count()))  # at most `size` rows
+    rows = stage(items.select(column(key), _places(text, size).alias("of")), "places")
+    alone, shared = rows, None
+    repeated = rows.groupBy(column(key)).agg(F.count(F.lit(1)).alias("__n")).where((F.col("__n") > 1) | column(key).isNull())
+    if repeated.head(1):
+        keys = stage(repeated.where(column(key).isNotNull()).select(column(key)), "repeated")
+        alone = lookup_join(rows.where(column(key).isNotNull()), keys, [key], "left_anti")
+        shared = lookup_join(rows, keys, [key], "left_semi").unionByName(rows.where(column(key).isNull()))
+    counts = alone.select(F.explode("of.place").alias("place"))
+    if shared is not None:
+        sums = stage(_sums(shared, key), "sums")
+        counts = counts.unionByName(sums.select("place"))
+    weights = {r["place"]: r["weight"] for r in lexical_weights(counts, rows.count()).collect()}  # at most `size` rows
 
-    def unit(c: DataFrame, k: str) -> DataFrame:
-        weighed = c.join(weights, "place").select(column(k), "place", (F.col("n") * F.col("weight")).alias("w"))
-        return weighed
-
-    asked = unit(word_counts(labels, order, text, size), order)
-    asked = asked.join(asked.groupBy(column(order)).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")), order)
-    places = asked.groupBy("place").agg(
-        F.collect_list(F.struct(column(order).alias("o"), (F.col("w") / F.col("norm")).alias("w"))).alias("of")
-    )
-    own = unit(counts, key).join(F.broadcast(places), "place", "left")  # at most `size` rows
     every = [r["o"] for r in labels.select(column(order).alias("o")).orderBy("o").collect()]
-
-    def share(o: int):
-        hit = F.filter(F.coalesce(F.col("of"), F.array()), lambda x: x["o"] == o)
-        return F.sum(F.col("w") * F.coalesce(F.get(hit, F.lit(0))["w"], F.lit(0.0)))
-
-    scored = own.groupBy(column(key)).agg(
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *[share(o).alias(f"s{i}") for i, o in enumerate(every)]
-    )
-    scored = items.select(column(key)).join(scored, key, "left")
-    scores = [F.round(F.coalesce(F.try_divide(F.col(f"s{i}"), F.col("norm")), F.lit(0.0)), 4) for i in range(len(every))]
-    best = F.greatest(*scores)
-    which = F.coalesce(*[F.when(s == best, F.lit(o)) for s, o in zip(scores, every)])
+    asked: dict = {o: {} for o in every}
+    for r in word_counts(labels, order, text, size).collect():
+        if r["place"] in weights:
+            asked[r[order]][r["place"]] = r["n"] * weights[r["place"]]
+    norms = {o: sum(w * w for w in of.values()) ** 0.5 for o, of in asked.items()}
+    units = [{p: w / norms[o] for p, w in asked[o].items()} if norms[o] else {} for o in every]
+    score = lexical_scorer(weights, units, size)
+
+    scored = alone.select(column(key), score(F.col("of")).alias("__s"))
+    if shared is not None:
+        pairs = F.sort_array(F.collect_list(F.struct("place", "n")))
+        merged = sums.where(column(key).isNotNull()).groupBy(column(key)).agg(pairs.alias("of"))
+        merged = merged.select(column(key), score(F.col("of")).alias("__s"))
+        scored = scored.unionByName(shared.select(column(key)).join(merged, key, "left"))
+    parts = [F.try_divide(F.get("__s.dots", F.lit(i)), F.col("__s.norm")) for i in range(len(every))]
+    scores = [F.round(F.coalesce(p, F.lit(0.0)), 4).alias(f"s{i}") for i, p in enumerate(parts)]
+    scored = scored.select(column(key), *scores)
+    best = F.greatest(*[F.col(f"s{i}") for i in range(len(every))])
+    which = F.coalesce(*[F.when(F.col(f"s{i}") == best, F.lit(o)) for i, o in enumerate(every)])
     found = scored.select(column(key), which.alias(order), best.alias("score_similaridade"))
     names = labels.select(column(order), column(name).alias("tema_classificado"))
     return found.join(F.broadcast(names), order).select(column(key), "tema_classificado", "score_similaridade")

@@ -207,6 +207,30 @@ def test_words_find_the_theme(spark):
     assert got[2].score_similaridade == 0 and len(got) == 3
 
 
+def test_themes_of_repeated_and_missing_keys(spark):
+    """The texts of one key count as one, and a row without a key has the first theme; no word moves for the others."""
+    themes = spark.createDataFrame([(i, n, d) for i, (n, d) in enumerate(THEMES.items())], "o int, n string, t string")
+    texts = [(1, "rodovias x"), (1, "ferrovias e portos"), (2, "escolas, escolas"), (None, "hospitais"), (None, "x"), (3, ""), (4, "clima")]
+    items = spark.createDataFrame(texts, "id int, t string")
+    got = values(sim.lexical_top1(items, themes, "id", "t", "n", "o"), "id", "tema_classificado")
+    want = [(1, "Infraestrutura"), (1, "Infraestrutura"), (2, "Educação"), (3, "Saúde"), (4, "Meio Ambiente"), (None, "Saúde")]
+    assert got == sorted([*want, (None, "Saúde")], key=repr)
+    together = spark.createDataFrame([(1, "rodovias x ferrovias e portos"), *texts[2:]], "id int, t string")
+    again = values(sim.lexical_top1(together, themes, "id", "t", "n", "o").where("id = 1"), "score_similaridade")
+    assert 0 < again[0][0] and len(again) == 1
+    plan = sim.lexical_top1(items.where("id > 1"), themes, "id", "t", "n", "o")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_word_counts_are_those_of_the_hash(spark):
+    import hashlib
+
+    df = spark.createDataFrame([(1, "Ação, ação 2x"), (1, "x"), (2, None), (None, "é")], "id int, t string")
+    place = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 1024
+    want = [(1, place("ação"), 2), (1, place("2x"), 1), (1, place("x"), 1), (None, place("é"), 1)]
+    assert values(sim.word_counts(df, "id", "t")) == sorted(want, key=repr)
+
+
 @pytest.fixture(scope="module")
 def target(spark):
     return spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, None, None)], "id int, t string, s double")
