@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from sedimenta.sources.landing import column
 
+KEY_ROWS = 500_000  # rows whose keys one task compares
+
 
 def profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """Per column: type, share of nulls in percent, distinct values, an example (the least).
@@ -115,8 +117,14 @@ def require(tables: Mapping[str, DataFrame | None], needed: Sequence[str]) -> li
     return [n for n in needed if tables[n].isEmpty()]
 
 
-def pk_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their count."""
+def pk_violations(df: DataFrame, key: Sequence[str], rows: int | None = None) -> DataFrame:
+    """Keys that occur more than once, with their count.
+
+    Nearly all keys of a sound table occur once, so counting them before the shuffle only fills memory. With the number of
+    rows (about) they are dealt first, `KEY_ROWS` to a task whatever the size of the table.
+    """
+    if rows is not None:
+        df = df.repartition(max(1, -(-rows // KEY_ROWS)), *[column(k) for k in key])
     return (
         df.groupBy(*[column(k) for k in key]).agg(F.count(F.lit(1)).alias("linhas")).where("linhas > 1")
     )

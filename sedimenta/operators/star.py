@@ -18,6 +18,7 @@ from sedimenta.sources.landing import column
 from sedimenta.spec import VOCABULARY, DimSpec, FactSpec, Vocabulary
 
 _KEY_ROW_BYTES = 64  # one (natural key, surrogate key) pair in a hash table
+_KEY_ROWS = 2_000_000  # such pairs that one task may hold; more are sorted
 
 # Rows of the frames that `build_dim` returned and found to have one row per natural key.
 # Kept per frame: whatever is made from such a frame is measured again.
@@ -111,13 +112,18 @@ def _measure(keys: Mapping[str, DataFrame]) -> dict[str, int]:
 def _look_up(
     fact: DataFrame, keys: DataFrame, rows: int, optional: bool, max_bytes: int
 ) -> DataFrame:
-    """Attach a surrogate key by a broadcast of known size, or by a plain join, whose skew Spark splits."""
+    """Attach a surrogate key by a broadcast of known size, or by a shuffled join, whose skew Spark splits.
+
+    Unless a task would get too many keys, they make its hash table and the fact only passes by: it is neither sorted nor
+    held, so a key that very many rows share (that of an unknown member) costs no memory.
+    """
     natural, how = keys.columns[0], "left" if optional else "inner"
     if not isinstance(keys.schema[natural].dataType, (T.IntegerType, T.LongType)):
         return lookup_join(fact, keys, [natural], how, max_bytes)
     if rows * _KEY_ROW_BYTES <= max_bytes:
         return fact.join(F.broadcast(keys), natural, how)
-    return fact.join(keys, natural, how)
+    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return fact.join(keys.hint("shuffle_hash") if rows <= tasks * _KEY_ROWS else keys, natural, how)
 
 
 def build_fact(

@@ -22,7 +22,7 @@ from sedimenta.operators.report import Window, digest, ranked
 from sedimenta.operators.similarity import collect_labels
 from sedimenta.plans import parliament as pl
 from sedimenta.plans.registry import money, query, table, text
-from sedimenta.session import new_path, stage, together
+from sedimenta.session import new_path, stage, stage_counted, together
 from sedimenta.sources.tables import Layer
 
 _URI = "https://example.org/api/"
@@ -488,8 +488,8 @@ def _register_pk(fact: str, silver_names: str, gold_names: str) -> None:
     again = f"SELECT * FROM {fact} UNION ALL SELECT * FROM {fact} WHERE sk_deputado % 2 = 0"
 
     def run(spark, sf):
-        loaded = _loaded(spark, sf, fact)[0]
-        return pk_violations(loaded.unionAll(loaded.where("sk_deputado % 2 = 0")), pl.KEYS[fact])
+        loaded, rows = stage_counted(_loaded(spark, sf, fact)[0], fact)
+        return pk_violations(loaded.unionAll(loaded.where("sk_deputado % 2 = 0")), pl.KEYS[fact], 2 * rows)
 
     sql = f"SELECT {key}, count(*) AS linhas FROM ({again}) GROUP BY ALL HAVING count(*) > 1"
     query(_sql(sql, silver_names, gold_names), name=f"gold_pk_{fact.removeprefix('ft_')}")(run)

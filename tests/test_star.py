@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from sedimenta.operators import star
+from sedimenta.operators import quality, star
 from sedimenta.operators.report import Window, digest, html_card, ranked, top_of_window
 from sedimenta.spec import DimRef, DimSpec, FactSpec
 from tests.conftest import values
@@ -152,3 +152,28 @@ def test_a_window_skips_data_of_a_published_fact(spark):
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     plan = sq.top_orders(spark, sf)._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan and "SinglePartition" not in plan.split("== Physical Plan ==")[1].split("TakeOrdered")[0]
+
+
+def test_a_large_look_up_does_not_sort_the_fact(spark, monkeypatch):
+    """Votes of an unknown person share one key, so a task that sorts them holds them all."""
+    fact = spark.range(0, 2000).select(F.when(F.col("id") % 7 == 0, -1).otherwise(F.col("id") % 50).alias("k"), "id")
+    keys = spark.range(-1, 40).select(F.col("id").alias("k"), (F.col("id") + 100).alias("sk"))
+    out = star._look_up(fact, keys, 41, False, 0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan
+    want = [(i, -1 if i % 7 == 0 else i % 50) for i in range(2000)]
+    assert values(out, "id", "sk") == sorted(((i, k + 100) for i, k in want if k < 40), key=repr)
+    left = star._look_up(fact, keys, 41, True, 0)
+    assert left.count() == 2000 and left.where("sk IS NULL").count() == sum(k >= 40 for _, k in want)
+    monkeypatch.setattr(star, "_KEY_ROWS", 1)  # too many keys for a hash table of a task
+    sorted_ = star._look_up(fact, keys, 41, False, 0)
+    assert "SortMergeJoin" in sorted_._jdf.queryExecution().executedPlan().toString() and values(sorted_) == values(out)
+
+
+def test_keys_are_dealt_before_they_are_counted(spark, monkeypatch):
+    df = spark.range(0, 1000).select((F.col("id") % 990).alias("k"), F.lit("x").alias("t"))
+    monkeypatch.setattr(quality, "KEY_ROWS", 100)
+    out = quality.pk_violations(df, ["k", "t"], 1000)
+    assert values(out) == sorted(((i, "x", 2) for i in range(10)), key=repr)
+    assert "hashpartitioning(k" in (plan := out._jdf.queryExecution().executedPlan().toString()) and ", 10), REPARTITION_BY_NUM" in plan
+    assert plan.count("Exchange") == 1
