@@ -85,7 +85,7 @@ def digits_id(col: Column) -> Column:
 
 def uri_tail(col: Column) -> Column:
     """Last path segment of a URI, null if there is none."""
-    return F.regexp_substr(col, F.lit("[^/]+$"))
+    return F.nullif(F.substring_index(col, "/", -1), F.lit(""))  # no pattern: one would start at every character
 
 
 def uri_id(col: Column) -> Column:

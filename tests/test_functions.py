@@ -227,3 +227,12 @@ def test_vectors(spark):
     assert row["u"] == pytest.approx([0.6, 0.8])
     assert (row["zero"], row["d"], row["c"]) == (None, 25.0, None)
     assert (row["t"], row["back"]) == ("[3.00000000,4.00000000]", [3.0, 4.0])
+
+
+def test_uri_tails_need_no_pattern(spark):
+    texts = ["https://x/api/orgaos/12", "12", "a/", "", "/", None, "a/é 1", "a/12\n", "a/\n", "a//b", "x\n/7"]
+    df = spark.createDataFrame([(t,) for t in texts], "u string")
+    tail = F.regexp_substr("u", F.lit("[^/]+$"))
+    got = df.select(casts.uri_tail(F.col("u")).alias("new"), tail.alias("old")).collect()
+    assert [r.new for r in got] == [r.old for r in got]
+    assert "regexp" not in df.select(casts.uri_id(F.col("u")))._jdf.queryExecution().optimizedPlan().toString()
