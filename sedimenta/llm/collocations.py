@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -149,13 +150,14 @@ class HatTrie:
             parts += [(word, -1, node)] if isinstance(node, Counter) else [(word, s, c) for s, c in node.items()]
         if not parts:
             return (np.zeros(0, np.int64),) * 3
-        firsts, rests, counts = [], [], []
-        for word, second, container in parts:
-            tail = np.fromiter(container.keys(), np.int64, len(container))
-            firsts.append(np.full(len(container), word, np.int64))
-            rests.append(tail if second < 0 else tail >> _ID_BITS | second << _SECOND)
-            counts.append(np.fromiter(container.values(), np.int64, len(container)))
-        return np.concatenate(firsts), np.concatenate(rests), np.concatenate(counts)
+        words, seconds, containers = zip(*parts)  # most containers are small, so all are read in one go
+        sizes = np.fromiter(map(len, containers), np.int64, len(parts))
+        n = int(sizes.sum())
+        rest = np.fromiter(chain.from_iterable(containers), np.int64, n)
+        second = np.repeat(np.array(seconds, np.int64), sizes)
+        rest = np.where(second < 0, rest, rest >> _ID_BITS | second << _SECOND)
+        counts = np.fromiter(chain.from_iterable(map(dict.values, containers)), np.int64, n)
+        return np.repeat(np.array(words, np.int64), sizes), rest, counts
 
 
 def _by(keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -237,7 +239,8 @@ class Counting:
         self._anew()
 
     def _runs(self, first: np.ndarray, rest: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """A sorted run for each prefix partition: its words in order, and phrases as numbers of these from 1."""
+        """A run for each prefix partition: its words in the order in which the task met them, and phrases as numbers of these
+        from 1, sorted. The merge numbers the words anew, so their order is of no use to it."""
         if not len(first):
             return
         width = max(self.lengths)
@@ -247,9 +250,8 @@ class Counting:
         part = (pair_marks(marks[first], second) % np.uint64(self.parts)).astype(np.int32)
         used = np.unique(grams)
         used = used[used > 0]
-        by = np.array(sorted(used.tolist(), key=self.names.__getitem__), np.int64)
         rank = np.zeros(len(self.names), np.int64)
-        rank[by] = np.arange(1, len(by) + 1)
+        rank[used] = np.arange(1, len(used) + 1)
         grams = rank[grams]
         order = np.lexsort((*grams[::-1], part))
         part, count, grams = part[order], count[order], grams[:, order]
@@ -259,7 +261,7 @@ class Counting:
         for s, e in zip([0, *cut], [*cut, len(part)]):
             words, place = np.unique(grams[:, s:e], return_inverse=True)
             place = place.reshape(width, e - s) + (0 if words[0] == 0 else 1)
-            names = [self.names[i] for i in by[words[words > 0] - 1].tolist()]
+            names = [self.names[i] for i in used[words[words > 0] - 1].tolist()]
             own = sorted({lang for lang, _ in names})
             at = {lang: i for i, lang in enumerate(own)}
             rows.append(
