@@ -2,7 +2,7 @@
 
 Every task counts its phrases in a burst trie: children by word id at the top, below them containers, hash tables
 from the remaining words to a count. A container that grows too large bursts into one per next word. When the
-trie passes its bound, whole subtrees, the largest first, leave it as sorted runs, dealt by prefix (first word and a
+trie passes its bound, whole subtrees, the largest first, leave it as runs, dealt by prefix (first word and a
 class of the second). The runs of a prefix partition are merged by one task of the next stage.
 
 Phrases are counted in three passes, words, pairs, and longer phrases, as a phrase can only be frequent if all of its
