@@ -171,7 +171,7 @@ def test_a_large_look_up_does_not_sort_the_fact(spark, monkeypatch):
 
 
 def test_keys_are_dealt_before_they_are_counted(spark, monkeypatch):
-    df = spark.range(0, 1000).select((F.col("id") % 990).alias("k"), F.lit("x").alias("t"))
+    df = spark.createDataFrame([(i % 990, "x") for i in range(1000)], "k long, t string")
     monkeypatch.setattr(quality, "KEY_ROWS", 100)
     out = quality.pk_violations(df, ["k", "t"], 1000)
     plan = out._jdf.queryExecution().executedPlan().toString()
